@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.numeric import hash_order, whole_days
+from ledgerline.functions.numeric import hash_order, share, whole_days
 from ledgerline.model import Columns, StarModel, with_known
 from ledgerline.operators.basket import tag_pairs
 from ledgerline.operators.ranking import previous_in_group, quantiles, running_totals
@@ -42,12 +42,12 @@ def churn_features(model: StarModel, all_currencies: bool = False) -> DataFrame:
     c = model.c
     known = with_known(model.orders, c.user)
     latest = known.agg((F.max(c.time) + F.expr("interval 1 day")).alias("now")).scalar()
-    value = F.avg(F.col(c.amount).cast("double")) if all_currencies else F.avg(c.base_amount.cast("double"))
+    valued = F.col(c.amount) if all_currencies else c.base_amount
     per_user = known.groupBy(c.user).agg(
         F.max(c.time).alias("last"),
         F.min(c.time).alias("first"),
         F.count(F.lit(1)).alias("frequency"),
-        value.alias("aov"),
+        share(F.sum(valued), F.count(valued)).alias("aov"),
         F.coalesce(F.sum(c.base_amount), F.lit(0)).alias("monetary"),
     )
     gap = F.when(

@@ -69,4 +69,5 @@ def weeks_touched(calendar: DataFrame, day: str, before: int = 1, after: int = 1
     condition on both ends of the window would compare every event with every week.
     """
     window = F.sequence(F.date_sub(F.col(day), before), F.date_add(F.col(day), after))
-    return calendar.withColumn("week", week_start(F.explode(window))).distinct()
+    weeks = F.array_distinct(F.transform(window, week_start))
+    return calendar.withColumn("week", F.explode(weeks))
