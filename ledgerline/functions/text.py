@@ -10,22 +10,21 @@ from pyspark.sql import functions as F
 # Spellings that mean "missing" once a cell is trimmed.
 MISSING_AFTER_TRIM = ("", "nan", "None")
 
-# Fixed patterns for the three spellings of an integer.
-PLAIN_NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# White space that is trimmed from cells.
+WHITE_SPACE = " \t\n\x0b\x0c\r\xa0"
+
+# Fixed patterns for numbers. A cast of text that is no number raises and catches an error per row, so
+# every cast below is guarded by a pattern.
 WHOLE_NUMBER = r"^[+-]?[0-9]{1,18}$"
+PLAIN_NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,3})?$"
 PREFIXED_CODE = r"(?i)^[a-z_\-]*([0-9]+(?:\.[0-9]+)?)$"
 COUNT_BAND = r"(?i)^([0-9]+(?:\.[0-9]+)?)\s*(k)?\+"
 
-# Layouts tried for each reading of a day/month pair, after the unambiguous ones.
-UNAMBIGUOUS_LAYOUTS = (
-    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "yyyy/MM/dd",
-)
-MONTH_FIRST_LAYOUTS = (
-    "M/d/yyyy HH:mm:ss", "M/d/yyyy HH:mm", "M/d/yyyy", "M-d-yyyy HH:mm:ss", "M-d-yyyy HH:mm", "M-d-yyyy",
-)
-DAY_FIRST_LAYOUTS = (
-    "d/M/yyyy HH:mm:ss", "d/M/yyyy HH:mm", "d/M/yyyy", "d-M-yyyy HH:mm:ss", "d-M-yyyy HH:mm", "d-M-yyyy",
-)
+# Fixed patterns: a date with the year first, or with day and month first in either order; the
+# replacement brings the parts into year-month-day order.
+TIME_PART = r"([ T][0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:\.[0-9]{1,6})?)?)?"
+YEAR_FIRST = r"^([0-9]{4})[-/]([0-9]{1,2})[-/]([0-9]{1,2})" + TIME_PART + "$"
+YEAR_LAST = r"^([0-9]{1,2})[-/]([0-9]{1,2})[-/]([0-9]{4})" + TIME_PART + "$"
 
 
 def normalise_name(header: str) -> str:
@@ -33,55 +32,74 @@ def normalise_name(header: str) -> str:
     return re.sub(r"[^0-9a-z]+", "_", header.strip().lower()).strip("_")
 
 
-def clean_text(col: Column) -> Column:
-    """Trim all white space (not only blanks) and turn spellings of 'missing' into NULL."""
-    trimmed = F.regexp_replace(col.cast("string"), r"^\s+|\s+$", "")
+def strip(col: Column) -> Column:
+    """Trim all white space, not only blanks."""
+    return F.btrim(col.cast("string"), F.lit(WHITE_SPACE))
+
+
+def known_text(trimmed: Column) -> Column:
+    """Trimmed text, with spellings of 'missing' turned into NULL."""
     return F.when(~trimmed.isin(*MISSING_AFTER_TRIM), trimmed)
 
 
-def _captured(col: Column, pattern: str, group: int) -> Column:
-    """The captured group, or NULL where nothing matches."""
-    return F.nullif(F.regexp_extract(col, pattern, group), F.lit(""))
+def number_text(col: Column) -> Column:
+    """Trimmed text without thousands separators."""
+    return F.replace(strip(col), F.lit(","), F.lit(""))
 
 
-def parse_integer(col: Column) -> Column:
-    """Read an integer from plain numbers, prefixed codes (``fd123``) and bands (``1K+ ratings``).
+# Reading an integer takes three projections, text -> number -> value. Each step refers to plain
+# columns of the one before, which keeps the generated code small enough to be compiled.
 
-    The result is ``struct(value: bigint, how: string)``; ``how`` names the reading that matched:
-    ``plain``, ``prefix`` or ``band``, ``nonint`` for a number with a fraction, ``lost`` for text
-    that is no number, and NULL for a missing cell.
-    """
-    text = F.regexp_replace(F.regexp_replace(col.cast("string"), r"^\s+|\s+$", ""), ",", "")
-    whole = F.when(text.rlike(WHOLE_NUMBER), text.try_cast("bigint"))
-    plain = F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
-    code = _captured(text, PREFIXED_CODE, 1).try_cast("double")
-    band = _captured(text, COUNT_BAND, 1).try_cast("double") * F.when(
-        _captured(text, COUNT_BAND, 2).isNotNull(), F.lit(1000.0)
-    ).otherwise(F.lit(1.0))
-    number = F.coalesce(plain, code, band)
-    integral = F.coalesce(whole, F.when(number == F.floor(number), number.try_cast("bigint")))
-    how = (
+
+def spelled_number(text: Column) -> Column:
+    """The number in a plain spelling, a prefixed code (``fd123``) or a band (``1K+ ratings``), or NULL."""
+    code, band = F.regexp_extract(text, PREFIXED_CODE, 1), F.regexp_extract(text, COUNT_BAND, 1)
+    thousands = F.when(F.regexp_extract(text, COUNT_BAND, 2) != "", F.lit(1000.0)).otherwise(F.lit(1.0))
+    return (
+        F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+        .when(code != "", code.try_cast("double"))
+        .when(band != "", band.try_cast("double") * thousands)
+    )
+
+
+def integer_value(text: Column, number: Column) -> Column:
+    """The integer that was spelled; a number with a fraction is none. Long integers stay exact."""
+    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("bigint")).otherwise(F.when(number == F.floor(number), number.try_cast("bigint")))
+
+
+def integer_reading(text: Column, number: Column) -> Column:
+    """How an integer was read: plain, prefix, band, nonint (a fraction), lost, or NULL if missing."""
+    return (
         F.when(text.isNull(), F.lit(None).cast("string"))
         .when(number.isNull(), "lost")
-        .when(integral.isNull(), "nonint")
-        .when(plain.isNotNull(), "plain")
-        .when(code.isNotNull(), "prefix")
+        .when(number != F.floor(number), "nonint")
+        .when(text.rlike(PLAIN_NUMBER), "plain")
+        .when(text.rlike(PREFIXED_CODE), "prefix")
         .otherwise("band")
     )
-    return F.struct(integral.alias("value"), how.alias("how"))
 
 
-def parse_number(col: Column, as_type: str = "double") -> Column:
-    """Drop everything but digits, dots and minus signs; what is then no number is NULL."""
-    kept = F.regexp_replace(col.cast("string"), r"[^0-9.\-]", "")
-    return F.nullif(kept, F.lit("")).try_cast(as_type)
+def number_characters(col: Column) -> Column:
+    """Text without anything but digits, dots and minus signs (``₹ 200`` becomes ``200``)."""
+    return F.regexp_replace(col.cast("string"), r"[^0-9.\-]+", "")
+
+
+def parse_number(characters: Column, as_type: str = "double") -> Column:
+    """The number in what ``number_characters`` left over, or NULL (``--``, ``1-2``)."""
+    return F.when(characters.rlike(PLAIN_NUMBER), characters.try_cast(as_type))
 
 
-def parse_timestamp(col: Column, day_first: bool) -> Column:
-    """First layout that fits, with one reading of ambiguous day/month pairs for the whole column."""
-    layouts = UNAMBIGUOUS_LAYOUTS + (DAY_FIRST_LAYOUTS if day_first else MONTH_FIRST_LAYOUTS)
-    text = col.cast("string")
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz") for layout in layouts])
+def parse_timestamp(text: Column, day_first: bool) -> Column:
+    """Read a date with or without a time, with one reading of day/month pairs for the whole column.
+
+    The parts are reordered and cast, which rejects an impossible date without raising per row.
+    ``text`` should be a trimmed plain column.
+    """
+    order = "$3-$2-$1$4" if day_first else "$3-$1-$2$4"
+    ordered = F.when(text.rlike(YEAR_FIRST), F.replace(text, F.lit("/"), F.lit("-"))).when(
+        text.rlike(YEAR_LAST), F.regexp_replace(text, YEAR_LAST, order)
+    )
+    return ordered.try_cast("timestamp_ntz")
 
 
 def split_tags(col: Column) -> Column:

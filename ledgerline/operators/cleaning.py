@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import clean_text, parse_integer, parse_number, parse_timestamp
+from ledgerline.functions.text import (
+    integer_reading, integer_value, known_text, number_characters, number_text, parse_number, parse_timestamp,
+    spelled_number, strip,
+)
 from ledgerline.session import freeze
 from ledgerline.sources.contracts import TableContract, spark_type
 from ledgerline.sources.files import ROW_ORDER
@@ -15,8 +18,9 @@ from ledgerline.sources.files import ROW_ORDER
 
 def clean_strings(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Trim text columns; blanks and spellings of 'missing' become NULL."""
-    text = set(columns or [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"])
-    return df.select(*[clean_text(F.col(c)).alias(c) if c in text else F.col(c) for c in df.columns])
+    text = columns or [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    trimmed = df.withColumns({c: strip(F.col(c)) for c in text})
+    return trimmed.withColumns({c: known_text(F.col(c)) for c in text})
 
 
 def prefers_day_first(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
@@ -26,7 +30,8 @@ def prefers_day_first(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
     """
     if not columns:
         return {}
-    counts = df.agg(
+    trimmed = df.select(*[strip(F.col(c)).alias(c) for c in columns])
+    counts = trimmed.agg(
         *[
             F.count(parse_timestamp(F.col(c), day_first)).alias(f"{c}|{day_first}")
             for c in columns
@@ -38,19 +43,34 @@ def prefers_day_first(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
 
 def parse_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace text columns by timestamps, each under its better reading."""
-    for column, day_first in prefers_day_first(df, columns).items():
-        df = df.withColumn(column, parse_timestamp(F.col(column), day_first))
-    return df
+    day_first = prefers_day_first(df, columns)
+    trimmed = df.withColumns({c: strip(F.col(c)) for c in columns})
+    return trimmed.withColumns({c: parse_timestamp(F.col(c), day_first[c]) for c in columns})
+
+
+def parse_integers(df: DataFrame, columns: Sequence[str], readings: bool = False) -> DataFrame:
+    """Replace text columns by the integers they spell; ``readings`` adds how each was read."""
+    numbers = {f"__number_{c}": spelled_number(F.col(c)) for c in columns}
+    out = df.withColumns({c: number_text(F.col(c)) for c in columns}).withColumns(numbers)
+    values = {}
+    for c in columns:
+        if readings:
+            values[f"{c}_reading"] = integer_reading(F.col(c), F.col(f"__number_{c}"))
+        values[c] = integer_value(F.col(c), F.col(f"__number_{c}"))
+    return out.withColumns(values).drop(*numbers)
+
+
+def parse_numbers(df: DataFrame, columns: Sequence[str], kind: str = "double") -> DataFrame:
+    """Replace text columns by numbers, dropping currency signs, separators and other junk."""
+    kept = df.withColumns({c: number_characters(F.col(c)) for c in columns})
+    return kept.withColumns({c: parse_number(F.col(c), kind) for c in columns})
 
 
 def integer_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """How the integers of each text column were read: one scan, one row per column."""
     readings = ("plain", "prefix", "band", "nonint", "lost")
-    long = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), parse_integer(F.col(c)).how.alias("how")) for c in columns])
-        ).alias("r")
-    ).select("r.*")
+    read = parse_integers(df.select(*columns), columns, readings=True)
+    long = read.select(*[F.col(f"{c}_reading").alias(c) for c in columns]).unpivot([], list(columns), "column", "how")
     return long.groupBy("column").agg(
         *[F.count_if(F.col("how") == reading).alias(reading) for reading in readings[:4]],
         F.count_if(F.col("how").isin("nonint", "lost")).alias("lost"),
@@ -63,13 +83,17 @@ def clean_types(df: DataFrame, contract: TableContract) -> tuple[DataFrame, Data
     The typed rows are frozen: the quality counts and everything downstream then read exactly the
     same rows, also after a lost executor.
     """
-    df = clean_strings(df, list(contract.headers))
     day_first = prefers_day_first(df, contract.timestamps)
+    rest = [F.col(ROW_ORDER)] if ROW_ORDER in df.columns else []
+    cleaned = clean_strings(df.select(*contract.headers, *rest), list(contract.headers))
+    had = {f"__had_{n}": F.col(n).isNotNull() for n, t in contract.types.items() if spark_type(t) != "string"}
+    cleaned = parse_integers(cleaned.withColumns(had), contract.integers)
+    cleaned = cleaned.withColumns({n: number_characters(F.col(n)) for n in contract.numbers})
     typed: list[Column] = []
     for name in contract.headers:
         text, kind = F.col(name), spark_type(contract.types[name])
         if name in contract.integers:
-            value = parse_integer(text).value.try_cast(kind)
+            value = text.try_cast(kind)
         elif name in contract.numbers:
             value = parse_number(text, kind)
         elif name in contract.timestamps:
@@ -77,19 +101,22 @@ def clean_types(df: DataFrame, contract: TableContract) -> tuple[DataFrame, Data
         else:
             value = text
         typed.append(value.alias(name))
-        typed.append((text.isNotNull() & value.isNull()).alias(f"__lost_{name}"))
-    rest = [F.col(ROW_ORDER)] if ROW_ORDER in df.columns else []
-    frozen = freeze(df.select(*typed, *rest))
-    quality = coercion_counts(frozen, contract)
-    return frozen.drop(*[f"__lost_{name}" for name in contract.headers]), quality
+    frozen = freeze(cleaned.select(*typed, *had, *rest))
+    return frozen.select(*contract.headers, *([ROW_ORDER] if rest else [])), coercion_counts(frozen, contract)
 
 
 def coercion_counts(frozen: DataFrame, contract: TableContract) -> DataFrame:
     """Per column: values turned into NULL and negative values kept."""
-    negative = [n for n in contract.numbers]
+    negative = contract.numbers
+    none = F.lit(0).cast("bigint")
     totals = frozen.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(f"__lost_{n}")).alias(f"lost_{n}") for n in contract.headers],
+        *[
+            (F.count_if(F.col(f"__had_{n}") & F.col(n).isNull()) if f"__had_{n}" in frozen.columns else none).alias(
+                f"lost_{n}"
+            )
+            for n in contract.headers
+        ],
         *[F.count_if(F.col(n) < 0).alias(f"negative_{n}") for n in negative],
     )
     return totals.select(
@@ -100,7 +127,7 @@ def coercion_counts(frozen: DataFrame, contract: TableContract) -> DataFrame:
                         F.lit(n).alias("column"),
                         F.col("rows"),
                         F.col(f"lost_{n}").alias("coerced"),
-                        (F.col(f"negative_{n}") if n in negative else F.lit(0).cast("bigint")).alias("negative"),
+                        (F.col(f"negative_{n}") if n in negative else none).alias("negative"),
                     )
                     for n in contract.headers
                 ]

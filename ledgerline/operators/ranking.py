@@ -57,10 +57,19 @@ def running_totals(
     Rows should be distinct in ``within + order_by`` (aggregate first), so that hot values are one
     row. A group of any size is spread over many partitions.
     """
+    return _running(_place(df, order_by, within), order_by, totals, within)
+
+
+def _place(df: DataFrame, order_by: Sequence[str | Column], within: Sequence[str] = ()) -> DataFrame:
+    """Range-partition by group and order, and fix for good which partition a row is in."""
+    keys = [F.col(c) for c in within] + _ordered(order_by)
+    return freeze(df.repartitionByRange(*keys).withColumn(_PART, F.spark_partition_id()))
+
+
+def _running(
+    placed: DataFrame, order_by: Sequence[str | Column], totals: Mapping[str, str], within: Sequence[str]
+) -> DataFrame:
     keys = _ordered(order_by)
-    placed = freeze(
-        df.repartitionByRange(*[F.col(c) for c in within], *keys).withColumn(_PART, F.spark_partition_id())
-    )
     sums = placed.groupBy(*within, _PART).agg(*[F.sum(col).alias(f"__sum_{out}") for out, col in totals.items()])
     chunks = Window.partitionBy(*[F.col(c) for c in within]).orderBy(_PART)
     earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
@@ -99,7 +108,7 @@ def previous_in_group(df: DataFrame, group: str, order: str, name: str) -> DataF
     A plain window would sort a hot group in one task. Here a group may span many partitions, and
     the first row of each further chunk takes the last value of the chunk before it.
     """
-    placed = freeze(df.repartitionByRange(group, order).withColumn(_PART, F.spark_partition_id()))
+    placed = _place(df, [order], [group])
     chunks = Window.partitionBy(group).orderBy(_PART)
     tails = (
         placed.groupBy(group, _PART)
@@ -131,9 +140,9 @@ def quantiles(
         .groupBy(*by, value)
         .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("__n"))
     )
-    ranked = running_totals(counted, [value], {"__upto": "__n"}, within=by)
-    ranked = freeze(ranked)
-    sizes = ranked.groupBy(*by).agg(F.max("__upto").alias("__size"))
+    placed = _place(counted, [value], by)
+    ranked = _running(placed, [value], {"__upto": "__n"}, by)
+    sizes = placed.groupBy(*by).agg(F.sum("__n").alias("__size"))
     if by:
         ranked = ranked.join(sizes, list(by))
     else:

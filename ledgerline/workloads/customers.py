@@ -78,8 +78,8 @@ def described_rfm(b):
     l AS (SELECT user_id, ln(1 + recency_days) AS r, ln(1 + frequency) AS f,
                  sign(monetary) * ln(1 + abs(CAST(monetary AS DOUBLE))) AS m FROM m_rfm),
     s AS (SELECT avg(r) AS ar, stddev_pop(r) AS sr, avg(f) AS af, stddev_pop(f) AS sf, avg(m) AS am, stddev_pop(m) AS sm FROM l)
-    SELECT user_id, round((r - ar) / sr, 4) AS recency_days_z, round((f - af) / sf, 4) AS frequency_z,
-           round((m - am) / sm, 4) AS monetary_z FROM l, s""")
+    SELECT user_id, round((r - ar) / sr, 4) + 0 AS recency_days_z, round((f - af) / sf, 4) + 0 AS frequency_z,
+           round((m - am) / sm, 4) + 0 AS monetary_z FROM l, s""")
 def scaled_rfm(b):
     base = freeze(rfm.rfm_base(b.orders(*FACT), b.c))
     return rfm.scale_features(base).select("user_id", *SCALED)
@@ -252,8 +252,8 @@ def _given_scores(b):
 
 
 @query("churn_features", "M13 A13 A14 A23 J5 Q20 Q22", """
-    SELECT user_id, recency_days, frequency, round(aov, 4) AS aov, tenure_days, avg_gap_days,
-           round(CAST(monetary AS DOUBLE), 4) AS monetary, tag_diversity FROM m_features""")
+    SELECT user_id, recency_days, frequency, round(aov, 8) AS aov, tenure_days, avg_gap_days,
+           round(CAST(monetary AS DOUBLE), 8) AS monetary, tag_diversity FROM m_features""", places=8)
 def churn_features(b):
     return _features(b)
 
@@ -363,7 +363,7 @@ SERIES_FACT = ("order_datetime", "sales_amount", "currency")
 SQL_SERIES = """
     series AS (SELECT 'all' AS series, week, revenue FROM m_weekly),
     edge AS (SELECT max(week) - 77 AS border FROM series),
-    guess AS (SELECT series, CAST(week + 364 AS DATE) AS week, revenue AS forecast, revenue * 0.9 AS lower, revenue * 1.1 AS upper
+    guess AS (SELECT series, CAST(week + 364 AS DATE) AS week, revenue AS forecast, revenue - 1000.001 AS lower, revenue + 1000.001 AS upper
               FROM series WHERE week + 364 <= (SELECT max(week) FROM series))"""
 
 
@@ -378,7 +378,7 @@ def _given_forecast(series):
     ahead = F.date_add("week", 364)
     return series.where(ahead <= last).select(
         "series", ahead.alias("week"), F.col("revenue").alias("forecast"),
-        (F.col("revenue") * 0.9).alias("lower"), (F.col("revenue") * 1.1).alias("upper"),
+        (F.col("revenue") - 1000.001).alias("lower"), (F.col("revenue") + 1000.001).alias("upper"),
     )
 
 

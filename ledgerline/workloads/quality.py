@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import clean_text, parse_integer, parse_number
 from ledgerline.operators import cleaning, integrity, profiling, ranking
 from ledgerline.plans import ingest
 from ledgerline.session import ensure_checkpoint_dir
@@ -61,8 +60,9 @@ def cleaned_text(b):
 @query("parsed_integers", "Q4", SQL_INTEGERS + """
     SELECT quantity AS raw, value, how, count(*) AS n FROM w GROUP BY 1, 2, 3""")
 def parsed_integers(b):
-    parsed = b.dirty().select(F.col("quantity").alias("raw"), parse_integer(F.col("quantity")).alias("p"))
-    return parsed.groupBy("raw", "p.value", "p.how").agg(F.count(F.lit(1)).alias("n"))
+    cells = b.dirty().select(F.col("quantity").alias("raw"), F.col("quantity").alias("value"))
+    parsed = cleaning.parse_integers(cells, ["value"], readings=True)
+    return parsed.groupBy("raw", "value", F.col("value_reading").alias("how")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("integer_reading_stats", "Q4 Q8", SQL_INTEGERS + """
@@ -77,7 +77,8 @@ def integer_reading_stats(b):
     SELECT l_orderkey, round(CAST(sum(value) AS DOUBLE), 4) AS amount, count(value) AS parsed,
            count(*) FILTER (WHERE value < 0) AS negative FROM p GROUP BY l_orderkey""")
 def parsed_numbers(b):
-    parsed = b.dirty().select("l_orderkey", parse_number(F.col("price"), "decimal(12,2)").alias("value"))
+    cells = b.dirty().select("l_orderkey", F.col("price").alias("value"))
+    parsed = cleaning.parse_numbers(cells, ["value"], "decimal(12,2)")
     return parsed.groupBy("l_orderkey").agg(
         F.sum("value").alias("amount"), F.count("value").alias("parsed"), F.count_if(F.col("value") < 0).alias("negative")
     )
@@ -440,8 +441,9 @@ def csv_round_trip(b):
     return read_csv_inferred(b.spark, path)
 
 
-@query("text_cleaner", "Q3", r"""
+@query("cleaned_documents", "Q3", r"""
     SELECT doc_id, CASE WHEN t NOT IN ('', 'nan', 'None') THEN length(t) END AS n_chars
     FROM (SELECT doc_id, regexp_replace(text, '^[\s]+|[\s]+$', '', 'g') AS t FROM documents) d""")
-def text_cleaner(b):
-    return b.raw("documents").select("doc_id", F.length(clean_text(F.col("text"))).alias("n_chars"))
+def cleaned_documents(b):
+    cleaned = cleaning.clean_strings(b.raw("documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", F.length("text").alias("n_chars"))
