@@ -15,7 +15,7 @@ from ledgerline.functions.numeric import hash_order, share, whole_days
 from ledgerline.model import Columns, StarModel, with_known
 from ledgerline.operators.basket import tag_pairs
 from ledgerline.operators.ranking import previous_in_group, quantiles, running_totals
-from ledgerline.session import ensure_checkpoint_dir, freeze
+from ledgerline.session import ensure_checkpoint_dir
 
 # Threshold limits, split, and classifier settings. Recency defines the label and is
 # therefore not a feature.
@@ -132,15 +132,21 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``is_test``: within each class exactly the rounded share of rows, first in hash order.
 
-    The split depends on the keys alone, not on partitions or row order.
+    The split depends on the keys alone, not on partitions or row order. Only labels, hashes and keys
+    are sorted, to find the last test row of each class; the split itself is a projection.
     """
-    tagged = df.withColumn("__hash", hash_order(F.col(key), seed)).withColumn("__one", F.lit(1).cast("bigint"))
-    placed = freeze(running_totals(tagged, ["__hash", key], {"__place": "__one"}, within=[label]))
-    sizes = placed.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
-    tests = F.create_map(*[F.lit(x) for r in sizes for x in (r[label], int(r["n"] * test_share + 0.5))])
-    return placed.withColumn("is_test", F.col("__place") <= F.element_at(tests, F.col(label))).drop(
-        "__hash", "__one", "__place"
-    )
+    tagged = df.withColumn("__hash", hash_order(F.col(key), seed))
+    narrow = tagged.select(label, "__hash", F.col(key), F.lit(1).cast("bigint").alias("__one"))
+    placed = running_totals(narrow, ["__hash", key], {"__place": "__one"}, within=[label])
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
+    wanted = {r[label]: int(r["n"] * test_share + 0.5) for r in sizes}
+    last = F.coalesce(*[F.when(F.col(label) == k, F.col("__place") == n) for k, n in wanted.items()])
+    kind = df.schema[key].dataType
+    is_test = F.lit(False)
+    for row in placed.where(last).collect():
+        border = F.struct(F.lit(row["__hash"]), F.lit(row[key]).cast(kind))
+        is_test = is_test | ((F.col(label) == row[label]) & (F.struct("__hash", key) <= border))
+    return tagged.withColumn("is_test", is_test).drop("__hash")
 
 
 def fit_classifier(

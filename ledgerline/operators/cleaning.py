@@ -11,10 +11,13 @@ from ledgerline.functions.text import (
     integer_reading, integer_value, known_text, number_characters, number_text, parse_number, parse_timestamp,
     spelled_number, strip,
 )
+from ledgerline.operators.ranking import global_row_number, number_in_place
 from ledgerline.session import freeze
 from ledgerline.sources.contracts import TableContract, spark_type
 from ledgerline.sources.files import ROW_ORDER
 
+_HAD = "__had_"
+
 
 def clean_strings(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Trim text columns; blanks and spellings of 'missing' become NULL."""
@@ -83,10 +86,16 @@ def clean_types(df: DataFrame, contract: TableContract) -> tuple[DataFrame, Data
     The typed rows are frozen: the quality counts and everything downstream then read exactly the
     same rows, also after a lost executor.
     """
+    frozen = freeze(type_columns(df, contract))
+    return without_flags(frozen), coercion_counts(frozen, contract)
+
+
+def type_columns(df: DataFrame, contract: TableContract) -> DataFrame:
+    """Typed columns, with a flag per non-text column that tells whether its cell was filled."""
     day_first = prefers_day_first(df, contract.timestamps)
     rest = [F.col(ROW_ORDER)] if ROW_ORDER in df.columns else []
     cleaned = clean_strings(df.select(*contract.headers, *rest), list(contract.headers))
-    had = {f"__had_{n}": F.col(n).isNotNull() for n, t in contract.types.items() if spark_type(t) != "string"}
+    had = {_HAD + n: F.col(n).isNotNull() for n, t in contract.types.items() if spark_type(t) != "string"}
     cleaned = parse_integers(cleaned.withColumns(had), contract.integers)
     cleaned = cleaned.withColumns({n: number_characters(F.col(n)) for n in contract.numbers})
     typed: list[Column] = []
@@ -101,20 +110,21 @@ def clean_types(df: DataFrame, contract: TableContract) -> tuple[DataFrame, Data
         else:
             value = text
         typed.append(value.alias(name))
-    frozen = freeze(cleaned.select(*typed, *had, *rest))
-    return frozen.select(*contract.headers, *([ROW_ORDER] if rest else [])), coercion_counts(frozen, contract)
+    return cleaned.select(*typed, *had, *rest)
+
 
+def without_flags(typed: DataFrame) -> DataFrame:
+    return typed.select(*[c for c in typed.columns if not c.startswith(_HAD)])
 
-def coercion_counts(frozen: DataFrame, contract: TableContract) -> DataFrame:
+
+def coercion_counts(typed: DataFrame, contract: TableContract) -> DataFrame:
     """Per column: values turned into NULL and negative values kept."""
     negative = contract.numbers
     none = F.lit(0).cast("bigint")
-    totals = frozen.agg(
+    totals = typed.agg(
         F.count(F.lit(1)).alias("rows"),
         *[
-            (F.count_if(F.col(f"__had_{n}") & F.col(n).isNull()) if f"__had_{n}" in frozen.columns else none).alias(
-                f"lost_{n}"
-            )
+            (F.count_if(F.col(_HAD + n) & F.col(n).isNull()) if _HAD + n in typed.columns else none).alias(f"lost_{n}")
             for n in contract.headers
         ],
         *[F.count_if(F.col(n) < 0).alias(f"negative_{n}") for n in negative],
@@ -172,9 +182,13 @@ def null_rate(df: DataFrame, column: str) -> DataFrame:
 
 
 def add_surrogate_key(df: DataFrame, name: str, order_by: Sequence[str] = (), dense: bool = False) -> DataFrame:
-    """Give every row an id: dense and in order, or just unique and free of any shuffle."""
-    if dense:
-        from ledgerline.operators.ranking import global_row_number
+    """Give every row an id.
 
-        return global_row_number(df, list(order_by) or df.columns, name)
-    return df.withColumn(name, F.monotonically_increasing_id() + F.lit(1))
+    Unique ids cost nothing. Dense ids from 1 need the sizes of the partitions before a row's own:
+    without an order that is one count over ``df``, which must be frozen, and no shuffle.
+    """
+    if not dense:
+        return df.withColumn(name, F.monotonically_increasing_id() + F.lit(1))
+    if order_by:
+        return global_row_number(df, order_by, name)
+    return number_in_place(df, name)

@@ -28,19 +28,20 @@ def global_row_number(df: DataFrame, order_by: Sequence[str | Column], name: str
     column closes the ordering.
     """
     keys = _ordered(order_by)
-    placed = freeze(
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn(_SLOT, F.monotonically_increasing_id())
-        .withColumn(_PART, F.shiftright(_SLOT, 33))
-        .withColumn(_SLOT, F.col(_SLOT).bitwiseAND(F.lit((1 << 33) - 1)))
+    return number_in_place(freeze(df.repartitionByRange(*keys).sortWithinPartitions(*keys)), name)
+
+
+def number_in_place(frozen: DataFrame, name: str) -> DataFrame:
+    """Number the rows of a frozen table from 1 as they lie, partition after partition."""
+    located = frozen.withColumn(_SLOT, F.monotonically_increasing_id()).withColumns(
+        {_PART: F.shiftright(_SLOT, 33), _SLOT: F.col(_SLOT).bitwiseAND(F.lit((1 << 33) - 1))}
     )
-    # One row per shuffle partition, whatever the size of the data.
-    sizes = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("__size"))
+    # One row per partition, whatever the size of the data.
+    sizes = located.groupBy(_PART).agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_PART, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
     return (
-        placed.join(F.broadcast(offsets), _PART)
+        located.join(F.broadcast(offsets), _PART)
         .withColumn(name, F.col("__before") + F.col(_SLOT) + F.lit(1))
         .drop(_PART, _SLOT, "__before")
     )

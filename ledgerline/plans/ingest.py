@@ -8,7 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.cleaning import add_surrogate_key, clean_types, keep_first
+from ledgerline.operators.cleaning import (
+    add_surrogate_key, coercion_counts, keep_first, type_columns, without_flags,
+)
 from ledgerline.operators.integrity import (
     mark_orphans, null_key_counts, orphan_counts, reconcile_counts, require_reconciled, split_orphans,
 )
@@ -48,28 +50,24 @@ def prepare_table(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows to store, rows to quarantine) of one table; fills the report.
 
-    Counts are taken from frozen rows, so they describe exactly what is stored.
+    The typed rows are frozen: files are parsed once, and every count describes what is stored.
     """
-    canonical = resolve_columns(normalise_headers(raw), name, contract)
-    typed, quality = clean_types(canonical, contract)
-    counts = quality.agg(
+    typed = freeze(type_columns(resolve_columns(normalise_headers(raw), name, contract), contract))
+    quality = coercion_counts(typed, contract).agg(
         F.max("rows").alias("rows"), F.sum("coerced").alias("coerced"), F.sum("negative").alias("negative")
     ).first()
-    report.read[name] = counts["rows"] or 0
-    report.coerced[name] = counts["coerced"] or 0
-    report.negative[name] = counts["negative"] or 0
-    unique = keep_first(typed, contract.key, [ROW_ORDER])
-    marked = freeze(mark_orphans(unique, contract.foreign_keys, parents))
-    kept, rejected = split_orphans(marked)
-    sizes = marked.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reject_reason").isNotNull()).alias("rejected")
-    ).first()
-    report.deduplicated[name] = report.read[name] - sizes["rows"]
-    report.quarantined[name] = sizes["rejected"]
+    report.read[name] = quality["rows"] or 0
+    report.coerced[name] = quality["coerced"] or 0
+    report.negative[name] = quality["negative"] or 0
+    rows = without_flags(typed)
+    if contract.key:
+        rows = freeze(keep_first(rows, contract.key, [ROW_ORDER]))
+    kept, rejected = split_orphans(mark_orphans(rows, contract.foreign_keys, parents))
+    kept = kept.drop(ROW_ORDER)
     if contract.surrogate:
-        kept = add_surrogate_key(kept, contract.surrogate, [ROW_ORDER], dense=True)
-    order = [contract.surrogate] if contract.surrogate else []
-    return kept.select(*order, *contract.headers), rejected.drop(ROW_ORDER)
+        kept = add_surrogate_key(freeze(kept), contract.surrogate, dense=True)
+    first = [contract.surrogate] if contract.surrogate else []
+    return kept.select(*first, *contract.headers), rejected.drop(ROW_ORDER)
 
 
 def load(
@@ -85,15 +83,19 @@ def load(
     target = target.rstrip("/")
     paths = {name: f"{target}/{name}" for name in order}
     guard_targets(spark, paths, reset)
-    report, parents = LoadReport(), {}
+    report, parents, expected = LoadReport(), {}, {}
     for name in order:
+        contract = contracts[name]
         raw = read_csv_robust(spark, sources[name], row_order=True)
-        kept, rejected = prepare_table(name, raw, contracts[name], parents, report)
+        kept, rejected = prepare_table(name, raw, contract, parents, report)
+        expected[name] = kept.count()
         write_table(kept, paths[name], reset)
-        if contracts[name].foreign_keys:
+        report.quarantined[name] = 0
+        if contract.foreign_keys:
+            report.quarantined[name] = rejected.count()
             write_quarantine(rejected, f"{target}/_quarantine", name)
+        report.deduplicated[name] = report.read[name] - expected[name] - report.quarantined[name]
         parents[name] = spark.read.parquet(paths[name])
-    expected = {n: report.read[n] - report.deduplicated[n] - report.quarantined[n] for n in order}
     check = freeze(reconcile_counts(expected, parents))
     report.stored = {r["table"]: r["stored"] for r in check.collect()}
     require_reconciled(check)
