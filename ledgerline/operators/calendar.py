@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import week_start
 from ledgerline.model import Columns
+from ledgerline.session import freeze
 
 # Festival dates by year.
 FESTIVALS: dict[str, tuple[str, ...]] = {
@@ -44,7 +45,11 @@ def spine(df: DataFrame, column: str, step_days: int = 1) -> DataFrame:
 
 
 def fill_gaps(df: DataFrame, column: str, step_days: int = 1, defaults: Mapping[str, object] | None = None) -> DataFrame:
-    """Reindex a series to a regular grid; missing rows are NULL or take a default."""
+    """Reindex a series to a regular grid; missing rows are NULL or take a default.
+
+    ``df`` has one row per step. It is frozen, since both its span and its rows are needed.
+    """
+    df = freeze(df)
     filled = spine(df, column, step_days).join(df, column, "left")
     return filled.fillna(dict(defaults)) if defaults else filled
 

@@ -15,7 +15,7 @@ from ledgerline.functions.numeric import hash_order, share, whole_days
 from ledgerline.model import Columns, StarModel, with_known
 from ledgerline.operators.basket import tag_pairs
 from ledgerline.operators.ranking import previous_in_group, quantiles, running_totals
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import ensure_checkpoint_dir, freeze
 
 # Threshold limits, split, and classifier settings. Recency defines the label and is
 # therefore not a feature.
@@ -41,7 +41,6 @@ def churn_features(model: StarModel, all_currencies: bool = False) -> DataFrame:
     """
     c = model.c
     known = with_known(model.orders, c.user)
-    latest = known.agg((F.max(c.time) + F.expr("interval 1 day")).alias("now")).scalar()
     valued = F.col(c.amount) if all_currencies else c.base_amount
     per_user = known.groupBy(c.user).agg(
         F.max(c.time).alias("last"),
@@ -54,6 +53,8 @@ def churn_features(model: StarModel, all_currencies: bool = False) -> DataFrame:
         F.col("frequency") > 1,
         F.expr(f"micros div ((frequency - 1) * {MICROS_PER_DAY})"),
     )
+    per_user = freeze(per_user)
+    latest = per_user.agg((F.max("last") + F.expr("interval 1 day")).alias("now")).scalar()
     micros = _micros(F.col("last")) - _micros(F.col("first"))
     features = per_user.withColumn("micros", micros).select(
         c.user,

@@ -172,13 +172,11 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
-def null_rate(df: DataFrame, column: str) -> DataFrame:
-    """Missing values of a measure, as a count and in percent."""
-    missing = F.col(column).isNull()
-    return df.agg(
-        F.count_if(missing).alias("null_rows"),
-        (F.avg(F.when(missing, 1.0).otherwise(0.0)) * 100).alias("null_pct"),
-    )
+def null_rate(df: DataFrame, column: str, weight: str | None = None) -> DataFrame:
+    """Missing values of a measure, as a count and in percent; ``weight`` is the rows a row stands for."""
+    rows = F.col(weight) if weight else F.lit(1).cast("bigint")
+    missing = F.coalesce(F.sum(F.when(F.col(column).isNull(), rows)), F.lit(0))
+    return df.agg(missing.alias("null_rows"), (F.try_divide(missing, F.sum(rows)) * 100).alias("null_pct"))
 
 
 def add_surrogate_key(df: DataFrame, name: str, order_by: Sequence[str] = (), dense: bool = False) -> DataFrame:

@@ -9,19 +9,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import share
-from ledgerline.model import Columns, StarModel, with_known
+from ledgerline.model import Columns, StarModel
+from ledgerline.operators.measures import sellers_by_orders
 from ledgerline.operators.ranking import quantiles
+from ledgerline.session import freeze
 
 
-def histogram(df: DataFrame, value: str | Column, bins: int = 20, clip: tuple[float, float] | None = None) -> DataFrame:
+def histogram(
+    df: DataFrame,
+    value: str | Column,
+    bins: int = 20,
+    clip: tuple[float, float] | None = None,
+    weight: str | None = None,
+) -> DataFrame:
     """Equal-width bins from minimum to maximum with the last bin closed; empty bins are listed.
 
-    Two aggregations over the input: the range, then the counts.
+    The input is scanned once, to count its values; range and bins come from the counts.
     """
     number = (F.col(value) if isinstance(value, str) else value).cast("double")
     if clip:
         number = F.when(number.isNotNull(), F.least(F.greatest(number, F.lit(float(clip[0]))), F.lit(float(clip[1]))))
-    numbers = df.select(number.alias("value")).where("value is not null")
+    rows = F.col(weight) if weight else F.lit(1).cast("bigint")
+    numbers = df.select(number.alias("value"), rows.alias("n")).where("value is not null")
+    numbers = freeze(numbers.groupBy("value").agg(F.sum("n").alias("n")))
     span = numbers.agg(F.min("value").alias("low"), F.max("value").alias("high")).first()
     if span["low"] is None:
         raise ValueError("no values to bin")
@@ -30,7 +40,7 @@ def histogram(df: DataFrame, value: str | Column, bins: int = 20, clip: tuple[fl
         low, high = low - 0.5, high + 0.5
     width = (high - low) / bins
     slot = F.least(F.floor((F.col("value") - F.lit(low)) * F.lit(bins) / F.lit(high - low)), F.lit(bins - 1))
-    counts = numbers.groupBy(slot.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = numbers.groupBy(slot.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return grid.join(F.broadcast(counts), "bin", "left").select(
         "bin",
@@ -72,8 +82,7 @@ def location_profile(model: StarModel, min_sellers: int = 20) -> DataFrame:
     Orders are counted per seller first, so the means are weighted sums over sellers.
     """
     c = model.c
-    sold = with_known(model.orders.where(c.in_base), c.seller).groupBy(c.seller).agg(F.count(F.lit(1)).alias("n"))
-    joined = model.restaurant.select(c.seller, c.location, c.cost, c.rating).join(sold, c.seller)
+    joined = sellers_by_orders(model.orders.where(c.in_base), model.restaurant, c, c.location, c.cost, c.rating)
 
     def weighted(column: str) -> Column:
         known = F.when(F.col(column).isNotNull(), F.col("n"))
@@ -85,6 +94,7 @@ def location_profile(model: StarModel, min_sellers: int = 20) -> DataFrame:
         .agg(weighted(c.cost).alias("avg_cost"), weighted(c.rating).alias("avg_rating"), F.count(F.lit(1)).alias("sellers"))
         .where(F.col("sellers") >= min_sellers)
     )
+    grouped = freeze(grouped)
     largest = grouped.agg(F.max("sellers").alias("most")).scalar()
     return grouped.withColumn("bubble", share(F.col("sellers"), largest))
 

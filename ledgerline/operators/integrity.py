@@ -54,22 +54,43 @@ def null_key_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def orphan_counts(
     tables: Mapping[str, DataFrame], checks: Sequence[tuple[str, ForeignKey]]
 ) -> DataFrame:
-    """Rows per (table, foreign key) whose key has no parent; every count should be 0."""
-    results = []
+    """Rows per (table, foreign key) whose key has no parent; every count should be 0.
+
+    A child is scanned once for all its keys, which are counted before they meet their parents, so a
+    key held by a third of the rows moves as one row per task.
+    """
+    used, known = None, None
+    for child in dict.fromkeys(table for table, _ in checks):
+        keys = F.array(
+            *[
+                F.struct(F.lit(fk.column).alias("fk_column"), F.col(fk.column).cast("string").alias("key"))
+                for table, fk in checks
+                if table == child
+            ]
+        )
+        counted = (
+            tables[child]
+            .select(F.lit(child).alias("child"), F.explode(keys).alias("k"))
+            .select("child", "k.*")
+            .groupBy("child", "fk_column", "key")
+            .agg(F.count(F.lit(1)).alias("rows"))
+        )
+        used = counted if used is None else used.unionByName(counted)
     for table, fk in checks:
-        child = tables[table].where(F.col(fk.column).isNotNull()).groupBy(F.col(fk.column).alias("__key")).count()
-        parent = tables[fk.parent].select(F.col(fk.parent_column).alias("__key"))
-        results.append(
-            child.join(parent, "__key", "left_anti").agg(
-                F.lit(table).alias("child"),
-                F.lit(fk.column).alias("fk_column"),
-                F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("orphans"),
-            )
+        parent = tables[fk.parent].select(
+            F.lit(table).alias("child"), F.lit(fk.column).alias("fk_column"),
+            F.col(fk.parent_column).cast("string").alias("key"), F.lit(True).alias("known"),
         )
-    out = results[0]
-    for more in results[1:]:
-        out = out.unionByName(more)
-    return out
+        known = parent if known is None else known.unionByName(parent)
+    matched = used.join(known.distinct(), ["child", "fk_column", "key"], "left")
+    orphan = F.col("key").isNotNull() & F.col("known").isNull()
+    counts = matched.groupBy("child", "fk_column").agg(
+        F.sum(F.when(orphan, F.col("rows")).otherwise(0)).alias("orphans")
+    )
+    listed = used.sparkSession.createDataFrame(
+        [(table, fk.column) for table, fk in checks], "child string, fk_column string"
+    )
+    return listed.join(counts, ["child", "fk_column"], "left").fillna({"orphans": 0})
 
 
 def never_listed(catalog: DataFrame, listing: DataFrame, key: str) -> DataFrame:
@@ -78,8 +99,9 @@ def never_listed(catalog: DataFrame, listing: DataFrame, key: str) -> DataFrame:
     As in SQL, nothing is provably absent from a listing that contains a NULL key, and a NULL
     catalog key is absent from an empty listing only.
     """
-    listed = listing.where(F.col(key).isNotNull()).select(key).distinct().withColumn("__listed", F.lit(True))
-    shape = listing.agg(
+    keys = freeze(listing.select(key).distinct())
+    listed = keys.where(F.col(key).isNotNull()).withColumn("__listed", F.lit(True))
+    shape = keys.agg(
         F.struct(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("nulls"))
     ).scalar()
     flagged = catalog.join(listed, key, "left")
@@ -137,12 +159,15 @@ def constraint_violations(
                 F.coalesce(F.sum("extra"), F.lit(0)).cast("bigint").alias("violations"),
             )
         )
-    for fk in contract.foreign_keys:
-        counted = orphan_counts({name: df, **parents}, [(name, fk)])
+    if contract.foreign_keys:
+        labels = F.create_map(
+            *[F.lit(x) for fk in contract.foreign_keys for x in (fk.column, f"references {fk.column} -> {fk.parent}")]
+        )
+        counted = orphan_counts({name: df, **parents}, [(name, fk) for fk in contract.foreign_keys])
         checked = checked.unionByName(
             counted.select(
-                F.lit(name).alias("table"),
-                F.lit(f"references {fk.column} -> {fk.parent}").alias("rule"),
+                F.col("child").alias("table"),
+                F.element_at(labels, F.col("fk_column")).alias("rule"),
                 F.col("orphans").alias("violations"),
             )
         )

@@ -17,6 +17,7 @@ from ledgerline.model import Columns, StarModel, with_known
 from ledgerline.operators.calendar import date_dimension
 from ledgerline.operators.joins import explode_tags
 from ledgerline.operators.ranking import quantiles
+from ledgerline.session import freeze
 
 
 def total_revenue(c: Columns = Columns()) -> Column:
@@ -78,10 +79,10 @@ def monthly_revenue(orders: DataFrame, c: Columns = Columns()) -> DataFrame:
 def rolling_revenue(orders: DataFrame, c: Columns = Columns(), days: int = 30) -> DataFrame:
     """Revenue of the last ``days`` calendar days up to each calendar day, that day included.
 
-    The fact is aggregated to days first; the window then runs over a table no longer than the
+    The fact is aggregated to days once; the window then runs over a table no longer than the
     calendar, which also has the days without an order.
     """
-    daily = daily_revenue(orders.where(F.col(c.time).isNotNull()), c)
+    daily = freeze(daily_revenue(orders.where(F.col(c.time).isNotNull()), c))
     calendar = date_dimension(daily, "day").select(F.col("date").alias("day"))
     frame = Window.orderBy(F.unix_date("day")).rangeBetween(-(days - 1), 0)
     return (
@@ -93,7 +94,7 @@ def rolling_revenue(orders: DataFrame, c: Columns = Columns(), days: int = 30) -
 
 def year_over_year(orders: DataFrame, c: Columns = Columns()) -> DataFrame:
     """Monthly revenue against the same month a year before; NULL, not 0, without a prior month."""
-    monthly = monthly_revenue(orders.where(F.col(c.time).isNotNull()), c).select("month", "revenue")
+    monthly = freeze(monthly_revenue(orders.where(F.col(c.time).isNotNull()), c).select("month", "revenue"))
     prior = monthly.select(F.add_months("month", 12).alias("month"), F.col("revenue").alias("prior_revenue"))
     return monthly.join(prior, "month", "left").withColumn(
         "growth", share(F.col("revenue") - F.col("prior_revenue"), F.col("prior_revenue"))
@@ -102,7 +103,7 @@ def year_over_year(orders: DataFrame, c: Columns = Columns()) -> DataFrame:
 
 def year_over_year_daily(orders: DataFrame, c: Columns = Columns()) -> DataFrame:
     """Daily revenue against the same date a year before; 29 February has no such date."""
-    daily = daily_revenue(orders.where(F.col(c.time).isNotNull()), c).select("day", "revenue")
+    daily = freeze(daily_revenue(orders.where(F.col(c.time).isNotNull()), c).select("day", "revenue"))
     prior = (
         daily.where(~((F.month("day") == 2) & (F.dayofmonth("day") == 29)))
         .select(F.add_months("day", 12).alias("day"), F.col("revenue").alias("prior_revenue"))
@@ -138,6 +139,12 @@ def seller_totals(orders: DataFrame, c: Columns = Columns()) -> DataFrame:
     )
 
 
+def sellers_by_orders(orders: DataFrame, restaurant: DataFrame, c: Columns = Columns(), *attributes: str) -> DataFrame:
+    """Seller attributes with ``n``, the orders of each seller: stands for the joined order rows."""
+    counted = with_known(orders, c.seller).groupBy(c.seller).agg(F.count(F.lit(1)).alias("n"))
+    return restaurant.select(c.seller, *attributes).join(counted, c.seller)
+
+
 def seller_rollup(model: StarModel, by: str) -> DataFrame:
     """Revenue, orders and average seller rating by a seller attribute."""
     c = model.c
@@ -164,14 +171,19 @@ def revenue_by(model: StarModel, by: str) -> DataFrame:
 
 
 def with_share(grouped: DataFrame, value: str, name: str = "share") -> DataFrame:
-    """Each row's part of the column total; the total is a scalar, not a one-partition window."""
+    """Each row's part of the column total, which is a scalar and not a one-partition window.
+
+    The grouped table is frozen, so that finding its total does not scan the fact a second time.
+    """
+    grouped = freeze(grouped)
     whole = grouped.agg(F.sum(value).alias("whole")).scalar()
     return grouped.withColumn(name, share(F.col(value), whole))
 
 
 def top_by_revenue_with_ties(model: StarModel, by: str) -> DataFrame:
     """The best group by revenue; equal winners are joined into one text."""
-    grouped = revenue_by(model, by).where(F.col(by).isNotNull())
+    totals = model.restaurant.select(model.c.seller, by).join(seller_totals(model.orders, model.c), model.c.seller)
+    grouped = freeze(totals.where(F.col(by).isNotNull()).groupBy(by).agg(F.sum("revenue").alias("revenue")))
     best = grouped.agg(F.max("revenue").alias("best")).scalar()
     winners = grouped.where(F.col("revenue") == best)
     return winners.agg(

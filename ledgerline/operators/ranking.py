@@ -174,7 +174,7 @@ def quartile_scores(df: DataFrame, key: str, scores: Mapping[str, tuple[str, boo
     Equal-width quartiles of the rank put row ``r`` of ``n`` into ``ceil(4 (r - 1) / (n - 1))``, at
     least 1, which differs from ``ntile(4)``. Ties are broken by ``key``. Only the three rows at the
     quartile borders are looked up; scoring is then a comparison with constants, so the table itself
-    is neither shuffled nor joined. ``df`` should be frozen, as it is read once per score.
+    is neither shuffled nor joined. ``df`` is read once per score, so it should be frozen or cheap.
     """
     total = df.count()
     out = df

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import signed_log1p
-from ledgerline.model import Columns, reference_date, with_known
+from ledgerline.model import Columns, with_known
 from ledgerline.operators.ranking import quartile_scores
 from ledgerline.session import freeze
 
@@ -21,16 +21,19 @@ FEATURES = ("recency_days", "frequency", "monetary")
 def rfm_base(orders: DataFrame, c: Columns = Columns()) -> DataFrame:
     """Recency in days, number of orders (any currency) and base-currency money per customer.
 
-    One map-side combined aggregation; the reference date comes from all orders, also those
-    without a customer.
+    The reference date counts all orders, so orders without a customer are aggregated as one more
+    group, combined on the map side. Freezing that table gives the date without a second scan.
     """
-    per_user = with_known(orders, c.user).groupBy(c.user).agg(
-        F.max(c.day).alias("last_day"),
-        F.count(F.lit(1)).alias("frequency"),
-        F.coalesce(F.sum(c.base_amount), F.lit(0)).alias("monetary"),
+    per_user = freeze(
+        orders.groupBy(c.user).agg(
+            F.max(c.day).alias("last_day"),
+            F.count(F.lit(1)).alias("frequency"),
+            F.coalesce(F.sum(c.base_amount), F.lit(0)).alias("monetary"),
+        )
     )
-    return per_user.select(
-        c.user, F.date_diff(reference_date(orders, c), F.col("last_day")).alias("recency_days"), "frequency", "monetary"
+    reference = F.lit(per_user.agg(F.date_add(F.max("last_day"), 1)).first()[0]).cast("date")
+    return with_known(per_user, c.user).select(
+        c.user, F.date_diff(reference, F.col("last_day")).alias("recency_days"), "frequency", "monetary"
     )
 
 
@@ -41,11 +44,11 @@ def segment_label(total: Column) -> Column:
 
 def rfm_segments(orders: DataFrame, c: Columns = Columns()) -> DataFrame:
     """Quartile scores (a recent customer scores high) and the segment of their total."""
-    return score_segments(freeze(rfm_base(orders, c)), c)
+    return score_segments(rfm_base(orders, c), c)
 
 
 def score_segments(base: DataFrame, c: Columns = Columns()) -> DataFrame:
-    """Score a frozen RFM table."""
+    """Score an RFM table that is cheap to read again, such as the one of ``rfm_base``."""
     scored = quartile_scores(
         base,
         c.user,

@@ -194,7 +194,8 @@ def largest_locations(b):
     SELECT location, count(DISTINCT user_id) AS users
     FROM m_orders JOIN m_restaurant USING (restaurant_id) GROUP BY location""")
 def users_per_location(b):
-    joined = joins.enrich_orders(b.orders("user_id", "restaurant_id"), b.restaurant(), b.c, "location")
+    pairs = b.orders("user_id", "restaurant_id").distinct()
+    joined = joins.enrich_orders(pairs, b.restaurant(), b.c, "location")
     return explore.count_distinct_by(joined, ["location"], "user_id", "users")
 
 
@@ -223,15 +224,16 @@ HISTOGRAM = """
        HISTOGRAM.format(value="CAST(rating AS DOUBLE)", column="rating", bins=20))
 def rating_histogram(b):
     orders = base_currency_only(b.orders("currency", "restaurant_id"), b.c)
-    return explore.histogram(joins.enrich_orders(orders, b.restaurant(), b.c, "rating"), "rating", 20)
+    sellers = measures.sellers_by_orders(orders, b.restaurant(), b.c, "rating")
+    return explore.histogram(sellers, "rating", 20, weight="n")
 
 
 @query("cost_histogram_clipped", "A20", HISTOGRAM.format(
     value="CAST(least(greatest(cost_for_two, 0), 980) AS DOUBLE)", column="cost_for_two", bins=40))
 def cost_histogram_clipped(b):
     orders = base_currency_only(b.orders("currency", "restaurant_id"), b.c)
-    joined = joins.enrich_orders(orders, b.restaurant(), b.c, "cost_for_two")
-    return explore.histogram(joined, "cost_for_two", 40, clip=(0, 980))
+    sellers = measures.sellers_by_orders(orders, b.restaurant(), b.c, "cost_for_two")
+    return explore.histogram(sellers, "cost_for_two", 40, clip=(0, 980), weight="n")
 
 
 def _correlation_sql() -> str:
@@ -260,7 +262,7 @@ def correlation_matrix(b):
     FROM m_orders JOIN m_restaurant USING (restaurant_id) WHERE currency = 'INR'""")
 def rating_null_rate(b):
     orders = base_currency_only(b.orders("currency", "restaurant_id"), b.c)
-    return null_rate(joins.enrich_orders(orders, b.restaurant(), b.c, "rating"), "rating")
+    return null_rate(measures.sellers_by_orders(orders, b.restaurant(), b.c, "rating"), "rating", weight="n")
 
 
 @query("orders_by_location_with_unknown", "J8 R3", """
