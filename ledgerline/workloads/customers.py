@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.model import StarModel
-from ledgerline.operators import basket, churn, clustering, evaluation, explore, forecast, measures, rfm
+from ledgerline.operators import basket, churn, clustering, evaluation, explore, forecast, measures, ranking, rfm
 from ledgerline.plans.exports import clustered_segments
 from ledgerline.session import freeze
 from ledgerline.sources import sinks
@@ -96,6 +96,27 @@ def silhouette_by_k(b):
     return sweep.table(scaled)
 
 
+@query("silhouette_of_given_labels", "M10 T7", """
+    l AS (SELECT user_id, r_score AS label, ln(1 + recency_days) AS r, ln(1 + frequency) AS f,
+                 sign(monetary) * ln(1 + abs(CAST(monetary AS DOUBLE))) AS m FROM m_scored),
+    s AS (SELECT avg(r) AS ar, stddev_pop(r) AS sr, avg(f) AS af, stddev_pop(f) AS sf, avg(m) AS am, stddev_pop(m) AS sm FROM l),
+    z AS (SELECT user_id, label, (r - ar) / sr AS x, (f - af) / sf AS y, (m - am) / sm AS w FROM l, s
+          ORDER BY md5(user_id || '-42'), user_id LIMIT 10000),
+    size AS (SELECT label, count(*) AS n FROM z GROUP BY label),
+    d AS (SELECT a.user_id, a.label AS own, b.label AS other,
+                 sum(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.w - b.w) ** 2)) AS total
+          FROM z a, z b GROUP BY 1, 2, 3),
+    e AS (SELECT user_id, max(CASE WHEN own = other THEN total / greatest(n - 1, 1) END) AS inner_mean,
+                 min(CASE WHEN own <> other THEN total / n END) AS outer_mean
+          FROM d JOIN size ON size.label = d.other GROUP BY user_id)
+    SELECT round(avg((outer_mean - inner_mean) / greatest(inner_mean, outer_mean)), 6) AS silhouette FROM e""", places=6)
+def silhouette_of_given_labels(b):
+    scaled = freeze(rfm.scale_features(_segments(b)))
+    points = ranking.hashed_sample(clustering.with_vector(scaled, SCALED), "user_id", clustering.SILHOUETTE_SAMPLE)
+    score = clustering.silhouettes(points, {4: "r_score"})[4]
+    return b.spark.createDataFrame([(score,)], "silhouette double")
+
+
 @query("clustered_customers", "M9 M11")
 def clustered_customers(b):
     return clustered_segments(StarModel(b.orders(*FACT), b.restaurant()), ks=(3, 4), n_init=2)[0]
@@ -336,6 +357,19 @@ def report_of_given_scores(b):
     return evaluation.classification_report(_given_scores(b))
 
 
+@query("verdict_of_given_scores", "M23", """
+    r AS (SELECT churned, (rank() OVER (ORDER BY score)
+                 + (count(*) OVER (PARTITION BY score) - 1) / 2.0) AS avg_rank FROM m_given_scores),
+    t AS (SELECT sum(CASE WHEN churned = 1 THEN avg_rank ELSE 0 END) AS ranks, sum(churned) AS p, count(*) - sum(churned) AS n FROM r),
+    a AS (SELECT CAST(ranks - p * (p + 1) / 2.0 AS DOUBLE) / (p * n) AS auc,
+                 greatest(p, n) / CAST(p + n AS DOUBLE) AS majority FROM t)
+    SELECT round(majority, 6) AS majority_share, round(auc, 6) AS auc,
+           CASE WHEN auc > 0.70 THEN 'real signal' ELSE 'weak signal' END AS verdict FROM a""", places=6)
+def verdict_of_given_scores(b):
+    scored = _given_scores(b)
+    return churn.verdict(churn.base_rate(scored), evaluation.auc(scored))
+
+
 def _classifier(b, trees=20):
     split = freeze(churn.stratified_split(_labelled(b), "user_id"))
     train, test = split.where(~F.col("is_test")), split.where("is_test")
@@ -404,6 +438,22 @@ def holdout_errors_of_given_forecast(b):
     return forecast.holdout_errors(test, _given_forecast(series))
 
 
+@query("run_metadata", "S9 M27", SQL_SERIES + """
+    SELECT '52 weeks ago' AS engine, count(*) AS holdout_weeks, round(avg(abs(revenue - forecast)), 2) AS mae,
+           round(avg(abs(revenue - forecast) / greatest(revenue, 1)) * 100, 2) AS mape_pct
+    FROM series JOIN guess USING (series, week), edge WHERE week >= border""", places=2)
+def run_metadata(b):
+    """Write the facts of a run as JSON and read them back."""
+    series = _series(b)
+    test = forecast.split_holdout(series, forecast.holdout(series))[1]
+    errors = forecast.holdout_errors(test, _given_forecast(series)).first()
+    path = _scratch(b, "run")
+    sinks.export_run_metadata(
+        b.spark, path, engine="52 weeks ago", holdout_weeks=errors["weeks"], mae=errors["mae"], mape_pct=errors["mape"]
+    )
+    return b.spark.read.schema("engine string, holdout_weeks bigint, mae double, mape_pct double").json(path)
+
+
 @query("table_of_given_forecast", "M28 J6", SQL_SERIES + """
     SELECT series, CAST(week AS VARCHAR) AS week, round_even(revenue, 2) AS actual_revenue, round_even(forecast, 2) AS forecast,
            round_even(lower, 2) AS lower, round_even(upper, 2) AS upper, week >= border AS is_holdout_forecast
@@ -455,7 +505,7 @@ def holt_winters_forecast(b):
     return forecast.forecast_table(series, predicted, kept_back)
 
 
-@query("holdout_errors_by_method", "M25 M26 M27 S9")
+@query("holdout_errors_by_method", "M25 M26 M27")
 def holdout_errors_by_method(b):
     out = None
     for method in ("seasonal", "holt_winters"):
