@@ -43,14 +43,26 @@ def with_vector(df: DataFrame, columns: Sequence[str], name: str = "features") -
     return VectorAssembler(inputCols=list(columns), outputCol=name).transform(df)
 
 
-def fit_kmeans(vectors: DataFrame, k: int, n_init: int = RESTARTS, seed: int = SEED, parallelism: int = 4) -> KMeansModel:
-    """The model of least cost over ``n_init`` seeds; restarts are submitted side by side."""
+def fit_kmeans(
+    vectors: DataFrame, ks: Sequence[int], n_init: int = RESTARTS, seed: int = SEED, parallelism: int = 8
+) -> dict[int, KMeansModel]:
+    """Per k the model of least cost over ``n_init`` seeds.
 
-    def fit(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, maxIter=50, featuresCol="features").fit(vectors)
+    All fits are independent jobs over the same vectors and are submitted side by side, so that one
+    fit's driver work overlaps with the tasks of others.
+    """
+
+    def fit(job: tuple[int, int]) -> tuple[int, KMeansModel]:
+        k, i = job
+        return k, KMeans(k=k, seed=seed + i, maxIter=50, featuresCol="features").fit(vectors)
 
-    with ThreadPool(min(parallelism, n_init)) as pool:
-        return min(pool.map(fit, range(n_init)), key=lambda m: m.summary.trainingCost)
+    jobs = [(k, i) for k in sorted(ks, reverse=True) for i in range(n_init)]
+    best: dict[int, KMeansModel] = {}
+    with ThreadPool(min(parallelism, len(jobs))) as pool:
+        for k, model in pool.imap(fit, jobs):
+            if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+                best[k] = model
+    return best
 
 
 def sweep_k(
@@ -68,7 +80,7 @@ def sweep_k(
     """
     vectors = with_vector(df.select(key, *columns), columns).select(key, "features").persist()
     try:
-        models = {k: fit_kmeans(vectors, k, n_init, seed) for k in ks}
+        models = fit_kmeans(vectors, ks, n_init, seed)
         points = hashed_sample(vectors, key, sample, seed)
         for k, model in models.items():
             points = model.setPredictionCol(f"__label{k}").transform(points)

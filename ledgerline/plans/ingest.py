@@ -78,8 +78,12 @@ def load(
     strict: bool = False,
     contracts: Mapping[str, TableContract] = CONTRACTS,
     order: Sequence[str] = LOAD_ORDER,
+    cluster_by: Mapping[str, str] | None = None,
 ) -> LoadReport:
-    """Load every table, parents first, then prove that what is stored is what was loaded."""
+    """Load every table, parents first, then prove that what is stored is what was loaded.
+
+    ``cluster_by`` names a column per table to sort its files by, for pruning.
+    """
     target = target.rstrip("/")
     paths = {name: f"{target}/{name}" for name in order}
     guard_targets(spark, paths, reset)
@@ -89,7 +93,7 @@ def load(
         raw = read_csv_robust(spark, sources[name], row_order=True)
         kept, rejected = prepare_table(name, raw, contract, parents, report)
         expected[name] = kept.count()
-        write_table(kept, paths[name], reset)
+        write_table(kept, paths[name], reset, (cluster_by or {}).get(name))
         report.quarantined[name] = 0
         if contract.foreign_keys:
             report.quarantined[name] = rejected.count()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.model import apply_slicers, base_currency_only
+from ledgerline.model import apply_slicers, base_currency_only, with_known
 from ledgerline.operators import calendar, explore, joins, measures, rfm
 from ledgerline.operators.cleaning import drop_incomplete, fill_defaults, null_rate
 from ledgerline.operators.profiling import value_counts
@@ -200,12 +200,14 @@ def users_per_location(b):
 
 
 @query("orders_per_day", "A18 W7", """
-    daily AS (SELECT CAST(order_datetime AS DATE) AS day, count(*) AS n FROM m_orders GROUP BY 1),
+    daily AS (SELECT CAST(order_datetime AS DATE) AS day, count(*) AS n FROM m_orders
+              WHERE currency = 'INR' AND restaurant_id IS NOT NULL GROUP BY 1),
     days AS (SELECT CAST(d AS DATE) AS day FROM
              (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS d FROM daily) t)
     SELECT CAST(day AS VARCHAR) AS day, coalesce(n, 0) AS orders FROM days LEFT JOIN daily USING (day)""")
 def orders_per_day(b):
-    return calendar.orders_per_day(b.orders("order_datetime"), b.c)
+    orders = with_known(base_currency_only(b.orders("order_datetime", "currency", "restaurant_id"), b.c), "restaurant_id")
+    return calendar.orders_per_day(orders, b.c)
 
 
 HISTOGRAM = """

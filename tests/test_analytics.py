@@ -116,8 +116,8 @@ def test_silhouette_and_choice_of_k(spark):
 
 def test_restarts_never_cost_more_than_one_seed(spark):
     vectors = clustering.with_vector(blobs(spark), ["a", "b"])
-    one = clustering.fit_kmeans(vectors, 4, n_init=1).summary.trainingCost
-    assert clustering.fit_kmeans(vectors, 4, n_init=4).summary.trainingCost <= one + 1e-9
+    one = clustering.fit_kmeans(vectors, [4], n_init=1)[4].summary.trainingCost
+    assert clustering.fit_kmeans(vectors, [4], n_init=4)[4].summary.trainingCost <= one + 1e-9
 
 
 def test_auc_roc_and_report(spark):

@@ -34,6 +34,9 @@ def test_quoted_line_breaks_are_detected(spark, tmp_path):
     path = put(tmp_path / "m.csv", b'id,text\n1,"two\nlines"\n2,one\n')
     assert files.inspect_csv(spark, path).quoted_line_breaks
     assert [r["text"] for r in files.read_csv_robust(spark, path).orderBy("id").collect()] == ["two\nlines", "one"]
+    mixed = put(tmp_path / "x.csv", b'id,text\r\n1,"two\nlines"\r\n2,x\ry\r\n3,"a, ""b"""\r\n')
+    got = [r["text"] for r in files.read_csv_robust(spark, mixed).orderBy("id").collect()]
+    assert got == ["two\nlines", "xy", 'a, "b"']
     plain = put(tmp_path / "p.csv", b'id,text\n1,"one, line"\n')
     assert not files.inspect_csv(spark, plain).quoted_line_breaks
 
@@ -92,7 +95,7 @@ def test_load(spark, tmp_path, sources):
 
     with pytest.raises(RuntimeError, match="not empty"):
         ingest.load(spark, sources, target)
-    again = ingest.load(spark, sources, target, reset=True)
+    again = ingest.load(spark, sources, target, reset=True, cluster_by={"orders": "order_datetime"})
     assert again.stored == report.stored
     with pytest.raises(ingest.CleaningRequired):
         ingest.load(spark, sources, target, reset=True, strict=True)
