@@ -134,7 +134,8 @@ def stratified_split(
     """Add ``is_test``: within each class exactly the rounded share of rows, first in hash order.
 
     The split depends on the keys alone, not on partitions or row order. Only labels, hashes and keys
-    are sorted, to find the last test row of each class; the split itself is a projection.
+    are sorted, to find the last test row of each class; the split itself is a projection. ``df`` is
+    read three times, so it should be frozen.
     """
     tagged = df.withColumn("__hash", hash_order(F.col(key), seed))
     narrow = tagged.select(label, "__hash", F.col(key), F.lit(1).cast("bigint").alias("__one"))

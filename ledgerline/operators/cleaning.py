@@ -16,7 +16,7 @@ from ledgerline.session import freeze
 from ledgerline.sources.contracts import TableContract, spark_type
 from ledgerline.sources.files import ROW_ORDER
 
-_HAD = "__had_"
+_HAD, _DAY = "__had_", "__day_first_"
 
 
 def clean_strings(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -83,16 +83,23 @@ def integer_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def clean_types(df: DataFrame, contract: TableContract) -> tuple[DataFrame, DataFrame]:
     """Cast a canonical text table to its contract; returns (typed rows, per-column quality).
 
-    The typed rows are frozen: the quality counts and everything downstream then read exactly the
-    same rows, also after a lost executor.
+    The input is parsed once: dates are read both ways, the rows are frozen, and the better reading
+    is chosen from them. Everything downstream then sees the rows that were counted, also after a
+    lost executor.
     """
     frozen = freeze(type_columns(df, contract))
-    return without_flags(frozen), coercion_counts(frozen, contract)
+    day_first = {}
+    if contract.timestamps:
+        counts = frozen.agg(*[F.count(prefix + n).alias(prefix + n) for n in contract.timestamps for prefix in ("", _DAY)])
+        found = counts.first()
+        day_first = {n: found[_DAY + n] > found[n] for n in contract.timestamps}
+    settled = frozen.withColumns({n: F.col(_DAY + n) for n, wins in day_first.items() if wins})
+    rows = settled.select(*contract.headers, *([ROW_ORDER] if ROW_ORDER in df.columns else []))
+    return rows, coercion_counts(settled, contract)
 
 
 def type_columns(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Typed columns, with a flag per non-text column that tells whether its cell was filled."""
-    day_first = prefers_day_first(df, contract.timestamps)
+    """Typed columns, dates read month-first and day-first, and which non-text cells were filled."""
     rest = [F.col(ROW_ORDER)] if ROW_ORDER in df.columns else []
     cleaned = clean_strings(df.select(*contract.headers, *rest), list(contract.headers))
     had = {_HAD + n: F.col(n).isNotNull() for n, t in contract.types.items() if spark_type(t) != "string"}
@@ -102,21 +109,17 @@ def type_columns(df: DataFrame, contract: TableContract) -> DataFrame:
     for name in contract.headers:
         text, kind = F.col(name), spark_type(contract.types[name])
         if name in contract.integers:
-            value = text.try_cast(kind)
+            typed.append(text.try_cast(kind).alias(name))
         elif name in contract.numbers:
-            value = parse_number(text, kind)
+            typed.append(parse_number(text, kind).alias(name))
         elif name in contract.timestamps:
-            value = parse_timestamp(text, day_first[name])
+            typed.append(parse_timestamp(text, day_first=False).alias(name))
+            typed.append(parse_timestamp(text, day_first=True).alias(_DAY + name))
         else:
-            value = text
-        typed.append(value.alias(name))
+            typed.append(text.alias(name))
     return cleaned.select(*typed, *had, *rest)
 
 
-def without_flags(typed: DataFrame) -> DataFrame:
-    return typed.select(*[c for c in typed.columns if not c.startswith(_HAD)])
-
-
 def coercion_counts(typed: DataFrame, contract: TableContract) -> DataFrame:
     """Per column: values turned into NULL and negative values kept."""
     negative = contract.numbers

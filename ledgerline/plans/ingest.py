@@ -8,15 +8,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.cleaning import (
-    add_surrogate_key, coercion_counts, keep_first, type_columns, without_flags,
-)
+from ledgerline.operators.cleaning import add_surrogate_key, clean_types, keep_first
 from ledgerline.operators.integrity import (
     mark_orphans, null_key_counts, orphan_counts, reconcile_counts, require_reconciled, split_orphans,
 )
 from ledgerline.session import freeze
 from ledgerline.sources.contracts import CONTRACTS, LOAD_ORDER, TableContract
-from ledgerline.sources.files import ROW_ORDER, normalise_headers, read_csv_robust, resolve_columns
+from ledgerline.sources.files import ROW_ORDER, CsvTraits, normalise_headers, read_csv_robust, resolve_columns
 from ledgerline.sources.sinks import guard_targets, write_quarantine, write_table
 
 
@@ -52,14 +50,13 @@ def prepare_table(
 
     The typed rows are frozen: files are parsed once, and every count describes what is stored.
     """
-    typed = freeze(type_columns(resolve_columns(normalise_headers(raw), name, contract), contract))
-    quality = coercion_counts(typed, contract).agg(
+    rows, counts = clean_types(resolve_columns(normalise_headers(raw), name, contract), contract)
+    quality = counts.agg(
         F.max("rows").alias("rows"), F.sum("coerced").alias("coerced"), F.sum("negative").alias("negative")
     ).first()
     report.read[name] = quality["rows"] or 0
     report.coerced[name] = quality["coerced"] or 0
     report.negative[name] = quality["negative"] or 0
-    rows = without_flags(typed)
     if contract.key:
         rows = freeze(keep_first(rows, contract.key, [ROW_ORDER]))
     kept, rejected = split_orphans(mark_orphans(rows, contract.foreign_keys, parents))
@@ -79,10 +76,12 @@ def load(
     contracts: Mapping[str, TableContract] = CONTRACTS,
     order: Sequence[str] = LOAD_ORDER,
     cluster_by: Mapping[str, str] | None = None,
+    traits: Mapping[str, CsvTraits] | None = None,
 ) -> LoadReport:
     """Load every table, parents first, then prove that what is stored is what was loaded.
 
-    ``cluster_by`` names a column per table to sort its files by, for pruning.
+    ``cluster_by`` names a column per table to sort its files by, for pruning. ``traits`` spares the
+    look at encoding and quoting of files for which they are known.
     """
     target = target.rstrip("/")
     paths = {name: f"{target}/{name}" for name in order}
@@ -90,7 +89,7 @@ def load(
     report, parents, expected = LoadReport(), {}, {}
     for name in order:
         contract = contracts[name]
-        raw = read_csv_robust(spark, sources[name], row_order=True)
+        raw = read_csv_robust(spark, sources[name], row_order=True, traits=(traits or {}).get(name))
         kept, rejected = prepare_table(name, raw, contract, parents, report)
         expected[name] = kept.count()
         write_table(kept, paths[name], reset, (cluster_by or {}).get(name))

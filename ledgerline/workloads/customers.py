@@ -262,7 +262,7 @@ def _threshold(b):
 
 
 def _labelled(b):
-    return churn.label_churn(_features(b), _threshold(b).select("threshold_days").scalar())
+    return freeze(churn.label_churn(_features(b), _threshold(b).select("threshold_days").scalar()))
 
 
 def _given_scores(b):
@@ -371,7 +371,7 @@ def verdict_of_given_scores(b):
 
 
 def _classifier(b, trees=20):
-    split = freeze(churn.stratified_split(_labelled(b), "user_id"))
+    split = churn.stratified_split(_labelled(b), "user_id")
     train, test = split.where(~F.col("is_test")), split.where("is_test")
     return split, test, churn.fit_classifier(train, trees=trees)
 

@@ -210,6 +210,13 @@ def orders_per_day(b):
     return calendar.orders_per_day(orders, b.c)
 
 
+@query("order_value_distribution", "A22", """
+    SELECT round(avg(CAST(sales_amount AS DOUBLE)), 4) AS mean, round(stddev_samp(CAST(sales_amount AS DOUBLE)), 4) AS std,
+           round(quantile_cont(CAST(sales_amount AS DOUBLE), 0.5), 4) AS median FROM m_orders WHERE currency = 'INR'""")
+def order_value_distribution(b):
+    return explore.distribution(base_currency_only(b.orders("sales_amount", "currency"), b.c), "sales_amount")
+
+
 HISTOGRAM = """
     v AS (SELECT {value} AS value FROM m_orders JOIN m_restaurant USING (restaurant_id)
           WHERE currency = 'INR' AND {column} IS NOT NULL),

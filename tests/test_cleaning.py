@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+import re
 from datetime import datetime
 
 import pytest
@@ -44,6 +46,29 @@ def test_numbers(spark):
     assert {r["text"]: r["v"] for r in cleaning.parse_numbers(df, ["v"]).collect()} == dict(NUMBERS)
 
 
+def spelled(text: str):
+    """The documented rule for one cell, in plain Python."""
+    t = text.strip(" \t\n\x0b\x0c\r\xa0").replace(",", "")
+    if re.fullmatch(r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,3})?", t):
+        number = float(t)
+    elif m := re.fullmatch(r"[A-Za-z_\-]*([0-9]+(?:\.[0-9]+)?)", t):
+        number = float(m.group(1))
+    elif m := re.match(r"([0-9]+(?:\.[0-9]+)?)\s*([kK])?\+", t):
+        number = float(m.group(1)) * (1000 if m.group(2) else 1)
+    else:
+        return None
+    return int(number) if number == int(number) else None
+
+
+def test_random_integers_follow_the_rule(spark):
+    rng = random.Random(11)
+    pieces = ["", "fd", "mn_", "-", "+", "K", "k", "+ ratings", ".", "0", "7", "42", "1,000", " ", "e1", "x", ".50", "₹"]
+    cells = sorted({"".join(rng.choice(pieces) for _ in range(rng.randint(1, 4))) for _ in range(3000)})
+    df = spark.createDataFrame([(c,) for c in cells], "text string").withColumn("v", F.col("text"))
+    got = {r["text"]: r["v"] for r in cleaning.parse_integers(df, ["v"]).collect()}
+    assert got == {c: spelled(c) for c in cells}
+
+
 def test_strings(spark):
     cells = ["", "nan", "None", " \tINR\r\n", "a b", None, "   "]
     df = cleaning.clean_strings(spark.createDataFrame([(c,) for c in cells], "c string"))
