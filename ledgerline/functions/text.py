@@ -64,7 +64,8 @@ def spelled_number(text: Column) -> Column:
 
 def integer_value(text: Column, number: Column) -> Column:
     """The integer that was spelled; a number with a fraction is none. Long integers stay exact."""
-    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("bigint")).otherwise(F.when(number == F.floor(number), number.try_cast("bigint")))
+    exact = F.when(text.rlike(WHOLE_NUMBER), text.try_cast("bigint"))
+    return exact.when(number == F.floor(number), number.try_cast("bigint"))
 
 
 def integer_reading(text: Column, number: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import join_sorted, split_tags
-from ledgerline.model import Columns, StarModel, with_known
+from ledgerline.model import StarModel, with_known
 from ledgerline.session import freeze
 
 # Support, lift and rendering of published rules.

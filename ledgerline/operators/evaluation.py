@@ -69,7 +69,8 @@ def classification_report(scored: DataFrame, label: str = "churned", prediction:
         row = row.withColumns(
             {f"p{k}": F.coalesce(share(hit, claimed), zero), f"r{k}": F.coalesce(share(hit, actual), zero), f"s{k}": actual}
         )
-        row = row.withColumn(f"f{k}", F.coalesce(share(2 * F.col(f"p{k}") * F.col(f"r{k}"), F.col(f"p{k}") + F.col(f"r{k}")), zero))
+        p, r = F.col(f"p{k}"), F.col(f"r{k}")
+        row = row.withColumn(f"f{k}", F.coalesce(share(2 * p * r, p + r), zero))
     total = F.col("s0") + F.col("s1")
 
     def line(name, p, r, f, s):

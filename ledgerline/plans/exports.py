@@ -67,7 +67,9 @@ def build_exports(
     )
 
 
-def write_exports(exports: Exports, path: str, method: str = "seasonal", holdout_weeks: int = forecast.HOLDOUT_WEEKS) -> None:
+def write_exports(
+    exports: Exports, path: str, method: str = "seasonal", holdout_weeks: int = forecast.HOLDOUT_WEEKS
+) -> None:
     """Store all tables as CSV (report-sized ones as single files) and the run's facts as JSON."""
     path = path.rstrip("/")
     export_csv(exports.segments.withColumn("monetary", F.bround("monetary", 2)), f"{path}/rfm_segments")

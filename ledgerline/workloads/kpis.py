@@ -438,7 +438,7 @@ def festivals_in_range(b):
 
 
 @query("sql_text", "S4 S11", """
-    SELECT location, count(*) AS orders, max(quantity) AS largest FROM m_orders JOIN m_restaurant USING (restaurant_id)
+    SELECT location, count(*) AS orders, CAST(max(quantity) AS BIGINT) AS largest FROM m_orders JOIN m_restaurant USING (restaurant_id)
     WHERE quantity > 40 GROUP BY location""")
 def sql_text_query(b):
     text = """SELECT r.location, count(*) AS orders, max(o.quantity) AS largest

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from ledgerline.model import apply_slicers
-from ledgerline.operators import joins, measures, profiling, ranking, rfm
+from ledgerline.operators import cleaning, joins, measures, profiling, ranking, rfm
+from ledgerline.workloads import QUERIES
 from ledgerline.workloads.binding import Binding
 
 
@@ -72,12 +74,31 @@ def test_sample_values_are_limited_before_the_shuffle(spark, folder):
     assert "WindowGroupLimit" in text
 
 
-def test_no_cartesian_products(spark, folder):
+def test_rules_reach_the_scan_of_stored_orders(spark, folder, tmp_path):
     b = Binding(spark, folder)
-    frames = [
-        joins.days_before_reference(b.orders("order_datetime"), b.c),
-        measures.revenue_by(b.model("sales_amount", "currency", "restaurant_id"), "cuisine"),
-        measures.repeat_customers(b.orders("user_id"), b.c),
-    ]
-    for frame in frames:
-        assert "CartesianProduct" not in plan(frame) and "NestedLoop" not in plan(frame)
+    b.orders().write.parquet(str(tmp_path / "orders"))
+    model = replace(b.model("restaurant_id"), orders=spark.read.parquet(str(tmp_path / "orders")))
+    text = plan(measures.order_value_by_tag(model))
+    assert "EqualTo(currency,INR)" in text and "IsNotNull(restaurant_id)" in text
+    assert "ReadSchema: struct<sales_amount:decimal(12,2),currency:string,restaurant_id:bigint>" in text
+
+
+def test_first_rows_combine_before_the_shuffle(spark, folder):
+    b = Binding(spark, folder)
+    text = plan(cleaning.keep_first(b.menu(), ("restaurant_id", "food_id"), ["listed_in", "listed_at"]))
+    assert text.index("Exchange") < text.index("partial_min_by")
+
+
+def test_percentiles_are_not_collected(spark, folder):
+    b = Binding(spark, folder)
+    text = plan(ranking.quantiles(b.menu(), "price", (0.5,), by=["cuisine"]))
+    assert "percentile" not in text and "collect" not in text.lower().replace("collectlimit", "")
+
+
+def test_every_query_plan_is_free_of_cross_joins(spark, folder):
+    fitted = {"silhouette_by_k", "clustered_customers", "cluster_profile", "segments_against_clusters",
+              "churn_model_quality", "churn_feature_importance", "load_report"}
+    for name, query in QUERIES.items():
+        if name not in fitted:
+            text = plan(query.run(spark, folder))
+            assert "CartesianProduct" not in text and "NestedLoop" not in text, name
