@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ MIN_LIFT = 1.0
 ACTIONABLE_LIFT = 1.2
 ARROW = "  ->  "
 
+# Baskets of this mean size below this support are reported as dense.
+DENSE_BASKET, DENSE_SUPPORT = 12, 0.5
+
 
 def tag_pairs(model: StarModel, basket: str | None = None) -> DataFrame:
     """Distinct (basket, tag) pairs from the sellers that a basket's orders touch.
@@ -38,10 +43,13 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = MIN_SUPPORT, max_
     """Item sets with their support, mined in parallel by FP-growth.
 
     The number of sets grows with the density of the baskets, not with their number: raise
-    ``min_support`` where baskets hold most of the items.
+    ``min_support`` where baskets hold most of the items. ``max_len`` selects from the result.
     """
     baskets = freeze(baskets)
-    total = baskets.count()
+    shape = baskets.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("items")).alias("mean")).first()
+    total = shape["n"]
+    if (shape["mean"] or 0) > DENSE_BASKET and min_support < DENSE_SUPPORT:
+        warnings.warn(f"baskets hold {shape['mean']:.1f} items on average: expect very many item sets", stacklevel=2)
     model = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets)
     sets = model.freqItemsets.select(
         F.array_sort("items").alias("items"),
