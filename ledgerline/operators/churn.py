@@ -28,10 +28,6 @@ USEFUL_AUC = 0.70
 MICROS_PER_DAY = 86_400_000_000
 
 
-def _micros(col: Column) -> Column:
-    return F.unix_micros(col.cast("timestamp"))
-
-
 def churn_features(model: StarModel, all_currencies: bool = False) -> DataFrame:
     """Per customer: recency, frequency, order value, tenure, mean gap, money and tag diversity.
 
@@ -55,7 +51,7 @@ def churn_features(model: StarModel, all_currencies: bool = False) -> DataFrame:
     )
     per_user = freeze(per_user)
     latest = per_user.agg((F.max("last") + F.expr("interval 1 day")).alias("now")).scalar()
-    micros = _micros(F.col("last")) - _micros(F.col("first"))
+    micros = F.timestamp_diff("MICROSECOND", F.col("first"), F.col("last"))
     features = per_user.withColumn("micros", micros).select(
         c.user,
         whole_days(latest, F.col("last")).alias("recency_days"),
