@@ -54,7 +54,7 @@ def fit_kmeans(
 
     def fit(job: tuple[int, int]) -> tuple[int, KMeansModel]:
         k, i = job
-        return k, KMeans(k=k, seed=seed + i, maxIter=50, featuresCol="features").fit(vectors)
+        return k, KMeans(k=k, seed=seed + i, maxIter=100, featuresCol="features").fit(vectors)
 
     jobs = [(k, i) for k in sorted(ks, reverse=True) for i in range(n_init)]
     best: dict[int, KMeansModel] = {}
