@@ -5,22 +5,63 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontamination, language, pseudonyms, simhash
+from ledgerline.llm import (
+    bpe,
+    decontamination,
+    language,
+    pseudonyms,
+    repeated_bytes,
+    repeated_words,
+    simhash,
+    spot_signatures,
+    token_counts,
+    toxicity,
+)
 from ledgerline.llm.common import held_out, read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PSEUDONYM_KEY = "ledgerline"
 
 
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    length = token_counts.encoded_length(F.col("text"), token_counts.load_ranks(spark, RANKS), public_tokenizers.PATTERN)
+    return token_counts.suffix_sums(token_counts.histogram(docs, length))
+
+
 def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     coded = docs.select("doc_id", bpe.round_trip(F.col("text"), bpe.load(spark, TOKENIZER)).alias("c"))
     return coded.select("doc_id", "c.*")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = repeated_bytes.remove_repeated(read_table(spark, folder, "documents"))
+    return done.select("doc_id", "n_bytes", *_removed(), "kept_sha256")
+
+
+def _removed() -> list[Column]:
+    size = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"])
+    return [size.alias("n_removed"), F.size("removed").cast("long").alias("n_spans")]
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 3, 1)
+    labels = read_table(spark, folder, "labels").where(~out).select("doc_id", "toxic")
+    model = toxicity.fit(docs.join(labels, "doc_id"), docs)
+    scored = docs.select("doc_id", out.alias("held_out"), toxicity.score(F.col("text"), spark.sparkContext.broadcast(model)).alias("s"))
+    score = F.col("s.score")
+    return scored.select(
+        "doc_id", "held_out", score.alias("score"), F.when(score >= 0.7, 1).otherwise(0).alias("predicted"),
+        F.array_join("s.evidence", ",").alias("nearest"),
+    )
+
+
 def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -45,6 +86,15 @@ def op7_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    return spot_signatures.compare_with_edits(read_table(spark, folder, "documents"))
+
+
+def op9_fm_index_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = repeated_words.remove_repeated(read_table(spark, folder, "documents"))
+    return done.select("doc_id", "n_words", _removed()[0], "kept_sha256")
+
+
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     found = decontamination.find_contamination(docs, read_table(spark, folder, "benchmark"))
@@ -97,12 +147,32 @@ FROM doc_words d LEFT JOIN covered c USING (doc_id) LEFT JOIN items i USING (doc
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_token_counts,
         op2_bpe_round_trip,
+        op3_suffix_array_dedup,
+        op4_toxicity,
         op5_simhash_near_dedup,
         op6_language_id,
         op7_pii_pseudonyms,
+        op8_spot_signatures,
+        op9_fm_index_dedup,
         op10_benchmark_decontamination,
     )
 }
 
-SQL: dict[str, str] = {"op10_benchmark_decontamination": OP10_SQL}
+OP9_SQL = r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (SELECT r, doc_id, p, md5(array_to_string(words[p : p + 49], ' ')) AS key
+            FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - 48)) AS p FROM w) x),
+first_in AS (SELECT key, min(doc_id) AS least FROM windows GROUP BY key HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT r, unnest(range(p, p + 50)) AS place
+         FROM windows JOIN first_in USING (key) WHERE least < doc_id),
+words AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM w),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY place) AS text FROM words ANTI JOIN gone USING (r, place) GROUP BY r),
+removed AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, coalesce(removed.n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)
+"""
+
+SQL: dict[str, str] = {"op9_fm_index_dedup": OP9_SQL, "op10_benchmark_decontamination": OP10_SQL}
