@@ -71,7 +71,8 @@ def _next_text(docs: DataFrame, doc_id: str, text: str, rows_in_bucket: int) ->
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), key.alias("key"))
     count = rows.count()
     buckets = min(MOST_BUCKETS, count // rows_in_bucket + 1)
-    borders: list[float] = []
+    # A single range is cut too: the bucketing wants a border.
+    borders = [0.0]
     if buckets > 1:
         shares = [i / buckets for i in range(1, buckets)]
         borders = sorted(set(rows.agg(F.percentile_approx("key", shares, 10_000)).first()[0]))

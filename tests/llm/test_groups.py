@@ -140,7 +140,8 @@ def test_spot_signature_rules(spark):
 def test_near_pairs_find_all_similar_sets(spark):
     draw = random.Random(4)
     words = [f"n{i}" for i in range(40)]
-    texts = [" ".join(sorted(draw.sample(words, draw.randrange(2, 12)))) for _ in range(60)]
+    texts = [" ".join(sorted(draw.sample(words, draw.randrange(2, 12)))) for _ in range(40)]
+    texts += [" ".join(t.split()[draw.randrange(2) :]) for t in texts] + [t + " n99" for t in texts]
     docs = brute.table(spark, [*texts, texts[0], None])
     sets = {i: frozenset(t.split()) for i, t in enumerate(texts)}
     kept = {}
