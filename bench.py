@@ -53,7 +53,7 @@ def main() -> None:
     if not only or "full_export" in only:
         # Segments with the whole sweep (7 sizes, 10 restarts each), rules, forecast and festivals.
         start = time.perf_counter()
-        exports = build_exports(Binding(spark, folder).model(), min_support=0.85)
+        exports = build_exports(Binding(spark, folder).model())
         write_exports(exports, tempfile.mkdtemp(prefix="ledgerline-bench-"))
         times["full_export"] = round(time.perf_counter() - start, 3)
     print(

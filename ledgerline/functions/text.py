@@ -15,16 +15,24 @@ WHITE_SPACE = " \t\n\x0b\x0c\r\xa0"
 
 # Fixed patterns for numbers. A cast of text that is no number raises and catches an error per row, so
 # every cast below is guarded by a pattern.
-WHOLE_NUMBER = r"^[+-]?[0-9]{1,18}$"
+WHOLE_NUMBER = r"^([+-]?[0-9]{1,19})(?:\.0*)?$"
 PLAIN_NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]{1,3})?$"
 PREFIXED_CODE = r"(?i)^[a-z_\-]*([0-9]+(?:\.[0-9]+)?)$"
 COUNT_BAND = r"(?i)^([0-9]+(?:\.[0-9]+)?)\s*(k)?\+"
 
-# Fixed patterns: a date with the year first, or with day and month first in either order; the
-# replacement brings the parts into year-month-day order.
-TIME_PART = r"([ T][0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:\.[0-9]{1,6})?)?)?"
-YEAR_FIRST = r"^([0-9]{4})[-/]([0-9]{1,2})[-/]([0-9]{1,2})" + TIME_PART + "$"
-YEAR_LAST = r"^([0-9]{1,2})[-/]([0-9]{1,2})[-/]([0-9]{4})" + TIME_PART + "$"
+# Fixed patterns: spellings of a date, each with an optional time, half of the day and offset from UTC.
+CLOCK = r"(?:,?[ T]+([0-9]{1,2}):([0-9]{2})(?::([0-9]{1,2}(?:\.[0-9]{1,6})?)[0-9]*)?)?"
+HALF_AND_ZONE = r" ?([AaPp][Mm])? ?(Z|z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2})?$"
+DATE_FORMS = {
+    "year_first": r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})",
+    "compact": r"^([0-9]{4})([0-9]{2})([0-9]{2})",
+    "year_last": r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4}|[0-9]{2})",
+    "day_month_name": r"^([0-9]{1,2})[-/ .]+([A-Za-z]{3})[a-z]*[-/ .,]+([0-9]{4}|[0-9]{2})",
+    "month_name_day": r"^([A-Za-z]{3})[a-z]*[. ]+([0-9]{1,2})(?:st|nd|rd|th)?,? +([0-9]{4})",
+}
+MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+# Fixed value: two-digit years below this one belong to this century.
+CENTURY_TURN = 69
 
 
 def normalise_name(header: str) -> str:
@@ -63,9 +71,23 @@ def spelled_number(text: Column) -> Column:
 
 
 def integer_value(text: Column, number: Column) -> Column:
-    """The integer that was spelled; a number with a fraction is none. Long integers stay exact."""
-    exact = F.when(text.rlike(WHOLE_NUMBER), text.try_cast("bigint"))
-    return exact.when(number == F.floor(number), number.try_cast("bigint"))
+    """The integer that was spelled; a number with a fraction is none. Long integers stay exact.
+
+    Digits are cast as they stand; only spellings with an exponent or a fraction of thousands go through
+    a double. An integer beyond 64 bits is none.
+    """
+    code, band = F.regexp_extract(text, PREFIXED_CODE, 1), F.regexp_extract(text, COUNT_BAND, 1)
+    thousands = F.when(F.regexp_extract(text, COUNT_BAND, 2) != "", F.lit(1000)).otherwise(F.lit(1)).cast("bigint")
+
+    def digits(spelled: Column) -> Column:
+        return F.regexp_extract(spelled, WHOLE_NUMBER, 1).try_cast("bigint")
+
+    return (
+        F.when(text.rlike(WHOLE_NUMBER), digits(text))
+        .when(code.rlike(WHOLE_NUMBER), digits(code))
+        .when(band.rlike(WHOLE_NUMBER), F.try_multiply(digits(band), thousands))
+        .when(number == F.floor(number), number.try_cast("bigint"))
+    )
 
 
 def integer_reading(text: Column, number: Column) -> Column:
@@ -93,14 +115,51 @@ def parse_number(characters: Column, as_type: str = "double") -> Column:
 def parse_timestamp(text: Column, day_first: bool) -> Column:
     """Read a date with or without a time, with one reading of day/month pairs for the whole column.
 
-    The parts are reordered and cast, which rejects an impossible date without raising per row.
+    Five spellings are known: year first, eight digits, day and month in numbers, and a month by name
+    before or after the day. A time may have a half of the day; an offset or zone moves it to UTC.
+    The parts are put in order and cast, which rejects an impossible date without raising per row.
     ``text`` should be a trimmed plain column.
     """
-    order = "$3-$2-$1$4" if day_first else "$3-$1-$2$4"
-    ordered = F.when(text.rlike(YEAR_FIRST), F.replace(text, F.lit("/"), F.lit("-"))).when(
-        text.rlike(YEAR_LAST), F.regexp_replace(text, YEAR_LAST, order)
-    )
-    return ordered.try_cast("timestamp_ntz")
+    day_and_month = "$3|$2|$1" if day_first else "$3|$1|$2"
+    orders = {
+        "year_first": "$1|$2|$3",
+        "compact": "$1|$2|$3",
+        "year_last": day_and_month,
+        "day_month_name": "$3|$2|$1",
+        "month_name_day": "$3|$1|$2",
+    }
+    ordered = F.lit(None).cast("string")
+    for form, order in orders.items():
+        pattern = DATE_FORMS[form] + CLOCK + HALF_AND_ZONE
+        ordered = F.coalesce(
+            ordered, F.when(text.rlike(pattern), F.regexp_replace(text, pattern, order + "|$4|$5|$6|$7|$8"))
+        )
+    # A one-element array names the parts, so that the patterns run once.
+    return F.transform(F.array(F.split(ordered, r"\|")), _from_parts)[0]
+
+
+def _from_parts(parts: Column) -> Column:
+    """The timestamp of year, month, day, hour, minute, second, half of the day and offset, all as text."""
+    year, month, day, hour, minute, second, half, zone = (parts[i] for i in range(8))
+    century = F.when(year.try_cast("int") < CENTURY_TURN, F.lit("20")).otherwise(F.lit("19"))
+    year = F.when(F.length(year) == 2, F.concat(century, year)).otherwise(year)
+    place = F.position(F.initcap(F.substring(month, 1, 3)), F.lit(MONTHS))
+    named = F.when(place % 3 == 1, F.floor((place + 2) / 3).cast("string"))
+    month = F.when(month.rlike("^[A-Za-z]"), named).otherwise(month)
+    number = hour.try_cast("int")
+    number = F.when(F.lower(half) == "pm", number % 12 + 12).when(F.lower(half) == "am", number % 12).otherwise(number)
+    seconds = F.when(second == "", F.lit("00")).otherwise(second)
+    clock = F.when(hour != "", F.concat_ws(":", number.cast("string"), minute, seconds)).otherwise(F.lit("00:00:00"))
+    local = F.concat(F.concat_ws("-", year, month, day), F.lit(" "), clock).try_cast("timestamp_ntz")
+    offset = F.replace(zone, F.lit(":"), F.lit(""))
+    minutes = F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 4, 2).try_cast("int")
+    behind = F.when(offset.startswith("-"), minutes).when(offset.startswith("+"), -minutes).otherwise(F.lit(0))
+    return F.timestamp_add("MINUTE", behind, local)
+
+
+def read_timestamp(text: Column, day_first: bool) -> Column:
+    """A column's preferred reading; a cell that it makes impossible (month 25) is read the other way."""
+    return F.coalesce(parse_timestamp(text, day_first), parse_timestamp(text, not day_first))
 
 
 def split_tags(col: Column) -> Column:

@@ -17,6 +17,8 @@ MIN_SUPPORT = 0.01
 MIN_LIFT = 1.0
 ACTIONABLE_LIFT = 1.2
 ARROW = "  ->  "
+# Fixed output: how a rule is read out.
+RULE_SENTENCE = "Users who order %s also order %s (lift %.3fx, confidence %.0f%%, support %.1f%%)"
 
 # Baskets of this mean size below this support are reported as dense.
 DENSE_BASKET, DENSE_SUPPORT = 12, 0.5
@@ -123,7 +125,7 @@ def explain_rules(rules: DataFrame, n: int = 3) -> DataFrame:
     """One sentence per leading rule and whether its lift is worth acting on."""
     best = rules.orderBy(F.desc("lift"), "antecedents", "consequents").limit(n)
     sentence = F.format_string(
-        "Users who order %s also order %s (lift %.3fx, confidence %.0f%%, support %.1f%%)",
+        RULE_SENTENCE,
         "antecedents", "consequents", "lift", F.col("confidence") * 100, F.col("support") * 100,
     )
     return best.select(

@@ -138,6 +138,8 @@ def stratified_split(
     placed = running_totals(narrow, ["__hash", key], {"__place": "__one"}, within=[label])
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
     wanted = {r[label]: int(r["n"] * test_share + 0.5) for r in sizes}
+    if not wanted:
+        return tagged.withColumn("is_test", F.lit(False)).drop("__hash")
     last = F.coalesce(*[F.when(F.col(label) == k, F.col("__place") == n) for k, n in wanted.items()])
     kind = df.schema[key].dataType
     is_test = F.lit(False)

@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import (
     integer_reading, integer_value, known_text, number_characters, number_text, parse_number, parse_timestamp,
-    spelled_number, strip,
+    read_timestamp, spelled_number, strip,
 )
 from ledgerline.operators.ranking import global_row_number, number_in_place
-from ledgerline.session import freeze
 from ledgerline.sources.contracts import TableContract, spark_type
 from ledgerline.sources.files import ROW_ORDER
 
-_HAD, _DAY = "__had_", "__day_first_"
+_HAD = "__had_"
 
 
 def clean_strings(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -48,7 +47,7 @@ def parse_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace text columns by timestamps, each under its better reading."""
     day_first = prefers_day_first(df, columns)
     trimmed = df.withColumns({c: strip(F.col(c)) for c in columns})
-    return trimmed.withColumns({c: parse_timestamp(F.col(c), day_first[c]) for c in columns})
+    return trimmed.withColumns({c: read_timestamp(F.col(c), day_first[c]) for c in columns})
 
 
 def parse_integers(df: DataFrame, columns: Sequence[str], readings: bool = False) -> DataFrame:
@@ -83,24 +82,18 @@ def integer_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def clean_types(df: DataFrame, contract: TableContract) -> tuple[DataFrame, DataFrame]:
     """Cast a canonical text table to its contract; returns (typed rows, per-column quality).
 
-    The input is parsed once: dates are read both ways, the rows are frozen, and the better reading
-    is chosen from them. Everything downstream then sees the rows that were counted, also after a
-    lost executor.
+    One narrow aggregate over the date columns settles how dates are read. Both results are plans over the
+    input: the counts need no copy of the rows, and a load takes them while it writes (``quality_measures``).
     """
-    frozen = freeze(type_columns(df, contract))
-    day_first = {}
-    if contract.timestamps:
-        counts = frozen.agg(*[F.count(prefix + n).alias(prefix + n) for n in contract.timestamps for prefix in ("", _DAY)])
-        found = counts.first()
-        day_first = {n: found[_DAY + n] > found[n] for n in contract.timestamps}
-    settled = frozen.withColumns({n: F.col(_DAY + n) for n, wins in day_first.items() if wins})
-    rows = settled.select(*contract.headers, *([ROW_ORDER] if ROW_ORDER in df.columns else []))
-    return rows, coercion_counts(settled, contract)
+    typed = type_columns(df, contract)
+    rows = typed.select(*contract.headers, *([ROW_ORDER] if ROW_ORDER in df.columns else []))
+    return rows, coercion_counts(typed, contract)
 
 
 def type_columns(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Typed columns, dates read month-first and day-first, and which non-text cells were filled."""
+    """Typed columns, and which non-text cells were filled."""
     rest = [F.col(ROW_ORDER)] if ROW_ORDER in df.columns else []
+    day_first = prefers_day_first(df, contract.timestamps)
     cleaned = clean_strings(df.select(*contract.headers, *rest), list(contract.headers))
     had = {_HAD + n: F.col(n).isNotNull() for n, t in contract.types.items() if spark_type(t) != "string"}
     cleaned = parse_integers(cleaned.withColumns(had), contract.integers)
@@ -113,25 +106,24 @@ def type_columns(df: DataFrame, contract: TableContract) -> DataFrame:
         elif name in contract.numbers:
             typed.append(parse_number(text, kind).alias(name))
         elif name in contract.timestamps:
-            typed.append(parse_timestamp(text, day_first=False).alias(name))
-            typed.append(parse_timestamp(text, day_first=True).alias(_DAY + name))
+            typed.append(read_timestamp(text, day_first[name]).alias(name))
         else:
             typed.append(text.alias(name))
     return cleaned.select(*typed, *had, *rest)
 
 
+def quality_measures(typed: DataFrame, contract: TableContract) -> dict[str, Column]:
+    """Aggregates of a typed table: rows, and per column the values lost and the negative values kept."""
+    lost = {f"lost_{n}": F.count_if(F.col(_HAD + n) & F.col(n).isNull()) for n in contract.headers if _HAD + n in typed.columns}
+    negative = {f"negative_{n}": F.count_if(F.col(n) < 0) for n in contract.numbers}
+    return {"rows": F.count(F.lit(1)), **lost, **negative}
+
+
 def coercion_counts(typed: DataFrame, contract: TableContract) -> DataFrame:
     """Per column: values turned into NULL and negative values kept."""
-    negative = contract.numbers
     none = F.lit(0).cast("bigint")
-    totals = typed.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[
-            (F.count_if(F.col(_HAD + n) & F.col(n).isNull()) if _HAD + n in typed.columns else none).alias(f"lost_{n}")
-            for n in contract.headers
-        ],
-        *[F.count_if(F.col(n) < 0).alias(f"negative_{n}") for n in negative],
-    )
+    measures = quality_measures(typed, contract)
+    totals = typed.agg(*[c.alias(n) for n, c in measures.items()])
     return totals.select(
         F.explode(
             F.array(
@@ -139,8 +131,8 @@ def coercion_counts(typed: DataFrame, contract: TableContract) -> DataFrame:
                     F.struct(
                         F.lit(n).alias("column"),
                         F.col("rows"),
-                        F.col(f"lost_{n}").alias("coerced"),
-                        (F.col(f"negative_{n}") if n in negative else none).alias("negative"),
+                        (F.col(f"lost_{n}") if f"lost_{n}" in measures else none).alias("coerced"),
+                        (F.col(f"negative_{n}") if f"negative_{n}" in measures else none).alias("negative"),
                     )
                     for n in contract.headers
                 ]

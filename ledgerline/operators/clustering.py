@@ -1,4 +1,4 @@
-"""k-means with restarts, the Euclidean silhouette and the choice of k."""
+"""k-means with restarts, the silhouette and the choice of k."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -16,11 +17,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.ranking import hashed_sample
 
-# Sweep range, restarts, seed and silhouette sample.
+# Sweep range, restarts and seed.
 K_RANGE = tuple(range(2, 9))
 RESTARTS = 10
 SEED = 42
-SILHOUETTE_SAMPLE = 10_000
 
 
 @dataclass(frozen=True)
@@ -72,27 +72,40 @@ def sweep_k(
     ks: Sequence[int] = K_RANGE,
     n_init: int = RESTARTS,
     seed: int = SEED,
-    sample: int = SILHOUETTE_SAMPLE,
+    sample: int | None = None,
 ) -> Sweep:
-    """Fit every k on cached vectors and score each by the silhouette of one common sample.
+    """Fit every k on cached vectors and score each by the silhouette of all rows.
 
-    ``df`` should be frozen; the cache then only saves time, losing it changes nothing.
+    The silhouette uses squared distances, which takes linear time. ``sample`` instead scores that many
+    rows, the same for every k, by plain distances between all pairs of them. ``df`` should be frozen; the
+    cache then only saves time, losing it changes nothing.
     """
     vectors = with_vector(df.select(key, *columns), columns).select(key, "features").persist()
     try:
         models = fit_kmeans(vectors, ks, n_init, seed)
-        points = hashed_sample(vectors, key, sample, seed)
-        for k, model in models.items():
-            points = model.setPredictionCol(f"__label{k}").transform(points)
-            model.setPredictionCol("prediction")
-        scores = silhouettes(points, {k: f"__label{k}" for k in ks})
+        if sample is None:
+            scores = {k: silhouette(model.transform(vectors), "prediction") for k, model in models.items()}
+        else:
+            points = hashed_sample(vectors, key, sample, seed)
+            for k, model in models.items():
+                points = model.setPredictionCol(f"__label{k}").transform(points)
+                model.setPredictionCol("prediction")
+            scores = silhouettes(points, {k: f"__label{k}" for k in ks})
     finally:
         vectors.unpersist()
     return Sweep(models, scores)
 
 
-def silhouettes(points: DataFrame, labels: Mapping[int, str]) -> dict[int, float]:
-    """Mean Euclidean silhouette of a bounded sample under several labellings.
+def silhouette(points: DataFrame, label: str) -> float:
+    """Mean silhouette of all rows with squared distances, from one vector of sums per cluster."""
+    labelled = points.select("features", F.col(label).cast("double").alias("prediction"))
+    if labelled.select("prediction").distinct().limit(2).count() < 2:
+        return 0.0
+    return float(ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(labelled))
+
+
+def silhouettes(points: DataFrame, labels: Mapping[int, str], most: int = 20_000) -> dict[int, float]:
+    """Mean Euclidean silhouette of a bounded sample under several labellings; more than ``most`` rows are refused.
 
     The sample is sent to every task once, and each task measures the distances of its own share of
     the points; one distance matrix block serves all labellings.
@@ -101,7 +114,9 @@ def silhouettes(points: DataFrame, labels: Mapping[int, str]) -> dict[int, float
     table = points.select(
         vector_to_array("features").alias("x"), F.array(*[F.col(labels[n]) for n in names]).alias("y")
     )
-    local = table.toPandas()
+    local = table.limit(most + 1).toPandas()
+    if len(local) > most:
+        raise ValueError(f"plain distances are for samples of at most {most} rows; use silhouette for all rows")
     coordinates = np.array(local["x"].tolist(), dtype=float)
     assigned = np.array(local["y"].tolist(), dtype=int)
     shared = points.sparkSession.sparkContext.broadcast((coordinates, assigned))

@@ -79,14 +79,15 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 def location_profile(model: StarModel, min_sellers: int = 20) -> DataFrame:
     """Order-weighted cost and rating, and sellers, per location with enough sellers.
 
-    Orders are counted per seller first, so the means are weighted sums over sellers.
+    Sellers without a cost or without a rating are left out. Orders are counted per seller first, so the
+    means are weighted sums over sellers.
     """
     c = model.c
     joined = sellers_by_orders(model.orders.where(c.in_base), model.restaurant, c, c.location, c.cost, c.rating)
+    joined = joined.dropna(subset=[c.cost, c.rating])
 
     def weighted(column: str) -> Column:
-        known = F.when(F.col(column).isNotNull(), F.col("n"))
-        return share(F.sum(F.col(column) * F.col("n")), F.sum(known))
+        return share(F.sum(F.col(column) * F.col("n")), F.sum("n"))
 
     grouped = (
         joined.where(F.col(c.location).isNotNull())
@@ -117,8 +118,13 @@ def crosstab_share(df: DataFrame, row: str, column: str, places: int = 2) -> Dat
     )
 
 
-def presence_matrix(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """One boolean column per listed value; a report shape, baskets themselves stay arrays."""
+def presence_matrix(df: DataFrame, row: str, column: str, values: Sequence[str] | None = None) -> DataFrame:
+    """One boolean column per value, all that occur unless listed; a report shape, baskets stay arrays.
+
+    The values become columns, so they must be few: a catalog's tags, not its items.
+    """
+    if values is None:
+        values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
     return df.groupBy(row).agg(*[F.max(F.col(column) == F.lit(v)).alias(f"has_{v}") for v in values])
 
 

@@ -24,7 +24,7 @@ SEASON_WEEKS = 52
 FALLBACK_BAND = 0.10
 YEAR_WEEKS = 365.25 / 7
 
-SCHEMA = "series string, week date, forecast double, lower double, upper double"
+SCHEMA = "series string, week date, forecast double, lower double, upper double, form string"
 
 
 @dataclass(frozen=True)
@@ -70,29 +70,40 @@ def forecast_series(
     kept_back: Holdout,
     method: str = "seasonal",
     festivals: Mapping[str, Sequence[str]] | None = None,
+    bends_from: int = 2 * CHANGE_POINTS + 1,
+    season_from: int = 2 * SEASON_WEEKS,
 ) -> DataFrame:
     """Fit every series on its own and predict its past weeks and the holdout.
 
-    A series is one row per week, so a group is as long as the calendar and no longer.
+    A series is one row per week, so a group is as long as the calendar and no longer. The trend bends in
+    series of at least ``bends_from`` weeks with a value, and smoothing has a season in series of at least
+    ``season_from`` weeks; ``form`` says which form was fitted. A series without a single value gets rows
+    without a forecast.
     """
     festivals = dict(FESTIVALS if festivals is None else festivals)
     last = kept_back.last_week
-    fit = {"seasonal": _seasonal, "holt_winters": _holt_winters}[method]
+    fit, least = {"seasonal": (_seasonal, bends_from), "holt_winters": (_holt_winters, season_from)}[method]
 
     def predict(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.dropna(subset=["revenue"])
-        frame = frame.assign(week=pd.to_datetime(frame["week"])).sort_values("week")
+        frame = frame.assign(week=pd.to_datetime(frame["week"]), revenue=frame["revenue"].astype(float))
+        name, first = frame["series"].iloc[0], frame["week"].min()
+        frame = frame.dropna(subset=["revenue"]).sort_values("week")
+        if frame.empty:
+            grid = pd.date_range(first, last, freq="W-MON")
+            blank = pd.DataFrame({"series": name, "week": grid.date})
+            return blank.assign(forecast=np.nan, lower=np.nan, upper=np.nan, form="no value")
         grid = pd.date_range(frame["week"].iloc[0], last, freq="W-MON")
         known = frame.set_index("week")["revenue"].reindex(grid)
         trained = int(grid.searchsorted(frame["week"].iloc[-1])) + 1
-        middle, lower, upper = fit(grid, known.to_numpy(dtype=float), trained, festivals)
+        middle, lower, upper, form = fit(grid, known.to_numpy(dtype=float), trained, festivals, least)
         return pd.DataFrame(
             {
-                "series": frame["series"].iloc[0],
+                "series": name,
                 "week": grid.date,
                 "forecast": middle,
                 "lower": lower,
                 "upper": upper,
+                "form": form,
             }
         )
 
@@ -112,13 +123,13 @@ def _festival_columns(grid: pd.DatetimeIndex, festivals: Mapping[str, Sequence[s
     return np.column_stack(columns) if columns else np.zeros((len(grid), 0))
 
 
-def _seasonal(grid, known, trained, festivals):
+def _seasonal(grid, known, trained, festivals, bends_from):
     """Ridge regression on a bending trend, yearly harmonics and festival weeks."""
     observed = np.flatnonzero(~np.isnan(known[:trained]))
     y = known[observed]
     scale = np.abs(y).max() or 1.0
     time = np.arange(len(grid)) / max(trained - 1, 1)
-    bends = np.linspace(0, CHANGE_RANGE, CHANGE_POINTS + 1)[1:] if len(y) > 2 * CHANGE_POINTS else np.zeros(0)
+    bends = np.linspace(0, CHANGE_RANGE, CHANGE_POINTS + 1)[1:] if len(y) >= bends_from else np.zeros(0)
     phase = 2 * np.pi * (grid.dayofyear.to_numpy() / 7 + grid.year.to_numpy() * YEAR_WEEKS) / YEAR_WEEKS
     pairs = np.arange(1, FOURIER_PAIRS + 1)
     design = [
@@ -138,13 +149,14 @@ def _seasonal(grid, known, trained, festivals):
     errors = y - middle[observed]
     tail = (1 - INTERVAL) / 2
     low, high = np.quantile(errors, [tail, 1 - tail])
-    return middle, middle + min(low, 0.0), middle + max(high, 0.0)
+    form = "bending trend" if len(bends) else "straight trend"
+    return middle, middle + min(low, 0.0), middle + max(high, 0.0), form
 
 
-def _holt_winters(grid, known, trained, festivals):
+def _holt_winters(grid, known, trained, festivals, season_from):
     """Additive level, trend and season, smoothing weights by least squared error over a small grid."""
     y = pd.Series(known[:trained]).interpolate(limit_direction="both").to_numpy()
-    season = SEASON_WEEKS if len(y) >= 2 * SEASON_WEEKS else 1
+    season = SEASON_WEEKS if len(y) >= max(season_from, SEASON_WEEKS + 1) else 1
     alpha, beta, gamma = (
         a.ravel()
         for a in np.meshgrid([0.05, 0.1, 0.2, 0.4, 0.7], [0.0, 0.01, 0.05, 0.2], [0.05, 0.1, 0.3] if season > 1 else [0.0])
@@ -168,15 +180,18 @@ def _holt_winters(grid, known, trained, festivals):
     future = level[best] + ahead * trend[best] + swings[(len(y) + ahead - 1) % season, best]
     middle = np.concatenate([fitted[:, best], future])
     width = np.concatenate([np.zeros(len(y)), np.abs(future) * FALLBACK_BAND])
-    return middle, middle - width, middle + width
+    return middle, middle - width, middle + width, "season" if season > 1 else "no season"
 
 
 def holdout_errors(actual: DataFrame, forecast: DataFrame, by: Sequence[str] = ("series",)) -> DataFrame:
-    """Mean absolute and percentage error per series over weeks that have both values."""
-    both = actual.join(forecast, [*by, "week"])
+    """Mean absolute and percentage error per series over weeks that have both values.
+
+    A series without a forecast, say one that begins in the holdout, is listed with 0 weeks.
+    """
+    both = actual.join(forecast, [*by, "week"], "left")
     miss = F.abs(F.col("revenue") - F.col("forecast"))
     return both.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("weeks"),
+        F.count(miss).alias("weeks"),
         F.avg(miss).alias("mae"),
         (F.avg(miss / F.greatest(F.col("revenue"), F.lit(1.0))) * 100).alias("mape"),
     )

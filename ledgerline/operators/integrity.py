@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.session import broadcast_if_small, freeze
+from ledgerline.session import freeze
 from ledgerline.sources.contracts import ForeignKey, TableContract, spark_type
 
 
@@ -21,21 +21,28 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
 
 def mark_orphans(
-    child: DataFrame, foreign_keys: Sequence[ForeignKey], parents: Mapping[str, DataFrame], reason: str = "reject_reason"
+    child: DataFrame,
+    foreign_keys: Sequence[ForeignKey],
+    parents: Mapping[str, DataFrame],
+    reason: str = "reject_reason",
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add the first foreign key a row fails, in the declared order, or NULL.
 
-    Rows are matched against the orphan keys only, which are few in any healthy load; their number
-    is checked before they are broadcast.
+    Rows are matched against the orphan keys only, which are few in any healthy load; adaptive execution
+    broadcasts them by their real size. A missing key is no orphan, so such rows get a key of their own for
+    the join and cannot meet on one reducer. ``keys_from`` is a cheaper table with the same keys.
     """
     marked = child.withColumn(reason, F.lit(None).cast("string"))
     for fk in foreign_keys:
-        missing = freeze(orphan_keys(child, fk.column, parents[fk.parent], fk.parent_column))
-        missing = missing.select(F.col("__key").alias(fk.column), F.lit(True).alias("__orphan"))
+        missing = freeze(orphan_keys(keys_from or child, fk.column, parents[fk.parent], fk.parent_column))
+        missing = missing.select(F.col("__key").cast("string").alias("__orphan"))
+        spread = F.concat(F.lit("no key "), F.xxhash64(*[F.col(f"`{c}`") for c in child.columns]).cast("string"))
+        keyed = marked.withColumn("__key", F.coalesce(F.col(fk.column).cast("string"), spread))
         marked = (
-            marked.join(broadcast_if_small(missing), fk.column, "left")
-            .withColumn(reason, F.coalesce(F.col(reason), F.when(F.col("__orphan"), F.lit(fk.column))))
-            .drop("__orphan")
+            keyed.join(missing, keyed["__key"] == missing["__orphan"], "left")
+            .withColumn(reason, F.coalesce(F.col(reason), F.when(F.col("__orphan").isNotNull(), F.lit(fk.column))))
+            .drop("__orphan", "__key")
         )
     return marked.select(*child.columns, reason)
 

@@ -204,14 +204,20 @@ def top_sellers(model: StarModel, n: int = 20) -> DataFrame:
 
 
 def order_value_by_tag(model: StarModel, n: int | None = 12) -> DataFrame:
-    """Average base order value and orders per tag; an order counts under each of its tags."""
+    """Average base order value and orders per tag; an order counts under each of its tags.
+
+    The average is over orders with an amount; orders without one are counted as orders only.
+    """
     c = model.c
-    totals = seller_totals(model.orders.where(c.in_base), c)
+    base = with_known(model.orders.where(c.in_base), c.seller)
+    totals = base.groupBy(c.seller).agg(
+        F.count(F.lit(1)).alias("orders"), F.count(c.amount).alias("valued"), F.sum(c.amount).alias("revenue")
+    )
     tagged = explode_tags(model.restaurant.select(c.seller, c.tags).join(totals, c.seller), c)
     grouped = tagged.groupBy("tag").agg(
-        F.round(share(F.sum("revenue"), F.sum("orders")), 2).alias("aov"), F.sum("orders").alias("orders")
+        F.round(share(F.sum("revenue"), F.sum("valued")), 2).alias("aov"), F.sum("orders").alias("orders")
     )
-    return grouped.orderBy(F.desc("aov"), "tag").limit(n) if n else grouped
+    return grouped.orderBy(F.desc_nulls_first("aov"), "tag").limit(n) if n else grouped
 
 
 def price_by_group(menu: DataFrame, by: str, c: Columns = Columns()) -> DataFrame:

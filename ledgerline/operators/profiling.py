@@ -13,6 +13,10 @@ from ledgerline.operators.ranking import quantiles
 from ledgerline.sources.contracts import ForeignKey
 
 
+# Characters of a value that a sample shows.
+SHOWN = 25
+
+
 def _present(field) -> Column:
     """A column with NaN as NULL and one zero, the way distinct values are counted."""
     col = F.col(f"`{field.name}`")
@@ -21,15 +25,21 @@ def _present(field) -> Column:
     return col
 
 
+def _wide_hash(text: Column) -> Column:
+    """128 bits that stand for a text of any length."""
+    return F.unhex(F.md5(text))
+
+
 def table_profile(df: DataFrame, table: str) -> DataFrame:
     """Rows, columns, missing cells and repeated rows.
 
-    Whole rows are grouped with a map-side count, so a row copied a million times moves once.
+    Rows are told apart by a wide hash, which moves instead of the row, with a map-side count.
     """
     fields = df.schema.fields
     missing = sum((F.when(_present(f).isNull(), 1).otherwise(0) for f in fields), F.lit(0))
-    grouped = df.groupBy(*[F.col(f"`{f.name}`") for f in fields]).agg(
-        F.count(F.lit(1)).alias("__copies"), F.sum(missing).alias("__missing")
+    whole = F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in fields]), {"ignoreNullFields": "false"})
+    grouped = df.select(_wide_hash(whole).alias("__row"), missing.alias("__cells")).groupBy("__row").agg(
+        F.count(F.lit(1)).alias("__copies"), F.sum("__cells").alias("__missing")
     )
     return grouped.agg(
         F.lit(table).alias("table"),
@@ -46,8 +56,9 @@ def column_profile(
 ) -> DataFrame:
     """Per column: type, filled and missing cells, distinct values and a few sample values.
 
-    Cells are counted per (column, value) first: one shuffle with map-side counts, whatever the
-    number of columns. Samples are the smallest distinct values, or the first ones by ``order_by``.
+    Cells are counted per (column, wide hash of the value) first: one shuffle with map-side counts, whatever
+    the number of columns and the length of their values. Of a value only the start that a sample shows
+    travels. Samples are the smallest distinct values, or the first ones by ``order_by``.
     ``approx`` estimates distinct values in one aggregation and takes no samples.
     """
     fields = [f for f in df.schema.fields if f.name != order_by and (columns is None or f.name in columns)]
@@ -67,14 +78,20 @@ def column_profile(
         )
         counted = None
     else:
-        counted = long.groupBy("column", "value").agg(
-            F.count(F.lit(1)).alias("n"), *([F.min("__at").alias("__at")] if order_by else [])
+        start = F.substring("value", 1, SHOWN + 1)
+        hashed = long.select("column", _wide_hash(F.col("value")).alias("cell"), start.alias("value"), *(["__at"] if order_by else []))
+        counted = hashed.groupBy("column", "cell").agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("value"), *([F.min("__at").alias("__at")] if order_by else [])
         )
+        # Both readers of the counts use all their columns, so they share one scan and one shuffle.
+        first_seen = [F.min("__at").alias("__at")] if order_by else []
         summary = counted.groupBy("column").agg(
             F.sum("n").alias("rows"),
             F.sum(F.when(filled, F.col("n")).otherwise(0)).alias("non_null"),
             F.count("value").alias("distinct_values"),
-        )
+            F.count("cell").alias("cells"),
+            *first_seen,
+        ).where("cells >= 0" + (" AND (__at IS NULL OR __at IS NOT NULL)" if order_by else ""))
     out = summary.select(
         "column",
         F.element_at(types, F.col("column")).alias("dtype"),
@@ -86,13 +103,13 @@ def column_profile(
     if counted is None:
         return out
     # A rank filter is applied per task before the shuffle, so at most `samples` rows per column move.
-    first = Window.partitionBy("column").orderBy(*(["__at"] if order_by else []), "value")
+    first = Window.partitionBy("column").orderBy(*(["__at"] if order_by else []), "value", "cell")
     picked = (
-        counted.where(filled)
+        counted.where(filled & (F.col("n") > 0))
         .withColumn("__rank", F.row_number().over(first))
         .where(F.col("__rank") <= samples)
         .groupBy("column")
-        .agg(F.array_sort(F.collect_list(F.struct("__rank", shorten(F.col("value")).alias("value")))).alias("s"))
+        .agg(F.array_sort(F.collect_list(F.struct("__rank", shorten(F.col("value"), SHOWN).alias("value")))).alias("s"))
         .select("column", F.array_join(F.col("s.value"), ", ").alias("sample_values"))
     )
     return out.join(picked, "column", "left")

@@ -173,21 +173,33 @@ def quartile_scores(df: DataFrame, key: str, scores: Mapping[str, tuple[str, boo
 
     Equal-width quartiles of the rank put row ``r`` of ``n`` into ``ceil(4 (r - 1) / (n - 1))``, at
     least 1, which differs from ``ntile(4)``. Ties are broken by ``key``. Only the three rows at the
-    quartile borders are looked up; scoring is then a comparison with constants, so the table itself
-    is neither shuffled nor joined. ``df`` is read once per score, so it should be frozen or cheap.
+    least 1, which differs from ``ntile(4)``. Ties are broken by ``key``. The rows at the quartile borders of
+    all scores are looked up in one ordered table of (score, value, key); scoring is then a comparison with
+    constants, so the table itself is neither shuffled nor joined. ``df`` should be frozen or cheap: it is
+    read once for the borders, and once by whoever uses the scores.
     """
-    total = df.count()
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    cells = F.array(
+        *[
+            F.struct(F.lit(name).alias("__score"), F.col(column).cast("decimal(38,10)").alias("__value"))
+            for name, (column, _) in scores.items()
+        ]
+    )
+    long = df.select(F.explode(cells).alias("c"), F.col(key).alias("__key"), F.lit(1).cast("bigint").alias("__one"))
+    placed = _place(long.select("c.*", "__key", "__one"), ["__value", "__key"], ["__score"])
+    sizes = placed.groupBy("__score").agg(F.count(F.lit(1)).alias("n")).collect()
+    total = max((r["n"] for r in sizes), default=0)
+    borders = sorted({(q * (total - 1)) // 4 + 1 for q in (1, 2, 3)}) if total else []
+    ranked = _running(placed, ["__value", "__key"], {"__rank": "__one"}, ["__score"])
+    rows = {(r["__score"], r["__rank"]): r for r in ranked.where(F.col("__rank").isin(borders)).collect()}
     out = df
     for name, (column, ascending) in scores.items():
-        borders = sorted({(q * (total - 1)) // 4 + 1 for q in (1, 2, 3)}) if total else []
-        ranked = global_row_number(df.select(column, key), [column, key], "__rank")
-        rows = {r["__rank"]: r for r in ranked.where(F.col("__rank").isin(borders)).collect()}
-        kinds = {f.name: f.dataType for f in df.schema.fields}
         score = F.lit(1)
         for q in (1, 2, 3):
-            row = rows.get((q * (total - 1)) // 4 + 1)
+            row = rows.get((name, (q * (total - 1)) // 4 + 1))
             if row is not None:
-                border = F.struct(F.lit(row[column]).cast(kinds[column]), F.lit(row[key]).cast(kinds[key]))
+                value = F.lit(row["__value"]).cast("decimal(38,10)").cast(kinds[column])
+                border = F.struct(value, F.lit(row["__key"]).cast(kinds[key]))
                 score = score + (F.struct(F.col(column), F.col(key)) > border).cast("int")
         out = out.withColumn(name, (score if ascending else F.lit(5) - score).cast("int"))
     return out

@@ -47,9 +47,12 @@ def build_exports(
     method: str = "seasonal",
     holdout_weeks: int = forecast.HOLDOUT_WEEKS,
     drop_partial_last_week: bool = False,
+    basket_key: str | None = None,
 ) -> Exports:
+    """All tables of the export; ``basket_key`` names another basket than all orders of a customer."""
     segments, sweep = clustered_segments(model, ks, n_init)
-    itemsets = basket.frequent_itemsets(basket.build_baskets(basket.tag_pairs(model)), min_support)
+    baskets = basket.build_baskets(basket.tag_pairs(model, basket_key))
+    itemsets = basket.frequent_itemsets(baskets, min_support)
     series = freeze(
         forecast.weekly_series(model.orders, model.c, by, drop_partial_last_week=drop_partial_last_week)
     )

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from ledgerline.operators.cleaning import add_surrogate_key, clean_types, keep_first
+from ledgerline.operators.cleaning import add_surrogate_key, keep_first, quality_measures, type_columns
 from ledgerline.operators.integrity import (
     mark_orphans, null_key_counts, orphan_counts, reconcile_counts, require_reconciled, split_orphans,
 )
-from ledgerline.session import freeze
+from ledgerline.session import ensure_checkpoint_dir, freeze
 from ledgerline.sources.contracts import CONTRACTS, LOAD_ORDER, TableContract
 from ledgerline.sources.files import ROW_ORDER, CsvTraits, normalise_headers, read_csv_robust, resolve_columns
 from ledgerline.sources.sinks import guard_targets, write_quarantine, write_table
@@ -48,23 +48,27 @@ def prepare_table(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows to store, rows to quarantine) of one table; fills the report.
 
-    The typed rows are frozen: files are parsed once, and every count describes what is stored.
+    The typed rows are written once, as compressed columns, and counted while they are written: files are
+    parsed once more only for their date columns, and every count describes what is stored.
     """
-    rows, counts = clean_types(resolve_columns(normalise_headers(raw), name, contract), contract)
-    quality = counts.agg(
-        F.max("rows").alias("rows"), F.sum("coerced").alias("coerced"), F.sum("negative").alias("negative")
-    ).first()
-    report.read[name] = quality["rows"] or 0
-    report.coerced[name] = quality["coerced"] or 0
-    report.negative[name] = quality["negative"] or 0
-    if contract.key:
-        rows = freeze(keep_first(rows, contract.key, [ROW_ORDER]))
-    kept, rejected = split_orphans(mark_orphans(rows, contract.foreign_keys, parents))
+    typed = type_columns(resolve_columns(normalise_headers(raw), name, contract), contract)
+    staged = f"{ensure_checkpoint_dir(raw.sparkSession)}/typed-{name}-{uuid.uuid4().hex}"
+    seen = Observation()
+    counted = typed.observe(seen, *[c.alias(n) for n, c in quality_measures(typed, contract).items()])
+    counted.select(*contract.headers, ROW_ORDER).write.option("compression", "zstd").parquet(staged)
+    counts = {measure: n or 0 for measure, n in seen.get.items()}
+    report.read[name] = counts["rows"]
+    report.coerced[name] = sum(n for measure, n in counts.items() if measure.startswith("lost_"))
+    report.negative[name] = sum(n for measure, n in counts.items() if measure.startswith("negative_"))
+    rows = raw.sparkSession.read.parquet(staged)
+    first = keep_first(rows, contract.key, [ROW_ORDER]) if contract.key else rows
+    marked = mark_orphans(first, contract.foreign_keys, parents, keys_from=rows)
+    kept, rejected = split_orphans(marked)
     kept = kept.drop(ROW_ORDER)
     if contract.surrogate:
         kept = add_surrogate_key(freeze(kept), contract.surrogate, dense=True)
-    first = [contract.surrogate] if contract.surrogate else []
-    return kept.select(*first, *contract.headers), rejected.drop(ROW_ORDER)
+    surrogate = [contract.surrogate] if contract.surrogate else []
+    return kept.select(*surrogate, *contract.headers), rejected.drop(ROW_ORDER)
 
 
 def load(
@@ -91,12 +95,10 @@ def load(
         contract = contracts[name]
         raw = read_csv_robust(spark, sources[name], row_order=True, traits=(traits or {}).get(name))
         kept, rejected = prepare_table(name, raw, contract, parents, report)
-        expected[name] = kept.count()
-        write_table(kept, paths[name], reset, (cluster_by or {}).get(name))
+        expected[name] = write_table(kept, paths[name], reset, (cluster_by or {}).get(name))
         report.quarantined[name] = 0
         if contract.foreign_keys:
-            report.quarantined[name] = rejected.count()
-            write_quarantine(rejected, f"{target}/_quarantine", name)
+            report.quarantined[name] = write_quarantine(rejected, f"{target}/_quarantine", name)
         report.deduplicated[name] = report.read[name] - expected[name] - report.quarantined[name]
         parents[name] = spark.read.parquet(paths[name])
     check = freeze(reconcile_counts(expected, parents))

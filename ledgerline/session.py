@@ -7,23 +7,28 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Adaptive execution sizes shuffles at run time, so the width only needs to be an upper bound.
 ENGINE_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.checkpoint.compress": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Adaptive execution merges small shuffle partitions at run time but never makes more, so a cluster starts
+# from an upper bound. A session built elsewhere should set the same.
+CLUSTER_CONF = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
+
 
 def build_session(app: str = "ledgerline", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**ENGINE_CONF, **conf}.items():
+    local = (master or "").startswith("local")
+    for key, value in {**ENGINE_CONF, **({} if local else CLUSTER_CONF), **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from dataclasses import dataclass
 
@@ -31,24 +32,40 @@ class CsvTraits:
         return "UTF-8" if self.valid_utf8 else "ISO-8859-1"
 
 
-def inspect_csv(spark: SparkSession, path: str) -> CsvTraits:
+def inspect_csv(spark: SparkSession, path: str | list[str]) -> CsvTraits:
     """Check encoding and quoting without parsing, so that parsing stays splittable if it can.
 
     A line with an odd number of quotes opens or closes a record that spans lines; only then must a
     file be parsed as a whole.
     """
+    by_file = inspect_csv_files(spark, path)
+    return CsvTraits(
+        valid_utf8=all(t.valid_utf8 for t in by_file.values()),
+        quoted_line_breaks=any(t.quoted_line_breaks for t in by_file.values()),
+    )
+
+
+def inspect_csv_files(spark: SparkSession, path: str | list[str]) -> dict[str, CsvTraits]:
+    """The traits of each file that needs care; files that are plain UTF-8 in plain lines are not listed."""
     line = F.col("value")
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    row = (
+    marked = (
         spark.read.text(path, lineSep="\n")
+        .groupBy(F.col("_metadata.file_path").alias("file"))
         .agg(
             F.count_if(~F.is_valid_utf8(line)).alias("invalid"),
             F.count_if(F.is_valid_utf8(line) & (quotes % 2 == 1)).alias("open"),
             F.count_if(~F.is_valid_utf8(line) & line.contains('"')).alias("unsure"),
         )
-        .first()
+        .where("invalid > 0 OR open > 0 OR unsure > 0")
+        .collect()
     )
-    return CsvTraits(valid_utf8=row["invalid"] == 0, quoted_line_breaks=row["open"] > 0 or row["unsure"] > 0)
+    return {_plain(r["file"]): CsvTraits(r["invalid"] == 0, r["open"] > 0 or r["unsure"] > 0) for r in marked}
+
+
+def _plain(file: str) -> str:
+    """One spelling of a local path: listings and file metadata differ in slashes."""
+    return re.sub(r"^file:/+", "file:/", file)
 
 
 def read_csv_robust(
@@ -57,10 +74,26 @@ def read_csv_robust(
     """Read a CSV as text columns.
 
     Line feeds end records; carriage returns are removed wherever they stand. Text that is not
-    UTF-8 is read as Latin-1. With ``row_order`` a column gives the position in the input, for
-    operators that keep the first of several rows. ``traits`` saves the look at a file known to be clean.
+    UTF-8 is read as Latin-1. Each file is judged on its own: only files with quoted line breaks are parsed
+    as a whole, the others stay splittable. With ``row_order`` a column gives the position in the input, for
+    operators that keep the first of several rows. ``traits`` saves the look at files known to be alike.
     """
-    traits = traits or inspect_csv(spark, path)
+    if traits:
+        return _read_alike(spark, path, traits, row_order)
+    special = inspect_csv_files(spark, path)
+    if not special:
+        return _read_alike(spark, path, CsvTraits(True, False), row_order)
+    groups: dict[CsvTraits, list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        groups.setdefault(special.get(_plain(file), CsvTraits(True, False)), []).append(file)
+    parts = [_read_alike(spark, files, own, row_order) for own, files in groups.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _read_alike(spark: SparkSession, path: str | list[str], traits: CsvTraits, row_order: bool) -> DataFrame:
     raw = spark.read.csv(
         path,
         header=True,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.util import MLWritable
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,25 +29,30 @@ def guard_targets(spark: SparkSession, paths: dict[str, str], reset: bool, must_
         raise RuntimeError(f"tables are not empty: {filled}; pass reset=True to replace them")
 
 
-def write_table(df: DataFrame, path: str, reset: bool = False, cluster_by: str | None = None) -> None:
-    """Store a table in parallel.
+def _write_and_count(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write rows and count them in the tasks that write them, behind every shuffle: a task counts once."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"] or 0
+
+
+def write_table(df: DataFrame, path: str, reset: bool = False, cluster_by: str | None = None) -> int:
+    """Store a table in parallel; returns its number of rows.
 
     ``cluster_by`` sorts the files by a column, such as the order time, so that a date slicer skips
     most files and row groups by their statistics; it costs one range shuffle.
     """
     if cluster_by:
         df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
-    df.write.mode("overwrite" if reset else "append").parquet(path)
+    return _write_and_count(df, lambda rows: rows.write.mode("overwrite" if reset else "append").parquet(path))
 
 
-def write_quarantine(rejected: DataFrame, path: str, table: str, reason: str = "reject_reason") -> None:
+def write_quarantine(rejected: DataFrame, path: str, table: str, reason: str = "reject_reason") -> int:
     """Store rejected rows under the table and the foreign key they failed, replacing the last run."""
-    (
-        rejected.withColumn("table", F.lit(table))
-        .withColumn("fk_column", F.col(reason))
-        .write.mode("overwrite")
-        .partitionBy("table", "fk_column")
-        .parquet(f"{path.rstrip('/')}/{table}")
+    named = rejected.withColumn("table", F.lit(table)).withColumn("fk_column", F.col(reason))
+    folder = f"{path.rstrip('/')}/{table}"
+    return _write_and_count(
+        named, lambda rows: rows.write.mode("overwrite").partitionBy("table", "fk_column").parquet(folder)
     )
 
 

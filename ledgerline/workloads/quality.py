@@ -36,16 +36,24 @@ SQL_DATES = """
 
 
 @query("mapped_headers", "Q1 Q2", """
-    SELECT p_partkey AS restaurant_id, p_name AS name, CAST(p_retailprice AS VARCHAR) AS cost_for_two FROM part""")
+    SELECT p_partkey AS restaurant_id, p_name AS name, p_brand AS location, CAST(p_size AS VARCHAR) AS rating,
+           p_size AS num_ratings, CAST(p_retailprice AS VARCHAR) AS cost_for_two, p_type AS cuisine,
+           p_partkey AS license_number, p_name AS website_link, p_brand AS address FROM part""")
 def mapped_headers(b):
     untidy = b.raw("part").select(
         F.col("p_partkey").alias(" R ID "),
         F.col("p_name").alias("Restaurant-Name"),
+        F.col("p_brand").alias("CITY"),
+        F.col("p_size").cast("string").alias("Rate"),
+        F.col("p_size").alias("votes "),
         F.col("p_retailprice").cast("string").alias(" Approx Cost (for two) "),
+        F.col("p_type").alias("Cuisines"),
+        F.col("p_partkey").alias("Lic No"),
+        F.col("p_name").alias("URL"),
+        F.col("p_brand").alias("address"),
         F.col("p_size").alias("not wanted"),
     )
-    accepted = {k: CONTRACTS["restaurant"].headers[k] for k in ("restaurant_id", "name", "cost_for_two")}
-    return resolve_columns(normalise_headers(untidy), "restaurant", TableContract(accepted, {}))
+    return resolve_columns(normalise_headers(untidy), "restaurant", CONTRACTS["restaurant"])
 
 
 @query("cleaned_text", "Q3", r"""
@@ -138,25 +146,35 @@ def user_first_order(b):
     return cleaning.keep_first(b.orders("user_id", "order_datetime"), ("user_id",), ["order_datetime"])
 
 
-ORPHANED = """
-    r AS (SELECT restaurant_id FROM m_restaurant WHERE restaurant_id % 10 <> 0),
-    f AS (SELECT food_id FROM m_food WHERE food_id % 10 <> 0),
-    m AS (SELECT *, CASE WHEN restaurant_id NOT IN (SELECT restaurant_id FROM r) THEN 'restaurant_id'
-                         WHEN food_id NOT IN (SELECT food_id FROM f) THEN 'food_id' END AS reject_reason FROM m_menu)"""
+# Every parent row is read; some child keys are moved out of range to make orphans.
+STRAY = """
+    s AS (SELECT CASE WHEN listed_in % 10 = 0 THEN restaurant_id + 1000000000000 ELSE restaurant_id END AS restaurant_id,
+                 CASE WHEN listed_in % 10 IN (0, 1) THEN food_id + 1000000000000 ELSE food_id END AS food_id,
+                 cuisine, price, listed_in, listed_at FROM m_menu)"""
+ORPHANED = STRAY + """,
+    m AS (SELECT *, CASE WHEN restaurant_id NOT IN (SELECT restaurant_id FROM m_restaurant) THEN 'restaurant_id'
+                         WHEN food_id NOT IN (SELECT food_id FROM m_food) THEN 'food_id' END AS reject_reason FROM s)"""
+
+
+def _stray_menu(b):
+    """Listings of which some point to a restaurant or a food that is not there."""
+    moved = F.lit(1_000_000_000_000)
+    return b.menu().withColumns(
+        {
+            "restaurant_id": F.col("restaurant_id") + F.when(F.col("listed_in") % 10 == 0, moved).otherwise(0),
+            "food_id": F.col("food_id") + F.when((F.col("listed_in") % 10).isin(0, 1), moved).otherwise(0),
+        }
+    )
 
 
-def _parents_with_gaps(b):
-    """Parents lack every tenth key, as the given tables have no orphans of their own."""
-    return {
-        "restaurant": b.restaurant().where("restaurant_id % 10 <> 0"),
-        "food": b.food().where("food_id % 10 <> 0"),
-    }
+def _parents(b):
+    return {"restaurant": b.restaurant(), "food": b.food()}
 
 
 @query("quarantined_menu", "Q11 S7", ORPHANED + """
     SELECT reject_reason, restaurant_id, food_id, count(*) AS n FROM m WHERE reject_reason IS NOT NULL GROUP BY 1, 2, 3""")
 def quarantined_menu(b):
-    marked = integrity.mark_orphans(b.menu(), [MENU_TO_RESTAURANT, MENU_TO_FOOD], _parents_with_gaps(b))
+    marked = integrity.mark_orphans(_stray_menu(b), [MENU_TO_RESTAURANT, MENU_TO_FOOD], _parents(b))
     rejected = integrity.split_orphans(marked)[1]
     return rejected.groupBy("reject_reason", "restaurant_id", "food_id").agg(F.count(F.lit(1)).alias("n"))
 
@@ -164,27 +182,24 @@ def quarantined_menu(b):
 @query("kept_menu", "Q11", ORPHANED + """
     SELECT cuisine, count(*) AS n, round(CAST(sum(price) AS DOUBLE), 4) AS price FROM m WHERE reject_reason IS NULL GROUP BY 1""")
 def kept_menu(b):
-    marked = integrity.mark_orphans(b.menu(), [MENU_TO_RESTAURANT, MENU_TO_FOOD], _parents_with_gaps(b))
+    marked = integrity.mark_orphans(_stray_menu(b), [MENU_TO_RESTAURANT, MENU_TO_FOOD], _parents(b))
     kept = integrity.split_orphans(marked)[0]
     return kept.groupBy("cuisine").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("price"))
 
 
-@query("orphan_counts", "Q15 J3", """
-    SELECT 'menu' AS child, 'restaurant_id' AS fk_column, count(*) AS orphans FROM m_menu
-    WHERE restaurant_id NOT IN (SELECT restaurant_id FROM m_restaurant WHERE restaurant_id % 10 <> 0)
+@query("orphan_counts", "Q15 J3", STRAY + """
+    SELECT 'menu' AS child, 'restaurant_id' AS fk_column, count(*) AS orphans FROM s
+    WHERE restaurant_id NOT IN (SELECT restaurant_id FROM m_restaurant)
     UNION ALL
-    SELECT 'menu', 'food_id', count(*) FROM m_menu
-    WHERE food_id NOT IN (SELECT food_id FROM m_food WHERE food_id % 10 <> 0)
+    SELECT 'menu', 'food_id', count(*) FROM s WHERE food_id NOT IN (SELECT food_id FROM m_food)
     UNION ALL
     SELECT 'orders', 'restaurant_id', count(*) FROM m_orders WHERE restaurant_id IS NOT NULL
-      AND restaurant_id NOT IN (SELECT restaurant_id FROM m_restaurant WHERE restaurant_id % 10 <> 0)
+      AND restaurant_id NOT IN (SELECT restaurant_id FROM m_restaurant)
     UNION ALL
     SELECT 'orders', 'user_id', count(*) FROM m_orders WHERE user_id IS NOT NULL
       AND user_id NOT IN (SELECT user_id FROM m_users)""")
 def orphan_counts(b):
-    tables = {
-        "menu": b.menu(), "orders": b.orders("user_id", "restaurant_id"), "users": b.users(), **_parents_with_gaps(b)
-    }
+    tables = {"menu": _stray_menu(b), "orders": b.orders("user_id", "restaurant_id"), "users": b.users(), **_parents(b)}
     return integrity.orphan_counts(
         tables,
         [
@@ -205,14 +220,12 @@ def missing_keys(b):
 
 @query("never_listed", "Q17 J10", """
     SELECT count(*) AS total_items, count(*) FILTER (WHERE food_id NOT IN
-        (SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45 AND l_linenumber = 2
-           AND l_discount > 0.08)) AS never_listed
+        (SELECT CASE WHEN food_id % 7 = 3 THEN -food_id ELSE food_id END FROM m_menu)) AS never_listed
     FROM m_food""")
 def never_listed(b):
-    listing = b.raw("lineitem").where(
-        "l_returnflag = 'R' and l_quantity > 45 and l_linenumber = 2 and l_discount > 0.08"
-    ).select(F.col("l_suppkey").alias("food_id"))
-    return integrity.never_listed(b.food(), listing, "food_id")
+    """Listings of every seventh food point elsewhere."""
+    listed = F.when(F.col("food_id") % 7 == 3, -F.col("food_id")).otherwise(F.col("food_id"))
+    return integrity.never_listed(b.food(), b.menu().select(listed.alias("food_id")), "food_id")
 
 
 @query("never_ordered_with_unknown", "Q17 J10", """
@@ -230,20 +243,20 @@ MENU_CONTRACT = TableContract(
 )
 
 
-@query("constraint_violations", "Q16", """
-    SELECT 'menu' AS "table", 'not null restaurant_id' AS rule, count(*) - count(restaurant_id) AS violations FROM m_menu
-    UNION ALL SELECT 'menu', 'range restaurant_id int', 0
-    UNION ALL SELECT 'menu', 'not null food_id', count(*) - count(food_id) FROM m_menu
-    UNION ALL SELECT 'menu', 'range food_id int', 0
-    UNION ALL SELECT 'menu', 'length cuisine <= 1', count(*) FROM m_menu WHERE length(cuisine) > 1
-    UNION ALL SELECT 'menu', 'range price decimal(6,2)', count(*) FROM m_menu WHERE abs(price) >= 10000
-    UNION ALL SELECT 'menu', 'unique restaurant_id, food_id', count(*) - count(DISTINCT (restaurant_id, food_id)) FROM m_menu
-    UNION ALL SELECT 'menu', 'references restaurant_id -> restaurant', count(*) FROM m_menu
-              WHERE restaurant_id NOT IN (SELECT restaurant_id FROM m_restaurant WHERE restaurant_id % 10 <> 0)
-    UNION ALL SELECT 'menu', 'references food_id -> food', count(*) FROM m_menu
-              WHERE food_id NOT IN (SELECT food_id FROM m_food WHERE food_id % 10 <> 0)""")
+@query("constraint_violations", "Q16", STRAY + """
+    SELECT 'menu' AS "table", 'not null restaurant_id' AS rule, count(*) - count(restaurant_id) AS violations FROM s
+    UNION ALL SELECT 'menu', 'range restaurant_id int', count(*) FROM s WHERE restaurant_id > 2147483647
+    UNION ALL SELECT 'menu', 'not null food_id', count(*) - count(food_id) FROM s
+    UNION ALL SELECT 'menu', 'range food_id int', count(*) FROM s WHERE food_id > 2147483647
+    UNION ALL SELECT 'menu', 'length cuisine <= 1', count(*) FROM s WHERE length(cuisine) > 1
+    UNION ALL SELECT 'menu', 'range price decimal(6,2)', count(*) FROM s WHERE abs(price) >= 10000
+    UNION ALL SELECT 'menu', 'unique restaurant_id, food_id', count(*) - count(DISTINCT (restaurant_id, food_id)) FROM s
+    UNION ALL SELECT 'menu', 'references restaurant_id -> restaurant', count(*) FROM s
+              WHERE restaurant_id NOT IN (SELECT restaurant_id FROM m_restaurant)
+    UNION ALL SELECT 'menu', 'references food_id -> food', count(*) FROM s
+              WHERE food_id NOT IN (SELECT food_id FROM m_food)""")
 def constraint_violations(b):
-    return integrity.constraint_violations("menu", b.menu(), MENU_CONTRACT, _parents_with_gaps(b))
+    return integrity.constraint_violations("menu", _stray_menu(b), MENU_CONTRACT, _parents(b))
 
 
 @query("reconciled_counts", "Q14", """
@@ -276,15 +289,13 @@ def orders_ranked_by_price(b):
 
 
 @query("table_profile", "P1 P3", """
-    SELECT 'listings' AS "table", count(*) AS rows, CAST(3 AS BIGINT) AS columns,
-           count(*) - count(DISTINCT (cuisine, restaurant_id % 100, rating)) AS duplicate_rows,
-           CAST(count(*) - count(rating) AS BIGINT) AS null_cells
-    FROM (SELECT m.cuisine, m.restaurant_id, r.rating FROM m_menu m JOIN m_restaurant r USING (restaurant_id)) t""")
+    SELECT 'm_orders' AS "table", count(*) AS rows, CAST(7 AS BIGINT) AS columns,
+           count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM m_orders) d) AS duplicate_rows,
+           CAST(7 * count(*) - count(order_datetime) - count(quantity) - count(sales_amount) - count(currency)
+                - count(user_id) - count(restaurant_id) - count(basket_id) AS BIGINT) AS null_cells
+    FROM m_orders""")
 def table_profile(b):
-    joined = b.menu().join(b.restaurant().select("restaurant_id", "rating"), "restaurant_id")
-    return profiling.table_profile(
-        joined.select("cuisine", (F.col("restaurant_id") % 100).alias("bucket"), "rating"), "listings"
-    )
+    return profiling.table_profile(b.orders(), "m_orders")
 
 
 PROFILE_LINE = """
@@ -358,18 +369,18 @@ def candidate_join_keys(b):
     )
 
 
-@query("foreign_key_checklist", "P7", """
+@query("foreign_key_checklist", "P7", STRAY + """
     SELECT 'menu.restaurant_id -> restaurant.restaurant_id' AS foreign_key, true AS present,
-           count(*) AS child_values, count(*) FILTER (WHERE k % 10 <> 0) AS matched_values,
-           round(count(*) FILTER (WHERE k % 10 <> 0) / CAST(count(*) AS DOUBLE), 4) AS inclusion
-    FROM (SELECT DISTINCT restaurant_id AS k FROM m_menu) t
+           count(*) AS child_values, count(*) FILTER (WHERE k IN (SELECT restaurant_id FROM m_restaurant)) AS matched_values,
+           round(count(*) FILTER (WHERE k IN (SELECT restaurant_id FROM m_restaurant)) / CAST(count(*) AS DOUBLE), 4) AS inclusion
+    FROM (SELECT DISTINCT restaurant_id AS k FROM s) t
     UNION ALL
-    SELECT 'menu.food_id -> food.food_id', true, count(*), count(*) FILTER (WHERE k % 10 <> 0),
-           round(count(*) FILTER (WHERE k % 10 <> 0) / CAST(count(*) AS DOUBLE), 4)
-    FROM (SELECT DISTINCT food_id AS k FROM m_menu) t""")
+    SELECT 'menu.food_id -> food.food_id', true, count(*), count(*) FILTER (WHERE k IN (SELECT food_id FROM m_food)),
+           round(count(*) FILTER (WHERE k IN (SELECT food_id FROM m_food)) / CAST(count(*) AS DOUBLE), 4)
+    FROM (SELECT DISTINCT food_id AS k FROM s) t""")
 def foreign_key_checklist(b):
     return profiling.foreign_key_checklist(
-        {"menu": b.menu(), **_parents_with_gaps(b)}, [("menu", MENU_TO_RESTAURANT), ("menu", MENU_TO_FOOD)]
+        {"menu": _stray_menu(b), **_parents(b)}, [("menu", MENU_TO_RESTAURANT), ("menu", MENU_TO_FOOD)]
     )
 
 
@@ -401,13 +412,12 @@ def _scratch(b, name: str) -> str:
 
 
 @query("load_report", "S1 S3 S5 S6 S7 S12 Q13 Q14", """
-    food AS (SELECT food_id FROM m_food WHERE food_id % 10 <> 0),
     listed AS (SELECT restaurant_id, food_id, first(price ORDER BY listed_in) AS price FROM m_menu GROUP BY 1, 2),
     o AS (SELECT o.*, 1 AS one FROM m_orders o)
     SELECT 'users' AS "table", (SELECT count(*) FROM customer) AS read, 0 AS coerced, 0 AS negative, 0 AS deduplicated,
            0 AS quarantined, (SELECT count(*) FROM customer) AS stored
     UNION ALL SELECT 'restaurant', count(*), count(*) - count(rating), 0, 0, 0, count(*) FROM m_restaurant
-    UNION ALL SELECT 'food', count(*), 0, 0, 0, 0, count(*) FROM food
+    UNION ALL SELECT 'food', count(*), 0, 0, 0, 0, count(*) FROM m_food
     UNION ALL SELECT 'menu', (SELECT count(*) FROM m_menu), 0, 0, (SELECT count(*) FROM m_menu) - count(*),
                      count(*) FILTER (WHERE food_id % 10 = 0), count(*) FILTER (WHERE food_id % 10 <> 0) FROM listed
     UNION ALL SELECT 'orders', count(*), 0, count(*) FILTER (WHERE sales_amount < 0), 0, 0, count(*) FROM o""")
@@ -426,12 +436,13 @@ def load_report(b):
         F.concat(F.lit("₹ "), F.col("cost_for_two")).alias("Approx Cost (for two)"), "cuisine",
         *[F.lit(None).cast("string").alias(c) for c in ("license", "link", "address")],
     )
-    food = b.food().where("food_id % 10 <> 0").select(
+    food = b.food().select(
         F.concat(F.lit("fd"), F.col("food_id")).alias("f_id"), F.col("name").alias("item"), F.col("veg_or_non_veg").alias("type")
     )
     menu = b.menu().select(
         F.concat(F.lit("mn"), F.col("listed_at")).alias("menu_id"), F.col("restaurant_id").alias("r_id"),
-        F.concat(F.lit("fd"), F.col("food_id")).alias("f_id"), "cuisine", F.col("price").cast("string").alias("price"),
+        F.concat(F.lit("fd"), F.col("food_id") + F.when(F.col("food_id") % 10 == 0, 1_000_000).otherwise(0)).alias("f_id"),
+        "cuisine", F.col("price").cast("string").alias("price"),
     )
     orders = b.orders().select(
         F.date_format("order_datetime", "dd/MM/yyyy HH:mm").alias("Order Date"), F.col("quantity").alias("sales_qty"),

@@ -9,7 +9,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators import basket, calendar, churn, clustering, evaluation, forecast, rfm
+from ledgerline.model import StarModel
+from ledgerline.operators import basket, calendar, churn, clustering, evaluation, explore, forecast, measures, rfm
 from ledgerline.operators.joins import weeks_touched
 from ledgerline.plans import dashboard, exports
 from ledgerline.session import freeze
@@ -87,8 +88,8 @@ def blobs(spark, n=300):
     return freeze(spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(points)], "id long, a double, b double"))
 
 
-def brute_silhouette(x, labels):
-    gaps = np.linalg.norm(x[:, None] - x[None], axis=2)
+def brute_silhouette(x, labels, power=1):
+    gaps = np.linalg.norm(x[:, None] - x[None], axis=2) ** power
     out = []
     for i in range(len(x)):
         own = labels == labels[i]
@@ -106,8 +107,12 @@ def test_silhouette_and_choice_of_k(spark):
     sweep = clustering.sweep_k(df, "id", ["a", "b"], ks=(2, 3, 4), n_init=3)
     assert sweep.best_k == 3
     labelled = clustering.assign_clusters(df, ["a", "b"], sweep.models[3], "a").toPandas()
-    expected = brute_silhouette(labelled[["a", "b"]].to_numpy(), labelled["cluster"].to_numpy())
-    assert sweep.silhouettes[3] == pytest.approx(expected, abs=1e-9)
+    points, clusters = labelled[["a", "b"]].to_numpy(), labelled["cluster"].to_numpy()
+    assert sweep.silhouettes[3] == pytest.approx(brute_silhouette(points, clusters, 2), abs=1e-9)
+    sampled = clustering.sweep_k(df, "id", ["a", "b"], ks=(3,), n_init=3, sample=10_000)
+    assert sampled.silhouettes[3] == pytest.approx(brute_silhouette(points, clusters), abs=1e-9)
+    with pytest.raises(ValueError):
+        clustering.silhouettes(clustering.with_vector(df, ["a", "b"]).withColumn("l", F.lit(0)), {1: "l"}, most=10)
     assert all(-1 <= s <= 1 for s in sweep.silhouettes.values())
     assert sweep.table(df).where("chosen").first()["k"] == 3
     means = labelled.groupby("cluster")["a"].mean()
@@ -183,6 +188,64 @@ def test_forecasts_follow_trend_and_season(series, method):
     assert (errors["mape"] < 8).all()
 
 
+@pytest.mark.parametrize("method", ["seasonal", "holt_winters"])
+def test_short_empty_and_young_series_are_kept(spark, method):
+    weeks = [w.date() for w in pd.date_range("2019-01-07", periods=40, freq="W-MON")]
+    rows = [("short", w, float(i)) for i, w in enumerate(weeks)] + [("blank", w, None) for w in weeks]
+    rows += [("young", w, 5.0) for w in weeks[-3:]]
+    series = freeze(spark.createDataFrame(rows, "series string, week date, revenue double"))
+    kept_back = forecast.holdout(series)
+    train, test = forecast.split_holdout(series, kept_back)
+    predicted = freeze(forecast.forecast_series(train, kept_back, method, {}))
+    forms = {r["series"]: r["form"] for r in predicted.select("series", "form").distinct().collect()}
+    assert forms == {"short": "straight trend" if method == "seasonal" else "no season", "blank": "no value"}
+    bent = forecast.forecast_series(train.where("series = 'short'"), kept_back, method, {}, bends_from=10, season_from=10)
+    assert {r["form"] for r in bent.collect()} == {"bending trend" if method == "seasonal" else "no season"}
+    assert predicted.where("series = 'blank' AND forecast IS NOT NULL").count() == 0
+    weeks_judged = {r["series"]: r["weeks"] for r in forecast.holdout_errors(test, predicted).collect()}
+    assert weeks_judged == {"short": 12, "blank": 0, "young": 0}
+    table = forecast.forecast_table(series, predicted, kept_back)
+    assert table.where("series = 'young'").count() == 3
+
+
+def test_functions_run_where_executors_lack_the_package(tmp_path):
+    """A forecast from an empty folder: only the driver knows where the package is."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as entry
+from ledgerline.session import build_session
+spark = build_session("elsewhere", "local[2]", **{{"spark.sql.shuffle.partitions": "2"}})
+print("ROWS", entry.queries()["seasonal_forecast"](spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS" in run.stdout, run.stderr[-2000:]
+
+
+def test_orders_without_an_amount_do_not_lower_the_average(spark):
+    orders = spark.createDataFrame([(1, 100, "INR"), (1, None, "INR"), (2, None, "INR")], "restaurant_id long, sales_amount int, currency string")
+    sellers = spark.createDataFrame([(1, "a"), (2, "b")], "restaurant_id long, cuisine string")
+    rows = measures.order_value_by_tag(StarModel(orders, sellers)).collect()
+    assert [(r["tag"], r["aov"], r["orders"]) for r in rows] == [("b", None, 1), ("a", 100.0, 2)]
+
+
+def test_unrated_sellers_leave_the_location_profile(spark):
+    orders = spark.createDataFrame([(1, "INR"), (2, "INR")], "restaurant_id long, currency string")
+    sellers = spark.createDataFrame([(1, "x", 100, 4.0), (2, "x", 900, None)], "restaurant_id long, location string, cost_for_two int, rating double")
+    row = explore.location_profile(StarModel(orders, sellers), min_sellers=1).first()
+    assert (row["avg_cost"], row["sellers"]) == (100.0, 1)
+
+
+def test_split_of_an_empty_table_is_empty(spark):
+    assert churn.stratified_split(spark.createDataFrame([], "user_id long, churned int"), "user_id").count() == 0
+
+
 def test_partial_last_week_can_be_dropped(spark):
     orders = spark.createDataFrame(
         [("2020-01-06", 10), ("2020-01-12", 5), ("2020-01-14", 7)], "d string, a int"

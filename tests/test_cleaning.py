@@ -20,6 +20,9 @@ INTEGERS = [
     ("Too Few Ratings", None, "lost"), ("567335.5", None, "nonint"), ("1,234", 1234, "plain"), (None, None, None),
     ("-7", -7, "plain"), ("  8 ", 8, "plain"), ("1e3", 1000, "plain"), ("inf", None, "lost"), ("nan", None, "lost"),
     ("1d", None, "lost"), ("9007199254740993", 9007199254740993, "plain"), ("abc-12", 12, "prefix"), ("", None, "lost"),
+    ("1234567890123456789", 1234567890123456789, "plain"), ("fd9007199254740993", 9007199254740993, "prefix"),
+    ("9007199254740993.0", 9007199254740993, "plain"), ("9007199254740993+", 9007199254740993, "band"),
+    ("9223372036854775808", None, "plain"),
 ]
 NUMBERS = [
     ("₹ 200", 200.0), ("--", None), ("NEW", None), ("4.1", 4.1), ("-300.5", -300.5), ("1,250.00", 1250.0),
@@ -83,6 +86,13 @@ def test_strings(spark):
         (["03/04/2019", "2019-05-06 10:30"], [datetime(2019, 3, 4), datetime(2019, 5, 6, 10, 30)]),
         (["31/12/2019", "soon", "1-2-2020 5:06:07"], [datetime(2019, 12, 31), None, datetime(2020, 2, 1, 5, 6, 7)]),
         (["2020/02/29", "2019-02-29", "2019"], [datetime(2020, 2, 29), None, None]),
+        (
+            ["2019-12-25T10:00:00Z", "12/25/2019 10:00 PM", "25-Dec-2019", "December 25, 2019", "12/25/19", "20191225",
+             "25.12.2019", "2019-12-25 10:00:00+05:30"],
+            [datetime(2019, 12, 25, 10), datetime(2019, 12, 25, 22), *[datetime(2019, 12, 25)] * 5, datetime(2019, 12, 25, 4, 30)],
+        ),
+        (["1 jan 70", "Feb 30, 2019", "Xyz 3, 2019", "3/4/2019 12:05 am", "13/13/2019", "2019-01-02T03:04:05.678"],
+         [datetime(1970, 1, 1), None, None, datetime(2019, 3, 4, 0, 5), None, datetime(2019, 1, 2, 3, 4, 5, 678000)]),
     ],
 )
 def test_dates(spark, cells, expected):

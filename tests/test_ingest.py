@@ -125,3 +125,24 @@ def test_samples_in_order_of_appearance(spark):
     row = column_profile(df, order_by="at", samples=3).where("column = 'v'").first()
     assert row["sample_values"] == "z, a, " + "x" * 22 + "..."
     assert (row["non_null"], row["nulls"], row["distinct_values"]) == (4, 1, 3)
+
+
+def test_only_the_file_with_a_line_break_is_parsed_as_a_whole(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(10):
+        lines = [f"{i},{j},plain {j}" for j in range(2_000)]
+        if i == 3:
+            lines[5] = '3,5,"two\nlines"'
+        (folder / f"part-{i}.csv").write_text("a,b,c\n" + "\n".join(lines) + "\n")
+    assert [t.quoted_line_breaks for t in files.inspect_csv_files(spark, str(folder)).values()] == [True]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = files.read_csv_robust(spark, str(folder))
+        # The whole file is one task, the nine others are split into several each.
+        assert df.rdd.getNumPartitions() > 20
+        assert df.count() == 20_000
+        assert df.where("a = 3 AND b = 5").first()["c"] == "two\nlines"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

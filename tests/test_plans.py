@@ -102,3 +102,13 @@ def test_every_query_plan_is_free_of_cross_joins(spark, folder):
         if name not in fitted:
             text = plan(query.run(spark, folder))
             assert "CartesianProduct" not in text and "NestedLoop" not in text, name
+
+
+def test_profiles_scan_once_and_shuffle_no_text(spark, folder):
+    docs = Binding(spark, folder).raw("documents").select("doc_id", "lang", "text")
+    profile = profiling.column_profile(docs)
+    profile.collect()
+    final = profile._jdf.queryExecution().executedPlan().toString()
+    final = final[: final.index("Initial Plan")] if "Initial Plan" in final else final
+    assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
+    assert "hashpartitioning(column" in final and "hashpartitioning(column, value" not in final
