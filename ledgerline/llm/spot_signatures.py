@@ -3,8 +3,8 @@
 A common word (article, preposition, form of "to be") directly followed by a content word is a spot; its
 signature is the chain of the next two content words, common words between them skipped. A text's
 fingerprint is its sorted set of 64-bit signature hashes. Edits far from a spot leave its signature alone,
-and boilerplate without common words makes no spots. A text without a spot (a list of names, a single
-word) is fingerprinted by its words instead, an empty one by nothing.
+and boilerplate without common words makes no spots. A text with fewer than eight spots (a line, a list of
+names) is fingerprinted by its words as well, an empty one by nothing.
 
 Sets are partitioned by length: two sets whose lengths are too far apart cannot reach a similarity, and
 the rarest tokens of a set must meet those of any set that is similar enough. ``near_pairs`` joins on both
@@ -31,6 +31,7 @@ COMMON_WORDS = (
     "au aux avec ce dans de des du elle en est et il la le les ne ou par pas pour que qui se son sont sur un une "
     "al como con del el en es está la las lo los más no o para pero por que se ser su sus un una y"
 )
+FEW_SPOTS = 8
 ROWS_IN_BUCKET = 2_000
 MOST_BUCKETS = 20_000
 
@@ -44,7 +45,7 @@ def signatures(text: Column) -> Column:
     chains = F.regexp_extract_all(marked, F.lit(r"\| (?=([^| ]+[| ]+[^| ]+) )"), F.lit(1))
     words = F.filter(F.split(plain, " "), lambda w: w != "")
     spots = F.transform(chains, lambda c: F.xxhash64(F.regexp_replace(c, "[| ]+", " ")))
-    return F.array_sort(F.array_distinct(F.when(F.size(chains) > 0, spots).otherwise(F.transform(words, lambda w: F.xxhash64(w)))))
+    return F.array_sort(F.array_distinct(F.when(F.size(chains) >= FEW_SPOTS, spots).otherwise(F.concat(spots, F.transform(words, lambda w: F.xxhash64(w))))))
 
 
 def as_text(signature_set: Column) -> Column:

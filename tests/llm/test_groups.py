@@ -131,9 +131,14 @@ def test_spot_signatures_compare_with_the_right_neighbour(spark):
 def test_spot_signature_rules(spark):
     rows = spark.createDataFrame([("The cat and the dog of Rome",), ("dog rome",), ("",)], "text string")
     sets = [r[0] for r in rows.select(spot_signatures.signatures(F.col("text"))).collect()]
-    chains = spark.range(1).select(F.array_sort(F.array(F.xxhash64(F.lit("cat dog")), F.xxhash64(F.lit("dog rome"))))).first()[0]
-    words = spark.range(1).select(F.array_sort(F.array(F.xxhash64(F.lit("dog")), F.xxhash64(F.lit("rome"))))).first()[0]
-    assert sets == [chains, words, []]
+
+    def hashes(*texts):
+        return spark.range(1).select(F.array_sort(F.array(*[F.xxhash64(F.lit(t)) for t in texts]))).first()[0]
+
+    assert sets == [hashes("cat dog", "dog rome", *"the cat and dog of rome".split()), hashes("dog", "rome"), []]
+    spots = [f"the w{i} x{i}" for i in range(9)]
+    long = spark.createDataFrame([(" ".join(spots),)], "text string").select(spot_signatures.signatures(F.col("text"))).first()[0]
+    assert long == hashes(*[f"w{i} x{i}" for i in range(9)])
     assert spot_signatures.compare_with_edits(brute.table(spark, [])).count() == 0
 
 
