@@ -7,16 +7,16 @@ form a run; the region of a run is all symbols its windows cover.
 
 Texts are read once for the anchors and once for the regions of repeated anchors. Equal regions are kept
 once, with map-side combining, so groups of copies cost one region. Regions with one anchor go to one
-shard, whose size does not grow with the data. An anchor with more than ``hot`` distinct regions, say a
-common line in changing surroundings, would make a shard too large: its windows travel singly instead and
-are grouped by their own content, which is exact and has no hot key beyond map-side combining.
+shard, whose size does not grow with the data. An anchor whose distinct regions alone are more than a shard
+should hold, say a common line in changing surroundings, is hot: its windows travel singly instead and are
+grouped by their own content, which is exact and has no hot key beyond map-side combining.
 
 ``docs`` must give the same rows in the same partitions when it is read again, as files do.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
 
@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import stash
 
 PIECE = 1 << 22
-SHARD_SYMBOLS = 1_000_000
-HOT = 500
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACES = (9, 10, 11, 12, 13, 32)
@@ -37,11 +35,26 @@ _SPACES = (9, 10, 11, 12, 13, 32)
 
 @dataclass(frozen=True)
 class Windows:
-    """What a symbol is, how long a window is and how long the anchor gram."""
+    """What a symbol is, how long a window is and how long the anchor gram, and the symbols of one shard."""
 
     unit: str
     width: int
     gram: int
+    shard: int
+
+    def region_of(self, text: str | None) -> Callable[[int, int], bytes]:
+        """Content of a stretch of symbols: bytes as they are, or words joined by one space."""
+        raw = (text or "").encode("utf-8")
+        if self.unit == "byte":
+            return lambda first, last: raw[first:last]
+        words = raw.split()
+        return lambda first, last: b" ".join(words[first:last])
+
+    def windows_of(self, content: bytes) -> list[bytes]:
+        """Content of every window of a region."""
+        symbols = content if self.unit == "byte" else content.split(b" ")
+        parts = (symbols[i : i + self.width] for i in range(len(symbols) - self.width + 1))
+        return list(parts) if self.unit == "byte" else [b" ".join(p) for p in parts]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -62,7 +75,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def _span_hash(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+def span_hash(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Hash of values[first:last], wherever the span lies."""
     up, down = _powers(len(values) + 1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(values * up[:-1], dtype=np.uint64)])
@@ -78,15 +91,15 @@ def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def symbols_of(text: str | None, unit: str) -> np.ndarray:
+def symbols_of(text: bytes, unit: str) -> np.ndarray:
     """Bytes of a text as they are, or one 64-bit number for each word."""
-    raw = np.frombuffer((text or "").encode("utf-8"), dtype=np.uint8)
+    raw = np.frombuffer(text, dtype=np.uint8)
     if unit == "byte":
         return raw
     first, last = word_bounds(raw)
     if not len(first):
         return np.zeros(0, dtype=np.uint64)
-    return _span_hash(BYTES[raw], first, last)
+    return span_hash(BYTES[raw], first, last)
 
 
 def _least_in_windows(keys: np.ndarray, span: int) -> np.ndarray:
@@ -101,24 +114,24 @@ def _least_in_windows(keys: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(back[: n - span + 1], ahead[span - 1 : n])
 
 
-def runs_of(symbols: np.ndarray, spec: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: first window, last window, anchor place, anchor hash."""
+def runs_of(symbols: np.ndarray, spec: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one anchor: first window, last window, anchor hash."""
     found = []
     scale = BYTES[symbols] if spec.unit == "byte" else symbols
     span = spec.width - spec.gram + 1
     for at in range(0, max(0, len(symbols) - spec.width + 1), PIECE):
         part = scale[at : at + PIECE + spec.width - 1]
         starts = np.arange(len(part) - spec.gram + 1)
-        hashes = _span_hash(part, starts, starts + spec.gram)
+        hashes = span_hash(part, starts, starts + spec.gram)
         place = np.uint64(PIECE * 2 - 1)
         # The place breaks ties, so the leftmost of equal grams is the least.
         least = _least_in_windows((hashes & ~place) | starts.astype(np.uint64), span)
         anchor = (least & place).astype(np.int64)
         new = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
         last = np.append(new[1:], len(anchor)) - 1
-        found.append((at + new, at + last, at + anchor[new], hashes[anchor[new]].view(np.int64)))
+        found.append((at + new, at + last, hashes[anchor[new]].view(np.int64)))
     if not found:
-        return tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
+        return tuple(np.zeros(0, dtype=np.int64) for _ in range(3))
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
@@ -127,13 +140,13 @@ def _sketch(spec: Windows):
         for batch in batches:
             uids, ranks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for at in range(0, len(uids), 512):
-                columns = [[] for _ in range(6)]
+                columns = [[] for _ in range(5)]
                 for uid, rank, text in zip(uids[at : at + 512], ranks[at : at + 512], batch.column(2).slice(at, 512)):
-                    own = runs_of(symbols_of(text.as_py(), spec.unit), spec)
+                    own = runs_of(symbols_of((text.as_py() or "").encode("utf-8"), spec.unit), spec)
                     for column, values in zip(columns, (np.full(len(own[0]), uid), np.full(len(own[0]), rank), *own)):
                         column.append(values)
                 arrays = [pa.array(np.concatenate(c), type=pa.int64()) for c in columns]
-                yield pa.RecordBatch.from_arrays(arrays, names=["uid", "rank", "first", "last", "place", "anchor"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["uid", "rank", "first", "last", "anchor"])
 
     return sketch
 
@@ -147,31 +160,22 @@ def _regions(spec: Windows):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                uids, ranks, firsts, places, anchors, windows, keys, contents = ([] for _ in range(8))
+                uids, ranks, firsts, anchors, windows, keys, contents = ([] for _ in range(7))
                 for uid, rank, text, runs in zip(*(part.column(i) for i in range(4))):
-                    symbols = symbols_of(text.as_py(), spec.unit)
+                    region = spec.region_of(text.as_py())
                     for run in runs.as_py():
-                        content = symbols[run["first"] : run["last"] + spec.width].tobytes()
+                        content = region(run["first"], run["last"] + spec.width)
                         uids.append(uid.as_py())
                         ranks.append(rank.as_py())
                         firsts.append(run["first"])
-                        places.append(run["place"] - run["first"])
                         anchors.append(run["anchor"])
                         windows.append(run["last"] - run["first"] + 1)
                         keys.append(content_key(content))
                         contents.append(content)
+                columns = [pa.array(c, pa.int64()) for c in (uids, ranks, firsts, anchors, windows)]
+                columns += [pa.array(c, pa.binary()) for c in (keys, contents)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(uids, pa.int64()),
-                        pa.array(ranks, pa.int64()),
-                        pa.array(firsts, pa.int64()),
-                        pa.array(places, pa.int64()),
-                        pa.array(anchors, pa.int64()),
-                        pa.array(windows, pa.int64()),
-                        pa.array(keys, pa.binary()),
-                        pa.array(contents, pa.binary()),
-                    ],
-                    names=["uid", "rank", "first", "place", "anchor", "windows", "region", "content"],
+                    columns, names=["uid", "rank", "first", "anchor", "windows", "region", "content"]
                 )
 
     return regions
@@ -186,33 +190,37 @@ def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def candidate_regions(rows: DataFrame, spec: Windows, across: bool) -> DataFrame:
-    """Regions of repeated anchors: (uid, rank, first, place, anchor, windows, region, content), on shared disk.
+    """Regions of repeated anchors: (uid, rank, first, anchor, windows, region, content), on shared disk.
 
     ``across``: an anchor only counts as repeated if it occurs under two ranks.
     """
-    kind = "uid long, rank long, first long, last long, place long, anchor long"
+    kind = "uid long, rank long, first long, last long, anchor long"
     found = stash(rows.select("uid", "rank", "text").mapInArrow(_sketch(spec), kind), "anchors")
-    counted = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("rank").alias("a"), F.max("rank").alias("b"))
-    repeated = counted.where("a <> b" if across else "n > 1").select("anchor")
+    if across:
+        repeated = found.groupBy("anchor").agg(F.min("rank").alias("a"), F.max("rank").alias("b")).where("a <> b")
+    else:
+        repeated = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    narrow = found.select("uid", F.col("first").cast("int"), F.col("last").cast("int"), "anchor")
     runs = (
-        found.join(repeated, "anchor")
+        narrow.join(repeated.select("anchor"), "anchor", "left_semi")
         .groupBy("uid")
-        .agg(F.collect_list(F.struct("first", "last", "place", "anchor")).alias("runs"))
+        .agg(F.collect_list(F.struct("first", "last", "anchor")).alias("runs"))
     )
     wanted = rows.select("uid", "rank", "text").join(runs, "uid").select("uid", "rank", "text", "runs")
-    kind = "uid long, rank long, first long, place long, anchor long, windows long, region binary, content binary"
+    kind = "uid long, rank long, first long, anchor long, windows long, region binary, content binary"
     return stash(wanted.mapInArrow(_regions(spec), kind), "regions")
 
 
-def split_hot(regions: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """Regions of ordinary anchors, and those of anchors with more than ``hot`` distinct regions."""
-    kinds = regions.select("anchor", "region").distinct().groupBy("anchor").count()
-    crowded = stash(kinds.where(F.col("count") > hot).select("anchor"), "hot-anchors")
+def split_hot(regions: DataFrame, spec: Windows) -> tuple[DataFrame, DataFrame]:
+    """Regions of ordinary anchors, and those of anchors with more than a shard of distinct regions."""
+    kinds = regions.select("anchor", "region", "windows").distinct()
+    held = kinds.groupBy("anchor").agg(F.sum(F.col("windows") + spec.width).alias("symbols"))
+    crowded = stash(held.where(F.col("symbols") > spec.shard).select("anchor"), "hot-anchors")
     # Hot anchors are few among many; the join leaves the choice of a broadcast to their real size.
     return regions.join(crowded, "anchor", "left_anti"), regions.join(crowded, "anchor", "left_semi")
 
 
-def sharded(distinct: DataFrame, symbols: int, per_shard: int = SHARD_SYMBOLS) -> DataFrame:
+def sharded(distinct: DataFrame, symbols: int, spec: Windows) -> DataFrame:
     """Give regions of one anchor one shard, with as many shards as ``symbols`` ask for."""
-    count = max(1, -(-int(symbols) // per_shard))
+    count = max(1, -(-int(symbols) // spec.shard))
     return distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(count)))

@@ -30,6 +30,7 @@ from ledgerline.llm.suffixes import same_prefix_as_next, suffix_order
 
 WIDTH = 400
 GRAM = 128
+SHARD_BYTES = 1_000_000
 SPANS = "array<struct<first:long,last:long>>"
 
 
@@ -81,13 +82,12 @@ def single_windows(spec: Windows):
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 uids, places, keys, ranks = [], [], [], []
-                unit = 1 if spec.unit == "byte" else 8
-                for uid, first, count, content, rank in zip(*(part.column(i).to_pylist() for i in range(5))):
-                    for w in range(count):
+                for uid, first, content, rank in zip(*(part.column(i).to_pylist() for i in range(4))):
+                    for place, window in enumerate(spec.windows_of(content), first):
                         uids.append(uid)
-                        places.append(first + w)
+                        places.append(place)
                         ranks.append(rank)
-                        keys.append(content_key(content[w * unit : (w + spec.width) * unit]))
+                        keys.append(content_key(window))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(uids, pa.int64()),
@@ -101,14 +101,14 @@ def single_windows(spec: Windows):
     return windows
 
 
-def repeated_spans(rows: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = anchors.HOT) -> DataFrame:
+def repeated_spans(rows: DataFrame, width: int = WIDTH, gram: int = GRAM, shard: int = SHARD_BYTES) -> DataFrame:
     """(uid, spans): runs of repeated windows of each row of ``numbered`` documents, unmerged."""
-    spec = Windows("byte", width, gram)
+    spec = Windows("byte", width, gram, shard)
     regions = anchors.candidate_regions(rows, spec, across=False)
-    usual, crowded = anchors.split_hot(regions, hot)
+    usual, crowded = anchors.split_hot(regions, spec)
     distinct = usual.groupBy("anchor", "region").agg(F.count("*").alias("owners"), F.first("content").alias("content"))
     symbols = usual.agg(F.sum(F.col("windows") + width)).first()[0] or 0
-    sharded = anchors.sharded(distinct, symbols)
+    sharded = anchors.sharded(distinct, symbols, spec)
     found = sharded.groupBy("shard").applyInPandas(
         _repeated_in_shard(width), "anchor long, region binary, a long, b long"
     )
@@ -116,7 +116,7 @@ def repeated_spans(rows: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: i
     usual_spans = owners.join(found, ["anchor", "region"]).select(
         "uid", (F.col("first") + F.col("a")).alias("first"), (F.col("first") + F.col("b")).alias("last")
     )
-    single = crowded.select("uid", "first", "windows", "content", "rank").mapInArrow(
+    single = crowded.select("uid", "first", "content", "rank").mapInArrow(
         single_windows(spec), "uid long, place long, window binary, rank long"
     )
     twice = single.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
@@ -161,10 +161,10 @@ def _kept(width: int):
     return texts_function(kept, f"struct<n_bytes:long,removed:{SPANS},kept_sha256:string>")
 
 
-def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM, hot: int = anchors.HOT) -> DataFrame:
+def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM, shard: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, n_bytes, removed, kept_sha256): ``removed`` holds the maximal removed runs, past-the-end last."""
     rows = anchors.numbered(docs, doc_id, text)
-    spans = stash(repeated_spans(rows, width, gram, hot), "spans")
+    spans = stash(repeated_spans(rows, width, gram, shard), "spans")
     judged = rows.join(spans, "uid", "left").select("doc_id", _kept(width)(F.col("text"), F.col("spans")).alias("k"))
     return judged.select("doc_id", "k.n_bytes", "k.removed", "k.kept_sha256")
 

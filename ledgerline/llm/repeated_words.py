@@ -7,7 +7,8 @@ a wavelet tree whose bits are packed with sampled counts. The documents' windows
 the index by backward search; a window whose interval shrinks to itself is given up at once, and the others
 report the smallest document in their interval. Runs of such windows are the intervals above threshold.
 
-Words are compared as 64-bit numbers made from their bytes; regions by a 128-bit digest.
+Regions travel as their words. Words are compared as 64-bit numbers made from their bytes; regions by a
+128-bit digest.
 
 Defined results: null texts have no words; null ids count as larger than all others; repeated rows with one
 id do not remove each other, since neither id is smaller; repeats inside one document stay; an empty table
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import anchors
-from ledgerline.llm.anchors import Windows
+from ledgerline.llm.anchors import Windows, span_hash, symbols_of
 from ledgerline.llm.common import stash, texts_function
 from ledgerline.llm.repeated_bytes import covered_runs, runs_of_true, single_windows
 from ledgerline.llm.suffixes import suffix_order
@@ -33,6 +34,7 @@ from ledgerline.llm.suffixes import suffix_order
 WIDTH = 50
 GRAM = 20
 SHARD_WORDS = 250_000
+FAR = np.iinfo(np.int64).max
 
 
 class WaveletTree:
@@ -67,6 +69,26 @@ class WaveletTree:
         return self._down(symbols, places) - self.start[symbols]
 
 
+class LeastOfRange:
+    """Minima of ranges from minima of stretches whose lengths are powers of two."""
+
+    def __init__(self, values: np.ndarray):
+        self.values = values
+        tables, span = [values], 1
+        while 2 * span <= len(values):
+            last = tables[-1]
+            joined = np.full(len(values), FAR, dtype=np.int64)
+            joined[: len(values) - 2 * span + 1] = np.minimum(last[: len(values) - 2 * span + 1], last[span : len(values) - span + 1])
+            tables.append(joined)
+            span *= 2
+        self.tables = np.stack(tables)
+
+    def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Minimum of values[low:high] for each range, none of them empty."""
+        level = np.frexp((high - low).astype(np.float64))[1] - 1
+        return np.minimum(self.tables[level, low], self.tables[level, high - (1 << level.astype(np.int64))])
+
+
 class FMIndex:
     """Backward search over a sequence of integers; its last symbol must be its only least one."""
 
@@ -85,7 +107,7 @@ class FMIndex:
 def _smallest_in_shard(width: int):
     def smallest(group: pd.DataFrame) -> pd.DataFrame:
         """Runs of windows of each region, with the smallest rank that has them, if that can matter."""
-        contents = [np.frombuffer(c, dtype=np.int64) for c in group["content"]]
+        contents = [symbols_of(c, "word") for c in group["content"]]
         sizes = np.array([len(c) for c in contents])
         starts = np.cumsum(sizes + 1) - sizes - 1
         # 1 ends the text, 2 a region, words count from 3.
@@ -97,22 +119,28 @@ def _smallest_in_shard(width: int):
         symbols[-1] = 1
         index = FMIndex(symbols)
         least, most = group["least"].to_numpy(), group["most"].to_numpy()
-        alone = least == most
+        ranks = LeastOfRange(np.append(least[owner], FAR)[index.order])
 
+        # Equal windows of several regions are one pattern, which matters up to its largest rank.
         window = np.flatnonzero(offset <= sizes[owner] - width)
-        low = np.zeros(len(window), dtype=np.int64)
-        high = np.full(len(window), len(symbols), dtype=np.int64)
+        numbers = np.zeros(len(owner), dtype=np.uint64)
+        numbers[offset < sizes[owner]] = np.concatenate(contents)
+        _, place, pattern = np.unique(span_hash(numbers, window, window + width), return_index=True, return_inverse=True)
+        reach = np.full(len(place), -FAR, dtype=np.int64)
+        np.maximum.at(reach, pattern, most[owner[window]])
+
+        alive, low, high = np.arange(len(place)), np.zeros(len(place), dtype=np.int64), np.full(len(place), len(symbols))
         for step in range(width - 1, -1, -1):
-            low, high = index.extend(symbols[window + step], low, high)
-            # The interval holds the window itself; nothing else can be found any more.
-            keep = (high - low > 1) | ~alone[owner[window]]
-            window, low, high = window[keep], low[keep], high[keep]
-        rank_at = np.append(least[owner], np.iinfo(np.int64).max)[index.order]
-        rank_at = np.append(rank_at, np.iinfo(np.int64).max)
-        if len(window):
-            found = np.minimum.reduceat(rank_at, np.stack([low, high], axis=1).ravel())[::2]
-        else:
-            found = np.zeros(0, dtype=np.int64)
+            low, high = index.extend(symbols[window[place[alive]] + step], low, high)
+            # A longer match lies in a part of the interval, so nothing below the reach can turn up any more.
+            single = high - low == 1
+            keep = ~single | (ranks.values[low] < reach[alive])
+            if step % 4 == 0:
+                keep &= ranks.least(low, high) < reach[alive]
+            alive, low, high = alive[keep], low[keep], high[keep]
+        smallest_of = np.full(len(place), FAR, dtype=np.int64)
+        smallest_of[alive] = ranks.least(low, high)
+        found = smallest_of[pattern]
         matters = found < most[owner[window]]
         window, found = window[matters], found[matters]
         # Neighbouring windows of one region with one smallest rank make one run.
@@ -134,16 +162,16 @@ def _smallest_in_shard(width: int):
     return smallest
 
 
-def matching_intervals(rows: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = anchors.HOT) -> DataFrame:
+def matching_intervals(rows: DataFrame, width: int = WIDTH, gram: int = GRAM, shard: int = SHARD_WORDS) -> DataFrame:
     """(uid, first, last, smallest): runs of windows that also start under a smaller rank."""
-    spec = Windows("word", width, gram)
+    spec = Windows("word", width, gram, shard)
     regions = anchors.candidate_regions(rows, spec, across=True)
-    usual, crowded = anchors.split_hot(regions, hot)
+    usual, crowded = anchors.split_hot(regions, spec)
     distinct = usual.groupBy("anchor", "region").agg(
         F.min("rank").alias("least"), F.max("rank").alias("most"), F.first("content").alias("content")
     )
     symbols = usual.agg(F.sum(F.col("windows") + width)).first()[0] or 0
-    sharded = anchors.sharded(distinct, symbols, SHARD_WORDS)
+    sharded = anchors.sharded(distinct, symbols, spec)
     found = sharded.groupBy("shard").applyInPandas(
         _smallest_in_shard(width), "anchor long, region binary, a long, b long, smallest long"
     )
@@ -152,7 +180,7 @@ def matching_intervals(rows: DataFrame, width: int = WIDTH, gram: int = GRAM, ho
     usual_runs = usual_runs.select(
         "uid", (F.col("first") + F.col("a")).alias("first"), (F.col("first") + F.col("b")).alias("last"), "smallest"
     )
-    single = crowded.select("uid", "first", "windows", "content", "rank").mapInArrow(
+    single = crowded.select("uid", "first", "content", "rank").mapInArrow(
         single_windows(spec), "uid long, place long, window binary, rank long"
     )
     lowest = single.groupBy("window").agg(F.min("rank").alias("smallest"), F.max("rank").alias("most"))
@@ -189,10 +217,10 @@ def _kept(width: int):
     return texts_function(kept, f"struct<n_words:long,removed:{spans},kept_sha256:string>")
 
 
-def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM, hot: int = anchors.HOT) -> DataFrame:
+def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, gram: int = GRAM, shard: int = SHARD_WORDS) -> DataFrame:
     """(doc_id, n_words, removed, kept_sha256): ``removed`` holds the maximal removed runs of words."""
     rows = anchors.numbered(docs, doc_id, text)
-    runs = matching_intervals(rows, width, gram, hot)
+    runs = matching_intervals(rows, width, gram, shard)
     spans = stash(runs.groupBy("uid").agg(F.collect_set(F.struct("first", "last")).alias("spans")), "spans")
     judged = rows.join(spans, "uid", "left").select("doc_id", _kept(width)(F.col("text"), F.col("spans")).alias("k"))
     return judged.select("doc_id", "k.n_words", "k.removed", "k.kept_sha256")

@@ -58,20 +58,20 @@ def test_backward_search_counts_occurrences():
         assert high[0] - low[0] == count
 
 
-@pytest.mark.parametrize("seed,hot", [(1, 500), (2, 500), (3, 1), (4, 3)])
-def test_repeated_bytes(spark, seed, hot):
+@pytest.mark.parametrize("seed,shard", [(1, 1_000_000), (2, 900), (3, 45), (4, 150)])
+def test_repeated_bytes(spark, seed, shard):
     texts = random_texts(seed)
     docs = brute.table(spark, texts)
-    found = repeated_bytes.remove_repeated(docs, width=40, gram=12, hot=hot).collect()
+    found = repeated_bytes.remove_repeated(docs, width=40, gram=12, shard=shard).collect()
     got = {r["doc_id"]: (r["n_bytes"], sum(x["last"] - x["first"] for x in r["removed"]), len(r["removed"]), r["kept_sha256"]) for r in found}
     assert got == dict(enumerate(brute.removed_bytes(texts, 40)))
 
 
-@pytest.mark.parametrize("seed,hot", [(1, 500), (2, 500), (3, 1), (4, 3)])
-def test_repeated_words(spark, seed, hot):
+@pytest.mark.parametrize("seed,shard", [(1, 1_000_000), (2, 900), (3, 45), (4, 150)])
+def test_repeated_words(spark, seed, shard):
     texts = random_texts(seed, "ab \n")
     docs = [(i * 3 % 37, t) for i, t in enumerate(texts)] + [(None, texts[10]), (5, texts[11]), (5, texts[11])]
-    found = repeated_words.remove_repeated(brute.table(spark, docs), width=8, gram=3, hot=hot).collect()
+    found = repeated_words.remove_repeated(brute.table(spark, docs), width=8, gram=3, shard=shard).collect()
     got = sorted((str(r["doc_id"]), r["n_words"], sum(x["last"] - x["first"] for x in r["removed"]), r["kept_sha256"]) for r in found)
     assert got == sorted((str(d[0]), *e) for d, e in zip(docs, brute.removed_words(docs, 8)))
 
