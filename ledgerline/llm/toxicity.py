@@ -6,8 +6,8 @@ tell the labels apart. How often each of those terms occurs is counted over all
 read whole, becomes a unit TF-IDF vector over these terms.
 
 The examples lie in an inverted index by blocks: for each term the largest weight in each block bounds the
-cosine of all its examples. Blocks are opened in falling order of the bound until no block can hold one of
-the nearest any more, so the nearest are exact. They vote with the square of their cosine; each label's
+cosine of all its examples. The blocks of the highest bounds are opened first, and after them only those that
+can still hold one of the nearest, so the nearest are exact. They vote with the square of their cosine; each label's
 votes are weighted back to its share among all labelled rows, which makes the score a calibrated chance.
 
 Defined results: a text without any of the terms has no neighbour and scores the share of toxic rows;
@@ -32,8 +32,11 @@ TERMS = 4_096
 SLOTS = 1 << 20
 BEGINNINGS = (3, 4, 5, 6)
 NEAREST = 15
+FIRST_BLOCKS = 6
 BLOCK = 64
 PIECE = 1 << 20
+#: Odd numbers by place in a word, 64 of them; longer words use them again.
+POWERS = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
 def _letters() -> np.ndarray:
@@ -65,14 +68,11 @@ def term_slots(text: str | None, letters: np.ndarray) -> np.ndarray:
             rolling = mixed(rolling + codes[first + k] + np.uint64(1))
             if k + 1 in BEGINNINGS:
                 found.append(rolling[size > k])
-        # The whole word, from sums of its scrambled letters by place.
-        place = np.arange(len(codes)).astype(np.uint64)
-        owner = np.repeat(np.arange(len(first)), size)
+        # The whole word: a polynomial of its letters by place.
         inner = np.flatnonzero(inside[1:-1])
-        value = mixed(codes[inner] * np.uint64(0x9E3779B97F4A7C15) + place[inner] - np.repeat(first, size).astype(np.uint64))
-        sums = np.zeros(len(first), dtype=np.uint64)
-        np.add.at(sums, owner, value)
-        found.append(mixed(sums + np.uint64(7)))
+        starts = np.cumsum(size) - size
+        place = np.arange(len(inner)) - np.repeat(starts, size)
+        found.append(mixed(np.add.reduceat(codes[inner] * POWERS[place & 63], starts) + size.astype(np.uint64)))
     if not found:
         return np.zeros(0, dtype=np.int64)
     return (np.concatenate(found) >> np.uint64(44)).astype(np.int64)
@@ -147,35 +147,48 @@ def document_frequencies(docs: DataFrame, text: str, slots: list[int]) -> tuple[
 
 
 class BlockIndex:
-    """Examples in blocks, with the largest weight of each term in each block."""
+    """Examples in blocks, with the largest weight of each term in each block.
+
+    Examples are ordered by their strongest terms, so that those of one block look alike and bounds are tight.
+    """
 
     def __init__(self, weights: np.ndarray, block: int = BLOCK):
         """``weights``: examples by terms, rows of unit length."""
+        strongest = np.argsort(-weights, axis=1, kind="stable")[:, :2]
+        self.number = np.lexsort((strongest[:, -1], strongest[:, 0]))
+        blocks = -(-max(1, len(weights)) // block)
+        padded = np.zeros((blocks * block, weights.shape[1]), dtype=np.float32)
+        padded[: len(weights)] = weights[self.number]
+        self.number = np.append(self.number, np.zeros(blocks * block - len(weights), dtype=np.int64))
+        self.by_term = np.ascontiguousarray(padded.T).reshape(-1, blocks, block)
+        self.largest = self.by_term.max(axis=2)
         self.block = block
-        padded = -(-max(1, len(weights)) // block) * block
-        self.by_term = np.zeros((weights.shape[1], padded), dtype=np.float32)
-        self.by_term[:, : len(weights)] = weights.T
-        self.largest = self.by_term.reshape(weights.shape[1], -1, block).max(axis=2)
-        self.size = len(weights)
+
+    def _open(self, blocks: np.ndarray, terms: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of positive cosine in some blocks."""
+        cosine = query @ self.by_term[terms[:, None], blocks[None, :]].reshape(len(terms), -1)
+        places = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
+        hit = cosine > 0
+        return self.number[places[hit]], cosine[hit]
 
     def nearest(self, terms: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the ``k`` nearest examples of positive cosine, exactly."""
         bounds = query @ self.largest[terms]
-        best_at, best = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.float32)
         order = np.argsort(-bounds, kind="stable")
-        for step in range(0, len(order), 8):
-            opened = order[step : step + 8]
-            # A little slack, since the bound and the cosine are rounded in different orders.
-            floor = best[-1] - 1e-5 if len(best) == k else 0.0
-            opened = opened[bounds[opened] > floor]
-            if not len(opened):
-                break
-            places = (opened[:, None] * self.block + np.arange(self.block)).ravel()
-            cosine = query @ self.by_term[np.ix_(terms, places)]
-            best_at, best = np.append(best_at, places[cosine > 0]), np.append(best, cosine[cosine > 0])
-            keep = np.lexsort((best_at, -best))[:k]
-            best_at, best = best_at[keep], best[keep]
-        return best_at, best
+        first = order[:FIRST_BLOCKS]
+        at, cosine = self._open(first, terms, query)
+        # A little slack, since the bound and the cosine are rounded in different orders.
+        floor = np.partition(cosine, -k)[-k] - 1e-5 if len(cosine) >= k else 0.0
+        rest = order[FIRST_BLOCKS:]
+        rest = rest[bounds[rest] > floor]
+        if len(rest):
+            more_at, more = self._open(rest, terms, query)
+            at, cosine = np.append(at, more_at), np.append(cosine, more)
+        if len(cosine) > k:
+            keep = cosine >= np.partition(cosine, -k)[-k]
+            at, cosine = at[keep], cosine[keep]
+        best = np.lexsort((at, -cosine))[:k]
+        return at[best], cosine[best]
 
 
 def _vector(slots: np.ndarray, column: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
