@@ -27,9 +27,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest id, one row of it if it is repeated."""
-    # The row number tells repeated rows apart; it is the same in both reads of the same files.
+    # The row number tells repeated rows apart; it is written once, since another job may number other rows so.
     row = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", F.monotonically_increasing_id().alias("row"))
-    numbered = docs.select(*COLUMNS, row.alias("key"))
+    numbered = stash(docs.select(*COLUMNS, row.alias("key")), "numbered")
     groups = simhash.near_duplicates(numbered, doc_id="key")
     kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.row").alias("row"))
     return numbered.join(kept, F.col("key.row") == kept["row"], "left_semi").select(*COLUMNS)

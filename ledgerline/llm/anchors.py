@@ -11,7 +11,7 @@ shard, whose size does not grow with the data. An anchor whose distinct regions
 should hold, say a common line in changing surroundings, is hot: its windows travel singly instead and are
 grouped by their own content, which is exact and has no hot key beyond map-side combining.
 
-``docs`` must give the same rows in the same partitions when it is read again, as files do.
+Row numbers are given once and written with their rows; all later passes read that copy.
 """
 
 from __future__ import annotations
@@ -182,11 +182,15 @@ def _regions(spec: Windows):
 
 
 def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(uid, doc_id, rank, text): uid tells repeated rows apart, rank orders ids with null ids last."""
+    """(uid, doc_id, rank, text): uid tells repeated rows apart, rank orders ids with null ids last.
+
+    Written once, since another job may cut the same files into other partitions and number other rows so.
+    """
     rank = F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1))
-    return docs.select(
+    rows = docs.select(
         F.monotonically_increasing_id().alias("uid"), F.col(doc_id).alias("doc_id"), rank.alias("rank"), F.col(text).alias("text")
     )
+    return stash(rows, "numbered")
 
 
 def candidate_regions(rows: DataFrame, spec: Windows, across: bool) -> DataFrame:

@@ -41,6 +41,29 @@ def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
     assert sorted(str(r["doc_id"]) for r in kept) == ["2", "9", "None"]
 
 
+def test_near_duplicate_stage_survives_files_cut_anew(spark, tmp_path, monkeypatch):
+    texts = [(i, f"alone {i} in here " * (1 + i % 7)) for i in range(40)] + [(100 + i, "a b c d e f") for i in range(20)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(6).write.parquet(f"{tmp_path}/docs")
+    plain = corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{tmp_path}/docs"), SMALL).collect()
+    groups = corpus_pipeline.simhash.near_duplicates
+
+    def then_cut_anew(*args, **kwargs):
+        found = groups(*args, **kwargs)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        return found
+
+    monkeypatch.setattr(corpus_pipeline.simhash, "near_duplicates", then_cut_anew)
+    try:
+        kept = corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{tmp_path}/docs"), SMALL).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(r["doc_id"] for r in kept) == sorted(r["doc_id"] for r in plain)
+    assert sum(r["text"] == "a b c d e f" for r in kept) == 1
+
+
 def test_empty_table_passes_all_stages(spark):
     docs = read_table(spark, SMALL, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from ledgerline.llm import repeated_bytes, repeated_words
+from ledgerline.llm import anchors, repeated_bytes, repeated_words
 from ledgerline.llm.repeated_words import FMIndex
 from ledgerline.llm.suffixes import same_prefix_as_next, suffix_order
 from tests.llm import brute
@@ -89,3 +89,17 @@ def test_kept_text_is_what_the_digest_is_of(spark):
     found = repeated_bytes.remove_repeated(docs, width=10, gram=4)
     joined = docs.join(found, "doc_id").select(repeated_bytes.kept_text(F.col("text"), F.col("removed")).alias("k"), "kept_sha256")
     assert all(brute.digest(bytes(r["k"])) == r["kept_sha256"] for r in joined.collect())
+
+
+def test_row_numbers_do_not_change_when_files_are_cut_anew(spark, tmp_path):
+    texts = [f"{i} " * (i + 1) for i in range(60)]
+    brute.table(spark, texts).repartition(6).write.parquet(f"{tmp_path}/docs")
+    rows = anchors.numbered(spark.read.parquet(f"{tmp_path}/docs"), "doc_id", "text")
+    seen = []
+    for size in ("128m", "3k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "4m" if size == "128m" else "0")
+        seen.append({r["uid"]: r["doc_id"] for r in rows.select("uid", "doc_id").collect()})
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert seen[0] == seen[1] and len(seen[0]) == 60
