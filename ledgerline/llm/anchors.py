@@ -11,6 +11,9 @@ shard, whose size does not grow with the data. An anchor whose distinct regions
 should hold, say a common line in changing surroundings, is hot: its windows travel singly instead and are
 grouped by their own content, which is exact and has no hot key beyond map-side combining.
 
+In a periodic stretch every window, or every few, has an anchor of its own, all with one hash. Neighbouring
+runs of one hash and one length are joined, so that the regions of a stretch are not ``width`` times its size.
+
 Row numbers are given once and written with their rows; all later passes read that copy.
 """
 
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import stash
 
 PIECE = 1 << 22
+REGION_BYTES = 1 << 24
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACES = (9, 10, 11, 12, 13, 32)
@@ -135,18 +139,42 @@ def runs_of(symbols: np.ndarray, spec: Windows) -> tuple[np.ndarray, np.ndarray,
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
+def joined_runs(first: np.ndarray, last: np.ndarray, anchor: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Neighbouring runs of one anchor hash and one length, joined: first, last, anchor hash, number of runs.
+
+    The sizes of the parts of a stretch are powers of two, so long stretches of any length share few regions.
+    A part has at most four times ``width`` windows, if it is not a single run.
+    """
+    if not len(first):
+        return first, last, anchor, np.zeros(0, dtype=np.int64)
+    size = last - first + 1
+    chain = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (size[1:] != size[:-1])]))
+    runs = np.diff(np.append(chain, len(first)))
+    # The largest power of two of runs that stays below the limit.
+    most = np.int64(1) << (np.frexp(np.maximum(1, 4 * width // size[chain]).astype(np.float64))[1] - 1).astype(np.int64)
+    whole, rest = np.repeat(runs - runs % most, runs), np.repeat(runs % most, runs)
+    place = np.arange(len(first)) - np.repeat(chain, runs)
+    # What is left over is cut where the bits of its number say.
+    over = place - whole
+    cut = (over == 0) | (((over & ~rest) == 0) & ((rest ^ over) < (over & -over)))
+    start = np.flatnonzero(np.where(over < 0, place % np.repeat(most, runs) == 0, cut))
+    end = np.append(start[1:], len(first)) - 1
+    return first[start], last[end], anchor[start], end - start + 1
+
+
 def _sketch(spec: Windows):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             uids, ranks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for at in range(0, len(uids), 512):
-                columns = [[] for _ in range(5)]
+                columns = [[] for _ in range(6)]
                 for uid, rank, text in zip(uids[at : at + 512], ranks[at : at + 512], batch.column(2).slice(at, 512)):
                     own = runs_of(symbols_of((text.as_py() or "").encode("utf-8"), spec.unit), spec)
+                    own = joined_runs(*own, spec.width)
                     for column, values in zip(columns, (np.full(len(own[0]), uid), np.full(len(own[0]), rank), *own)):
                         column.append(values)
                 arrays = [pa.array(np.concatenate(c), type=pa.int64()) for c in columns]
-                yield pa.RecordBatch.from_arrays(arrays, names=["uid", "rank", "first", "last", "anchor"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["uid", "rank", "first", "last", "anchor", "runs"])
 
     return sketch
 
@@ -155,28 +183,28 @@ def content_key(content: bytes) -> bytes:
     return blake2b(content, digest_size=16).digest()
 
 
-def _regions(spec: Windows):
+def _regions(spec: Windows, most: int = REGION_BYTES):
+    names = ["uid", "rank", "first", "anchor", "windows", "region", "content"]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64()] * 5 + [pa.binary()] * 2
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
     def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                uids, ranks, firsts, anchors, windows, keys, contents = ([] for _ in range(7))
-                for uid, rank, text, runs in zip(*(part.column(i) for i in range(4))):
-                    region = spec.region_of(text.as_py())
-                    for run in runs.as_py():
-                        content = region(run["first"], run["last"] + spec.width)
-                        uids.append(uid.as_py())
-                        ranks.append(rank.as_py())
-                        firsts.append(run["first"])
-                        anchors.append(run["anchor"])
-                        windows.append(run["last"] - run["first"] + 1)
-                        keys.append(content_key(content))
-                        contents.append(content)
-                columns = [pa.array(c, pa.int64()) for c in (uids, ranks, firsts, anchors, windows)]
-                columns += [pa.array(c, pa.binary()) for c in (keys, contents)]
-                yield pa.RecordBatch.from_arrays(
-                    columns, names=["uid", "rank", "first", "anchor", "windows", "region", "content"]
-                )
+            for uid, rank, text, runs in zip(*(batch.column(i) for i in range(4))):
+                region, uid, rank = spec.region_of(text.as_py()), uid.as_py(), rank.as_py()
+                for first, last, anchor in zip(*(c.to_numpy() for c in runs.values.flatten())):
+                    content = region(first, last + spec.width)
+                    rows.append((uid, rank, first, anchor, last - first + 1, content_key(content), content))
+                    held += len(content) + 100
+                    # A batch is bounded by its bytes, within one document too.
+                    if held > most:
+                        yield batch_of(rows)
+                        rows, held = [], 0
+        if rows:
+            yield batch_of(rows)
 
     return regions
 
@@ -198,12 +226,12 @@ def candidate_regions(rows: DataFrame, spec: Windows, across: bool) -> DataFrame
 
     ``across``: an anchor only counts as repeated if it occurs under two ranks.
     """
-    kind = "uid long, rank long, first long, last long, anchor long"
+    kind = "uid long, rank long, first long, last long, anchor long, runs long"
     found = stash(rows.select("uid", "rank", "text").mapInArrow(_sketch(spec), kind), "anchors")
     if across:
         repeated = found.groupBy("anchor").agg(F.min("rank").alias("a"), F.max("rank").alias("b")).where("a <> b")
     else:
-        repeated = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+        repeated = found.groupBy("anchor").agg(F.sum("runs").alias("n")).where("n > 1")
     narrow = found.select("uid", F.col("first").cast("int"), F.col("last").cast("int"), "anchor")
     runs = (
         narrow.join(repeated.select("anchor"), "anchor", "left_semi")

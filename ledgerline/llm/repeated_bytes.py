@@ -31,6 +31,7 @@ from ledgerline.llm.suffixes import same_prefix_as_next, suffix_order
 WIDTH = 400
 GRAM = 128
 SHARD_BYTES = 1_000_000
+WINDOWS_IN_BATCH = 1 << 17
 SPANS = "array<struct<first:long,last:long>>"
 
 
@@ -74,29 +75,27 @@ def _repeated_in_shard(width: int):
     return repeated
 
 
-def single_windows(spec: Windows):
+def single_windows(spec: Windows, most: int = WINDOWS_IN_BATCH):
     """Every window of a region with the digest of its own content."""
+    names = ["uid", "place", "window", "rank"]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     def windows(batches):
+        rows = []
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                uids, places, keys, ranks = [], [], [], []
                 for uid, first, content, rank in zip(*(part.column(i).to_pylist() for i in range(4))):
                     for place, window in enumerate(spec.windows_of(content), first):
-                        uids.append(uid)
-                        places.append(place)
-                        ranks.append(rank)
-                        keys.append(content_key(window))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(uids, pa.int64()),
-                        pa.array(places, pa.int64()),
-                        pa.array(keys, pa.binary()),
-                        pa.array(ranks, pa.int64()),
-                    ],
-                    names=["uid", "place", "window", "rank"],
-                )
+                        rows.append((uid, place, content_key(window), rank))
+                    if len(rows) > most:
+                        yield batch_of(rows)
+                        rows = []
+        if rows:
+            yield batch_of(rows)
 
     return windows
 

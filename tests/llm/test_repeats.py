@@ -103,3 +103,43 @@ def test_row_numbers_do_not_change_when_files_are_cut_anew(spark, tmp_path):
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     spark.conf.unset("spark.sql.files.openCostInBytes")
     assert seen[0] == seen[1] and len(seen[0]) == 60
+
+
+def periodic_texts() -> list:
+    draw = random.Random(8)
+    fresh = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    texts = ["-" * 3000, fresh(50) + "-" * 777 + fresh(60), "xyz" * 500 + fresh(30), fresh(30) + "zxy" * 400, fresh(90)]
+    return texts + [(fresh(30) + "=" * draw.randrange(20, 300)) * 3 for _ in range(6)] + [fresh(20) + "0123456789" * 90]
+
+
+@pytest.mark.parametrize("shard", [1_000_000, 700])
+def test_periodic_stretches(spark, shard):
+    texts = periodic_texts()
+    found = repeated_bytes.remove_repeated(brute.table(spark, texts), width=40, gram=12, shard=shard).collect()
+    got = {r["doc_id"]: (r["n_bytes"], sum(x["last"] - x["first"] for x in r["removed"]), len(r["removed"]), r["kept_sha256"]) for r in found}
+    assert got == dict(enumerate(brute.removed_bytes(texts, 40)))
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = repeated_words.remove_repeated(brute.table(spark, docs), width=8, gram=3, shard=shard).collect()
+    got = sorted((str(r["doc_id"]), r["n_words"], sum(x["last"] - x["first"] for x in r["removed"]), r["kept_sha256"]) for r in found)
+    assert got == sorted((str(d[0]), *e) for d, e in zip(docs, brute.removed_words(docs, 8)))
+
+
+@pytest.mark.parametrize("period", ["-", "ab", "0123456789"])
+def test_regions_of_a_periodic_stretch_stay_near_its_size(period):
+    import pyarrow as pa
+
+    spec = anchors.Windows("byte", 400, 128, 1_000_000)
+    text = "start" + period * (200_000 // len(period)) + "end"
+    runs = anchors.runs_of(anchors.symbols_of(text.encode(), "byte"), spec)
+    first, last, anchor, joined = anchors.joined_runs(*runs, spec.width)
+    assert joined.sum() == len(runs[0]) and first[0] == 0 and last[-1] == len(text) - 400
+    assert (first[1:] == last[:-1] + 1).all()
+    kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int64())]))
+    rows = [{"first": a, "last": b, "anchor": h} for a, b, h in zip(first.tolist(), last.tolist(), anchor.tolist())]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1]), pa.array([2]), pa.array([text]), pa.array([rows], kind)], names=["uid", "rank", "text", "runs"]
+    )
+    batches = list(anchors._regions(spec, 50_000)(iter([batch])))
+    assert len(batches) > 3 and all(sum(map(len, b.column(6).to_pylist())) < 60_000 for b in batches)
+    assert sum(sum(map(len, b.column(6).to_pylist())) for b in batches) < 2 * len(text)
+    assert sum(sum(b.column(4).to_pylist()) for b in batches) == len(text) - 399
