@@ -53,12 +53,13 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     out = held_out(F.col("doc_id"), 3, 1)
     labels = read_table(spark, folder, "labels").where(~out).select("doc_id", "toxic")
-    model = toxicity.fit(docs.join(labels, "doc_id"), docs)
-    scored = docs.select("doc_id", out.alias("held_out"), toxicity.score(F.col("text"), spark.sparkContext.broadcast(model)).alias("s"))
-    score = F.col("s.score")
+    seen = toxicity.document_frequencies(docs)
+    model = spark.sparkContext.broadcast(toxicity.fit(docs.join(labels, "doc_id"), docs, seen=seen))
+    scored = toxicity.score_corpus(docs.withColumn("held_out", out), model, seen)
+    score = F.col("score")
     return scored.select(
-        "doc_id", "held_out", score.alias("score"), F.when(score >= 0.7, 1).otherwise(0).alias("predicted"),
-        F.array_join("s.evidence", ",").alias("nearest"),
+        "doc_id", "held_out", "score", F.when(score >= 0.7, 1).otherwise(0).alias("predicted"),
+        F.array_join("evidence", ",").alias("nearest"),
     )
 
 

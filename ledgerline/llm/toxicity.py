@@ -1,19 +1,19 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are the words of a text and their beginnings of three to six letters, hashed. A bounded sample of
-labelled texts, at most ``per_label`` of each label, is the set of examples; from it come the terms that
-tell the labels apart. How often each of those terms occurs is counted over all documents. Every text,
-read whole, becomes a unit TF-IDF vector over these terms.
-
-The examples lie in an inverted index by blocks: for each term the largest weight in each block bounds the
-cosine of all its examples. The blocks of the highest bounds are opened first, and after them only those that
-can still hold one of the nearest, so the nearest are exact. They vote with the square of their cosine; each label's
-votes are weighted back to its share among all labelled rows, which makes the score a calibrated chance.
-
-Defined results: a text without any of the terms has no neighbour and scores the share of toxic rows;
-null texts count as empty; ties between equally near examples go to the smaller example number; without
-labelled rows of both labels every score is that share (0 without any); repeated rows count as often as
-they occur; an empty table gives an empty result; labels, languages and ids are never inputs of a score.
+Terms are the words of a text and their beginnings of three to six letters, as 64-bit hashes. A bounded
+sample of labelled texts, at most ``per_label`` of each label, is the set of examples. Every text, read
+whole, is a TF-IDF vector over all of its terms, with weights from how many of all documents have a term.
+
+Terms that many examples share lie in a dense block, multiplied with several texts at once; all others keep
+postings. Every example is compared, so the nearest are exact. They vote with the square of their cosine;
+each label's votes are weighted back to its share among all labelled rows. Terms that no example has count
+in the length of a text only; ``score_corpus`` joins their document frequencies.
+
+Defined results: a text without any term of the examples has no neighbour and scores the share of toxic
+rows; null texts count as empty; ties between equally near examples (to six digits) go to the smaller
+example number; without labelled rows of both labels every score is that share (0 without any); repeated
+rows count as often as they occur; an empty table gives an empty result; labels, languages and ids are never
+inputs of a score.
 """
 
 from __future__ import annotations
@@ -28,12 +28,12 @@ from ledgerline.llm.common import stash, text_function
 from ledgerline.llm.language import bounded_sample
 
 PER_LABEL = 1_500
-TERMS = 4_096
-SLOTS = 1 << 20
 BEGINNINGS = (3, 4, 5, 6)
 NEAREST = 15
-FIRST_BLOCKS = 6
 BLOCK = 64
+MOST_DENSE = 4_096
+TEXTS = 256
+DOUBT = 0.05
 PIECE = 1 << 20
 #: Odd numbers by place in a word, 64 of them; longer words use them again.
 POWERS = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -43,8 +43,8 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x10000)])
 
 
-def term_slots(text: str | None, letters: np.ndarray) -> np.ndarray:
-    """Slots of all terms of a text, repeats included."""
+def term_hashes(text: str | None, letters: np.ndarray) -> np.ndarray:
+    """Hashes of all terms of a text, repeats included."""
     whole, found = (text or "").lower(), []
     at = 0
     while at < len(whole):
@@ -75,189 +75,215 @@ def term_slots(text: str | None, letters: np.ndarray) -> np.ndarray:
         found.append(mixed(np.add.reduceat(codes[inner] * POWERS[place & 63], starts) + size.astype(np.uint64)))
     if not found:
         return np.zeros(0, dtype=np.int64)
-    return (np.concatenate(found) >> np.uint64(44)).astype(np.int64)
+    return np.concatenate(found).view(np.int64)
 
 
-def _sample_terms():
-    """Per sampled row: label and distinct slots."""
+def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(term, n): in how many documents each term occurs, on shared disk."""
 
-    def terms(batches):
-        letters = _letters()
-        for texts in batches:
-            yield pa.array([np.unique(term_slots(t.as_py(), letters)) for t in texts], type=pa.list_(pa.int64()))
-
-    return text_function(terms, "array<long>")
+    def counted(batches):
+        letters, found, held = _letters(), [], 0
 
+        def batch_of():
+            terms, n = np.unique(np.concatenate(found), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(terms, pa.int64()), pa.array(n, pa.int64())], names=["term", "n"])
 
-def choose_terms(sample: DataFrame, wanted: int = TERMS) -> list[int]:
-    """Slots that tell the labels apart: the largest log-likelihood ratios among the toxic side's terms."""
-    sized = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    toxic, clean = sized.get(1, 0), sized.get(0, 0)
-    if not toxic or not clean:
-        return []
-    counts = sample.select("toxic", F.explode("terms").alias("slot")).groupBy("slot").agg(
-        F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("t"),
-        F.sum(F.when(F.col("toxic") == 0, 1).otherwise(0)).alias("c"),
-    )
-    # Twice the log-likelihood ratio of the two shares against a common one.
-    share = (F.col("t") + F.col("c")) / (toxic + clean)
-
-    def part(seen: Column, size: int) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / (size * share))).otherwise(0.0)
-
-    absent_t, absent_c = F.lit(toxic) - F.col("t"), F.lit(clean) - F.col("c")
-    gone = F.greatest(1 - share, F.lit(1e-12))
-    ratio = (
-        part(F.col("t"), toxic)
-        + part(F.col("c"), clean)
-        + F.when(absent_t > 0, absent_t * F.log(absent_t / (toxic * gone))).otherwise(0.0)
-        + F.when(absent_c > 0, absent_c * F.log(absent_c / (clean * gone))).otherwise(0.0)
-    )
-    told = counts.where((F.col("t") * clean > F.col("c") * toxic) & (F.col("t") >= 2)).withColumn("ratio", ratio)
-    rows = told.where("ratio > 3").orderBy(F.col("ratio").desc(), "slot").limit(wanted).collect()
-    return sorted(r["slot"] for r in rows)
+        for batch in batches:
+            for t in batch.column(0):
+                found.append(np.unique(term_hashes(t.as_py(), letters)))
+                held += len(found[-1])
+                if held > PIECE:
+                    yield batch_of()
+                    found, held = [], 0
+        if found:
+            yield batch_of()
 
+    return stash(docs.select(text).mapInArrow(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")), "frequencies")
 
-def _vocabulary(slots: list[int]) -> np.ndarray:
-    """Column of each slot, -1 for slots that are no term."""
-    column = np.full(SLOTS, -1, dtype=np.int32)
-    column[np.array(slots, dtype=np.int64)] = np.arange(len(slots))
-    return column
 
+class BlockIndex:
+    """Examples by term: a dense block of the terms that at least ``block`` of them have, postings of the others."""
+
+    def __init__(self, weights, block: int = BLOCK):
+        """``weights``: examples by terms, rows of unit length; dense, or (examples, terms, example, term, weight)."""
+        if isinstance(weights, np.ndarray):
+            example, term = np.nonzero(weights)
+            weights = (*weights.shape, example, term, weights[example, term])
+        self.examples, terms, example, term, weight = weights
+        order = np.argsort(term, kind="stable")
+        example, term, weight = example[order], term[order], weight[order].astype(np.float32)
+        often = np.bincount(term, minlength=terms)
+        dense = np.argsort(-often, kind="stable")[:MOST_DENSE]
+        dense = dense[often[dense] >= block]
+        self.column = np.full(terms, -1, dtype=np.int32)
+        self.column[dense] = np.arange(len(dense))
+        inside = self.column[term] >= 0
+        self.dense = np.zeros((len(dense), self.examples), dtype=np.float32)
+        self.dense[self.column[term[inside]], example[inside]] = weight[inside]
+        self.posted, self.weight = example[~inside], weight[~inside]
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(term[~inside], minlength=terms))])
+
+    def cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Cosines of some unit vectors (terms, weights) and all examples."""
+        table = np.zeros((len(queries), len(self.dense)), dtype=np.float32)
+        for row, (terms, query) in zip(table, queries):
+            column = self.column[terms]
+            row[column[column >= 0]] = query[column >= 0]
+        found = table @ self.dense
+        for row, (terms, query) in zip(found, queries):
+            many = self.start[terms + 1] - self.start[terms]
+            place = np.arange(many.sum()) + np.repeat(self.start[terms] - (np.cumsum(many) - many), many)
+            row += np.bincount(self.posted[place], self.weight[place] * np.repeat(query, many), self.examples).astype(np.float32)
+        return found
 
-def document_frequencies(docs: DataFrame, text: str, slots: list[int]) -> tuple[np.ndarray, int]:
-    """In how many of all documents each term occurs, and the number of documents."""
+    def nearest(self, terms: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and cosines of the ``k`` nearest examples of positive cosine, exactly."""
+        return nearest_of(self.cosines([(terms, query)])[0], k)
 
-    def counted(batches):
-        letters, column = _letters(), _vocabulary(slots)
-        totals, rows = np.zeros(len(slots), dtype=np.int64), 0
-        for batch in batches:
-            for t in batch.column(0):
-                own = column[term_slots(t.as_py(), letters)]
-                totals[np.unique(own[own >= 0])] += 1
-                rows += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*range(len(slots)), -1], pa.int32()), pa.array([*totals.tolist(), rows], pa.int64())], names=["term", "n"]
-        )
 
-    # One row for each term and partition, summed before it reaches the driver.
-    sums = docs.select(text).mapInArrow(counted, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    found = {r["term"]: r["n"] for r in sums}
-    return np.array([found.get(i, 0) for i in range(len(slots))], dtype=np.int64), found.get(-1, 0)
+def nearest_of(cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and values of the ``k`` largest positive cosines, the smaller number first of equal ones."""
+    # Sums are rounded in different orders; six digits are the same in any.
+    cosine = np.round(cosine.astype(np.float64), 6)
+    at = np.flatnonzero(cosine > 0)
+    if len(at) > k:
+        at = at[cosine[at] >= np.partition(cosine[at], -k)[-k]]
+    best = at[np.lexsort((at, -cosine[at]))[:k]]
+    return best, cosine[best]
 
 
-class BlockIndex:
-    """Examples in blocks, with the largest weight of each term in each block.
+def fit(labelled: DataFrame, corpus: DataFrame, text: str = "text", toxic: str = "toxic", doc_id: str = "doc_id", per_label: int = PER_LABEL, seen: DataFrame | None = None) -> dict:
+    """Examples, their weights and the share of each label; ``corpus`` gives the term statistics.
 
-    Examples are ordered by their strongest terms, so that those of one block look alike and bounds are tight.
+    ``seen``: its ``document_frequencies``, if they are known.
     """
-
-    def __init__(self, weights: np.ndarray, block: int = BLOCK):
-        """``weights``: examples by terms, rows of unit length."""
-        strongest = np.argsort(-weights, axis=1, kind="stable")[:, :2]
-        self.number = np.lexsort((strongest[:, -1], strongest[:, 0]))
-        blocks = -(-max(1, len(weights)) // block)
-        padded = np.zeros((blocks * block, weights.shape[1]), dtype=np.float32)
-        padded[: len(weights)] = weights[self.number]
-        self.number = np.append(self.number, np.zeros(blocks * block - len(weights), dtype=np.int64))
-        self.by_term = np.ascontiguousarray(padded.T).reshape(-1, blocks, block)
-        self.largest = self.by_term.max(axis=2)
-        self.block = block
-
-    def _open(self, blocks: np.ndarray, terms: np.ndarray, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Examples of positive cosine in some blocks."""
-        cosine = query @ self.by_term[terms[:, None], blocks[None, :]].reshape(len(terms), -1)
-        places = (blocks[:, None] * self.block + np.arange(self.block)).ravel()
-        hit = cosine > 0
-        return self.number[places[hit]], cosine[hit]
-
-    def nearest(self, terms: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the ``k`` nearest examples of positive cosine, exactly."""
-        bounds = query @ self.largest[terms]
-        order = np.argsort(-bounds, kind="stable")
-        first = order[:FIRST_BLOCKS]
-        at, cosine = self._open(first, terms, query)
-        # A little slack, since the bound and the cosine are rounded in different orders.
-        floor = np.partition(cosine, -k)[-k] - 1e-5 if len(cosine) >= k else 0.0
-        rest = order[FIRST_BLOCKS:]
-        rest = rest[bounds[rest] > floor]
-        if len(rest):
-            more_at, more = self._open(rest, terms, query)
-            at, cosine = np.append(at, more_at), np.append(cosine, more)
-        if len(cosine) > k:
-            keep = cosine >= np.partition(cosine, -k)[-k]
-            at, cosine = at[keep], cosine[keep]
-        best = np.lexsort((at, -cosine))[:k]
-        return at[best], cosine[best]
-
-
-def _vector(slots: np.ndarray, column: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms of a text and their unit TF-IDF weights."""
-    own = column[slots]
-    terms, times = np.unique(own[own >= 0], return_counts=True)
-    weights = ((1.0 + np.log(times)) * idf[terms]).astype(np.float32) if len(terms) else np.zeros(0, dtype=np.float32)
-    return terms, weights / np.linalg.norm(weights) if len(terms) else weights
-
-
-def fit(labelled: DataFrame, corpus: DataFrame, text: str = "text", toxic: str = "toxic", doc_id: str = "doc_id", per_label: int = PER_LABEL) -> dict:
-    """Examples, their index weights and the share of each label; ``corpus`` gives the term statistics."""
     rows = labelled.where(F.col(toxic).isin(0, 1)).select(
         F.col(toxic).cast("int").alias("toxic"), F.col(text).alias("text"), F.col(doc_id).cast("string").alias("key")
     )
     sized = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     total = sum(sized.values())
-    model = {"share": sized.get(1, 0) / total if total else 0.0, "slots": [], "examples": None}
+    documents = corpus.count()
+    model = {"share": sized.get(1, 0) / total if total else 0.0, "documents": documents, "examples": None}
     if len(sized) < 2:
         return model
-    sample = bounded_sample(rows, "toxic", F.coalesce("key", F.lit("")), per_label)
-    sample = stash(sample.select("toxic", "key", "text", _sample_terms()("text").alias("terms")), "toxic-sample")
-    slots = choose_terms(sample)
-    if not slots:
-        return model
-    seen, documents = document_frequencies(corpus, text, slots)
-    idf = np.log((1.0 + documents) / (1.0 + seen)) + 1.0
-    column, letters = _vocabulary(slots), _letters()
+    sample = stash(bounded_sample(rows, "toxic", F.coalesce("key", F.lit("")), per_label), "toxic-sample")
+    letters = _letters()
     # The sample is bounded by ``per_label``, and only the terms' numbers of a row are kept.
     kept = sample.orderBy("toxic", F.xxhash64("key"), "key", F.xxhash64("text")).select("toxic", "key", "text").toLocalIterator()
-    weights, labels, keys = [], [], []
+    found, labels, keys = [], [], []
     for row in kept:
-        terms, values = _vector(term_slots(row["text"], letters), column, idf)
-        dense = np.zeros(len(slots), dtype=np.float16)
-        dense[terms] = values
-        weights.append(dense)
+        found.append(np.unique(term_hashes(row["text"], letters), return_counts=True))
         labels.append(row["toxic"])
         keys.append(row["key"])
+    hashes, term = np.unique(np.concatenate([h for h, _ in found]), return_inverse=True)
+    if not len(hashes):
+        return model
+    spark = corpus.sparkSession
+    wanted = spark.createDataFrame(pa.table({"term": pa.array(hashes, pa.int64())}))
+    seen = document_frequencies(corpus, text) if seen is None else seen
+    own = seen.join(F.broadcast(wanted), "term").toArrow()
+    counts = np.zeros(len(hashes), dtype=np.int64)
+    counts[np.searchsorted(hashes, own["term"].to_numpy())] = own["n"].to_numpy()
+    idf = np.log((1.0 + documents) / (1.0 + counts)) + 1.0
+    sizes = [len(h) for h, _ in found]
+    example = np.repeat(np.arange(len(found)), sizes)
+    weight = (1.0 + np.log(np.concatenate([n for _, n in found]))) * idf[term]
+    weight /= np.sqrt(np.bincount(example, weight**2, len(found)))[example]
     y = np.array(labels)
     # A vote stands for all rows of its label that the sample left out.
     worth = np.where(y == 1, sized[1] / max(1, (y == 1).sum()), sized[0] / max(1, (y == 0).sum()))
-    return model | {"slots": slots, "idf": idf, "weights": np.stack(weights), "labels": y, "worth": worth, "keys": keys, "examples": len(y)}
+    weights = (len(y), len(hashes), example.astype(np.int32), term.astype(np.int32), weight.astype(np.float32))
+    return model | {"hashes": hashes, "idf": idf, "weights": weights, "labels": y, "worth": worth, "keys": keys, "examples": len(y)}
 
 
-def score(text: Column, model, nearest: int = NEAREST, evidence: int = 3) -> Column:
-    """Struct column: ``score`` (0 to 1) and ``evidence``, the ids of the nearest examples.
+VOTES = "struct<toxic:double,all:double,inside:double,outside:array<struct<term:long,n:long>>,evidence:array<string>>"
 
-    ``model`` is a broadcast variable of ``fit``'s result, bounded by the sample and the number of terms.
-    """
 
-    def scored(batches):
+def votes(text: Column, model, nearest: int = NEAREST, evidence: int = 3) -> Column:
+    """Struct column: votes times ``inside``, the squared length over terms of examples, and all other terms."""
+
+    def voted(batches):
         m = model.value
-        letters, column = _letters(), _vocabulary(m["slots"])
-        index = BlockIndex(m["weights"].astype(np.float32)) if m["examples"] else None
-        kind = pa.struct([("score", pa.float64()), ("evidence", pa.list_(pa.string()))])
+        letters, index = _letters(), BlockIndex(m["weights"]) if m["examples"] else None
+        kind = pa.struct([
+            ("toxic", pa.float64()), ("all", pa.float64()), ("inside", pa.float64()),
+            ("outside", pa.list_(pa.struct([("term", pa.int64()), ("n", pa.int64())]))), ("evidence", pa.list_(pa.string())),
+        ])
+        none = {"toxic": 0.0, "all": 0.0, "inside": 0.0, "outside": [], "evidence": []}
         for texts in batches:
-            rows = []
-            for t in texts:
-                value, near = m["share"], []
-                if index is not None:
-                    terms, query = _vector(term_slots(t.as_py(), letters), column, m["idf"])
-                    if len(terms):
-                        at, cosine = index.nearest(terms, query, nearest)
-                        vote = cosine.astype(np.float64) ** 2 * m["worth"][at]
-                        # One vote of the base share stands for what no neighbour tells.
-                        doubt = 0.05
-                        value = (float(vote[m["labels"][at] == 1].sum()) + doubt * m["share"]) / (float(vote.sum()) + doubt)
-                        near = [m["keys"][i] for i in at[:evidence]]
-                rows.append({"score": min(1.0, max(0.0, value)), "evidence": near})
-            yield pa.array(rows, type=kind)
-
-    return text_function(scored, "struct<score:double,evidence:array<string>>")(text)
+            if index is None:
+                yield pa.array([none] * len(texts), type=kind)
+                continue
+            rows, sums, ends, terms_out, times_out = [], [], [0], [], []
+            for at in range(0, len(texts), TEXTS):
+                queries, inner = [], []
+                for t in texts.slice(at, TEXTS):
+                    hashes, times = np.unique(term_hashes(t.as_py(), letters), return_counts=True)
+                    terms = np.minimum(np.searchsorted(m["hashes"], hashes), len(m["hashes"]) - 1)
+                    known = m["hashes"][terms] == hashes
+                    terms_out.append(hashes[~known])
+                    times_out.append(times[~known])
+                    ends.append(ends[-1] + len(terms_out[-1]))
+                    terms = terms[known]
+                    weights = (1.0 + np.log(times[known])) * m["idf"][terms]
+                    inner.append(float(weights @ weights))
+                    queries.append((terms, (weights / np.sqrt(inner[-1])).astype(np.float32) if len(terms) else weights))
+                for inside, cosine in zip(inner, index.cosines(queries)):
+                    best, near = nearest_of(cosine, nearest)
+                    vote = near**2 * m["worth"][best] * inside
+                    sums.append((float(vote[m["labels"][best] == 1].sum()), float(vote.sum()), inside))
+                    rows.append([m["keys"][i] for i in best[:evidence]])
+            outside = pa.StructArray.from_arrays(
+                [pa.array(np.concatenate([np.zeros(0, np.int64), *c]).astype(np.int64)) for c in (terms_out, times_out)], names=["term", "n"]
+            )
+            columns = [pa.array([x[i] for x in sums], pa.float64()) for i in range(3)]
+            columns += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), outside), pa.array(rows, pa.list_(pa.string()))]
+            yield pa.StructArray.from_arrays(columns, names=[f.name for f in kind]).cast(kind)
+
+    return text_function(voted, VOTES)(text)
+
+
+def _from_votes(voted: Column, outside: Column, share: float) -> Column:
+    """Score of votes, given the squared length over terms of no example."""
+    # One vote of the base share stands for what no neighbour tells.
+    doubt = F.lit(DOUBT) * (voted["inside"] + outside)
+    chance = (voted["toxic"] + doubt * F.lit(share)) / (voted["all"] + doubt)
+    return F.when(voted["all"] > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), chance))).otherwise(F.lit(share))
+
+
+def _length(n: Column, seen: Column, documents: int) -> Column:
+    """Squared weight of a term."""
+    weight = (1 + F.log(n.cast("double"))) * (F.log((1.0 + documents) / (1 + seen)) + 1)
+    return weight * weight
+
+
+def score(text: Column, model, nearest: int = NEAREST, evidence: int = 3) -> Column:
+    """Struct column: ``score`` (0 to 1) and ``evidence``, the ids of the nearest examples, for texts outside the corpus.
+
+    Terms of no example count as terms of no document; for documents of the corpus use ``score_corpus``.
+    ``model`` is a broadcast variable of ``fit``'s result, bounded by the sample.
+    """
+    documents, share = model.value["documents"], model.value["share"]
+
+    def told(v: Column) -> Column:
+        outside = F.aggregate(v["outside"], F.lit(0.0), lambda a, o: a + _length(o["n"], F.lit(0), documents))
+        return F.struct(_from_votes(v, outside, share).alias("score"), v["evidence"].alias("evidence"))
+
+    return F.transform(F.array(votes(text, model, nearest, evidence)), told)[0]
+
+
+def score_corpus(docs: DataFrame, model, seen: DataFrame, text: str = "text") -> DataFrame:
+    """Columns of ``docs`` but the text, with ``score`` and ``evidence``; ``seen`` are the corpus's frequencies."""
+    others = [c for c in docs.columns if c != text]
+    numbered = docs.select(F.struct(*others).alias("row"), F.monotonically_increasing_id().alias("uid"), votes(F.col(text), model).alias("v"))
+    voted = stash(numbered, "toxic-votes")
+    outside = voted.select("uid", F.explode("v.outside").alias("o")).select("uid", "o.term", F.col("o.n").alias("times"))
+    squares = outside.join(seen, "term", "left").select(
+        "uid", _length(F.col("times"), F.coalesce("n", F.lit(0)), model.value["documents"]).alias("w")
+    )
+    # In one order, so that the sum is the same in every run.
+    sums = squares.groupBy("uid").agg(F.aggregate(F.sort_array(F.collect_list("w")), F.lit(0.0), lambda a, w: a + w).alias("outside"))
+    v = F.col("v")
+    return voted.join(sums, "uid", "left").select(
+        "row.*", _from_votes(v, F.coalesce("outside", F.lit(0.0)), model.value["share"]).alias("score"), v["evidence"].alias("evidence")
+    )

@@ -85,6 +85,37 @@ def test_toxicity_learns_and_handles_edges(spark):
     assert {r[0]["score"] for r in docs.select(toxicity.score(F.col("text"), none)).collect()} == {0.0}
 
 
+def test_toxicity_compares_whole_texts(spark):
+    from math import log
+
+    # A term that does not lean toxic still makes neighbours, and words of a long text dilute the cosine.
+    texts = ["red apple", "green pear", "blue plum", "grimbloke pear", "grimbloke red", "zig apple", "red apple", "grimbloke " + " ".join(f"w{chr(97 + i)}q" for i in range(26))]
+    docs = brute.table(spark, texts).select("doc_id", "text")
+    labelled = docs.where("doc_id < 6").withColumn("toxic", (F.col("doc_id") >= 3).cast("int"))
+    seen = toxicity.document_frequencies(docs)
+    model = spark.sparkContext.broadcast(toxicity.fit(labelled, docs, seen=seen))
+    got = {r["doc_id"]: r for r in toxicity.score_corpus(docs, model, seen).collect()}
+
+    def terms(text):
+        return [x for w in text.split() for x in [w + "$", *[w[:n] for n in (3, 4, 5, 6) if n <= len(w)]]]
+
+    df = {}
+    for t in texts:
+        for x in set(terms(t)):
+            df[x] = df.get(x, 0) + 1
+
+    def vector(text):
+        own = {x: (1 + log(terms(text).count(x))) * (log((1 + len(texts)) / (1 + df[x])) + 1) for x in set(terms(text))}
+        size = sum(w * w for w in own.values()) ** 0.5
+        return {x: w / size for x, w in own.items()}
+
+    for i, text in enumerate(texts):
+        squares = [sum(w * vector(e).get(x, 0) for x, w in vector(text).items()) ** 2 for e in texts[:6]]
+        expected = (sum(squares[3:]) + 0.05 * 0.5) / (sum(squares) + 0.05)
+        assert abs(got[i]["score"] - expected) < 1e-5
+    assert got[6]["evidence"][0] == "0" and got[6]["score"] < 0.5 and got[2]["evidence"] == ["2"]
+
+
 def test_toxicity_on_held_out_documents(spark):
     from ledgerline.llm.queries import op4_toxicity
 
