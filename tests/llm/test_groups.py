@@ -160,3 +160,18 @@ def test_near_pairs_find_all_similar_sets(spark):
     }
     got = {(r["a"], r["b"]) for r in spot_signatures.near_pairs(docs, at_least=0.5).collect()}
     assert got == expected and expected
+
+
+def test_likeness_does_not_break_where_spots_become_few(spark):
+    names = " ".join(f"name{i}" for i in range(45))
+    spots = [f"the w{i} x{i}" for i in range(8)]
+    eight, seven = f"{names} " + " ".join(spots), f"{names} " + " ".join(spots[:7])
+    docs = brute.table(spark, [(1, eight), (2, seven)])
+    chains = [f"w{i} x{i}" for i in range(8)]
+    sets = [{*t.split(), *c} for t, c in ((eight, chains), (seven, chains[:7]))]
+    expected = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+    rows = {r["doc_id"]: r for r in spot_signatures.compare_with_edits(docs).collect()}
+    assert expected > 0.9
+    assert abs(rows[1]["near_next"] - expected) < 1e-12 and abs(rows[2]["near_next"] - expected) < 1e-12
+    pairs = spot_signatures.near_pairs(docs).collect()
+    assert [(r["a"], r["b"]) for r in pairs] == [(1, 2)] and abs(pairs[0]["similarity"] - expected) < 1e-12
