@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
+    alignment,
     bpe,
     decontamination,
     language,
@@ -25,6 +26,8 @@ from ledgerline.llm.common import held_out, read_table
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PSEUDONYM_KEY = "ledgerline"
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -102,6 +105,15 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return found.select("doc_id", *[c.alias(n) for n, c in decontamination.verdict(F.col("contamination")).items()])
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    def digest(groups: Column) -> Column:
+        return F.when(groups == "", "").otherwise(F.sha2(groups, 256))
+
+    docs = read_table(spark, folder, "documents")
+    aligned = alignment.align(docs, alignment.load(spark, BYTE_LEVEL, PIECES), report=digest)
+    return aligned.withColumnRenamed("alignment", "groups_sha256")
+
+
 OP10_SQL = r"""
 WITH item_words AS (
     SELECT CAST(item_id AS VARCHAR) AS item_id,
@@ -158,6 +170,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_spot_signatures,
         op9_fm_index_dedup,
         op10_benchmark_decontamination,
+        op13_cross_tokenizer_alignment,
     )
 }
 
