@@ -18,9 +18,11 @@ empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +39,17 @@ from ledgerline.llm.common import stash
 UNIT_BYTES = 2_000_000
 # Groups with more links than this are counted by their distinct ids and not link by link.
 FEW_LINKS = 256
+# Characters of parts of texts that a task remembers besides those of a unit, each part counting some more for its
+# results; the table is cleared when it is full, which changes no result.
+REMEMBERED = 24_000_000
+PART = 50
+# Parts that are encoded side by side.
+RUN = 500
 # A pair of ids is one number: the first id above this many bits of the second.
 ID_BITS = 24
 
+EMPTY = np.empty(0, dtype=np.int64)
+
 # Fixed value: the byte-level pattern that splits text into words before merging.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -58,6 +68,10 @@ class Pair:
         pieces = sentencepiece.SentencePieceProcessor(model_proto=self.b_model)
         return merges.encode_ordinary, pieces.encode
 
+    def cuts_at_blanks(self) -> bool:
+        """Whether no token of B has a blank after another character, so that a single blank begins a token."""
+        return not any(b" " in token.lstrip(b" ") for token in self.b_tokens)
+
 
 def byte_alphabet() -> dict[str, int]:
     """Character to byte of byte-level vocabularies: visible Latin-1 stands for itself, the rest follows U+0100."""
@@ -158,23 +172,35 @@ def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - begin, size) + np.arange(int(size.sum()), dtype=np.int64)
 
 
-def _links(a_ids, b_ids, a_from, a_size, b_from, b_size, doc) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pair, document, times) of the links of groups; a pair may come several times for a document."""
+def _links(a_ids, b_ids, a_from, a_size, b_from, b_size, text) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, text, times) of the links of groups; a pair may come several times for a text."""
     few = a_size * b_size <= FEW_LINKS
     # One row for each token of A in a small group, then one for each of its links.
     rows, width = _ranges(a_from[few], a_size[few]), np.repeat(b_size[few], a_size[few])
     left = np.repeat(a_ids[rows], width)
     right = b_ids[_ranges(np.repeat(b_from[few], a_size[few]), width)]
-    owner = np.repeat(np.repeat(doc[few], a_size[few]), width)
+    owner = np.repeat(np.repeat(text[few], a_size[few]), width)
     parts = [((left << ID_BITS) | right, owner, np.ones(len(left), dtype=np.int64))]
     for g in np.flatnonzero(~few):
         ours, n = np.unique(a_ids[a_from[g] : a_from[g] + a_size[g]], return_counts=True)
         theirs, m = np.unique(b_ids[b_from[g] : b_from[g] + b_size[g]], return_counts=True)
         pairs = ((ours[:, None] << ID_BITS) | theirs[None, :]).ravel()
-        parts.append((pairs, np.full(len(pairs), doc[g]), (n[:, None] * m[None, :]).ravel()))
+        parts.append((pairs, np.full(len(pairs), text[g]), (n[:, None] * m[None, :]).ravel()))
     return tuple(np.concatenate(p) for p in zip(*parts))
 
 
+def _sum_up(what: np.ndarray, owner: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, what, times), each combination once and in order, with its times added up."""
+    named, number = np.unique(what, return_inverse=True) if len(what) and what.max() >> 31 else (None, what)
+    both = (owner << 31) | number
+    order = np.argsort(both)
+    both = both[order]
+    head = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])[: len(both)])
+    times = np.add.reduceat(times[order], head) if len(head) else times
+    owner, number = both[head] >> 31, both[head] & ((1 << 31) - 1)
+    return owner, number if named is None else named[number], times
+
+
 def _pack(numbers: np.ndarray, kind: str) -> bytes:
     return zlib.compress(numbers.astype(kind).tobytes(), 1)
 
@@ -184,44 +210,84 @@ def _unpack(data: bytes, kind: str) -> np.ndarray:
 
 
 class Aligner:
-    """Encodes and aligns the texts of one task, unit by unit."""
+    """Encodes and aligns the texts of one task, unit by unit.
+
+    Where one blank stands between two visible characters both tokenizers begin a token, so a text is aligned
+    part by part between such blanks, and a part that comes again is not aligned again.
+    """
 
-    def __init__(self, pair: Pair):
+    def __init__(self, pair: Pair, remembered: int = REMEMBERED):
         self.pair = pair
+        self.remembered = remembered
         self.encode_a, self.encode_b = pair.encoders()
         self.a_size = np.array([len(t) for t in pair.a_tokens], dtype=np.int64)
         self.b_size = np.array([len(t) for t in pair.b_tokens], dtype=np.int64)
         # Written forms of an id inside a side and at its end.
         self.a_form = np.array([f"{i}," for i in range(len(self.a_size))] + [f"{i}|" for i in range(len(self.a_size))], dtype=object)
         self.b_form = np.array([f"{i}," for i in range(len(self.b_size))] + [f"{i};" for i in range(len(self.b_size))], dtype=object)
-
-    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids of both sides; none unless both give back a space and the text."""
+        self.blank = re.compile(r" (?<=\S )(?=\S)") if pair.cuts_at_blanks() else None
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.held = 0
+        self.forms: list[str] = []
+        # Of every part: whether it is whole, tokens of both sides, groups, links; then its pairs and how often each comes.
+        self.counts = np.empty((0, 5), dtype=np.int64)
+        self.first = np.zeros(1, dtype=np.int64)
+        self.linked = np.empty((2, 0), dtype=np.int64)
+
+    def parts(self, text: str | None) -> list[str]:
         if not text:
-            return [], []
-        whole = f" {text}"
-        a, b, raw = self.encode_a(whole), self.encode_b(text), whole.encode("utf-8")
-        for ids, table in ((a, self.pair.a_tokens), (b, self.pair.b_tokens)):
-            if b"".join([table[i] for i in ids]) != raw:
-                return [], []
-        return a, b
-
-    def unit(self, texts: list[str | None]) -> dict[str, list]:
-        """Columns of one unit: a row for each text, the pairs of the unit with its first row."""
-        coded = [self.tokens(t) for t in texts]
-        sides = []
-        for side, table in ((0, self.a_size), (1, self.b_size)):
-            first = np.cumsum([0, *[len(c[side]) for c in coded]])
-            ids = np.fromiter((i for c in coded for i in c[side]), dtype=np.int64, count=int(first[-1]))
-            sides.append((ids, np.cumsum(table[ids]), first))
-        (a_ids, a_ends, a_first), (b_ids, b_ends, b_first) = sides
+            return []
+        return self.blank.split(text) if self.blank else [text]
+
+    def plain(self, text: str) -> bool:
+        """Whether a text can stand beside others: it begins and ends with a visible character."""
+        return self.blank is not None and not (text[0].isspace() or text[-1].isspace())
+
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """([ids of A, ids of B], [where each text's ids begin], whole); no ids where a text is not given back.
+
+        Plain texts in a row are encoded as one, a blank before each.
+        """
+        runs, sides = [], [([EMPTY], [EMPTY + 1]), ([EMPTY], [EMPTY + 1])]
+        whole = np.ones(len(texts), dtype=bool)
+        for i, t in enumerate(texts):
+            if runs and self.plain(t) and runs[-1][2] and i - runs[-1][0] < RUN:
+                runs[-1][1] = i + 1
+            else:
+                runs.append([i, i + 1, self.plain(t)])
+        runs.reverse()
+        while runs:
+            i, j, _ = runs.pop()
+            text = " ".join(texts[i:j])
+            raw, coded = f" {text}".encode(), (self.encode_a(f" {text}"), self.encode_b(text))
+            if all(b"".join([table[x] for x in own]) == raw for own, table in zip(coded, (self.pair.a_tokens, self.pair.b_tokens))):
+                ends = np.cumsum([len(t.encode()) + 1 for t in texts[i:j]])
+                for (ids, counts), own, table in zip(sides, coded, (self.a_size, self.b_size)):
+                    ids.append(np.array(own, dtype=np.int64))
+                    counts.append(np.diff(np.searchsorted(np.cumsum(table[ids[-1]]), ends) + 1, prepend=0))
+            elif j - i > 1:
+                runs += [[n, n + 1, False] for n in range(j - 1, i - 1, -1)]
+            else:
+                whole[i] = False
+                for _, counts in sides:
+                    counts.append(np.zeros(1, dtype=np.int64))
+        first = [np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int64) for _, counts in sides]
+        return [np.concatenate(ids) for ids, _ in sides], first, whole
+
+    def align(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """(written alignments, counts, where the pairs of each text begin, pairs and times) of texts."""
+        (a_ids, b_ids), (a_first, b_first), whole = self.encode(texts)
+        a_ends, b_ends = np.cumsum(self.a_size[a_ids]), np.cumsum(self.b_size[b_ids])
         a_cut, b_cut = common_ends(a_ends, b_ends, a_first, b_first) if len(a_ids) else (np.empty(0, dtype=np.int64),) * 2
         a_from, b_from = np.concatenate([[0], a_cut[:-1] + 1])[: len(a_cut)], np.concatenate([[0], b_cut[:-1] + 1])[: len(b_cut)]
         a_width, b_width = a_cut + 1 - a_from, b_cut + 1 - b_from
-        doc = np.searchsorted(a_first, a_cut, side="right") - 1
-        groups = np.bincount(doc, minlength=len(texts))
+        owner = np.searchsorted(a_first, a_cut, side="right") - 1
         links = np.zeros(len(texts), dtype=np.int64)
-        np.add.at(links, doc, a_width * b_width)
+        np.add.at(links, owner, a_width * b_width)
+        counts = np.stack([whole, np.diff(a_first), np.diff(b_first), np.bincount(owner, minlength=len(texts)), links], axis=1)
 
         # Written alignment: the tokens of a group's A side, then of its B side.
         a_group, b_group = np.repeat(np.arange(len(a_cut)), a_width), np.repeat(np.arange(len(b_cut)), b_width)
@@ -232,24 +298,61 @@ class Aligner:
         written[np.arange(len(b_ids)) + a_cut[b_group] + 1] = self.b_form[b_ids + b_last]
         written = written.tolist()
         borders = (a_first + b_first).tolist()
+        forms = ["".join(written[i:j])[:-1] for i, j in zip(borders, borders[1:])]
+
+        owner, pairs, times = _sum_up(*_links(a_ids, b_ids, a_from, a_width, b_from, b_width, owner))
+        return forms, counts, np.searchsorted(owner, np.arange(len(texts) + 1)), np.stack([pairs, times])
+
+    def learn(self, parts: list[list[str]]) -> None:
+        """Align the parts not met before."""
+        wanted = set(chain.from_iterable(parts))
+        new = [p for p in wanted if p not in self.known]
+        size = sum(map(len, new)) + PART * len(new)
+        if self.held and self.held + size > self.remembered:
+            self.forget()
+            new = list(wanted)
+            size = sum(map(len, new)) + PART * len(new)
+        if not new:
+            return
+        self.held += size
+        new.sort(key=self.plain)
+        forms, counts, first, linked = self.align(new)
+        self.known.update(zip(new, range(len(self.forms), len(self.forms) + len(new))))
+        self.forms += forms
+        self.counts = np.concatenate([self.counts, counts])
+        self.first = np.concatenate([self.first, first[1:] + self.first[-1]])
+        self.linked = np.concatenate([self.linked, linked], axis=1)
 
-        pairs, owner, times = _links(a_ids, b_ids, a_from, a_width, b_from, b_width, doc)
-        named, number = np.unique(pairs, return_inverse=True)
-        both = owner * max(len(named), 1) + number
-        order = np.argsort(both, kind="stable")
-        both = both[order]
-        head = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])[: len(both)])
-        times = np.add.reduceat(times[order], head) if len(head) else times
-        owner, number = both[head] // max(len(named), 1), both[head] % max(len(named), 1)
+    def unit(self, texts: list[str | None]) -> dict[str, list]:
+        """Columns of one unit: a row for each text, the pairs of the unit with its first row."""
+        parts = [self.parts(t) for t in texts]
+        self.learn(parts)
+        numbers = [[self.known[p] for p in own] for own in parts]
+        # A text that has a part which is not given back has no tokens at all.
+        flawed = set(np.flatnonzero(self.counts[:, 0] == 0).tolist())
+        if flawed:
+            numbers = [own if flawed.isdisjoint(own) else [] for own in numbers]
+        begin = np.cumsum([0, *map(len, numbers)])
+        number = np.fromiter(chain.from_iterable(numbers), dtype=np.int64, count=int(begin[-1]))
+        sums = np.concatenate([np.zeros((1, 5), dtype=np.int64), np.cumsum(self.counts[number], axis=0)])
+        counts = np.diff(sums[begin], axis=0)
+
+        # Each part of a text once, with its times; then the pairs of those parts.
+        owner = np.repeat(np.arange(len(texts)), np.diff(begin))
+        owner, number, times = _sum_up(number, owner, np.ones(len(number), dtype=np.int64))
+        size = self.first[number + 1] - self.first[number]
+        at = _ranges(self.first[number], size)
+        named, pair = np.unique(self.linked[0, at], return_inverse=True)
+        owner, pair, times = _sum_up(pair, np.repeat(owner, size), self.linked[1, at] * np.repeat(times, size))
         entry = np.searchsorted(owner, np.arange(len(texts) + 1))
         rest = [None] * (len(texts) - 1)
         return {
-            "n_a": np.diff(a_first), "n_b": np.diff(b_first), "n_groups": groups, "n_links": links,
-            "alignment": ["".join(written[i:j])[:-1] for i, j in zip(borders, borders[1:])],
-            "numbers": [_pack(np.diff(number[i:j], prepend=0), "<u4") for i, j in zip(entry, entry[1:])],
+            "n_a": counts[:, 1], "n_b": counts[:, 2], "n_groups": counts[:, 3], "n_links": counts[:, 4],
+            "alignment": [";".join([self.forms[n] for n in own]) for own in numbers],
+            "numbers": [_pack(np.diff(pair[i:j], prepend=0), "<u4") for i, j in zip(entry, entry[1:])],
             "times": [_pack(times[i:j], "<u8") for i, j in zip(entry, entry[1:])],
             "pairs": [named, *rest],
-            "holders": [np.bincount(number, minlength=len(named)), *rest],
+            "holders": [np.bincount(pair, minlength=len(named)), *rest],
         }
 
 
