@@ -12,11 +12,13 @@ from ledgerline.llm import (
     alignment,
     bpe,
     decontamination,
+    jaccard,
     language,
     pseudonyms,
     repeated_bytes,
     repeated_words,
     simhash,
+    spelling,
     spot_signatures,
     token_counts,
     toxicity,
@@ -105,6 +107,14 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return found.select("doc_id", *[c.alias(n) for n, c in decontamination.verdict(F.col("contamination")).items()])
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.groups(read_table(spark, folder, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(read_table(spark, folder, "documents")))
+
+
 def op13_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     def digest(groups: Column) -> Column:
         return F.when(groups == "", "").otherwise(F.sha2(groups, 256))
@@ -170,6 +180,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_spot_signatures,
         op9_fm_index_dedup,
         op10_benchmark_decontamination,
+        op11_ngram_jaccard_join,
+        op12_spelling_variants,
         op13_cross_tokenizer_alignment,
     )
 }
