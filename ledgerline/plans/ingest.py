@@ -13,9 +13,12 @@ from ledgerline.operators.integrity import (
     mark_orphans, null_key_counts, orphan_counts, reconcile_counts, require_reconciled, split_orphans,
 )
 from ledgerline.session import ensure_checkpoint_dir, freeze
-from ledgerline.sources.contracts import CONTRACTS, LOAD_ORDER, TableContract
+from ledgerline.sources import versions
+from ledgerline.sources.contracts import CONTRACTS, LOAD_ORDER, TableContract, spark_type
 from ledgerline.sources.files import ROW_ORDER, CsvTraits, normalise_headers, read_csv_robust, resolve_columns
-from ledgerline.sources.sinks import guard_targets, write_quarantine, write_table
+from ledgerline.sources.sinks import guard_rows, write_quarantine, write_table
+
+QUARANTINE = "_quarantine"
 
 
 class CleaningRequired(RuntimeError):
@@ -81,34 +84,67 @@ def load(
     order: Sequence[str] = LOAD_ORDER,
     cluster_by: Mapping[str, str] | None = None,
     traits: Mapping[str, CsvTraits] | None = None,
+    must_exist: bool = False,
 ) -> LoadReport:
-    """Load every table, parents first, then prove that what is stored is what was loaded.
+    """Load every table, parents first, prove that what is stored is what was loaded, then publish all at once.
 
+    Until then, and if anything fails before, readers of the target (``versions.open_tables``) keep the state
+    they had. ``must_exist`` asks for tables made by ``create_tables`` or an earlier load.
     ``cluster_by`` names a column per table to sort its files by, for pruning. ``traits`` spares the
     look at encoding and quoting of files for which they are known.
     """
     target = target.rstrip("/")
-    paths = {name: f"{target}/{name}" for name in order}
-    guard_targets(spark, paths, reset)
+    before = versions.current(spark, target)
+    guard_rows({name: _rows_before(spark, target, name, before) for name in order}, reset, must_exist)
+    version = before.version + 1 if before else 1
+    paths = {name: f"{target}/{versions.version_folder(name, version)}" for name in order}
+    kept_apart = [f"{QUARANTINE}/{name}" for name in order if contracts[name].foreign_keys]
+    if before:
+        versions.clean(spark, target, [*order, *kept_apart])
     report, parents, expected = LoadReport(), {}, {}
     for name in order:
         contract = contracts[name]
         raw = read_csv_robust(spark, sources[name], row_order=True, traits=(traits or {}).get(name))
         kept, rejected = prepare_table(name, raw, contract, parents, report)
-        expected[name] = write_table(kept, paths[name], reset, (cluster_by or {}).get(name))
+        expected[name] = write_table(kept, paths[name], True, (cluster_by or {}).get(name))
         report.quarantined[name] = 0
         if contract.foreign_keys:
-            report.quarantined[name] = write_quarantine(rejected, f"{target}/_quarantine", name)
+            report.quarantined[name] = write_quarantine(rejected, f"{target}/{QUARANTINE}", name, version=version)
         report.deduplicated[name] = report.read[name] - expected[name] - report.quarantined[name]
         parents[name] = spark.read.parquet(paths[name])
     check = freeze(reconcile_counts(expected, parents))
     report.stored = {r["table"]: r["stored"] for r in check.collect()}
     require_reconciled(check)
+    versions.publish(spark, target, version, expected)
+    versions.clean(spark, target, [*order, *kept_apart])
     if strict and report.cleaned:
         raise CleaningRequired(f"strict load had to clean: {report}")
     return report
 
 
+def _rows_before(spark: SparkSession, target: str, name: str, before: versions.Manifest | None) -> int | None:
+    """Rows of a table before a load: by the manifest, else in files that stand in the target without one."""
+    if before:
+        return before.rows.get(name)
+    plain = versions.files_without_version(spark, target, name)
+    return spark.read.parquet(*plain).count() if plain else None
+
+
+def create_tables(
+    spark: SparkSession, target: str, contracts: Mapping[str, TableContract] = CONTRACTS, order: Sequence[str] = LOAD_ORDER
+) -> None:
+    """Publish empty tables with the declared columns, for loads that must find their tables."""
+    target = target.rstrip("/")
+    if versions.current(spark, target):
+        raise RuntimeError(f"{target} has tables already")
+    for name in order:
+        contract = contracts[name]
+        surrogate = [f"`{contract.surrogate}` bigint"] if contract.surrogate else []
+        kinds = ", ".join([*surrogate, *[f"`{c}` {spark_type(contract.types[c])}" for c in contract.headers]])
+        write_table(spark.createDataFrame([], kinds), f"{target}/{versions.version_folder(name, 1)}", True)
+    versions.publish(spark, target, 1, dict.fromkeys(order, 0))
+
+
 def integrity_report(
     tables: Mapping[str, DataFrame], contracts: Mapping[str, TableContract] = CONTRACTS
 ) -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import normalise_name
 from ledgerline.sources.contracts import TableContract
+from ledgerline.sources.quoted import ends_inside, read_records
 
 # Cells that a data-frame reader takes as missing.
 MISSING_CELLS = (
@@ -35,8 +36,7 @@ class CsvTraits:
 def inspect_csv(spark: SparkSession, path: str | list[str]) -> CsvTraits:
     """Check encoding and quoting without parsing, so that parsing stays splittable if it can.
 
-    A line with an odd number of quotes opens or closes a record that spans lines; only then must a
-    file be parsed as a whole.
+    A file in which no line, taken by itself, ends inside a quoted cell has one record in each line.
     """
     by_file = inspect_csv_files(spark, path)
     return CsvTraits(
@@ -48,19 +48,17 @@ def inspect_csv(spark: SparkSession, path: str | list[str]) -> CsvTraits:
 def inspect_csv_files(spark: SparkSession, path: str | list[str]) -> dict[str, CsvTraits]:
     """The traits of each file that needs care; files that are plain UTF-8 in plain lines are not listed."""
     line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
     marked = (
         spark.read.text(path, lineSep="\n")
         .groupBy(F.col("_metadata.file_path").alias("file"))
         .agg(
             F.count_if(~F.is_valid_utf8(line)).alias("invalid"),
-            F.count_if(F.is_valid_utf8(line) & (quotes % 2 == 1)).alias("open"),
-            F.count_if(~F.is_valid_utf8(line) & line.contains('"')).alias("unsure"),
+            F.count_if(ends_inside(line, False)).alias("open"),
         )
-        .where("invalid > 0 OR open > 0 OR unsure > 0")
+        .where("invalid > 0 OR open > 0")
         .collect()
     )
-    return {_plain(r["file"]): CsvTraits(r["invalid"] == 0, r["open"] > 0 or r["unsure"] > 0) for r in marked}
+    return {_plain(r["file"]): CsvTraits(r["invalid"] == 0, r["open"] > 0) for r in marked}
 
 
 def _plain(file: str) -> str:
@@ -74,8 +72,8 @@ def read_csv_robust(
     """Read a CSV as text columns.
 
     Line feeds end records; carriage returns are removed wherever they stand. Text that is not
-    UTF-8 is read as Latin-1. Each file is judged on its own: only files with quoted line breaks are parsed
-    as a whole, the others stay splittable. With ``row_order`` a column gives the position in the input, for
+    UTF-8 is read as Latin-1. Each file is judged on its own: lines of files without quoted line breaks are
+    parsed as they come, those of the others on speculation (module ``quoted``); all are read in splits. With ``row_order`` a column gives the position in the input, for
     operators that keep the first of several rows. ``traits`` saves the look at files known to be alike.
     """
     if traits:
@@ -94,25 +92,23 @@ def read_csv_robust(
 
 
 def _read_alike(spark: SparkSession, path: str | list[str], traits: CsvTraits, row_order: bool) -> DataFrame:
-    raw = spark.read.csv(
-        path,
-        header=True,
-        lineSep="\n",
-        quote='"',
-        escape='"',
-        encoding=traits.encoding,
-        multiLine=traits.quoted_line_breaks,
-        inferSchema=False,
-    )
-    headers = [h.replace("\r", "").lstrip("﻿") for h in raw.columns]
-    raw = raw.toDF(*[f"__c{i}" for i in range(len(headers))])
-    cells = [_missing_to_null(F.regexp_replace(F.col(f"__c{i}"), "\r", "")).alias(h) for i, h in enumerate(headers)]
-    if row_order:
+    if traits.quoted_line_breaks:
+        headers, raw = read_records(spark, path, traits.encoding)
+        position = F.struct("file", "block", F.col("place").alias("row"))
+    else:
+        raw = spark.read.csv(
+            path, header=True, lineSep="\n", quote='"', escape='"', encoding=traits.encoding, inferSchema=False
+        )
+        headers = raw.columns
+        raw = raw.toDF(*[f"__c{i}" for i in range(len(headers))])
         position = F.struct(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         )
+    headers = [h.replace("\r", "").lstrip("\ufeff") for h in headers]
+    cells = [_missing_to_null(F.regexp_replace(F.col(f"__c{i}"), "\r", "")).alias(h) for i, h in enumerate(headers)]
+    if row_order:
         cells.append(position.alias(ROW_ORDER))
     return raw.select(*cells)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
@@ -10,6 +10,8 @@ from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.sources.versions import version_folder
+
 
 def stored_rows(spark: SparkSession, path: str) -> int | None:
     """Rows stored under a path, or None where there is no table."""
@@ -21,7 +23,11 @@ def stored_rows(spark: SparkSession, path: str) -> int | None:
 
 def guard_targets(spark: SparkSession, paths: dict[str, str], reset: bool, must_exist: bool = False) -> None:
     """Refuse to load into tables that hold rows, unless they are to be replaced."""
-    found = {name: stored_rows(spark, path) for name, path in paths.items()}
+    guard_rows({name: stored_rows(spark, path) for name, path in paths.items()}, reset, must_exist)
+
+
+def guard_rows(found: Mapping[str, int | None], reset: bool, must_exist: bool = False) -> None:
+    """The same for tables with known numbers of rows, None where there is no table."""
     if must_exist and any(rows is None for rows in found.values()):
         raise RuntimeError(f"missing tables: {[name for name, rows in found.items() if rows is None]}")
     filled = {name: rows for name, rows in found.items() if rows}
@@ -47,10 +53,12 @@ def write_table(df: DataFrame, path: str, reset: bool = False, cluster_by: str |
     return _write_and_count(df, lambda rows: rows.write.mode("overwrite" if reset else "append").parquet(path))
 
 
-def write_quarantine(rejected: DataFrame, path: str, table: str, reason: str = "reject_reason") -> int:
-    """Store rejected rows under the table and the foreign key they failed, replacing the last run."""
+def write_quarantine(
+    rejected: DataFrame, path: str, table: str, reason: str = "reject_reason", version: int | None = None
+) -> int:
+    """Store rejected rows under the table and the foreign key they failed, replacing the last run, or as a version."""
     named = rejected.withColumn("table", F.lit(table)).withColumn("fk_column", F.col(reason))
-    folder = f"{path.rstrip('/')}/{table}"
+    folder = f"{path.rstrip('/')}/{table if version is None else version_folder(table, version)}"
     return _write_and_count(
         named, lambda rows: rows.write.mode("overwrite").partitionBy("table", "fk_column").parquet(folder)
     )

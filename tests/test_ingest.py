@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from ledgerline.operators.profiling import column_profile
 from ledgerline.plans import ingest
-from ledgerline.sources import files, sinks
+from ledgerline.sources import files, sinks, versions
 
 
 def put(path, data: bytes) -> str:
@@ -146,3 +147,83 @@ def test_only_the_file_with_a_line_break_is_parsed_as_a_whole(spark, tmp_path):
         assert df.where("a = 3 AND b = 5").first()["c"] == "two\nlines"
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def state(spark, target):
+    return {name: sorted(map(str, df.collect())) for name, df in versions.open_tables(spark, target).items()}
+
+
+@pytest.mark.parametrize("broken", ["food", "orders"])
+def test_a_broken_load_leaves_readers_on_the_old_state(spark, tmp_path, sources, monkeypatch, broken):
+    target = str(tmp_path / "db")
+    ingest.load(spark, sources, target)
+    old, opened = state(spark, target), versions.open_tables(spark, target)
+    put(tmp_path / "users.csv", SOURCES["users"] + b"U3,Cyd,,,41,F,,,,,1\n")
+    write = ingest.write_table
+
+    def stop(df, path, *rest):
+        if f"/{broken}/" in path:
+            df.limit(1).write.parquet(path)
+            raise OSError("killed")
+        return write(df, path, *rest)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "write_table", stop)
+        with pytest.raises(OSError, match="killed"):
+            ingest.load(spark, sources, target, reset=True)
+    assert versions.current(spark, target).version == 1 and state(spark, target) == old
+    report = ingest.load(spark, sources, target, reset=True)
+    assert versions.current(spark, target).version == 2 and report.stored["users"] == 3
+    assert len(state(spark, target)["users"]) == 3 and state(spark, target)["orders"] == old["orders"]
+    # Tables opened before the load are still those of the version before.
+    assert opened["users"].count() == 2
+    # A third load drops the first version and what the broken one left.
+    ingest.load(spark, sources, target, reset=True)
+    assert sorted(p.name for p in (tmp_path / "db" / "users").iterdir()) == ["version=2", "version=3"]
+
+
+def test_a_first_load_that_breaks_can_be_repeated(spark, tmp_path, sources, monkeypatch):
+    target = str(tmp_path / "db")
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "require_reconciled", lambda check: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest.load(spark, sources, target)
+    assert versions.current(spark, target) is None and versions.open_tables(spark, target) == {}
+    assert ingest.load(spark, sources, target).stored["orders"] == 3
+    assert state(spark, target).keys() == set(SOURCES)
+
+
+def test_one_version_is_published_once(spark, tmp_path):
+    target = str(tmp_path / "db")
+    versions.publish(spark, target, 1, {"a": 0})
+    with pytest.raises(AnalysisException):
+        versions.publish(spark, target, 1, {"a": 5})
+    assert versions.current(spark, target).rows == {"a": 0}
+    # A manifest that was begun and not finished names nothing.
+    (tmp_path / "db" / versions.MANIFESTS / "version=2" / "_temporary").mkdir(parents=True)
+    assert versions.current(spark, target).version == 1
+    assert versions.clean(spark, target, ["a"]) == [f"{versions.MANIFESTS}/version=2"]
+
+
+def test_tables_must_exist(spark, tmp_path, sources):
+    target = str(tmp_path / "db")
+    with pytest.raises(RuntimeError, match="missing tables"):
+        ingest.load(spark, sources, target, must_exist=True)
+    ingest.create_tables(spark, target)
+    with pytest.raises(RuntimeError, match="already"):
+        ingest.create_tables(spark, target)
+    empty = versions.open_tables(spark, target)
+    assert all(df.count() == 0 for df in empty.values()) and empty["orders"].columns[0] == "order_id"
+    report = ingest.load(spark, sources, target, must_exist=True)
+    assert report.stored["orders"] == 3 and versions.current(spark, target).version == 2
+    loaded = versions.open_tables(spark, target)
+    assert {n: df.dtypes for n, df in loaded.items()} == {n: df.dtypes for n, df in empty.items()}
+
+
+def test_tables_from_before_versions_are_guarded_and_replaced(spark, tmp_path, sources):
+    target = str(tmp_path / "db")
+    spark.range(3).write.parquet(f"{target}/food")
+    with pytest.raises(RuntimeError, match="not empty.*food.*3"):
+        ingest.load(spark, sources, target)
+    ingest.load(spark, sources, target, reset=True)
+    assert [p.name for p in (tmp_path / "db" / "food").iterdir()] == ["version=1"]
