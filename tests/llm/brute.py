@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import re
 from hashlib import sha256
+from itertools import accumulate
+from zlib import crc32
 
 import xxhash
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
 
 # Columns whose names clash with names the operators use inside.
 EXTRA = {"uid": 7, "rank": "x", "fp": 1, "anchor": 2, "contamination": "own", "row": 0, "key": "k", "bucket": 9}
@@ -109,3 +113,95 @@ def contamination(texts: list[str | None], items: list[tuple[str, str | None]],
         ids = ",".join(sorted(names))
         out.append((len(own), len(hit), len(names), digest(ids.encode()), bool(hit) and 20 * len(hit) >= len(own)))
     return out
+
+
+def jaccard_groups(docs: list[tuple[int | None, str | None]], width: int, percent: int) -> list[tuple]:
+    """(id, set size, smallest id of the component) of each row; rows without shingles stay alone."""
+    sets = []
+    for _, text in docs:
+        words = (text or "").encode().lower().split()
+        starts = range(max(1, len(words) - width + 1))
+        sets.append(frozenset(tuple(words[i : i + width]) for i in starts) if words else frozenset())
+    group = list(range(len(docs)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    out = []
+    for i, (own, _) in enumerate(docs):
+        ids = [d for (d, _), g in zip(docs, group) if g == group[i] and d is not None]
+        out.append((own, len(sets[i]), min(ids, default=None)))
+    return out
+
+
+def word_counts(docs: list[tuple[int | None, str | None]]) -> dict[str, int]:
+    counts: dict[str, int] = {}
+    for own, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = crc32(f"{'' if own is None else own}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 7:
+                counts[run] = counts.get(run, 0) + 1
+    return {w: n for w, n in counts.items() if n >= 2}
+
+
+def one_edit(a: str, b: str) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling_variants(counts: dict[str, int]) -> dict[str, tuple]:
+    near = {w: [x for x in counts if one_edit(w, x)] for w in counts}
+    form = {}
+    for w, n in counts.items():
+        first = min(near[w], key=lambda x: (-counts[x], x), default=None)
+        form[w] = first if first is not None and counts[first] >= 10 * n else None
+    out = {}
+    for w, n in counts.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out[w] = (form[w], root, n, len(near[w]), counts[form[w]] if form[w] else None)
+    return out
+
+
+def alignment(texts: list[str | None], byte_level: str, pieces: str) -> list[tuple]:
+    """(n_a, n_b, n_groups, n_links, n_best, count_sum, alignment) of each text, by the tokenizers' own libraries."""
+    one = Tokenizer.from_file(byte_level)
+    one.encode_special_tokens = True
+    two = SentencePieceProcessor(model_file=pieces)
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    grouped, counts = [], {}
+    for text in texts:
+        groups = []
+        if text:
+            a, b, raw = one.encode(" " + text, add_special_tokens=False).ids, two.encode(text), (" " + text).encode()
+            a_raw = [bytes(byte_of[c] for c in one.id_to_token(i)) for i in a]
+            b_raw = [bytes([int(two.id_to_piece(i)[3:5], 16)]) if two.is_byte(i) else two.id_to_piece(i).replace("▁", " ").encode() for i in b]
+            if b"".join(a_raw) == b"".join(b_raw) == raw:
+                a_ends = [0, *accumulate(map(len, a_raw))]
+                b_ends = [0, *accumulate(map(len, b_raw))]
+                cuts = sorted(set(a_ends) & set(b_ends))
+                for low, high in zip(cuts, cuts[1:]):
+                    groups.append((a[a_ends.index(low) : a_ends.index(high)], b[b_ends.index(low) : b_ends.index(high)]))
+        grouped.append(groups)
+        for pair in {(x, y) for left, right in groups for x in left for y in right}:
+            counts[pair] = counts.get(pair, 0) + 1
+    best: dict[int, int] = {}
+    for (x, _), n in counts.items():
+        best[x] = max(n, best.get(x, 0))
+    out = []
+    for groups in grouped:
+        links = [(x, y) for left, right in groups for x in left for y in right]
+        written = ";".join(",".join(map(str, left)) + "|" + ",".join(map(str, right)) for left, right in groups)
+        out.append((
+            sum(len(x) for x, _ in groups), sum(len(y) for _, y in groups), len(groups), len(links),
+            sum(counts[link] == best[link[0]] for link in links), sum(counts[link] for link in links), written,
+        ))
+    return out
