@@ -4,9 +4,9 @@ A document is the set of its word shingles, in the order of their hashes. Two se
 of the first n - t + l shingles of either, for every l, where t is the least overlap a set of n can have with a
 set like it. Each document picks its own l by the estimated cost of its candidates: shingles that very many
 prefixes hold are left out, for which the prefix is lengthened, and a longer prefix asks for correspondingly more
-shared shingles before two documents are compared at all. Two documents with different l have to meet the lesser
-demand, for the shorter prefix lies in both. A document whose longest prefix is all made of frequent shingles
-keeps them, and then has to share as many as its l.
+shared shingles before two documents are compared at all. Two documents have to meet the lesser demand of the
+two, for the prefix that ends first lies in both, and more by as much as their sizes ask for more than t. A
+document whose longest prefix is all made of frequent shingles keeps them, and then has to share as many as its l.
 
 Documents of one set are one node. Nodes under a shingle first meet its first node only; where all of them turn
 out to be linked, directly or through others, the shingle has nothing more to tell, so that large groups of near
@@ -48,8 +48,12 @@ VERIFY = 50
 # Rounds in which nodes meet the first node of a shingle only, and pairs per posting at which the rest is worked off.
 ROUNDS = 4
 FEW_PAIRS = 8
+# Rare shingles that two documents must share at most before they are compared.
+MATCHES = 10
+# Postings per link found below which another such round would not pay.
+FEW_FOUND = 500
 # Rows of a table that may be broadcast.
-SMALL = 200_000
+SMALL = 50_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -108,7 +112,10 @@ def text_key(text: Column) -> Column:
 
 
 def _choose(percent: int, longer: int, frequent: int, verify: int):
-    """Column function of (n, places, holders): how many shingles must be shared, and which postings are kept."""
+    """Column function of (n, places, holders, shingles): how many must be shared, and the rank of each posting.
+
+    Ranks go from the shingle with the fewest holders on; postings outside the chosen prefix have rank -1.
+    """
 
     def pick(n: int, place: np.ndarray, held: np.ndarray) -> tuple[int, np.ndarray]:
         t = least_overlap(n, percent)
@@ -125,32 +132,38 @@ def _choose(percent: int, longer: int, frequent: int, verify: int):
         return most, place < n - t + most
 
     def run(batches):
-        for sizes, places, holders in batches:
-            needs, kept = [], []
+        for sizes, places, holders, names in batches:
             ends = places.offsets.to_numpy()
-            place, held = places.values.to_numpy(), holders.values.to_numpy()
+            place, held, name = (c.values.to_numpy() for c in (places, holders, names))
+            needs, ranks = [], np.full(len(place), -1, dtype=np.int64)
             for n, i, j in zip(sizes.to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
-                need, mask = pick(n, place[i:j], held[i:j])
+                need, kept = pick(n, place[i:j], held[i:j])
                 needs.append(need)
-                kept.append(mask)
-            flags = pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), pa.array(np.concatenate([*kept, np.empty(0, dtype=bool)])))
-            yield pa.StructArray.from_arrays([pa.array(needs, pa.int64()), flags], names=["need", "kept"])
+                at = i + np.flatnonzero(kept)
+                ranks[at[np.lexsort((name[at], held[at]))]] = np.arange(len(at))
+            listed = pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), pa.array(ranks[ends[0] : ends[-1]]))
+            yield pa.StructArray.from_arrays([pa.array(needs, pa.int64()), listed], names=["need", "rank"])
 
-    return texts_function(run, "struct<need:long,kept:array<boolean>>")
+    return texts_function(run, "struct<need:long,rank:array<long>>")
 
 
 def postings(nodes: DataFrame, percent: int, longer: int, frequent: int, verify: int) -> DataFrame:
-    """(shingle, node, n, place, need) of the prefixes that nodes (node, n, prefix) choose; shared shingles only."""
+    """(shingle, node, n, place, need, rank, kept) of the prefixes that nodes (node, n, prefix) choose.
+
+    Shingles of one holder only are left out, ``kept`` is the number of those that stay.
+    """
     rows = nodes.select("node", "n", F.posexplode("prefix").alias("place", "shingle"))
     held = F.count(F.lit(1)).over(Window.partitionBy("shingle"))
     shared = rows.withColumn("held", held).where("held > 1")
     # Of one node at most a prefix.
     own = shared.groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("place", "shingle", "held"))).alias("p"))
-    own = own.select("node", "n", F.col("p.place").alias("place"), F.col("p.shingle").alias("shingle"), F.col("p.held").alias("held"))
-    chosen = own.withColumn("c", _choose(percent, longer, frequent, verify)(F.col("n"), F.col("place").cast("array<long>"), F.col("held")))
-    zipped = F.explode(F.arrays_zip("shingle", "place", F.col("c.kept").alias("kept"))).alias("p")
-    return chosen.select("node", "n", F.col("c.need").alias("need"), zipped).where("p.kept").select(
-        "p.shingle", "node", "n", F.col("p.place").cast("long").alias("place"), "need"
+    own = own.select("node", "n", F.col("p.place").cast("array<long>").alias("place"), F.col("p.shingle").alias("shingle"), F.col("p.held").alias("held"))
+    chosen = own.withColumn("c", _choose(percent, longer, frequent, verify)("n", "place", "held", "shingle"))
+    ranks = F.col("c.rank")
+    zipped = F.explode(F.arrays_zip("shingle", "place", ranks.alias("rank"))).alias("p")
+    kept = F.size(F.filter(ranks, lambda r: r >= 0)).cast("long").alias("kept")
+    return chosen.select("node", "n", F.col("c.need").alias("need"), kept, zipped).where("p.rank >= 0").select(
+        "p.shingle", "node", "n", "p.place", "need", "p.rank", "kept"
     )
 
 
@@ -173,23 +186,53 @@ def _grouped(chosen: DataFrame, links: DataFrame | None) -> DataFrame:
     return stash(ends.where("least < most").drop("least", "most"), "postings")
 
 
+def _asked(percent: int) -> Column:
+    """Shingles of their prefixes that two sets must share, by their sizes and what each of them asks for.
+
+    Of an overlap of at least ``both``, no more than what follows the prefix that ends first can lie outside both
+    prefixes, and of the rest no more can be left out than that document leaves out of its prefix.
+    """
+    both = F.ceil(F.lit(percent) * (F.col("one.n") + F.col("two.n")) / (100 + percent))
+    least = F.ceil(F.lit(percent) * F.greatest("one.n", "two.n") / 100)
+    return F.greatest(both - least + F.least("one.need", "two.need"), F.lit(1))
+
+
+def _counted(met: DataFrame, need: Column) -> DataFrame:
+    """(a, b, shared): pairs of nodes that meet under at least ``need`` shingles."""
+    a, b = F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")
+    counted = met.groupBy(a, b).agg(F.count(F.lit(1)).alias("shared"), F.max(need).alias("need"))
+    return counted.where("shared >= need").select("a", "b", "shared")
+
+
 def _to_first(live: DataFrame, turn: int, percent: int) -> DataFrame:
-    """(a, b): each node with the first node of its shingles, first by another order in each turn."""
-    rank = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-    first = live.groupBy("shingle").agg(F.min(F.struct(rank.alias("rank"), "node", "n", "place", "root")).alias("f"))
+    """(a, b): each node with one first node of its shingles, first by another order in each turn.
+
+    It is the one that most of its shingles name, if these are enough; what this passes over is not lost, for
+    the shingles of nodes that are not linked are worked off again.
+    """
+    order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
+    first = live.groupBy("shingle").agg(F.min(F.struct(order.alias("order"), "node", "n", "place", "need", "root")).alias("f"))
     first = first.select("shingle", "f.*").alias("two")
-    met = live.alias("one").join(first, "shingle").where(F.col("one.root") != F.col("two.root")).where(_may_link("one", "two", percent))
-    return met.select(F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")).distinct()
+    met = live.alias("one").join(first, "shingle").where((F.col("one.root") != F.col("two.root")) & _may_link("one", "two", percent))
+    ends = F.explode(F.array(F.struct(F.col("a").alias("node"), "b"), F.struct(F.col("b").alias("node"), F.col("a").alias("b"))))
+    sides = _counted(met, _asked(percent)).select("shared", ends.alias("e")).select("shared", "e.*")
+    best = sides.groupBy("node").agg(F.max(F.struct("shared", "b")).alias("m"))
+    return best.select(F.least("node", "m.b").alias("a"), F.greatest("node", "m.b").alias("b")).distinct()
 
 
 def _all_pairs(live: DataFrame, percent: int) -> DataFrame:
-    """(a, b): nodes of different groups that share as many shingles as either of them asks for."""
-    one, two = live.alias("one"), live.alias("two")
-    met = one.join(two, "shingle").where((F.col("one.node") < F.col("two.node")) & (F.col("one.root") != F.col("two.root")))
-    met = met.where(_may_link("one", "two", percent))
-    need = F.min(F.least("one.need", "two.need"))
-    counted = met.groupBy(F.col("one.node").alias("a"), F.col("two.node").alias("b")).agg(F.count(F.lit(1)).alias("shared"), need.alias("need"))
-    return counted.where("shared >= need").select("a", "b")
+    """(a, b): all nodes of different groups that share enough shingles.
+
+    Who shares ``asked`` shingles of two lists, both in the order of their holders, shares ``few`` of those that
+    come first, when as many follow as are left of what is asked. So the rarest shingles decide who meets.
+    """
+    asked = _asked(percent)
+    few = F.least(asked, F.lit(MATCHES))
+    rare = [F.col(f"{side}.rank") < F.col(f"{side}.kept") - asked + few for side in ("one", "two")]
+    apart = (F.col("one.node") < F.col("two.node")) & (F.col("one.root") != F.col("two.root"))
+    same = F.col("one.shingle") == F.col("two.shingle")
+    met = live.alias("one").join(live.alias("two"), same & apart & _may_link("one", "two", percent) & rare[0] & rare[1])
+    return _counted(met, few).select("a", "b")
 
 
 def _alike(width: int, percent: int):
@@ -253,7 +296,7 @@ def join(
         links = found if links is None else links.unionByName(found)
         if last:
             return links
-        last, turn = found.isEmpty(), turn + 1
+        last, turn = found.count() * FEW_FOUND < size[0], turn + 1
 
 
 def groups(
