@@ -8,9 +8,9 @@ shared shingles before two documents are compared at all. Two documents have to
 two, for the prefix that ends first lies in both, and more by as much as their sizes ask for more than t. A
 document whose longest prefix is all made of frequent shingles keeps them, and then has to share as many as its l.
 
-Documents of one set are one node. Nodes under a shingle first meet its first node only; where all of them turn
-out to be linked, directly or through others, the shingle has nothing more to tell, so that large groups of near
-copies cost their size and not its square. The pairs that remain are those between different groups so far: they
+Documents of one set are one node. Nodes under a shingle first meet only the next one, in orders that put like
+nodes side by side; where all of them turn out to be linked, directly or through others, the shingle has nothing
+more to tell, so that large groups of near copies cost little more than their size, and not its square. The pairs that remain are those between different groups so far: they
 are counted, checked by length, position and number of shared shingles, and all of them are verified on the texts.
 
 Defined results: null texts, and texts without words, have empty sets and are linked with nothing, not even each
@@ -45,11 +45,13 @@ LONGER = 10
 FREQUENT = 50
 # Cost of verifying a candidate, in postings read.
 VERIFY = 50
-# Rounds in which nodes meet the first node of a shingle only, and pairs per posting at which the rest is worked off.
-ROUNDS = 4
+# Rounds in which nodes meet the next node of a shingle only, and pairs per posting at which the rest is worked off.
+ROUNDS = 8
 FEW_PAIRS = 8
 # Rare shingles that two documents must share at most before they are compared.
 MATCHES = 10
+# Hashes that order nodes for a round.
+SIGNS = 4
 # Postings per link found below which another such round would not pay.
 FEW_FOUND = 500
 # Rows of a table that may be broadcast.
@@ -160,9 +162,11 @@ def postings(nodes: DataFrame, percent: int, longer: int, frequent: int, verify:
     own = own.select("node", "n", F.col("p.place").cast("array<long>").alias("place"), F.col("p.shingle").alias("shingle"), F.col("p.held").alias("held"))
     chosen = own.withColumn("c", _choose(percent, longer, frequent, verify)("n", "place", "held", "shingle"))
     ranks = F.col("c.rank")
-    zipped = F.explode(F.arrays_zip("shingle", "place", ranks.alias("rank"))).alias("p")
     kept = F.size(F.filter(ranks, lambda r: r >= 0)).cast("long").alias("kept")
-    return chosen.select("node", "n", F.col("c.need").alias("need"), kept, zipped).where("p.rank >= 0").select(
+    zipped = F.arrays_zip("shingle", "place", ranks.alias("rank")).alias("p")
+    # What each posting needs of its node is ready before the lists unfold, so that no list is carried along.
+    ready = chosen.select("node", "n", F.col("c.need").alias("need"), kept, zipped)
+    return ready.select("node", "n", "need", "kept", F.explode("p").alias("p")).where("p.rank >= 0").select(
         "p.shingle", "node", "n", "p.place", "need", "p.rank", "kept"
     )
 
@@ -204,20 +208,19 @@ def _counted(met: DataFrame, need: Column) -> DataFrame:
     return counted.where("shared >= need").select("a", "b", "shared")
 
 
-def _to_first(live: DataFrame, turn: int, percent: int) -> DataFrame:
-    """(a, b): each node with one first node of its shingles, first by another order in each turn.
+def _neighbours(live: DataFrame, turn: int, percent: int) -> DataFrame:
+    """(a, b): nodes that follow each other under enough shingles, in an order that puts like nodes side by side.
 
-    It is the one that most of its shingles name, if these are enough; what this passes over is not lost, for
-    the shingles of nodes that are not linked are worked off again.
+    The order is that of the least hashes of a node's shingles, other hashes in each turn. What this passes over is
+    not lost, for the shingles of nodes that are not linked are worked off again.
     """
-    order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-    first = live.groupBy("shingle").agg(F.min(F.struct(order.alias("order"), "node", "n", "place", "need", "root")).alias("f"))
-    first = first.select("shingle", "f.*").alias("two")
-    met = live.alias("one").join(first, "shingle").where((F.col("one.root") != F.col("two.root")) & _may_link("one", "two", percent))
-    ends = F.explode(F.array(F.struct(F.col("a").alias("node"), "b"), F.struct(F.col("b").alias("node"), F.col("a").alias("b"))))
-    sides = _counted(met, _asked(percent)).select("shared", ends.alias("e")).select("shared", "e.*")
-    best = sides.groupBy("node").agg(F.max(F.struct("shared", "b")).alias("m"))
-    return best.select(F.least("node", "m.b").alias("a"), F.greatest("node", "m.b").alias("b")).distinct()
+    least = [F.min(F.xxhash64("shingle", F.lit(turn * SIGNS + i))).alias(f"sign{i}") for i in range(SIGNS)]
+    signed = live.join(live.groupBy("node").agg(*least), "node")
+    order = Window.partitionBy("shingle").orderBy(*[f"sign{i}" for i in range(SIGNS)], "node")
+    fields = F.struct("node", "n", "place", "need", "root")
+    met = signed.select(fields.alias("one"), F.lead(fields).over(order).alias("two")).where("two IS NOT NULL")
+    met = met.where((F.col("one.root") != F.col("two.root")) & _may_link("one", "two", percent))
+    return _counted(met, _asked(percent)).select("a", "b")
 
 
 def _all_pairs(live: DataFrame, percent: int) -> DataFrame:
@@ -291,7 +294,7 @@ def join(
         if not size[0]:
             return links if links is not None else chosen.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
         last = last or turn >= rounds or size[1] <= FEW_PAIRS * size[0]
-        pairs = _all_pairs(live, percent) if last else _to_first(live, turn, percent)
+        pairs = _all_pairs(live, percent) if last else _neighbours(live, turn, percent)
         found = _verified(pairs, names, texts, width, percent)
         links = found if links is None else links.unionByName(found)
         if last:

@@ -8,7 +8,8 @@ pseudonym is again a valid value (check digits are made anew).
 
 One pass over each text, no shuffle. Defined results: a null text stays null, a text without findings
 stays as it is; findings never overlap (the leftmost, longest pattern wins); invalid look-alikes such as
-numbers that fail their check digit stay; other columns are passed through untouched.
+numbers that fail their check digit stay; findings of any length are replaced, long ones in blocks; what holds
+neither letter nor digit has no other value of its format and stays; other columns are passed through untouched.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import Column
 from ledgerline.llm.common import text_function
 
 ROUNDS = 10
+# Characters that are permuted as one number.
+BLOCK = 256
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 FOUND = "struct<text:string,found:array<struct<kind:string,start:int,length:int,pseudonym:string>>>"
 
@@ -85,20 +88,41 @@ def _refill(shape: str, digits: str) -> str:
     return "".join(next(source) if c.isdigit() else c for c in shape)
 
 
-def _characters(text: str, key: bytes, kind: str) -> str:
-    """Permute letters among letters and digits among digits, all positions together."""
-    radix = [(10, "0") if "0" <= c <= "9" else (26, "a") if "a" <= c <= "z" else (26, "A") if "A" <= c <= "Z" else (1, c) for c in text]
+def _permuted(text: str, alphabets: list[tuple[int, str]], key: bytes, kind: str) -> str:
+    """Permute a text among all texts of its shape: at each place the characters from a first one on."""
     value, size = 0, 1
-    for c, (n, zero) in zip(text, radix):
-        value, size = value * n + ord(c) - ord(zero), size * n
-    shape = "".join(zero for _, zero in radix)
+    for c, (n, zero) in zip(text, alphabets):
+        value, size = value * n + (int(c, 16) if n == 16 else ord(c) - ord(zero)), size * n
+    shape = "".join(zero for _, zero in alphabets)
     value, out = feistel(value, size, key, f"{kind} {shape}"), []
-    for n, zero in reversed(radix):
+    for n, zero in reversed(alphabets):
         value, digit = divmod(value, n)
-        out.append(chr(ord(zero) + digit))
+        out.append("0123456789abcdef"[digit] if n == 16 else chr(ord(zero) + digit))
     return "".join(reversed(out))
 
 
+def _characters(text: str, key: bytes, kind: str, hexadecimal: bool = False) -> str:
+    """Permute letters among letters and digits among digits, all positions together.
+
+    A long text is permuted block by block, from its start under a digest of the blocks before, then from its
+    end under a digest of those behind: every character of the result depends on all of the text, it can be
+    undone, and the work grows with the length.
+    """
+    plain = [(10, "0") if "0" <= c <= "9" else (26, "a") if "a" <= c <= "z" else (26, "A") if "A" <= c <= "Z" else (1, c) for c in text]
+    alphabets = [(16, "0")] * len(text) if hexadecimal else plain
+    if len(text) <= BLOCK:
+        return _permuted(text, alphabets, key, kind)
+    cuts = range(0, len(text), BLOCK)
+    blocks, shapes = [text[i : i + BLOCK] for i in cuts], [alphabets[i : i + BLOCK] for i in cuts]
+    for turn, order in enumerate((range(len(blocks)), range(len(blocks) - 1, -1, -1))):
+        passed = blake2b(f"{len(text)}".encode(), key=key[:64], digest_size=16)
+        for i in order:
+            before = blocks[i]
+            blocks[i] = _permuted(before, shapes[i], key, f"{kind} {turn} {i} {passed.hexdigest()}")
+            passed.update(before.encode())
+    return "".join(blocks)
+
+
 def _card(text: str, key: bytes) -> str | None:
     digits = re.sub(r"\D", "", text)
     if luhn_digit(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
@@ -180,7 +204,7 @@ def _iban(text: str, key: bytes) -> str | None:
 
 def _secret(text: str, key: bytes) -> str:
     if re.fullmatch(r"[0-9a-f]+", text):
-        return f"{feistel(int(text, 16), 16 ** len(text), key, 'hex'):0{len(text)}x}"
+        return _characters(text, key, "hex", hexadecimal=True)
     return _characters(text, key, "secret")
 
 

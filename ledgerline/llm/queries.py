@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 import public_tokenizers
@@ -27,11 +28,22 @@ from ledgerline.llm.common import held_out, read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+# Replaced by ``pseudonym_key``.
 PSEUDONYM_KEY = "ledgerline"
+KEY_SETTING = "spark.ledgerline.pseudonymKey"
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    """The key named in the session, else one drawn at random that holds as long as the session."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
+
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     length = token_counts.encoded_length(F.col("text"), token_counts.load_ranks(spark, RANKS), public_tokenizers.PATTERN)
@@ -83,7 +95,7 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    done = docs.select("doc_id", pseudonyms.pseudonymise(F.col("text"), PSEUDONYM_KEY).alias("p"))
+    done = docs.select("doc_id", pseudonyms.pseudonymise(F.col("text"), pseudonym_key(spark)).alias("p"))
     return done.select(
         "doc_id",
         F.col("p.text").alias("text"),

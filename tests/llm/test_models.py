@@ -228,3 +228,46 @@ def test_token_counts_for_every_limit(spark):
     assert grouped.agg(F.sum("tokens")).first()[0] == sum(lengths)
     empty = brute.table(spark, [])
     assert token_counts.suffix_sums(token_counts.histogram(empty, length)).count() == 0
+
+
+@pytest.mark.parametrize("size", [255, 257, 5_000, 1_000_000])
+def test_long_findings_are_replaced_in_their_format(size):
+    draw = random.Random(size)
+    letters = "".join(draw.choices("abcXYZ019_", k=size - 1)) + "q"
+    digits = "".join(draw.choices("0123456789abcdef", k=size))
+    name = "".join(draw.choices("abc.", k=size - 1)) + "q"
+    text = f"token={letters} secret: {digits} {name}@example.org end"
+    new, found = pseudonyms.pseudonymise_text(text, KEY)
+    assert [k for k, *_ in found] == ["secret", "secret", "email"] and len(new) == len(text)
+    kinds = lambda t: [c.isalpha() + 2 * c.isdigit() + 4 * c.isupper() for c in t]
+    (_, at, n, one), (_, hex_at, hex_n, two), (_, _, _, mail) = found
+    assert kinds(one) == kinds(letters) and set(two) <= set("0123456789abcdef") and len(two) == size
+    assert mail.endswith("@example.org") and kinds(mail) == kinds(f"{name}@example.org")
+    assert text[at : at + n] == letters and text[hex_at : hex_at + hex_n] == digits
+    assert pseudonyms.pseudonymise_text(text, KEY)[0] == new
+    # One character changes both ends of the pseudonym.
+    other = pseudonyms.pseudonymise_text(f"token={letters[:-1]}r", KEY)[1][0][3]
+    assert other[:20] != one[:20] and other[-20:] != one[-20:]
+
+
+def test_blocks_are_a_permutation(monkeypatch):
+    monkeypatch.setattr(pseudonyms, "BLOCK", 2)
+    values = [f"{i:05d}" for i in range(0, 100_000, 37)]
+    assert len({pseudonyms._characters(v, KEY, "t") for v in values}) == len(values)
+
+
+def test_long_findings_through_the_query_function(spark):
+    docs = brute.table(spark, [f"password: {'aB3' * 2_000}", "key=" + "f0" * 3_000, "x" * 5_000 + "@a.de", "_._@x.com", None])
+    rows = docs.select("doc_id", pseudonyms.pseudonymise(F.col("text"), "k").alias("p")).collect()
+    assert [len(r["p"]["found"]) if r["p"]["text"] else None for r in sorted(rows)] == [1, 1, 1, 1, None]
+
+
+def test_the_key_is_the_sessions_own(spark):
+    from ledgerline.llm import queries
+
+    before = spark.conf.get(queries.KEY_SETTING, None)
+    spark.conf.unset(queries.KEY_SETTING)
+    drawn = queries.pseudonym_key(spark)
+    assert len(drawn) == 64 and queries.pseudonym_key(spark) == drawn
+    spark.conf.set(queries.KEY_SETTING, before or "own")
+    assert queries.pseudonym_key(spark) == (before or "own")
