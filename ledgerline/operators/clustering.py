@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.ranking import hashed_sample
@@ -21,13 +20,51 @@ from ledgerline.operators.ranking import hashed_sample
 K_RANGE = tuple(range(2, 9))
 RESTARTS = 10
 SEED = 42
+# Rows that the first centres are drawn from, steps at most, and the move of a centre below which a fit ends.
+START_ROWS = 5_000
+STEPS = 100
+TOLERANCE = 1e-4
+
+
+@dataclass(frozen=True)
+class Summary:
+    """Cost and cluster sizes over all rows."""
+
+    trainingCost: float
+    clusterSizes: Sequence[int]
+
+
+@dataclass(frozen=True)
+class KMeansFit:
+    """Centres of one fit; of equally near centres the first has the row."""
+
+    centres: np.ndarray
+    summary: Summary
+    prediction: str = "prediction"
+
+    def clusterCenters(self) -> list[np.ndarray]:
+        return list(self.centres)
+
+    def setPredictionCol(self, name: str) -> KMeansFit:
+        return KMeansFit(self.centres, self.summary, name)
+
+    def gaps(self, coordinates: Sequence[Column]) -> Column:
+        """Squared distances to all centres."""
+        return F.array(*[sum((F.pow(c - F.lit(float(m)), F.lit(2)) for c, m in zip(coordinates, centre)), F.lit(0.0)) for centre in self.centres])
+
+    def transform(self, points: DataFrame) -> DataFrame:
+        """Add the number of the nearest centre of the vector ``features``."""
+        parts = vector_to_array("features")
+        gaps = self.gaps([parts[i] for i in range(self.centres.shape[1])])
+        nearest = F.transform(F.array(gaps), lambda g: F.array_position(g, F.array_min(g)))[0] - 1
+        return points.withColumn(self.prediction, nearest.cast("int"))
 
 
 @dataclass(frozen=True)
 class Sweep:
     """All fitted sizes: the best model of each k and its silhouette."""
 
-    models: Mapping[int, KMeansModel]
+    models: Mapping[int, KMeansFit]
     silhouettes: Mapping[int, float]
 
     @property
@@ -43,26 +80,143 @@ def with_vector(df: DataFrame, columns: Sequence[str], name: str = "features") -
     return VectorAssembler(inputCols=list(columns), outputCol=name).transform(df)
 
 
+def _coordinates(batch: pa.RecordBatch) -> np.ndarray:
+    """Rows of the array column ``x`` of a batch as a matrix."""
+    column = batch.column(batch.schema.get_field_index("x"))
+    return column.flatten().to_numpy().reshape(len(column), -1)
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(fit, nearest centre of each row, its squared distance) of every fit; ``first`` says where its centres begin."""
+    gaps = (x**2).sum(axis=1)[:, None] - 2 * (x @ centres.T) + (centres**2).sum(axis=1)
+    for fit, (i, j) in enumerate(zip(first[:-1], first[1:])):
+        own = gaps[:, i:j]
+        at = own.argmin(axis=1)
+        yield fit, at + i, np.maximum(own[np.arange(len(x)), at], 0.0)
+
+
+def _sums(rows: DataFrame, fits: Sequence[np.ndarray]) -> np.ndarray:
+    """Per centre of all fits, in one scan: rows, sums of coordinates, sum of squares, cost."""
+    centres, first = np.concatenate(fits), np.cumsum([0, *map(len, fits)])
+    width = centres.shape[1]
+    names = ["centre", "n", *[f"s{i}" for i in range(width)], "squares", "cost"]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(centres), width + 3))
+        for batch in batches:
+            whole = _coordinates(batch)
+            for at in range(0, len(whole), 4096):
+                x = whole[at : at + 4096]
+                values = np.column_stack([np.ones(len(x)), x, (x**2).sum(axis=1)])
+                for _, nearest, gap in _nearest(x, centres, first):
+                    for column in range(width + 2):
+                        total[:, column] += np.bincount(nearest, values[:, column], len(centres))
+                    total[:, -1] += np.bincount(nearest, gap, len(centres))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(centres))), *[pa.array(c) for c in total.T]], names=names)
+
+    kinds = ", ".join(["centre long", *[f"{n} double" for n in names[1:]]])
+    found = rows.mapInArrow(add, kinds).groupBy("centre").agg(*[F.sum(n).alias(n) for n in names[1:]])
+    out = np.zeros((len(centres), width + 3))
+    for row in found.collect():
+        out[row["centre"]] = row[1:]
+    return out
+
+
+def first_centres(sample: np.ndarray, k: int, draw: np.random.Generator) -> np.ndarray:
+    """k rows of a sample, each drawn by its squared distance to those before: the best of a few draws."""
+    tries = 2 + int(np.log(k))
+    chosen = [sample[draw.integers(len(sample))]]
+    gaps = ((sample - chosen[0]) ** 2).sum(axis=1)
+    for _ in range(k - 1):
+        weights = gaps / gaps.sum() if gaps.sum() > 0 else np.full(len(sample), 1 / len(sample))
+        drawn = sample[draw.choice(len(sample), size=tries, p=weights)]
+        left = np.minimum(gaps, ((sample[None] - drawn[:, None]) ** 2).sum(axis=2))
+        best = int(left.sum(axis=1).argmin())
+        chosen.append(drawn[best])
+        gaps = left[best]
+    return np.array(chosen)
+
+
 def fit_kmeans(
-    vectors: DataFrame, ks: Sequence[int], n_init: int = RESTARTS, seed: int = SEED, parallelism: int = 8
-) -> dict[int, KMeansModel]:
+    vectors: DataFrame, ks: Sequence[int], n_init: int = RESTARTS, seed: int = SEED,
+    steps: int = STEPS, tolerance: float = TOLERANCE, start_rows: int = START_ROWS,
+) -> dict[int, KMeansFit]:
     """Per k the model of least cost over ``n_init`` seeds.
 
-    All fits are independent jobs over the same vectors and are submitted side by side, so that one
-    fit's driver work overlaps with the tasks of others.
+    All fits take their steps together: one scan and one aggregate move the centres of every fit that still
+    moves, and what comes back is one row for each centre. First centres are drawn from a sample of at most
+    ``start_rows`` rows; steps, sizes and costs are over all rows.
     """
+    ks = sorted(ks)
+    rows = vectors.select(vector_to_array("features").alias("x")).persist()
+    try:
+        sample = np.array([r["x"] for r in rows.orderBy(F.rand(seed)).limit(start_rows).collect()], dtype=float)
+        if not len(sample):
+            raise ValueError("no rows to fit")
+        fits = [first_centres(sample, k, np.random.default_rng([seed, k, i])) for k in ks for i in range(n_init)]
+        moving = list(range(len(fits)))
+        for _ in range(steps):
+            if not moving:
+                break
+            found, at = _sums(rows, [fits[i] for i in moving]), 0
+            still = []
+            for i in moving:
+                own = found[at : at + len(fits[i])]
+                at += len(fits[i])
+                filled = own[:, 0] > 0
+                moved = fits[i].copy()
+                moved[filled] = own[filled, 1:-2] / own[filled, :1]
+                if ((moved - fits[i]) ** 2).sum(axis=1).max() > tolerance**2:
+                    still.append(i)
+                fits[i] = moved
+            moving = still
+        found = np.split(_sums(rows, fits), np.cumsum([len(f) for f in fits])[:-1])
+    finally:
+        rows.unpersist()
+    best: dict[int, KMeansFit] = {}
+    for centres, sums in zip(fits, found):
+        cost = float(sums[:, -1].sum())
+        k = len(centres)
+        if k not in best or cost < best[k].summary.trainingCost:
+            best[k] = KMeansFit(centres, Summary(cost, [int(n) for n in sums[:, 0]]))
+    return best
 
-    def fit(job: tuple[int, int]) -> tuple[int, KMeansModel]:
-        k, i = job
-        return k, KMeans(k=k, seed=seed + i, maxIter=100, featuresCol="features").fit(vectors)
 
-    jobs = [(k, i) for k in sorted(ks, reverse=True) for i in range(n_init)]
-    best: dict[int, KMeansModel] = {}
-    with ThreadPool(min(parallelism, len(jobs))) as pool:
-        for k, model in pool.imap(fit, jobs):
-            if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-                best[k] = model
-    return best
+def squared_silhouettes(vectors: DataFrame, models: Mapping[int, KMeansFit]) -> dict[int, float]:
+    """Mean silhouette of all rows with squared distances for every model: two scans for all of them."""
+    ks = sorted(models)
+    rows = vectors.select(vector_to_array("features").alias("x"))
+    fits = [models[k].centres for k in ks]
+    sums = _sums(rows, fits)
+    centres, first = np.concatenate(fits), np.cumsum([0, *map(len, fits)])
+    count = sums[:, 0]
+    mean, square = sums[:, 1:-2] / np.maximum(count, 1)[:, None], sums[:, -2] / np.maximum(count, 1)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(len(fits)), 0
+        for batch in batches:
+            whole = _coordinates(batch)
+            n += len(whole)
+            for at in range(0, len(whole), 4096):
+                x = whole[at : at + 4096]
+                # Mean squared distance of a row to all rows of a cluster.
+                gaps = np.maximum((x**2).sum(axis=1)[:, None] - 2 * (x @ mean.T) + square, 0.0)
+                gaps[:, count == 0] = np.inf
+                for fit, own, _ in _nearest(x, centres, first):
+                    here = np.arange(len(x))
+                    inner = gaps[here, own] * count[own] / np.maximum(count[own] - 1, 1)
+                    others = gaps[:, first[fit] : first[fit + 1]].copy()
+                    others[here, own - first[fit]] = np.inf
+                    outer = others.min(axis=1)
+                    width = np.maximum(inner, outer)
+                    able = (count[own] > 1) & np.isfinite(outer) & (width > 0)
+                    total[fit] += ((outer - inner)[able] / width[able]).sum()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(fits))), pa.array(total), pa.array(np.full(len(fits), n))], names=["fit", "total", "n"]
+        )
+
+    found = rows.mapInArrow(measure, "fit long, total double, n long").groupBy("fit").agg(F.sum("total"), F.sum("n")).collect()
+    return {ks[r[0]]: float(r[1] / r[2]) if r[2] else 0.0 for r in found}
 
 
 def sweep_k(
@@ -74,7 +228,7 @@ def sweep_k(
     seed: int = SEED,
     sample: int | None = None,
 ) -> Sweep:
-    """Fit every k on cached vectors and score each by the silhouette of all rows.
+    """Fit every k on cached vectors and score all of them by the silhouette of all rows.
 
     The silhouette uses squared distances, which takes linear time. ``sample`` instead scores that many
     rows, the same for every k, by plain distances between all pairs of them. ``df`` should be frozen; the
@@ -84,12 +238,11 @@ def sweep_k(
     try:
         models = fit_kmeans(vectors, ks, n_init, seed)
         if sample is None:
-            scores = {k: silhouette(model.transform(vectors), "prediction") for k, model in models.items()}
+            scores = squared_silhouettes(vectors, models)
         else:
             points = hashed_sample(vectors, key, sample, seed)
             for k, model in models.items():
                 points = model.setPredictionCol(f"__label{k}").transform(points)
-                model.setPredictionCol("prediction")
             scores = silhouettes(points, {k: f"__label{k}" for k in ks})
     finally:
         vectors.unpersist()
@@ -157,7 +310,7 @@ def silhouettes(points: DataFrame, labels: Mapping[int, str], most: int = 20_000
 
 
 def assign_clusters(
-    df: DataFrame, columns: Sequence[str], model: KMeansModel, rank_by: str, name: str = "cluster"
+    df: DataFrame, columns: Sequence[str], model: KMeansFit, rank_by: str, name: str = "cluster"
 ) -> DataFrame:
     """Label rows, numbering clusters from 0 by falling mean of ``rank_by`` so that names are stable."""
     labelled = model.transform(with_vector(df, columns)).withColumnRenamed("prediction", "__raw").drop("features")

@@ -7,6 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.text import normalise_name, shorten
 from ledgerline.operators.ranking import quantiles
@@ -30,15 +31,56 @@ def _wide_hash(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+def _typed(col: Column, kind: T.DataType) -> Column:
+    """A value whose hash tells it from every other one of its type: one zero, one NaN, NULL inside it marked.
+
+    Plain types stay as they are; nested values, whose NULLs a hash passes over, become text that marks them.
+    """
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(F.isnan(col), F.lit(float("nan")).cast(kind)).when(col == 0, F.lit(0.0).cast(kind)).otherwise(col)
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        return _written(col, kind)
+    return col
+
+
+def _written(col: Column, kind: T.DataType) -> Column:
+    """Text of a nested value: lengths before parts, so that no two values are written alike."""
+
+    def part(text: Column) -> Column:
+        return F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
+
+    if isinstance(kind, T.StructType):
+        text = F.concat(F.lit("{"), *[part(_written(col.getField(f.name), f.dataType)) for f in kind.fields])
+    elif isinstance(kind, T.ArrayType):
+        text = F.array_join(F.transform(col, lambda x: part(_written(x, kind.elementType))), ",")
+    elif isinstance(kind, T.MapType):
+        entries = F.transform(F.map_entries(col), lambda e: F.concat(part(_written(e["key"], kind.keyType)), part(_written(e["value"], kind.valueType))))
+        text = F.array_join(F.array_sort(entries), ",")
+    elif isinstance(kind, T.BinaryType):
+        return F.hex(col)
+    elif isinstance(kind, T.TimestampType):
+        # An instant, which local time does not name for certain.
+        return F.unix_micros(col).cast("string")
+    else:
+        return _typed(col, kind).cast("string")
+    return F.when(col.isNotNull(), text)
+
+
+def row_hash(fields: Sequence[T.StructField]) -> list[Column]:
+    """Two independent 64-bit hashes of the typed columns of a row, NULL marked apart in each column."""
+    cells = [c for f in fields for c in (_typed(F.col(f"`{f.name}`"), f.dataType), F.col(f"`{f.name}`").isNull())]
+    return [F.xxhash64(F.lit(seed), *cells) for seed in (1, 2)]
+
+
 def table_profile(df: DataFrame, table: str) -> DataFrame:
     """Rows, columns, missing cells and repeated rows.
 
-    Rows are told apart by a wide hash, which moves instead of the row, with a map-side count.
+    Rows are told apart by a wide hash of their typed values, which moves instead of the row, with a map-side count.
     """
     fields = df.schema.fields
     missing = sum((F.when(_present(f).isNull(), 1).otherwise(0) for f in fields), F.lit(0))
-    whole = F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in fields]), {"ignoreNullFields": "false"})
-    grouped = df.select(_wide_hash(whole).alias("__row"), missing.alias("__cells")).groupBy("__row").agg(
+    one, two = row_hash(fields)
+    grouped = df.select(one.alias("__one"), two.alias("__two"), missing.alias("__cells")).groupBy("__one", "__two").agg(
         F.count(F.lit(1)).alias("__copies"), F.sum("__cells").alias("__missing")
     )
     return grouped.agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
 from pyspark.sql import functions as F
 
-from ledgerline.operators import basket, churn, clustering, evaluation, explore, forecast, measures, rfm
+from ledgerline.operators import basket, churn, clustering, evaluation, explore, forecast, measures, ranking, rfm, silhouette
 from ledgerline.session import freeze
 from ledgerline.sources import sinks
 from ledgerline.workloads.binding import FESTIVALS
@@ -153,6 +153,45 @@ def silhouette_of_given_labels(b):
     return b.spark.createDataFrame([(score,)], "silhouette double")
 
 
+@query("plain_silhouette_of_given_labels", "M10", """
+    l AS (SELECT user_id, r_score AS label, ln(1 + recency_days) AS r, ln(1 + frequency) AS f,
+                 sign(monetary) * ln(1 + abs(CAST(monetary AS DOUBLE))) AS m FROM m_scored),
+    s AS (SELECT avg(r) AS ar, stddev_pop(r) AS sr, avg(f) AS af, stddev_pop(f) AS sf, avg(m) AS am, stddev_pop(m) AS sm FROM l),
+    z AS (SELECT user_id, label, (r - ar) / sr AS x, (f - af) / sf AS y, (m - am) / sm AS w FROM l, s),
+    p AS (SELECT *, row_number() OVER (ORDER BY md5(CAST(user_id AS VARCHAR) || '-42'), user_id) <= 10000 AS taken FROM z),
+    size AS (SELECT label, count(*) AS n, count(*) FILTER (WHERE taken) AS taken_n FROM p GROUP BY label),
+    d AS (SELECT a.user_id, a.taken, a.label AS own, b.label AS other,
+                 sum(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.w - b.w) ** 2)) AS total,
+                 coalesce(sum(CASE WHEN b.taken THEN sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.w - b.w) ** 2) END), 0) AS taken_total
+          FROM p a, p b GROUP BY ALL),
+    e AS (SELECT user_id, taken, max(CASE WHEN own = other THEN total / greatest(n - 1, 1) END) AS a,
+                 min(CASE WHEN own <> other THEN total / n END) AS b,
+                 max(CASE WHEN own = other THEN taken_total / greatest(taken_n - 1, 1) END) AS ta,
+                 min(CASE WHEN own <> other THEN taken_total / taken_n END) AS tb
+          FROM d JOIN size ON size.label = d.other GROUP BY user_id, taken)
+    SELECT count(*) AS rows, round(avg((b - a) / greatest(a, b)), 4) AS silhouette, count(*) FILTER (WHERE taken) AS sample_rows,
+           round(avg((tb - ta) / greatest(ta, tb)) FILTER (WHERE taken), 4) AS sample_silhouette FROM e""")
+def plain_silhouette_of_given_labels(b):
+    """Plain distances: of all rows by the tree of cells, and of a sample of 10,000 by all pairs."""
+    scaled = freeze(rfm.scale_features(_segments(b)).select("user_id", "r_score", *SCALED))
+    score = silhouette.plain_silhouette(scaled, SCALED, "r_score", tolerance=0)
+    sample = freeze(ranking.hashed_sample(scaled, "user_id", 10_000))
+    of_sample = clustering.silhouettes(clustering.with_vector(sample, SCALED), {0: "r_score"})[0]
+    row = (score.rows, score.silhouette, sample.count(), of_sample)
+    return b.spark.createDataFrame([row], "rows bigint, silhouette double, sample_rows bigint, sample_silhouette double")
+
+
+@query("plain_silhouette_with_bound", "M10")
+def plain_silhouette_with_bound(b):
+    """The same for margins from none to a tenth: the value, how far off it can be, and what the grid holds."""
+    scaled = freeze(rfm.scale_features(_segments(b)).select("user_id", "r_score", *SCALED))
+    rows = []
+    for tolerance in (0.0, 0.01, 0.1):
+        s = silhouette.plain_silhouette(scaled, SCALED, "r_score", tolerance, most_cells=2_000)
+        rows.append((tolerance, s.silhouette, s.bound, s.rows, s.cells))
+    return b.spark.createDataFrame(rows, "tolerance double, silhouette double, bound double, rows bigint, cells bigint")
+
+
 @query("clustered_customers", "M9 M11", """
     SELECT user_id, recency_days, frequency, round(CAST(monetary AS DOUBLE), 4) AS monetary, segment, true AS at_nearest
     FROM m_segments""")
