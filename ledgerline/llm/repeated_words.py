@@ -7,8 +7,8 @@ a wavelet tree whose bits are packed with sampled counts. The documents' windows
 the index by backward search; a window whose interval shrinks to itself is given up at once, and the others
 report the smallest document in their interval. Runs of such windows are the intervals above threshold.
 
-Regions travel as their words. Words are compared as 64-bit numbers made from their bytes; regions by a
-128-bit digest.
+Regions travel as their words. In a shard words are named by their bytes and windows by their place in the suffix
+order; hashes of words only choose anchors, and equal regions are known by a 128-bit digest.
 
 Defined results: null texts have no words; null ids count as larger than all others; repeated rows with one
 id do not remove each other, since neither id is smaller; repeats inside one document stay; an empty table
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import anchors
-from ledgerline.llm.anchors import Windows, span_hash, symbols_of
+from ledgerline.llm.anchors import Windows
 from ledgerline.llm.common import stash, texts_function
 from ledgerline.llm.repeated_bytes import covered_runs, runs_of_true, single_windows
 from ledgerline.llm.suffixes import suffix_order
@@ -104,14 +104,28 @@ class FMIndex:
         return base + self.tree.rank(symbols, low), base + self.tree.rank(symbols, high)
 
 
+def window_classes(symbols: np.ndarray, order: np.ndarray, width: int) -> np.ndarray:
+    """A number for each place, equal for places whose ``width`` symbols are equal: neighbours in suffix order, compared symbol by symbol."""
+    padded = np.concatenate([symbols, np.zeros(width, dtype=symbols.dtype)])
+    alive = np.arange(len(order) - 1)
+    for step in range(width):
+        alive = alive[padded[order[alive] + step] == padded[order[alive + 1] + step]]
+    new = np.ones(len(order), dtype=np.int64)
+    new[alive + 1] = 0
+    classes = np.empty(len(order), dtype=np.int64)
+    classes[order] = np.cumsum(new)
+    return classes
+
+
 def _smallest_in_shard(width: int):
     def smallest(group: pd.DataFrame) -> pd.DataFrame:
         """Runs of windows of each region, with the smallest rank that has them, if that can matter."""
-        contents = [symbols_of(c, "word") for c in group["content"]]
+        contents = [c.split(b" ") for c in group["content"]]
         sizes = np.array([len(c) for c in contents])
         starts = np.cumsum(sizes + 1) - sizes - 1
-        # 1 ends the text, 2 a region, words count from 3.
-        _, words = np.unique(np.concatenate(contents), return_inverse=True)
+        # 1 ends the text, 2 a region, words count from 3. Words are told apart by their bytes, never by a hash.
+        names = {w: i for i, w in enumerate(sorted(set().union(*contents)))}
+        words = np.fromiter((names[w] for c in contents for w in c), dtype=np.int64, count=int(sizes.sum()))
         owner = np.repeat(np.arange(len(contents)), sizes + 1)
         offset = np.arange(len(owner)) - starts[owner]
         symbols = np.full(len(owner) + 1, 2, dtype=np.int64)
@@ -123,9 +137,7 @@ def _smallest_in_shard(width: int):
 
         # Equal windows of several regions are one pattern, which matters up to its largest rank.
         window = np.flatnonzero(offset <= sizes[owner] - width)
-        numbers = np.zeros(len(owner), dtype=np.uint64)
-        numbers[offset < sizes[owner]] = np.concatenate(contents)
-        _, place, pattern = np.unique(span_hash(numbers, window, window + width), return_index=True, return_inverse=True)
+        _, place, pattern = np.unique(window_classes(symbols, index.order, width)[window], return_index=True, return_inverse=True)
         reach = np.full(len(place), -FAR, dtype=np.int64)
         np.maximum.at(reach, pattern, most[owner[window]])
 

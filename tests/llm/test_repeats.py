@@ -143,3 +143,30 @@ def test_regions_of_a_periodic_stretch_stay_near_its_size(period):
     assert len(batches) > 3 and all(sum(map(len, b.column(6).to_pylist())) < 60_000 for b in batches)
     assert sum(sum(map(len, b.column(6).to_pylist())) for b in batches) < 2 * len(text)
     assert sum(sum(b.column(4).to_pylist()) for b in batches) == len(text) - 399
+
+
+def test_words_whose_numbers_collide_are_not_taken_for_equal(spark):
+    """A word of the Thue-Morse sequence and its complement agree as polynomials modulo 2**64 at any odd base."""
+    ones = [i.bit_count() % 2 for i in range(1024)]
+    word, other = "".join("ab"[b] for b in ones), "".join("ba"[b] for b in ones)
+    assert (anchors.symbols_of(word.encode(), "word") == anchors.symbols_of(other.encode(), "word")).all()
+    line = " ".join(f"w{i}" for i in range(49))
+    docs = [(1, f"{line} {word}"), (2, f"{line} {other}"), (3, f"{line} {word}"), (4, f"x {line} {other} y")]
+    found = {r["doc_id"]: r for r in repeated_words.remove_repeated(brute.table(spark, docs)).collect()}
+    expected = brute.removed_words(docs, 50)
+    for (own, _), (n, removed, kept) in zip(docs, expected):
+        gone = sum(s["last"] - s["first"] for s in found[own]["removed"])
+        assert (found[own]["n_words"], gone, found[own]["kept_sha256"]) == (n, removed, kept)
+    assert [e[1] for e in expected] == [0, 0, 50, 50]
+
+
+def test_window_classes_are_those_of_equal_windows():
+    draw = np.random.default_rng(2)
+    symbols = np.append(draw.integers(3, 5, 300), 1)
+    for width in (1, 3, 7):
+        classes = repeated_words.window_classes(symbols, suffix_order(symbols), width)
+        windows = {}
+        for i in range(301 - width):
+            windows.setdefault(tuple(symbols[i : i + width]), set()).add(classes[i])
+        assert all(len(c) == 1 for c in windows.values())
+        assert len(set.union(*windows.values())) == len(windows)
