@@ -22,6 +22,8 @@ RULE_SENTENCE = "Users who order %s also order %s (lift %.3fx, confidence %.0f%%
 
 # Baskets of this mean size below this support are reported as dense.
 DENSE_BASKET, DENSE_SUPPORT = 12, 0.5
+# Bits of a mask that one row of an item set unfolds into at once.
+LOW_BITS = 12
 
 
 def tag_pairs(model: StarModel, basket: str | None = None) -> DataFrame:
@@ -61,21 +63,33 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = MIN_SUPPORT, max_
     return sets.where(F.size("items") <= max_len) if max_len else sets
 
 
-def association_rules(itemsets: DataFrame, min_lift: float = MIN_LIFT) -> DataFrame:
+def _splits(sets: DataFrame, low_bits: int) -> DataFrame:
+    """(items, support, mask) of every split of an item set into two non-empty parts.
+
+    A set of many items is first dealt out in ranges of masks, which go to different tasks, and a range then
+    unfolds into its masks: no row unfolds into more than 2**low_bits of them at once.
+    """
+    ranges = sets.where(F.size("items") > 1).withColumn("size", F.size("items"))
+    dealt = ranges.withColumn("range", F.expr(f"explode(sequence(0L, shiftleft(1L, greatest(size - {low_bits}, 0)) - 1))"))
+    # Only large sets are worth a shuffle.
+    large = dealt.where(F.col("size") > low_bits).repartition("items", "range")
+    every = dealt.where(F.col("size") <= low_bits).unionByName(large)
+    masks = every.withColumn("low", F.expr(f"explode(sequence(0L, shiftleft(1L, least(size, {low_bits})) - 1))"))
+    masks = masks.withColumn("mask", F.expr(f"shiftleft(range, {low_bits}) | low"))
+    return masks.where("mask > 0 AND mask < shiftleft(1L, size) - 1").select("items", "support", "mask")
+
+
+def association_rules(itemsets: DataFrame, min_lift: float = MIN_LIFT, low_bits: int = LOW_BITS) -> DataFrame:
     """Every split of every item set into two non-empty parts, with confidence and lift.
 
     A bit mask per split picks the antecedent; the supports of both parts are looked up by joining
     the item sets to themselves on the sorted array.
     """
     sets = freeze(itemsets)
-    splits = (
-        sets.where(F.size("items") > 1)
-        .withColumn("mask", F.explode(F.expr("sequence(1L, shiftleft(1L, size(items)) - 2)")))
-        .select(
-            "support",
-            F.expr("filter(items, (item, i) -> (mask & shiftleft(1L, i)) != 0)").alias("antecedents"),
-            F.expr("filter(items, (item, i) -> (mask & shiftleft(1L, i)) = 0)").alias("consequents"),
-        )
+    splits = _splits(sets, low_bits).select(
+        "support",
+        F.expr("filter(items, (item, i) -> (mask & shiftleft(1L, i)) != 0)").alias("antecedents"),
+        F.expr("filter(items, (item, i) -> (mask & shiftleft(1L, i)) = 0)").alias("consequents"),
     )
     left = sets.select(F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"))
     right = sets.select(F.col("items").alias("consequents"), F.col("support").alias("consequent_support"))

@@ -23,6 +23,10 @@ INTERVAL = 0.80
 SEASON_WEEKS = 52
 FALLBACK_BAND = 0.10
 YEAR_WEEKS = 365.25 / 7
+BEND_SCALE = 0.05
+# Futures that an interval is made of, and their seed.
+PATHS = 1_000
+SEED = 42
 
 SCHEMA = "series string, week date, forecast double, lower double, upper double, form string"
 
@@ -123,8 +127,49 @@ def _festival_columns(grid: pd.DatetimeIndex, festivals: Mapping[str, Sequence[s
     return np.column_stack(columns) if columns else np.zeros((len(grid), 0))
 
 
+def sparse_ridge(gram: np.ndarray, target: np.ndarray, ridge: np.ndarray, lasso: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """Weights of least squares with a squared and an absolute penalty on each, by coordinate descent.
+
+    ``gram`` and ``target`` are X'X and X'y. A weight whose pull is below its absolute penalty is exactly zero.
+    """
+    weights = np.linalg.solve(gram + np.diag(ridge), target)
+    scale = np.diag(gram) + ridge
+    pull = target - gram @ weights
+    for _ in range(rounds):
+        moved = 0.0
+        for j in range(len(weights)):
+            if scale[j] <= 0:
+                continue
+            free = pull[j] + gram[j, j] * weights[j]
+            new = np.sign(free) * max(abs(free) - lasso[j], 0.0) / scale[j]
+            step = new - weights[j]
+            if step:
+                pull -= gram[:, j] * step
+                weights[j] = new
+                moved = max(moved, abs(step) * np.sqrt(scale[j]))
+        if moved < 1e-7:
+            break
+    return weights
+
+
+def future_spread(bends: np.ndarray, errors: np.ndarray, ahead: int, rate: float, step: float, paths: int = PATHS) -> tuple[np.ndarray, np.ndarray]:
+    """(below, above): how far the interval reaches in each of the weeks ahead, never less than in the week before.
+
+    On each path the trend bends in a week with probability ``rate``, by a Laplace draw as large as the fitted
+    bends are on average, and every week adds an error of the past.
+    """
+    draw = np.random.default_rng(SEED)
+    size = np.abs(bends).mean() if len(bends) else 0.0
+    slopes = np.where(draw.random((paths, ahead)) < rate, draw.laplace(0.0, size, (paths, ahead)) if size else 0.0, 0.0)
+    drift = np.cumsum(np.cumsum(slopes, axis=1) * step, axis=1)
+    noise = draw.choice(errors, size=(paths, ahead))
+    tail = (1 - INTERVAL) / 2
+    low, high = np.quantile(drift + noise, [tail, 1 - tail], axis=0)
+    return np.maximum.accumulate(np.maximum(-low, 0.0)), np.maximum.accumulate(np.maximum(high, 0.0))
+
+
 def _seasonal(grid, known, trained, festivals, bends_from):
-    """Ridge regression on a bending trend, yearly harmonics and festival weeks."""
+    """Regression on a trend with few bends, yearly harmonics and festival weeks; an interval of simulated futures."""
     observed = np.flatnonzero(~np.isnan(known[:trained]))
     y = known[observed]
     scale = np.abs(y).max() or 1.0
@@ -140,17 +185,29 @@ def _seasonal(grid, known, trained, festivals, bends_from):
         np.cos(phase[:, None] * pairs),
         _festival_columns(grid, festivals),
     ]
-    penalties = [1e-9, 1e-3, 4.0, 0.1, 0.1, 0.5]
+    penalties = [1e-9, 1e-3, 1e-6, 0.1, 0.1, 0.5]
     ridge = np.concatenate([np.full(block.shape[1], p) for block, p in zip(design, penalties)])
     x = np.hstack(design)
-    seen = x[observed]
-    weights = np.linalg.solve(seen.T @ seen + np.diag(ridge), seen.T @ (y / scale))
+    seen, aim = x[observed], y / scale
+    gram, target = seen.T @ seen, seen.T @ aim
+    # A bend costs as much as under a Laplace prior of this scale, beside errors as large as a free trend leaves.
+    free = np.linalg.solve(gram + np.diag(ridge), target)
+    lasso = np.zeros(x.shape[1])
+    lasso[2 : 2 + len(bends)] = max(float(np.var(aim - seen @ free)), 1e-8) / BEND_SCALE
+    weights = sparse_ridge(gram, target, ridge, lasso)
     middle = x @ weights * scale
     errors = y - middle[observed]
     tail = (1 - INTERVAL) / 2
     low, high = np.quantile(errors, [tail, 1 - tail])
+    below, above = np.full(len(grid), max(-low, 0.0)), np.full(len(grid), max(high, 0.0))
+    if len(grid) > trained:
+        step = time[1] - time[0] if len(time) > 1 else 0.0
+        # As often as the past could bend.
+        rate = min(1.0, CHANGE_POINTS / max(CHANGE_RANGE * trained, 1)) if len(bends) else 0.0
+        down, up = future_spread(weights[2 : 2 + len(bends)] * scale, errors, len(grid) - trained, rate, step)
+        below[trained:], above[trained:] = np.maximum(down, below[0]), np.maximum(up, above[0])
     form = "bending trend" if len(bends) else "straight trend"
-    return middle, middle + min(low, 0.0), middle + max(high, 0.0), form
+    return middle, middle - below, middle + above, form
 
 
 def _holt_winters(grid, known, trained, festivals, season_from):

@@ -63,9 +63,8 @@ def _cells(points: DataFrame, columns: Sequence[str], label: str, most: int) ->
     low, high = list(ends[:width]), list(ends[width:])
     if low[0] is None:
         return np.zeros(0, dtype=np.int64), np.zeros((0, width), dtype=np.int64), np.zeros((0, 1 + 4 * width))
-    estimates = points.agg(
-        *[F.approx_count_distinct(F.struct(label, *_bins(columns, low, high, b)), 0.02) for b in range(1, MOST_BITS + 1)]
-    ).first()
+    sketches = [F.hll_sketch_agg(F.xxhash64(label, *_bins(columns, low, high, b)), 12) for b in range(1, MOST_BITS + 1)]
+    estimates = points.agg(*[F.hll_sketch_estimate(s) for s in sketches]).first()
     bits = max([b for b, n in enumerate(estimates, 1) if n <= most], default=0)
     moments = [f(F.col(c).cast("double")) for c in columns for f in (F.sum, lambda x: F.sum(x * x), F.min, F.max)]
     while True:

@@ -200,6 +200,24 @@ def clustered_customers(b):
     return customers.select("user_id", "recency_days", "frequency", "monetary", "segment", "at_nearest")
 
 
+@query("customer_clusters", "M9 M11")
+def customer_clusters(b):
+    """Every customer with the cluster of the chosen size."""
+    customers, _ = _clustered(b)
+    return customers.select("user_id", "segment", "cluster", *SCALED)
+
+
+@query("silhouettes_and_costs", "M9 M10 M11")
+def silhouettes_and_costs(b):
+    """Silhouette and cost of the best fit of every size, the chosen size, and the least and greatest cluster."""
+    _, sweep = _sweep(b)
+    rows = [
+        (k, sweep.silhouettes[k], m.summary.trainingCost, min(m.summary.clusterSizes), max(m.summary.clusterSizes), k == sweep.best_k)
+        for k, m in sorted(sweep.models.items())
+    ]
+    return b.spark.createDataFrame(rows, "k int, silhouette double, cost double, least bigint, greatest bigint, chosen boolean")
+
+
 @query("cluster_profile", "A24 M9", """
     SELECT count(*) AS customers, round(avg(CAST(frequency AS DOUBLE)), 4) AS frequency, true AS numbered, true AS money_falls
     FROM m_rfm""")
@@ -498,6 +516,15 @@ def churn_model_quality(b):
     )
 
 
+@query("churn_scores", "M17 M18 M23")
+def churn_scores(b):
+    """Score and prediction of every held-back customer, with the verdict on the model."""
+    split, test, model = _classifier(b)
+    scored = freeze(churn.score(model, test).select("user_id", "churned", "score", "prediction"))
+    verdict = churn.verdict(churn.base_rate(split), evaluation.auc(scored)).first()
+    return scored.withColumn("auc", F.lit(verdict["auc"])).withColumn("verdict", F.lit(verdict["verdict"]))
+
+
 @query("churn_feature_importance", "M22", "SELECT unnest(['" + "', '".join(churn.FEATURES) + """']) AS feature,
     true AS is_share, CAST(1 AS DOUBLE) AS whole, (SELECT count(*) FROM m_split WHERE NOT is_test) AS learned_from""")
 def churn_feature_importance(b):
@@ -618,6 +645,14 @@ def seasonal_forecast(b):
     return _facts(series, predicted, kept_back)
 
 
+@query("seasonal_forecast_table", "M25 M28")
+def seasonal_forecast_table(b):
+    """Actual, forecast and bounds of every week, and the form that was fitted."""
+    series = _series(b)
+    _, predicted, kept_back = _forecast(b, "seasonal", series)
+    return forecast.forecast_table(series, predicted, kept_back).join(predicted.select("series", "week", "form"), ["series", "week"], "left")
+
+
 @query("holt_winters_forecast", "M26 M28", SQL_SERIES + "," + SQL_FORECAST, places=2)
 def holt_winters_forecast(b):
     series = _series(b)

@@ -278,3 +278,54 @@ def test_exports_and_dashboard(spark, tmp_path, folder):
     }
     for name, frame in pages.items():
         assert frame.limit(1).count() >= (0 if name in ("festivals", "lift", "rules") else 1), name
+
+
+def test_splits_of_a_large_set_are_dealt_out(spark):
+    names = [f"i{n:02d}" for n in range(9)]
+    sets = [names[i : i + k] for k in range(1, 10) for i in range(10 - k)]
+    from itertools import combinations
+
+    every = [list(c) for k in range(1, 10) for c in combinations(names, k)]
+    df = spark.createDataFrame([(s, 10 - len(s), (10.0 - len(s)) / 10) for s in every], "items array<string>, freq long, support double")
+    whole = {(tuple(r["antecedents"]), tuple(r["consequents"]), round(r["lift"], 9)) for r in basket.association_rules(df, 0.0).collect()}
+    dealt = {(tuple(r["antecedents"]), tuple(r["consequents"]), round(r["lift"], 9)) for r in basket.association_rules(df, 0.0, low_bits=3).collect()}
+    assert dealt == whole and len(whole) == sum(2 ** len(s) - 2 for s in every) and len(sets) == 45
+
+
+def test_masks_of_a_set_of_25_items(spark):
+    df = spark.createDataFrame([([f"i{n}" for n in range(25)], 0.5)], "items array<string>, support double")
+    row = basket._splits(df, basket.LOW_BITS).agg(F.count("*"), F.min("mask"), F.max("mask"), F.sum("mask")).first()
+    assert tuple(row) == (2**25 - 2, 1, 2**25 - 2, (2**25 - 1) * 2**24 - (2**25 - 1))
+
+
+def test_sparse_weights_meet_their_conditions():
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(120, 12))
+    y = x @ np.array([3.0, -2.0, *np.zeros(10)]) + draw.normal(size=120)
+    ridge, lasso = np.full(12, 0.3), np.array([0.0, 0.0, *np.full(10, 40.0)])
+    gram, target = x.T @ x, x.T @ y
+    weights = forecast.sparse_ridge(gram, target, ridge, lasso)
+    pull = target - gram @ weights - ridge * weights
+    held = weights == 0
+    assert held[2:].any() and not held[:2].any()
+    assert np.allclose(pull[~held], np.sign(weights[~held]) * lasso[~held], atol=1e-6)
+    assert (np.abs(pull[held]) <= lasso[held] + 1e-6).all()
+    plain = forecast.sparse_ridge(gram, target, ridge, np.zeros(12))
+    assert np.allclose(plain, np.linalg.solve(gram + np.diag(ridge), target))
+
+
+def test_intervals_widen_and_cover_a_wandering_trend():
+    draw = np.random.default_rng(7)
+    grid = pd.date_range("2015-01-05", periods=260, freq="W-MON")
+    inside, widths = [], []
+    for _ in range(25):
+        slope = np.cumsum(np.where(draw.random(260) < 0.08, draw.laplace(0, 0.1, 260), 0))
+        y = 300 + np.cumsum(slope) + 20 * np.sin(np.arange(260) * 2 * np.pi / 52) + draw.normal(0, 6, 260)
+        known = np.where(np.arange(260) < 248, y, np.nan)
+        middle, low, high, form = forecast._seasonal(grid, known, 248, {}, 51)
+        assert form == "bending trend" and (low <= middle).all() and (middle <= high).all()
+        width = (high - low)[248:]
+        assert (np.diff(width) >= -1e-9).all() and width[-1] >= width[0]
+        inside += list((low[248:] <= y[248:]) & (y[248:] <= high[248:]))
+        widths.append(width[-1] / width[0])
+    assert np.mean(widths) > 1.3 and 0.65 <= np.mean(inside) <= 0.95
