@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ DATE_FORMS = {
     "day_month_name": r"^([0-9]{1,2})[-/ .]+([A-Za-z]{3})[a-z]*[-/ .,]+([0-9]{4}|[0-9]{2})",
     "month_name_day": r"^([A-Za-z]{3})[a-z]*[. ]+([0-9]{1,2})(?:st|nd|rd|th)?,? +([0-9]{4})",
 }
+# Stands before a date whose parts are in order.
+IN_ORDER = "\x01"
 MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 # Fixed value: two-digit years below this one belong to this century.
 CENTURY_TURN = 69
@@ -112,35 +115,47 @@ def parse_number(characters: Column, as_type: str = "double") -> Column:
     return F.when(characters.rlike(PLAIN_NUMBER), characters.try_cast(as_type))
 
 
-def parse_timestamp(text: Column, day_first: bool) -> Column:
-    """Read a date with or without a time, with one reading of day/month pairs for the whole column.
+def date_parts(text: Column) -> Column:
+    """The parts of a date with or without a time, as an array: swap, year, month, day, clock, half of the day, offset.
 
     Five spellings are known: year first, eight digits, day and month in numbers, and a month by name
-    before or after the day. A time may have a half of the day; an offset or zone moves it to UTC.
-    The parts are put in order and cast, which rejects an impossible date without raising per row.
-    ``text`` should be a trimmed plain column.
+    before or after the day. A time may have a half of the day; an offset or zone moves it to UTC. ``swap`` is
+    ``x`` where day and month may change places; they stand month-first then. NULL for any other text.
+    ``text`` should be a trimmed plain column. The result is for a projection of its own, so that both readings
+    of a cell share the patterns' work.
     """
-    day_and_month = "$3|$2|$1" if day_first else "$3|$1|$2"
     orders = {
-        "year_first": "$1|$2|$3",
-        "compact": "$1|$2|$3",
-        "year_last": day_and_month,
-        "day_month_name": "$3|$2|$1",
-        "month_name_day": "$3|$1|$2",
+        "year_first": "|$1|$2|$3",
+        "compact": "|$1|$2|$3",
+        "year_last": "x|$3|$1|$2",
+        "day_month_name": "|$3|$2|$1",
+        "month_name_day": "|$3|$1|$2",
     }
-    ordered = F.lit(None).cast("string")
+    # A spelling that was put in order begins with a mark that no pattern matches: each pattern is tried once.
+    ordered = text
     for form, order in orders.items():
-        pattern = DATE_FORMS[form] + CLOCK + HALF_AND_ZONE
-        ordered = F.coalesce(
-            ordered, F.when(text.rlike(pattern), F.regexp_replace(text, pattern, order + "|$4|$5|$6|$7|$8"))
-        )
-    # A one-element array names the parts, so that the patterns run once.
-    return F.transform(F.array(F.split(ordered, r"\|")), _from_parts)[0]
+        ordered = F.regexp_replace(ordered, DATE_FORMS[form] + CLOCK + HALF_AND_ZONE, f"{IN_ORDER}{order}|$4|$5|$6|$7|$8")
+    found = F.split(ordered, r"[|\x01]")
+    return F.when((F.size(found) == 10) & (found[0] == "") & ~text.startswith(IN_ORDER), F.slice(found, 2, 9))
 
 
-def _from_parts(parts: Column) -> Column:
+def timestamp_of(parts: Column, day_first: bool) -> Column:
+    """The timestamp of ``date_parts``, or NULL where no such day exists; a cast rejects it without raising per row."""
+    month, day = parts[2], parts[3]
+    if day_first:
+        swap = parts[0] == "x"
+        month, day = F.when(swap, parts[3]).otherwise(parts[2]), F.when(swap, parts[2]).otherwise(parts[3])
+    return _from_parts([parts[1], month, day, *[parts[i] for i in range(4, 9)]])
+
+
+def preferred_timestamp(parts: Column, day_first: bool) -> Column:
+    """A column's preferred reading; a cell that it makes impossible (month 25) is read the other way."""
+    return F.coalesce(timestamp_of(parts, day_first), F.when(parts[0] == "x", timestamp_of(parts, not day_first)))
+
+
+def _from_parts(parts: Sequence[Column]) -> Column:
     """The timestamp of year, month, day, hour, minute, second, half of the day and offset, all as text."""
-    year, month, day, hour, minute, second, half, zone = (parts[i] for i in range(8))
+    year, month, day, hour, minute, second, half, zone = parts
     century = F.when(year.try_cast("int") < CENTURY_TURN, F.lit("20")).otherwise(F.lit("19"))
     year = F.when(F.length(year) == 2, F.concat(century, year)).otherwise(year)
     place = F.position(F.initcap(F.substring(month, 1, 3)), F.lit(MONTHS))
@@ -157,11 +172,6 @@ def _from_parts(parts: Column) -> Column:
     return F.timestamp_add("MINUTE", behind, local)
 
 
-def read_timestamp(text: Column, day_first: bool) -> Column:
-    """A column's preferred reading; a cell that it makes impossible (month 25) is read the other way."""
-    return F.coalesce(parse_timestamp(text, day_first), parse_timestamp(text, not day_first))
-
-
 def split_tags(col: Column) -> Column:
     """Tags of a comma separated list, trimmed; a list that is empty or missing has none."""
     return F.when(

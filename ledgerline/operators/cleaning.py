@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import (
-    integer_reading, integer_value, known_text, number_characters, number_text, parse_number, parse_timestamp,
-    read_timestamp, spelled_number, strip,
+    date_parts, integer_reading, integer_value, known_text, number_characters, number_text, parse_number, preferred_timestamp,
+    spelled_number, strip, timestamp_of,
 )
 from ledgerline.operators.ranking import global_row_number, number_in_place
 from ledgerline.sources.contracts import TableContract, spark_type
@@ -33,9 +33,10 @@ def prefers_day_first(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
     if not columns:
         return {}
     trimmed = df.select(*[strip(F.col(c)).alias(c) for c in columns])
-    counts = trimmed.agg(
+    parts = trimmed.select(*[date_parts(F.col(c)).alias(c) for c in columns])
+    counts = parts.agg(
         *[
-            F.count(parse_timestamp(F.col(c), day_first)).alias(f"{c}|{day_first}")
+            F.count(timestamp_of(F.col(c), day_first)).alias(f"{c}|{day_first}")
             for c in columns
             for day_first in (False, True)
         ]
@@ -47,7 +48,8 @@ def parse_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace text columns by timestamps, each under its better reading."""
     day_first = prefers_day_first(df, columns)
     trimmed = df.withColumns({c: strip(F.col(c)) for c in columns})
-    return trimmed.withColumns({c: read_timestamp(F.col(c), day_first[c]) for c in columns})
+    parts = trimmed.withColumns({c: date_parts(F.col(c)) for c in columns})
+    return parts.withColumns({c: preferred_timestamp(F.col(c), day_first[c]) for c in columns})
 
 
 def parse_integers(df: DataFrame, columns: Sequence[str], readings: bool = False) -> DataFrame:
@@ -98,6 +100,7 @@ def type_columns(df: DataFrame, contract: TableContract) -> DataFrame:
     had = {_HAD + n: F.col(n).isNotNull() for n, t in contract.types.items() if spark_type(t) != "string"}
     cleaned = parse_integers(cleaned.withColumns(had), contract.integers)
     cleaned = cleaned.withColumns({n: number_characters(F.col(n)) for n in contract.numbers})
+    cleaned = cleaned.withColumns({n: date_parts(F.col(n)) for n in contract.timestamps})
     typed: list[Column] = []
     for name in contract.headers:
         text, kind = F.col(name), spark_type(contract.types[name])
@@ -106,7 +109,7 @@ def type_columns(df: DataFrame, contract: TableContract) -> DataFrame:
         elif name in contract.numbers:
             typed.append(parse_number(text, kind).alias(name))
         elif name in contract.timestamps:
-            typed.append(read_timestamp(text, day_first[name]).alias(name))
+            typed.append(preferred_timestamp(text, day_first[name]).alias(name))
         else:
             typed.append(text.alias(name))
     return cleaned.select(*typed, *had, *rest)
