@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import gc
 import json
+import re
 import unicodedata
 from dataclasses import dataclass
 from hashlib import sha256
@@ -26,6 +27,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, SparkSession
+from tokenizers import Tokenizer
+from tokenizers.normalizers import Normalizer
+from tokenizers.pre_tokenizers import PreTokenizer
 
 from ledgerline.llm.common import text_function
 
@@ -33,6 +37,8 @@ NONE = np.int64(1) << np.int64(60)
 SHORT = 32
 REMEMBERED = 300_000
 BATCH = 512
+# Up to this character, all tables of letters and digits agree.
+LATIN = "\u024f"
 # White space as the vocabulary's own pattern language has it.
 WHITE = r"\x09-\x0D\x20\x85\p{Z}"
 
@@ -56,6 +62,9 @@ class Vocabulary:
     merged: np.ndarray
     special: dict[str, int]
     pattern: str
+    # The tokenizer's own normal form and words, whose character tables may differ from those of this language.
+    normalizer: Normalizer
+    words: PreTokenizer
 
 
 def read_vocabulary(path: str) -> Vocabulary:
@@ -75,6 +84,7 @@ def read_vocabulary(path: str) -> Vocabulary:
         keys.append(ids[left] * size + ids[right])
         merged.append(ids[left + right])
     slots, rank_at, merged_at = _slots(keys, merged)
+    library = Tokenizer.from_file(path)
     split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
     return Vocabulary(
         tokens=tokens,
@@ -85,6 +95,8 @@ def read_vocabulary(path: str) -> Vocabulary:
         merged=merged_at,
         special=special,
         pattern=split["pattern"]["Regex"].replace(r"[^\s", f"[^{WHITE}"),
+        normalizer=library.normalizer,
+        words=library.pre_tokenizer,
     )
 
 
@@ -225,17 +237,12 @@ class Encoder:
         self.remembered = remembered
         self.words = regex.compile(vocabulary.pattern)
         self.white, self.odd_space = regex.compile(f"[{WHITE}]+"), regex.compile("[\x1c-\x1f]")
+        self.beyond = re.compile(f"[^\x00-{LATIN}]")
         self.special = regex.compile("|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) or r"(?!)")
         self.number = [str(i) for i in range(len(vocabulary.tokens))]
         self.known: dict[str, list[int]] = {}
         self.pairs: dict[int, tuple[int, int]] | None = None
 
-    def normal(self, text: str) -> str:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        # Lower case goes character by character, so a sigma at the end of a word is a plain one.
-        return text.replace("Σ", "σ").lower()
-
     def chunks(self, text: str) -> list[str]:
         """Stretches without white space, which no word crosses; a special token is a chunk of its own."""
         if "<" not in text or not self.special.search(text):
@@ -247,18 +254,27 @@ class Encoder:
         return out + self._split(text[at:])
 
     def _split(self, text: str) -> list[str]:
-        text = self.normal(text)
+        if not text.isascii():
+            if self.beyond.search(text):
+                # All white space is a blank afterwards.
+                return [c for c in self.vocabulary.normalizer.normalize_str(text).split(" ") if c]
+            text = unicodedata.normalize("NFC", text)
+        text = text.lower()
         if self.odd_space.search(text):
             return [c for c in self.white.split(text) if c]
         return text.split()
 
     def split_chunk(self, chunk: str) -> list[str]:
         """Words of a chunk by the tokenizer's pattern; plain words, and those before a mark, need no search."""
+        if chunk in self.vocabulary.special:
+            return [chunk]
+        if not chunk.isascii() and self.beyond.search(chunk):
+            return [chunk[i:j] for _, (i, j) in self.vocabulary.words.pre_tokenize_str(chunk)]
         if chunk.isalpha():
             return [chunk]
         if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
             return [chunk[:-1], chunk[-1]]
-        return [chunk] if chunk in self.vocabulary.special else self.words.findall(chunk)
+        return self.words.findall(chunk)
 
     def learn(self, chunks: set[str]) -> None:
         """Encode the chunks not met before, each distinct word once."""

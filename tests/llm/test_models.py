@@ -271,3 +271,15 @@ def test_the_key_is_the_sessions_own(spark):
     assert len(drawn) == 64 and queries.pseudonym_key(spark) == drawn
     spark.conf.set(queries.KEY_SETTING, before or "own")
     assert queries.pseudonym_key(spark) == (before or "own")
+
+
+def test_all_characters_encode_as_in_the_library():
+    vocabulary, library = bpe.read_vocabulary(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    encoder = bpe.Encoder(vocabulary)
+    points = [c for c in [*range(0x32000), *range(0x32000, 0x110000, 997)] if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 2_000):
+        part = points[at : at + 2_000]
+        texts = [f"a{chr(c)}b {chr(c)} 1{chr(c)}1 .{chr(c)}. {chr(c)}{chr(c)}x A{chr(c)}́" for c in part]
+        expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        found = encoder.encode_batch(texts)
+        assert [hex(c) for c, a, b in zip(part, found, expected) if a != b] == []
