@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, decontamination, language, pseudonyms, simhash
 from ledgerline.llm.common import held_out, read_table, stash
-from ledgerline.llm.queries import PSEUDONYM_KEY, TOKENIZER
+from ledgerline.llm.queries import TOKENIZER, pseudonym_key
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -43,7 +43,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to pseudonyms of the same format; ``n_chars`` follows the new text."""
-    done = docs.select(*COLUMNS).withColumn("done", pseudonyms.pseudonymise(F.col("text"), PSEUDONYM_KEY))
+    done = docs.select(*COLUMNS).withColumn("done", pseudonyms.pseudonymise(F.col("text"), pseudonym_key(spark)))
     text = F.col("done.text")
     return done.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
