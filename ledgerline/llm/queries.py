@@ -28,8 +28,6 @@ from ledgerline.llm.common import held_out, read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-# Replaced by ``pseudonym_key``.
-PSEUDONYM_KEY = "ledgerline"
 KEY_SETTING = "spark.ledgerline.pseudonymKey"
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
