@@ -23,6 +23,8 @@ from ledgerline.session import ensure_checkpoint_dir
 
 # Bytes of a record above which a quote must have been left open.
 MOST_RECORD = 1 << 27
+# Lines of a split that are worked off together, as a power of two: parts of a split go to tasks of their own.
+PART_BITS = 14
 
 
 def ends_inside(line: Column, begins_inside: bool) -> Column:
@@ -44,13 +46,13 @@ def ends_inside(line: Column, begins_inside: bool) -> Column:
     return F.when(line.contains('"'), state == 1).otherwise(F.lit(begins_inside))
 
 
-def _begins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+def _begins(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
     """Add ``b0`` and ``b1``: whether a row begins inside a cell if its group begins outside, or inside.
 
     A row is a function ``e0``, ``e1`` of its beginning. The last row before that ends alike either way decides,
     and each row since then that turns one into the other.
     """
-    ahead = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     turned = F.coalesce(F.sum(F.when(F.col("e0") & ~F.col("e1"), 1).otherwise(0)).over(ahead), F.lit(0))
     fixed = F.last(F.when(F.col("e0") == F.col("e1"), F.struct("e0", "turned")), ignorenulls=True).over(ahead)
     begun = df.withColumn("turned", turned).withColumn("fixed", fixed)
@@ -65,7 +67,7 @@ def _after(begins: Column) -> Column:
 
 
 def lines_of(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
-    """(file, block, place, line, b0, b1, e0, e1) of every line, on shared disk.
+    """(file, block, part, place, line, b0, b1, e0, e1) of every line, on shared disk.
 
     Splits and places are given in one job and written, since another job may cut the files otherwise.
     """
@@ -77,29 +79,33 @@ def lines_of(spark: SparkSession, paths: str | list[str], encoding: str) -> Data
         F.monotonically_increasing_id().alias("place"), line.alias("line"),
     )
     marked = F.when((F.col("block") == 0) & F.col("line").startswith("﻿"), F.expr("substr(line, 2)")).otherwise(F.col("line"))
-    read = read.withColumn("line", marked)
+    # The lower 33 bits of a place number the rows of a task, in which the lines of a split stand in a row.
+    part = F.shiftright(F.col("place").bitwiseAND(F.lit((1 << 33) - 1)), PART_BITS)
+    read = read.withColumn("line", marked).withColumn("part", part)
     read = read.withColumn("e0", ends_inside(F.col("line"), False)).withColumn("e1", ends_inside(F.col("line"), True))
     folder = f"{ensure_checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
-    _begins(read, ["file", "block"], "place").write.option("compression", "zstd").parquet(folder)
+    _begins(read, ["file", "block", "part"], "place").write.option("compression", "zstd").parquet(folder)
     return spark.read.parquet(folder)
 
 
 def records_of(lines: DataFrame, most_bytes: int = MOST_RECORD) -> DataFrame:
     """(file, block, place, record): whole records, blank ones left out, at the place of their first line."""
     ends = F.max_by(F.struct(_after(F.col("b0")).alias("e0"), _after(F.col("b1")).alias("e1")), "place").alias("e")
-    blocks = _begins(lines.groupBy("file", "block").agg(ends).select("file", "block", "e.*"), ["file"], "block")
-    known = lines.join(blocks.select("file", "block", F.col("b0").alias("inside")), ["file", "block"])
+    parts_of = ["file", "block", "part"]
+    blocks = _begins(lines.groupBy(*parts_of).agg(ends).select(*parts_of, "e.*"), ["file"], "block", "part")
+    # One row for each part of a split goes to every task; lines stay where they are.
+    known = lines.join(F.broadcast(blocks.select(*parts_of, F.col("b0").alias("inside"))), parts_of)
     begins = F.when(F.col("inside"), F.col("b1")).otherwise(F.col("b0"))
     known = known.withColumn("begins", begins).withColumn("ends", _after(F.col("begins")))
     whole = known.where("NOT begins AND NOT ends AND trim(line) <> ''").select("file", "block", "place", F.col("line").alias("record"))
 
-    parts = known.where("begins OR ends").select("file", "block", "place", "line", "begins")
+    parts = known.where("begins OR ends").select(*parts_of, "place", "line", "begins")
     at = F.when(~F.col("begins"), F.struct("block", "place"))
-    so_far = Window.partitionBy("file", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    last = parts.groupBy("file", "block").agg(F.max(at).alias("last"))
-    carried = last.select("file", "block", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
-    owned = parts.withColumn("own", F.last(at, ignorenulls=True).over(so_far)).join(carried, ["file", "block"])
+    so_far = Window.partitionBy(*parts_of).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("file").orderBy("block", "part").rowsBetween(Window.unboundedPreceding, -1)
+    last = parts.groupBy(*parts_of).agg(F.max(at).alias("last"))
+    carried = last.select(*parts_of, F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    owned = parts.withColumn("own", F.last(at, ignorenulls=True).over(so_far)).join(F.broadcast(carried), parts_of)
     owned = owned.withColumn("start", F.coalesce("own", "carried"))
     longest = owned.groupBy("file", "start").agg(F.sum(F.octet_length("line") + 1).alias("n")).agg(F.max(F.struct("n", "file"))).first()[0]
     if longest and longest["n"] > most_bytes:
@@ -127,7 +133,8 @@ def read_records(spark: SparkSession, paths: str | list[str], encoding: str = "U
         return [], spark.createDataFrame([], "file string, block long, place long")
     names = cell_names(first["h"]["record"])
     # A header has no cells to the parser, so that no condition on the cells is ever tried on it.
-    marked = records.join(headers.select("file", "h.block", "h.place", F.lit(True).alias("header")), ["file", "block", "place"], "left")
+    places = F.broadcast(headers.select("file", "h.block", "h.place", F.lit(True).alias("header")))
+    marked = records.join(places, ["file", "block", "place"], "left")
     kind = ", ".join(f"__c{i} string" for i in range(len(names)))
     text = F.when(F.col("header").isNull(), F.col("record"))
     cells = F.from_csv(text, kind, {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})

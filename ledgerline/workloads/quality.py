@@ -489,10 +489,12 @@ def csv_round_trip(b):
     SELECT doc_id, md5(replace(text, chr(13), '')) AS text_md5, length(replace(text, chr(13), '')) AS n_chars, lang
     FROM documents WHERE replace(text, chr(13), '') <> ''""")
 def quoted_csv_round_trip(b):
-    """Texts with line breaks and quotes in one CSV file, read in splits by many tasks."""
+    """Texts with line breaks and quotes in CSV files of several splits each, read in splits by many tasks."""
     path = _scratch(b, "texts")
     docs = b.raw("documents").where(F.replace("text", F.lit("\r"), F.lit("")) != "").select("doc_id", "text", "lang")
-    docs.coalesce(1).write.csv(path, header=True, quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    # A file takes two splits of the table: no task reads or writes more of it, however large it is.
+    files = (docs.rdd.getNumPartitions() + 1) // 2
+    docs.coalesce(files).write.csv(path, header=True, quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     read = read_csv_robust(b.spark, path)
     return read.select(F.col("doc_id").cast("long"), F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"), "lang")
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import random
+from hashlib import md5
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.sources import files, quoted
+from ledgerline.workloads import quality
+from ledgerline.workloads.binding import Binding
 
 
 @pytest.fixture()
@@ -31,6 +34,17 @@ def cell(draw):
     return text
 
 
+@pytest.mark.parametrize("bits", [0, 3])
+def test_records_run_through_parts_of_splits(spark, tmp_path, monkeypatch, small_splits, bits):
+    monkeypatch.setattr(quoted, "PART_BITS", bits)
+    path = tmp_path / "a.csv"
+    texts = ["\n" * (i % 40) + f'x"{i}' for i in range(200)]
+    path.write_text("id,text\n" + "".join('%d,"%s"\n' % (i, t.replace('"', '""')) for i, t in enumerate(texts)))
+    got = files.read_csv_robust(spark, str(path), row_order=True).orderBy(files.ROW_ORDER).collect()
+    assert [(r["id"], r["text"]) for r in got] == [(str(i), t) for i, t in enumerate(texts)]
+    assert quoted.lines_of(spark, str(path), "UTF-8").groupBy("file", "block", "part").count().agg(F.max("count")).first()[0] <= 1 << bits
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_rows_equal_those_of_a_whole_parse(spark, tmp_path, small_splits, seed):
     draw = random.Random(seed)
@@ -118,3 +132,22 @@ def test_states_of_lines(spark):
 def test_names_of_cells():
     assert quoted.cell_names('a,"b\nc",,a') == ["a0", "b\nc", "_c2", "a3"]
     assert quoted.cell_names("") == []
+
+
+def test_a_table_of_many_splits_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    texts = F.concat(F.lit('a "b"\n'), F.col("id").cast("string"), F.lit("\r\n,c"))
+    rows = spark.range(0, 400, 1, 6).select(F.col("id").alias("doc_id"), texts.alias("text"), F.lit("en").alias("lang"))
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(quality, "_scratch", lambda b, name: str(tmp_path / name))
+    open_cost, most = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"
+    before = {k: spark.conf.get(k) for k in (open_cost, most)}
+    try:
+        spark.conf.set(open_cost, "0")
+        spark.conf.set(most, "1k")
+        got = quality.quoted_csv_round_trip(Binding(spark, str(tmp_path))).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "texts").glob("part-*.csv"))) > 2
+    expected = [f'a "b"\n{i}\n,c' for i in range(400)]
+    assert sorted((r["doc_id"], r["text_md5"], r["n_chars"]) for r in got) == [(i, md5(t.encode()).hexdigest(), len(t)) for i, t in enumerate(expected)]
