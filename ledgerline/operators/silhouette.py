@@ -122,24 +122,62 @@ def build_tree(labels: np.ndarray, bins: np.ndarray, moments: np.ndarray) -> Tre
 
 
 def distance_sums(x: np.ndarray, tree: Tree, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
-    """Bounds of the sums of distances of each row to the rows of each label."""
+    """Bounds of the sums of distances of each row to the rows of each label.
+
+    About ``PAIRS`` pairs of rows and cells are measured at a time; cells wait closed until their turn.
+    """
+    if tolerance <= 0:
+        return _finest_sums(x, tree)
     labels = len(tree.roots)
     low, high = np.zeros((len(x), labels)), np.zeros((len(x), labels))
     row, cell = np.repeat(np.arange(len(x)), labels), np.tile(tree.roots, len(x))
-    while len(row):
+    ready = [(row[at : at + PAIRS], cell[at : at + PAIRS]) for at in range(0, len(row), PAIRS)]
+    closed = []
+    while ready or closed:
+        if ready:
+            row, cell = ready.pop()
+        else:
+            row, cell = closed.pop()
+            size = tree.size[cell]
+            begin = np.cumsum(size) - size
+            row, cell = np.repeat(row, size), np.repeat(tree.first[cell] - begin, size) + np.arange(int(size.sum()))
         gap = np.sqrt(((x[row] - tree.mean[cell]) ** 2).sum(axis=1))
-        n, spread, clear = tree.count[cell], tree.spread[cell], gap - tree.radius[cell]
-        margin = np.sqrt(n * spread)
-        away = clear > 0
-        margin[away] = np.minimum(margin[away], spread[away] / (2 * clear[away]))
+        n = tree.count[cell]
+        margin = _margin(gap, n, tree.spread[cell], tree.radius[cell])
         done = (tree.size[cell] == 0) | (margin <= tolerance * n * gap)
         at = row[done] * labels + tree.label[cell[done]]
         low += np.bincount(at, (n * gap)[done], low.size).reshape(low.shape)
         high += np.bincount(at, (n * gap + margin)[done], low.size).reshape(low.shape)
         row, cell = row[~done], cell[~done]
-        size = tree.size[cell]
-        begin = np.cumsum(size) - size
-        row, cell = np.repeat(row, size), np.repeat(tree.first[cell] - begin, size) + np.arange(int(size.sum()))
+        if len(row):
+            # Cells whose parts fill one step are opened together, the last ones first.
+            parts = np.flatnonzero(np.diff(np.cumsum(tree.size[cell]) // PAIRS)) + 1
+            closed += zip(np.split(row, parts), np.split(cell, parts))
+    return low, high
+
+
+def _margin(gap: np.ndarray, n: np.ndarray, spread: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """How much more the distances to the rows of a cell can add up to than n times the one to their mean."""
+    clear = gap - radius
+    margin = np.broadcast_to(np.sqrt(n * spread), gap.shape)
+    return np.where(clear > 0, np.minimum(margin, spread / (2 * np.where(clear > 0, clear, 1.0))), margin)
+
+
+def _finest_sums(x: np.ndarray, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
+    """The same where every cell is opened: rows against the finest cells, some rows at a time."""
+    finest = np.flatnonzero(tree.size == 0)
+    finest = finest[np.argsort(tree.label[finest], kind="stable")]
+    mean, n, spread, radius = tree.mean[finest], tree.count[finest], tree.spread[finest], tree.radius[finest]
+    begin = np.searchsorted(tree.label[finest], np.arange(len(tree.roots)))
+    wide = np.flatnonzero(spread > 0)
+    low, high = (np.zeros((len(x), len(tree.roots))) for _ in range(2))
+    step = max(1, PAIRS // len(finest))
+    for at in range(0, len(x), step):
+        gap = np.sqrt(sum((x[at : at + step, i, None] - mean[:, i]) ** 2 for i in range(x.shape[1])))
+        sums = gap * n
+        low[at : at + step] = np.add.reduceat(sums, begin, axis=1)
+        sums[:, wide] += _margin(gap[:, wide], n[wide], spread[wide], radius[wide])
+        high[at : at + step] = np.add.reduceat(sums, begin, axis=1)
     return low, high
 
 

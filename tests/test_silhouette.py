@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +59,28 @@ def test_sums_of_distances_are_bounded_by_every_cut_of_the_tree():
         assert (low <= true + 1e-9).all() and (true <= high + 1e-9).all()
 
 
+@pytest.mark.parametrize("tolerance", [0, 1e-9])
+def test_many_cells_are_opened_in_bounded_steps(monkeypatch, tolerance):
+    monkeypatch.setattr(silhouette, "PAIRS", 2_000)
+    draw = np.random.default_rng(6)
+    x, label = draw.normal(size=(2_000, 3)), np.arange(2_000) % 4
+    bins = np.floor((x + 8) * 64).astype(np.int64)
+    order = np.lexsort([*bins.T, label])
+    x, label, bins = x[order], label[order], bins[order]
+    assert len(np.unique(np.column_stack([label, bins]), axis=0)) == len(x)
+    moments = np.column_stack([np.ones(len(x)), *[v for c in x.T for v in (c, c * c, c, c)]])
+    tree = silhouette.build_tree(label, bins, moments)
+    tracemalloc.start()
+    low, high = silhouette.distance_sums(x[:300], tree, tolerance)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # All pairs at once are 600,000 rows of several arrays.
+    assert peak < 5_000_000
+    gaps = np.linalg.norm(x[:300, None] - x[None], axis=2)
+    true = np.column_stack([gaps[:, label == k].sum(axis=1) for k in range(4)])
+    assert (low <= true + 1e-6).all() and (true <= high + 1e-6).all() and np.abs(high - low).max() < 1e-3
+
+
 def test_few_rows_and_few_labels(spark):
     one = spark.createDataFrame([(1, 0.0), (1, 2.0)], "label int, a double")
     assert silhouette.plain_silhouette(one, ["a"], "label").silhouette == 0
@@ -106,3 +130,26 @@ def test_equal_rows_and_more_clusters_than_rows(spark):
     assert clustering.squared_silhouettes(same, {2: fit[2]})[2] == pytest.approx(5 / 6)
     with pytest.raises(ValueError, match="no rows"):
         clustering.fit_kmeans(same.limit(0), [2])
+
+
+def test_a_step_of_all_fits_holds_few_distances_and_gives_ties_to_the_first_centre():
+    draw = np.random.default_rng(9)
+    x = np.round(draw.normal(size=(3_000, 3)), 1)
+    fits = [x[draw.integers(0, len(x), k)] for k in (2, 5, 8) for _ in range(20)]
+    fits[3][1] = fits[3][0]
+    centres, first = np.concatenate(fits), np.cumsum([0, *map(len, fits)])
+    tracemalloc.start()
+    found = clustering._steps(x, centres, first)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The distances of all rows to all centres are 7 MB.
+    assert peak < 3_000_000
+    for fit, i in zip(fits, first):
+        gaps = ((x[:, None] - fit[None]) ** 2).sum(axis=2)
+        own, least = gaps.argmin(axis=1), gaps.min(axis=1)
+        tied = (gaps <= least[:, None] + 1e-9).sum(axis=1) > 1
+        n = np.bincount(own, minlength=len(fit))
+        here = found[i : i + len(fit)]
+        assert here[:, 0].sum() == len(x) and np.abs(here[:, 0] - n).sum() <= 2 * tied.sum()
+        assert here[:, 1:4].sum(axis=0) == pytest.approx(x.sum(axis=0)) and here[:, -1].sum() == pytest.approx(least.sum())
+    assert found[first[3] + 1, 0] == 0
