@@ -24,6 +24,8 @@ SEED = 42
 START_ROWS = 5_000
 STEPS = 100
 TOLERANCE = 1e-4
+# Rows that a step measures at a time, so that their distances to the centres of all fits stay in the cache.
+STEP_ROWS = 128
 
 
 @dataclass(frozen=True)
@@ -95,8 +97,29 @@ def _nearest(x: np.ndarray, centres: np.ndarray, first: np.ndarray) -> Iterator[
         yield fit, at + i, np.maximum(own[np.arange(len(x)), at], 0.0)
 
 
+def _steps(x: np.ndarray, centres: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Per centre of all fits: rows, sums of coordinates, sum of squares; a fit's cost stands at its first centre."""
+    width = centres.shape[1]
+    total = np.zeros((len(centres), width + 3))
+    sizes, lengths = np.diff(first), (centres**2).sum(axis=1)[:, None]
+    for at in range(0, len(x), STEP_ROWS):
+        part = x[at : at + STEP_ROWS]
+        squares = (part**2).sum(axis=1)
+        gaps = lengths - 2 * (centres @ part.T)
+        least = np.minimum.reduceat(gaps, first[:-1], axis=0)
+        nearest = gaps <= np.repeat(least, sizes, axis=0)
+        if np.count_nonzero(nearest) > len(sizes) * len(part):
+            # Of equally near centres the first has the row.
+            for i in np.flatnonzero((np.add.reduceat(nearest, first[:-1], axis=0, dtype=np.int64) > 1).any(axis=1)):
+                own = nearest[first[i] : first[i + 1]]
+                own[:] = np.arange(len(own))[:, None] == own.argmax(axis=0)
+        total[:, :-1] += nearest.astype(float) @ np.column_stack([np.ones(len(part)), part, squares])
+        total[first[:-1], -1] += np.maximum(least + squares, 0.0).sum(axis=1)
+    return total
+
+
 def _sums(rows: DataFrame, fits: Sequence[np.ndarray]) -> np.ndarray:
-    """Per centre of all fits, in one scan: rows, sums of coordinates, sum of squares, cost."""
+    """``_steps`` over all rows, in one scan."""
     centres, first = np.concatenate(fits), np.cumsum([0, *map(len, fits)])
     width = centres.shape[1]
     names = ["centre", "n", *[f"s{i}" for i in range(width)], "squares", "cost"]
@@ -104,14 +127,7 @@ def _sums(rows: DataFrame, fits: Sequence[np.ndarray]) -> np.ndarray:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(centres), width + 3))
         for batch in batches:
-            whole = _coordinates(batch)
-            for at in range(0, len(whole), 4096):
-                x = whole[at : at + 4096]
-                values = np.column_stack([np.ones(len(x)), x, (x**2).sum(axis=1)])
-                for _, nearest, gap in _nearest(x, centres, first):
-                    for column in range(width + 2):
-                        total[:, column] += np.bincount(nearest, values[:, column], len(centres))
-                    total[:, -1] += np.bincount(nearest, gap, len(centres))
+            total += _steps(_coordinates(batch), centres, first)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(centres))), *[pa.array(c) for c in total.T]], names=names)
 
     kinds = ", ".join(["centre long", *[f"{n} double" for n in names[1:]]])
