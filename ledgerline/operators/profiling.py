@@ -26,9 +26,20 @@ def _present(field) -> Column:
     return col
 
 
-def _wide_hash(text: Column) -> Column:
-    """128 bits that stand for a text of any length."""
-    return F.unhex(F.md5(text))
+def _text(field) -> Column:
+    return _present(field).cast("string")
+
+
+def _key_text(field) -> Column:
+    """What tells a value from every other one of its column: itself where its text does no more, else its text."""
+    plain = isinstance(field.dataType, (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampNTZType))
+    return _present(field) if plain else _text(field)
+
+
+def _cell(field) -> list[Column]:
+    """Two independent 64-bit hashes that stand for a value of any length, NULL for NULL."""
+    value = _key_text(field)
+    return [F.when(value.isNotNull(), F.xxhash64(F.lit(seed), value)).alias(name) for seed, name in ((1, "one"), (2, "two"))]
 
 
 def _typed(col: Column, kind: T.DataType) -> Column:
@@ -100,61 +111,55 @@ def column_profile(
 
     Cells are counted per (column, wide hash of the value) first: one shuffle with map-side counts, whatever
     the number of columns and the length of their values. Of a value only the start that a sample shows
-    travels. Samples are the smallest distinct values, or the first ones by ``order_by``.
-    ``approx`` estimates distinct values in one aggregation and takes no samples.
+    travels, as part of the key: counts then are the only state of a group, which fits a hash table, and no task
+    sorts its cells. Samples are the smallest distinct values, or the first ones by ``order_by``; without
+    ``samples`` no value travels. ``approx`` estimates distinct values in one aggregation and takes no samples.
     """
     fields = [f for f in df.schema.fields if f.name != order_by and (columns is None or f.name in columns)]
-    types = F.create_map(*[F.lit(x) for f in fields for x in (f.name, f.dataType.simpleString())])
-    cells = F.array(
-        *[F.struct(F.lit(f.name).alias("column"), _present(f).cast("string").alias("value")) for f in fields]
-    )
-    long = df.select(F.explode(cells).alias("c"), *([F.col(order_by).alias("__at")] if order_by else [])).select(
-        "c.*", *(["__at"] if order_by else [])
-    )
-    filled = F.col("value").isNotNull()
+    names = F.array(*[F.lit(f.name) for f in fields])
+    types = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])
     if approx:
-        summary = long.groupBy("column").agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count("value").alias("non_null"),
-            F.approx_count_distinct("value").alias("distinct_values"),
-        )
-        counted = None
+        measures = [F.struct(F.count(_present(f)).alias("non_null"), F.approx_count_distinct(_key_text(f)).alias("distinct_values")) for f in fields]
+        whole = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*measures).alias("m")).where("rows > 0")
+        summary, counted = whole.select("rows", F.posexplode("m").alias("column", "m")).select("column", "rows", "m.*"), None
     else:
-        start = F.substring("value", 1, SHOWN + 1)
-        hashed = long.select("column", _wide_hash(F.col("value")).alias("cell"), start.alias("value"), *(["__at"] if order_by else []))
-        counted = hashed.groupBy("column", "cell").agg(
-            F.count(F.lit(1)).alias("n"), F.min("value").alias("value"), *([F.min("__at").alias("__at")] if order_by else [])
-        )
-        # Both readers of the counts use all their columns, so they share one scan and one shuffle.
+        start = [lambda f: F.substring(_text(f), 1, SHOWN + 1).alias("value")] if samples else []
+        cells = F.array(*[F.struct(F.lit(i).alias("column"), *_cell(f), *[s(f) for s in start]) for i, f in enumerate(fields)])
+        long = df.select(F.explode(cells).alias("c"), *([F.col(order_by).alias("__at")] if order_by else []))
         first_seen = [F.min("__at").alias("__at")] if order_by else []
+        key = ["column", "one", "two", *(["value"] if samples else [])]
+        counted = long.select("c.*", *(["__at"] if order_by else [])).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.count("one").alias("filled"), *first_seen)
+        # Both readers of the counts use all their columns, so they share one scan and one shuffle.
+        used = ["value"] if samples else []
         summary = counted.groupBy("column").agg(
             F.sum("n").alias("rows"),
-            F.sum(F.when(filled, F.col("n")).otherwise(0)).alias("non_null"),
-            F.count("value").alias("distinct_values"),
-            F.count("cell").alias("cells"),
+            F.sum("filled").alias("non_null"),
+            F.count("one").alias("distinct_values"),
+            F.count("two").alias("cells"),
+            *[F.count(c).alias("values") for c in used],
             *first_seen,
-        ).where("cells >= 0" + (" AND (__at IS NULL OR __at IS NOT NULL)" if order_by else ""))
+        ).where(" AND ".join(["cells >= 0", *["values >= 0" for _ in used], *["(__at IS NULL OR __at IS NOT NULL)" for _ in first_seen]]))
     out = summary.select(
         "column",
-        F.element_at(types, F.col("column")).alias("dtype"),
+        types[F.col("column")].alias("dtype"),
         "non_null",
         (F.col("rows") - F.col("non_null")).alias("nulls"),
         (F.try_divide(F.col("rows") - F.col("non_null"), F.col("rows")) * 100).alias("null_pct"),
         "distinct_values",
     )
-    if counted is None:
-        return out
+    if counted is None or not samples:
+        return out.withColumn("column", names[F.col("column")])
     # A rank filter is applied per task before the shuffle, so at most `samples` rows per column move.
-    first = Window.partitionBy("column").orderBy(*(["__at"] if order_by else []), "value", "cell")
+    first = Window.partitionBy("column").orderBy(*(["__at"] if order_by else []), "value", "one", "two")
     picked = (
-        counted.where(filled & (F.col("n") > 0))
+        counted.where("filled > 0 AND n > 0")
         .withColumn("__rank", F.row_number().over(first))
         .where(F.col("__rank") <= samples)
         .groupBy("column")
         .agg(F.array_sort(F.collect_list(F.struct("__rank", shorten(F.col("value"), SHOWN).alias("value")))).alias("s"))
         .select("column", F.array_join(F.col("s.value"), ", ").alias("sample_values"))
     )
-    return out.join(picked, "column", "left")
+    return out.join(picked, "column", "left").withColumn("column", names[F.col("column")])
 
 
 def preview(df: DataFrame, order_by: Sequence[str], rows: int = 3) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import Decimal
 
-from ledgerline.operators.profiling import table_profile
+from ledgerline.operators.profiling import column_profile, table_profile
 
 KIND = (
     "at timestamp, local timestamp_ntz, x double, f float, raw binary, list array<string>, "
@@ -48,3 +48,23 @@ def test_nulls_do_not_slide_into_the_next_column(spark):
     df = spark.createDataFrame([(None, "a"), ("a", None), ("a", "a"), (None, None)], "p string, q string")
     assert table_profile(df, "t").first()["duplicate_rows"] == 0
     assert table_profile(df.limit(0), "t").first()["rows"] == 0
+
+
+def test_columns_are_counted_without_sorting_cells(spark):
+    rows = [(float(i % 3) if i % 5 else float("nan"), -0.0 if i % 2 else 0.0, [i % 4, None], "v" * 30 + str(i % 7), i % 2 == 0, None) for i in range(70)]
+    df = spark.createDataFrame(rows, "x double, zero double, list array<int>, s string, flag boolean, none int")
+    exact, guess, bare = column_profile(df), column_profile(df, approx=True), column_profile(df, samples=0)
+    for profile in (exact, guess, bare):
+        text = profile._jdf.queryExecution().executedPlan().toString()
+        cells = text[text.index("Generate explode") :] if profile is not guess else text
+        assert "SortAggregate" not in cells and "md5" not in text
+    assert "Generate explode" not in guess._jdf.queryExecution().executedPlan().toString()
+    got = {r["column"]: tuple(r)[1:] for r in exact.collect()}
+    assert got["x"] == ("double", 56, 14, 20.0, 3, "0.0, 1.0, 2.0")
+    assert got["zero"] == ("double", 70, 0, 0.0, 1, "0.0")
+    assert got["list"][4:] == (4, "[0, null], [1, null], [2, null], [3, null]")
+    assert got["s"][4:] == (7, ", ".join(["v" * 22 + "..."] * 5))
+    assert got["flag"][4:] == (2, "false, true") and got["none"] == ("int", 0, 70, 100.0, 0, None)
+    assert {r["column"]: tuple(r)[1:] for r in bare.collect()} == {c: v[:-1] for c, v in got.items()}
+    assert {r["column"]: tuple(r)[1:5] for r in guess.collect()} == {c: v[:4] for c, v in got.items()}
+    assert column_profile(df.limit(0)).count() == column_profile(df.limit(0), approx=True).count() == 0
