@@ -12,7 +12,7 @@ from ledgerline.operators.cleaning import add_surrogate_key, keep_first, quality
 from ledgerline.operators.integrity import (
     mark_orphans, null_key_counts, orphan_counts, reconcile_counts, require_reconciled, split_orphans,
 )
-from ledgerline.session import ensure_checkpoint_dir, freeze
+from ledgerline.session import compiled_methods, ensure_checkpoint_dir, freeze
 from ledgerline.sources import versions
 from ledgerline.sources.contracts import CONTRACTS, LOAD_ORDER, TableContract, spark_type
 from ledgerline.sources.files import ROW_ORDER, CsvTraits, normalise_headers, read_csv_robust, resolve_columns
@@ -102,16 +102,18 @@ def load(
     if before:
         versions.clean(spark, target, [*order, *kept_apart])
     report, parents, expected = LoadReport(), {}, {}
-    for name in order:
-        contract = contracts[name]
-        raw = read_csv_robust(spark, sources[name], row_order=True, traits=(traits or {}).get(name))
-        kept, rejected = prepare_table(name, raw, contract, parents, report)
-        expected[name] = write_table(kept, paths[name], True, (cluster_by or {}).get(name))
-        report.quarantined[name] = 0
-        if contract.foreign_keys:
-            report.quarantined[name] = write_quarantine(rejected, f"{target}/{QUARANTINE}", name, version=version)
-        report.deduplicated[name] = report.read[name] - expected[name] - report.quarantined[name]
-        parents[name] = spark.read.parquet(paths[name])
+    # Repairing the cells of a row takes more generated code than fits one compiled method.
+    with compiled_methods(spark):
+        for name in order:
+            contract = contracts[name]
+            raw = read_csv_robust(spark, sources[name], row_order=True, traits=(traits or {}).get(name))
+            kept, rejected = prepare_table(name, raw, contract, parents, report)
+            expected[name] = write_table(kept, paths[name], True, (cluster_by or {}).get(name))
+            report.quarantined[name] = 0
+            if contract.foreign_keys:
+                report.quarantined[name] = write_quarantine(rejected, f"{target}/{QUARANTINE}", name, version=version)
+            report.deduplicated[name] = report.read[name] - expected[name] - report.quarantined[name]
+            parents[name] = spark.read.parquet(paths[name])
     check = freeze(reconcile_counts(expected, parents))
     report.stored = {r["table"]: r["stored"] for r in check.collect()}
     require_reconciled(check)

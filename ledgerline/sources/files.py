@@ -107,7 +107,7 @@ def _read_alike(spark: SparkSession, path: str | list[str], traits: CsvTraits, r
             F.monotonically_increasing_id().alias("row"),
         )
     headers = [h.replace("\r", "").lstrip("\ufeff") for h in headers]
-    cells = [_missing_to_null(F.regexp_replace(F.col(f"__c{i}"), "\r", "")).alias(h) for i, h in enumerate(headers)]
+    cells = [_missing_to_null(F.replace(F.col(f"__c{i}"), F.lit("\r"), F.lit(""))).alias(h) for i, h in enumerate(headers)]
     if row_order:
         cells.append(position.alias(ROW_ORDER))
     return raw.select(*cells)

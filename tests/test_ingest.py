@@ -153,6 +153,19 @@ def state(spark, target):
     return {name: sorted(map(str, df.collect())) for name, df in versions.open_tables(spark, target).items()}
 
 
+def test_a_load_runs_in_methods_that_the_jvm_compiles(spark, tmp_path, sources, monkeypatch):
+    limit, seen, write = "spark.sql.codegen.hugeMethodLimit", [], ingest.write_table
+
+    def noted(*args):
+        seen.append(int(spark.conf.get(limit)))
+        return write(*args)
+
+    before = spark.conf.get(limit)
+    monkeypatch.setattr(ingest, "write_table", noted)
+    ingest.load(spark, sources, str(tmp_path / "clean"))
+    assert set(seen) == {8_000} and spark.conf.get(limit) == before
+
+
 @pytest.mark.parametrize("broken", ["food", "orders"])
 def test_a_broken_load_leaves_readers_on_the_old_state(spark, tmp_path, sources, monkeypatch, broken):
     target = str(tmp_path / "db")
