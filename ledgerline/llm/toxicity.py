@@ -53,26 +53,29 @@ def term_hashes(text: str | None, letters: np.ndarray) -> np.ndarray:
         if stop < len(whole):
             blank = max(whole.rfind(" ", at, stop), whole.rfind("\n", at, stop))
             stop = blank + 1 if blank > at else stop
-        codes = np.frombuffer(whole[at:stop].encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+        read = np.frombuffer(whole[at:stop].encode("utf-32-le"), dtype=np.int32)
         at = stop
-        inside = np.zeros(len(codes) + 2, dtype=bool)
-        inside[1:-1] = letters[np.minimum(codes, 0xFFFF).astype(np.int64)]
+        inside = np.zeros(len(read) + 2, dtype=bool)
+        inside[1:-1] = letters.take(read, mode="clip")
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         first, last = edges[::2], edges[1::2]
         if not len(first):
             continue
         size = last - first
-        codes = np.append(codes, np.zeros(max(BEGINNINGS), dtype=np.uint64))
+        codes = np.zeros(len(read) + max(BEGINNINGS), dtype=np.uint64)
+        codes[: len(read)] = read
         rolling = np.zeros(len(first), dtype=np.uint64)
         for k in range(max(BEGINNINGS)):
             rolling = mixed(rolling + codes[first + k] + np.uint64(1))
             if k + 1 in BEGINNINGS:
                 found.append(rolling[size > k])
         # The whole word: a polynomial of its letters by place.
-        inner = np.flatnonzero(inside[1:-1])
         starts = np.cumsum(size) - size
-        place = np.arange(len(inner)) - np.repeat(starts, size)
-        found.append(mixed(np.add.reduceat(codes[inner] * POWERS[place & 63], starts) + size.astype(np.uint64)))
+        place = np.arange(starts[-1] + size[-1]) - np.repeat(starts, size)
+        place &= 63
+        inner = codes[: len(read)][inside[1:-1]]
+        inner *= POWERS.take(place)
+        found.append(mixed(np.add.reduceat(inner, starts) + size.astype(np.uint64)))
     if not found:
         return np.zeros(0, dtype=np.int64)
     return np.concatenate(found).view(np.int64)
@@ -143,13 +146,14 @@ class BlockIndex:
 
 def nearest_of(cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and values of the ``k`` largest positive cosines, the smaller number first of equal ones."""
+    # Rounding keeps the order, so the nearest lie within one step of six digits below the k-th as it stands.
+    least = np.partition(cosine, -k)[-k] - 3e-6 if len(cosine) > k else 0.0
+    at = np.flatnonzero(cosine >= max(least, 0.0))
     # Sums are rounded in different orders; six digits are the same in any.
-    cosine = np.round(cosine.astype(np.float64), 6)
-    at = np.flatnonzero(cosine > 0)
-    if len(at) > k:
-        at = at[cosine[at] >= np.partition(cosine[at], -k)[-k]]
-    best = at[np.lexsort((at, -cosine[at]))[:k]]
-    return best, cosine[best]
+    rounded = np.round(cosine[at].astype(np.float64), 6)
+    at, rounded = at[rounded > 0], rounded[rounded > 0]
+    order = np.lexsort((at, -rounded))[:k]
+    return at[order], rounded[order]
 
 
 def fit(labelled: DataFrame, corpus: DataFrame, text: str = "text", toxic: str = "toxic", doc_id: str = "doc_id", per_label: int = PER_LABEL, seen: DataFrame | None = None) -> dict:

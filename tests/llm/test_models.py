@@ -283,3 +283,15 @@ def test_all_characters_encode_as_in_the_library():
         expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
         found = encoder.encode_batch(texts)
         assert [hex(c) for c, a, b in zip(part, found, expected) if a != b] == []
+
+
+def test_nearest_examples_are_chosen_as_by_a_sort_of_all_rounded_values():
+    draw = np.random.default_rng(3)
+    for n in (0, 1, 15, 16, 400):
+        for scale, places in ((1.0, 8), (1.0, 2), (4e-6, 8), (1e-5, 7)):
+            cosine = np.round(draw.random(n) * scale, places).astype(np.float32)
+            cosine[draw.random(n) < 0.2] = 0
+            rounded = np.round(cosine.astype(np.float64), 6)
+            expected = sorted((i for i in range(n) if rounded[i] > 0), key=lambda i: (-rounded[i], i))[:15]
+            best, near = toxicity.nearest_of(cosine, 15)
+            assert best.tolist() == expected and near.tolist() == rounded[expected].tolist()
