@@ -9,9 +9,15 @@ two, for the prefix that ends first lies in both, and more by as much as their s
 document whose longest prefix is all made of frequent shingles keeps them, and then has to share as many as its l.
 
 Documents of one set are one node. Nodes under a shingle first meet only the next one, in orders that put like
-nodes side by side; where all of them turn out to be linked, directly or through others, the shingle has nothing
-more to tell, so that large groups of near copies cost little more than their size, and not its square. The pairs that remain are those between different groups so far: they
-are counted, checked by length, position and number of shared shingles, and all of them are verified on the texts.
+nodes side by side, and the one that shares most with all others; where all of them turn out to be linked, directly
+or through others, the shingle has nothing more to tell, so that large groups of near copies cost little more than
+their size, and not its square. The pairs that remain are those between different groups so far: they are counted,
+checked by length, position and number of shared shingles, and by sketches, and all that pass are verified on the texts.
+
+A sketch tells of each of ``SKETCH`` residues of the hashes whether a set has an odd number of them. Each shingle of
+one set only turns one bit, so two sets differ by at least as many shingles as their sketches by bits, and no pair
+alike enough is passed over. Under shingles that many nodes hold, sketches are compared where the nodes meet, so that
+nodes of large groups that are not alike make no rows.
 
 Defined results: null texts, and texts without words, have empty sets and are linked with nothing, not even each
 other; a text of fewer words than a shingle has one shingle; repeated rows are rows of one node; a null id is the
@@ -53,7 +59,11 @@ MATCHES = 10
 # Hashes that order nodes for a round.
 SIGNS = 4
 # Postings per link found below which another such round would not pay.
-FEW_FOUND = 500
+FEW_FOUND = 100
+# Bits of a sketch; a multiple of 64.
+SKETCH = 512
+# Nodes of a shingle above which their sketches are compared where they meet.
+CROWD = 8
 # Rows of a table that may be broadcast.
 SMALL = 50_000
 
@@ -80,32 +90,41 @@ def longest_prefix(n: int, percent: int, longer: int) -> int:
     return min(n, n - least_overlap(n, percent) + 1 + math.ceil(longer * n / percent))
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """The parity of the number of hashes of each residue, as bits of 64-bit numbers."""
+    odd = np.bincount(hashes & (SKETCH - 1), minlength=SKETCH).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def sets(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, longer: int) -> DataFrame:
-    """(doc_id, row, key, n, digest, prefix): size and digest of each set, and its smallest hashes in order."""
+    """(doc_id, row, key, n, digest, prefix, sketch): size, digest and sketch of each set, and its smallest hashes in order."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, of = TaskContext.get().partitionId() << 33, xxhash.xxh3_64_intdigest
         for batch in batches:
-            sizes, digests, prefixes = [], [], []
+            sizes, digests, prefixes, sketches = [], [], [], []
             for own in batch.column(1):
                 held = shingles(words_of(own.as_py()), width)
                 hashes = np.sort(np.fromiter((of(s) for s in held), dtype=np.uint64, count=len(held)).view(np.int64))
                 sizes.append(len(held))
                 digests.append(blake2b(hashes.tobytes(), digest_size=16).digest())
                 prefixes.append(hashes[: longest_prefix(len(held), percent, longer)])
+                sketches.append(sketch(hashes))
             ends = np.cumsum([0, *map(len, prefixes)])
-            values = np.concatenate([*prefixes, np.empty(0, dtype=np.int64)])
+            values, bits = (np.concatenate([*c, np.empty(0, dtype=np.int64)]) for c in (prefixes, sketches))
+            marks = np.arange(len(batch) + 1) * (SKETCH // 64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(np.arange(row, row + len(batch))), batch.column(2), pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64())),
+                    pa.ListArray.from_arrays(pa.array(marks, pa.int32()), pa.array(bits, pa.int64())),
                 ],
-                names=["doc_id", "row", "key", "n", "digest", "prefix"],
+                names=["doc_id", "row", "key", "n", "digest", "prefix", "sketch"],
             )
             row += len(batch)
 
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), text_key(F.col(text)).alias("key"))
-    schema = T.StructType([read.schema.fields[0], *T.StructType.fromDDL("row long, key string, n long, digest binary, prefix array<long>").fields])
+    schema = T.StructType([read.schema.fields[0], *T.StructType.fromDDL("row long, key string, n long, digest binary, prefix array<long>, sketch array<long>").fields])
     return read.mapInArrow(make, schema)
 
 
@@ -178,15 +197,22 @@ def _may_link(one: str, two: str, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * most >= percent * (n + m))
 
 
+def _close(one: str, two: str, percent: int) -> Column:
+    """Whether two sets can be alike by their sizes and sketches; nodes without a sketch can."""
+    sketches = F.col(f"{one}.sketch"), F.col(f"{two}.sketch")
+    apart = sum((F.bit_count(sketches[0][i].bitwiseXOR(sketches[1][i])) for i in range(SKETCH // 64)), F.lit(0))
+    return F.coalesce((100 + percent) * apart <= (100 - percent) * (F.col(f"{one}.n") + F.col(f"{two}.n")), F.lit(True))
+
+
 def _grouped(chosen: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Postings with the group of their node, of shingles whose nodes are not all in one group."""
+    """Postings with the group of their node and the number of their shingle's, of shingles whose nodes are not all in one group."""
     if links is None:
         grouped = chosen.withColumn("root", F.col("node"))
     else:
         roots = components(links, "groups").select("node", "root")
         grouped = chosen.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     around = Window.partitionBy("shingle")
-    ends = grouped.withColumn("least", F.min("root").over(around)).withColumn("most", F.max("root").over(around))
+    ends = grouped.withColumns({"least": F.min("root").over(around), "most": F.max("root").over(around), "held": F.count(F.lit(1)).over(around)})
     return stash(ends.where("least < most").drop("least", "most"), "postings")
 
 
@@ -201,30 +227,39 @@ def _asked(percent: int) -> Column:
     return F.greatest(both - least + F.least("one.need", "two.need"), F.lit(1))
 
 
-def _counted(met: DataFrame, need: Column) -> DataFrame:
-    """(a, b, shared): pairs of nodes that meet under at least ``need`` shingles."""
-    a, b = F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")
-    counted = met.groupBy(a, b).agg(F.count(F.lit(1)).alias("shared"), F.max(need).alias("need"))
-    return counted.where("shared >= need").select("a", "b", "shared")
+def _met(met: DataFrame, need: Column) -> DataFrame:
+    """(a, b, need): the nodes of rows (one, two), and how many shingles they have to meet under."""
+    return met.select(F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b"), need.alias("need"))
+
+
+def _counted(met: DataFrame) -> DataFrame:
+    """(a, b): pairs of nodes that meet under as many shingles as they need."""
+    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("need").alias("need"))
+    return counted.where("shared >= need").select("a", "b")
 
 
 def _neighbours(live: DataFrame, turn: int, percent: int) -> DataFrame:
-    """(a, b): nodes that follow each other under enough shingles, in an order that puts like nodes side by side.
+    """(a, b): nodes that follow each other under enough shingles, in an order that puts like nodes side by side, and
+    nodes with the one under their shingles that shares most with others.
 
     The order is that of the least hashes of a node's shingles, other hashes in each turn. What this passes over is
     not lost, for the shingles of nodes that are not linked are worked off again.
     """
     least = [F.min(F.xxhash64("shingle", F.lit(turn * SIGNS + i))).alias(f"sign{i}") for i in range(SIGNS)]
-    signed = live.join(live.groupBy("node").agg(*least), "node")
-    order = Window.partitionBy("shingle").orderBy(*[f"sign{i}" for i in range(SIGNS)], "node")
+    signed = live.join(live.groupBy("node").agg(*least, F.sum("held").alias("weight")), "node")
+    around = Window.partitionBy("shingle")
+    order = around.orderBy(*[f"sign{i}" for i in range(SIGNS)], "node")
     fields = F.struct("node", "n", "place", "need", "root")
-    met = signed.select(fields.alias("one"), F.lead(fields).over(order).alias("two")).where("two IS NOT NULL")
+    hub = F.max_by(fields, F.struct("weight", -F.col("node"))).over(around)
+    beside = signed.select(fields.alias("one"), F.lead(fields).over(order).alias("next"), hub.alias("hub"))
+    other = F.when(~F.col("hub.node").eqNullSafe(F.col("next.node")), F.col("hub"))
+    met = beside.select("one", F.explode(F.array("next", other)).alias("two")).where("two IS NOT NULL")
     met = met.where((F.col("one.root") != F.col("two.root")) & _may_link("one", "two", percent))
-    return _counted(met, _asked(percent)).select("a", "b")
+    return _counted(_met(met, _asked(percent)))
 
 
-def _all_pairs(live: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all nodes of different groups that share enough shingles.
+def _all_pairs(live: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all nodes of different groups that share enough shingles and, where many nodes meet, have like sketches.
 
     Who shares ``asked`` shingles of two lists, both in the order of their holders, shares ``few`` of those that
     come first, when as many follow as are left of what is asked. So the rarest shingles decide who meets.
@@ -234,8 +269,18 @@ def _all_pairs(live: DataFrame, percent: int) -> DataFrame:
     rare = [F.col(f"{side}.rank") < F.col(f"{side}.kept") - asked + few for side in ("one", "two")]
     apart = (F.col("one.node") < F.col("two.node")) & (F.col("one.root") != F.col("two.root"))
     same = F.col("one.shingle") == F.col("two.shingle")
-    met = live.alias("one").join(live.alias("two"), same & apart & _may_link("one", "two", percent) & rare[0] & rare[1])
-    return _counted(met, few).select("a", "b")
+    able = same & apart & _may_link("one", "two", percent) & rare[0] & rare[1]
+    usual = live.where(F.col("held") <= CROWD)
+    crowded = live.where(F.col("held") > CROWD).join(sketches.select("node", "sketch"), "node")
+    met = _met(usual.alias("one").join(usual.alias("two"), able), few)
+    return _counted(met.unionByName(_met(crowded.alias("one").join(crowded.alias("two"), able & _close("one", "two", percent)), few)))
+
+
+def _sifted(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes (node, n, sketch) that can be alike by their sketches."""
+    told = F.struct("n", "sketch")
+    one, two = (sketches.select(F.col("node").alias(own), told.alias(side)) for own, side in (("a", "one"), ("b", "two")))
+    return pairs.join(one, "a").join(two, "b").where(_close("one", "two", percent)).select("a", "b")
 
 
 def _alike(width: int, percent: int):
@@ -283,10 +328,11 @@ def join(
 ) -> DataFrame:
     """(a, b): links between distinct sets (node, key, n, prefix) that join all those alike, directly or through others.
 
-    Every pair of nodes that is alike is either returned or lies inside one group of the returned links.
+    A column ``sketch`` of the nodes spares most pairs that are not alike their verification. Every pair of nodes that is alike is either returned or lies inside one group of the returned links.
     """
     chosen = stash(postings(nodes, percent, longer, frequent, verify), "chosen")
     names = nodes.select("node", "key")
+    sketches = nodes.select("node", "n", F.col("sketch") if "sketch" in nodes.columns else F.lit(None).cast("array<long>").alias("sketch"))
     links, turn, last = None, 0, False
     while True:
         live = _grouped(chosen, links)
@@ -294,8 +340,8 @@ def join(
         if not size[0]:
             return links if links is not None else chosen.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
         last = last or turn >= rounds or size[1] <= FEW_PAIRS * size[0]
-        pairs = _all_pairs(live, percent) if last else _neighbours(live, turn, percent)
-        found = _verified(pairs, names, texts, width, percent)
+        pairs = _all_pairs(live, sketches, percent) if last else _neighbours(live, turn, percent)
+        found = _verified(_sifted(pairs, sketches, percent), names, texts, width, percent)
         links = found if links is None else links.unionByName(found)
         if last:
             return links
@@ -310,7 +356,7 @@ def groups(
     named = stash(marked.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("first_id")), "nodes")
     copies = marked.where("n > 0").select("row", "digest").join(named, "digest").where("row <> node").select("row")
     nodes = marked.where("n > 0").join(broadcast_if_small(stash(copies, "copies"), SMALL), "row", "left_anti")
-    nodes = nodes.select(F.col("row").alias("node"), "key", "n", "prefix")
+    nodes = nodes.select(F.col("row").alias("node"), "key", "n", "prefix", "sketch")
     texts = docs.select(text_key(F.col(text)).alias("key"), F.col(text).cast("string").alias("text"))
     roots = components(join(nodes, texts, width, percent, **options), "groups")
     rooted = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

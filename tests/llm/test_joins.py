@@ -79,6 +79,41 @@ def test_shingles_met_by_one_group_only_are_not_paired(spark):
     assert {r["component_id"] for r in jaccard.groups(docs).collect()} == {0}
 
 
+def test_unlike_nodes_of_a_large_group_are_not_verified(spark, monkeypatch):
+    """Near copies of one base, most of which are not alike: few pairs go to the texts, and the groups are whole."""
+    draw = random.Random(8)
+    base, texts = [f"b{i}" for i in range(150)], []
+    for _ in range(240):
+        own = list(base)
+        for at in draw.choices(range(150), k=draw.randrange(12)):
+            own[at] = f"n{draw.randrange(9999)}"
+        texts.append(" ".join(own))
+    sizes, stash = [], jaccard.stash
+
+    def counted(df, label):
+        written = stash(df, label)
+        if label == "pairs":
+            sizes.append(written.count())
+        return written
+
+    monkeypatch.setattr(jaccard, "stash", counted)
+    found = jaccard.groups(brute.table(spark, texts)).collect()
+    expected = brute.jaccard_groups(list(enumerate(texts)), 4, 85)
+    assert in_order(tuple(r) for r in found) == in_order(expected)
+    assert len({c for _, _, c in expected}) > 100
+    assert sum(sizes) < 8 * len(texts)
+
+
+def test_sketches_differ_by_no_more_than_their_sets():
+    draw = np.random.default_rng(3)
+    for size, other in ((0, 3), (40, 0), (40, 8), (900, 200), (30_000, 900)):
+        both, own = draw.integers(-(1 << 63), 1 << 63, size), draw.integers(-(1 << 63), 1 << 63, other)
+        bits = jaccard.sketch(both) ^ jaccard.sketch(np.concatenate([both, own]))
+        assert len(bits) * 64 == jaccard.SKETCH
+        assert np.bitwise_count(bits.view(np.uint64)).sum() <= other
+        assert (other > 8) or np.bitwise_count(bits.view(np.uint64)).sum() % 2 == other % 2
+
+
 def test_op11_against_brute_force(spark):
     found = entry.queries()["op11_ngram_jaccard_join"](spark, SMALL)
     assert found.columns == ["doc_id", "n_shingles", "component_id"]
