@@ -18,6 +18,8 @@ inputs of a score.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -35,6 +37,8 @@ MOST_DENSE = 4_096
 TEXTS = 256
 DOUBT = 0.05
 PIECE = 1 << 20
+#: Characters of short texts that are read together.
+TOGETHER = 1 << 17
 #: Odd numbers by place in a word, 64 of them; longer words use them again.
 POWERS = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
@@ -43,6 +47,37 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x10000)])
 
 
+def _hashes(lowered: str, letters: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places of words, and hashes of their beginnings of each size and of the whole words."""
+    read = np.frombuffer(lowered.encode("utf-32-le"), dtype=np.int32)
+    inside = np.zeros(len(read) + 2, dtype=bool)
+    inside[1:-1] = letters.take(read, mode="clip")
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    first, last = edges[::2], edges[1::2]
+    if not len(first):
+        return []
+    found, size = [], last - first
+    codes = np.zeros(len(read) + max(BEGINNINGS), dtype=np.uint64)
+    codes[: len(read)] = read
+    rolling = np.zeros(len(first), dtype=np.uint64)
+    for k in range(max(BEGINNINGS)):
+        rolling = mixed(rolling + codes[first + k] + np.uint64(1))
+        if k + 1 in BEGINNINGS:
+            found.append((first[size > k], rolling[size > k]))
+    # The whole word: a polynomial of its letters by place.
+    starts = np.cumsum(size) - size
+    place = np.arange(starts[-1] + size[-1]) - np.repeat(starts, size)
+    place &= 63
+    inner = codes[: len(read)][inside[1:-1]]
+    inner *= POWERS.take(place)
+    found.append((first, mixed(np.add.reduceat(inner, starts) + size.astype(np.uint64))))
+    return found
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype=np.uint64), *parts]).view(np.int64)
+
+
 def term_hashes(text: str | None, letters: np.ndarray) -> np.ndarray:
     """Hashes of all terms of a text, repeats included."""
     whole, found = (text or "").lower(), []
@@ -53,32 +88,34 @@ def term_hashes(text: str | None, letters: np.ndarray) -> np.ndarray:
         if stop < len(whole):
             blank = max(whole.rfind(" ", at, stop), whole.rfind("\n", at, stop))
             stop = blank + 1 if blank > at else stop
-        read = np.frombuffer(whole[at:stop].encode("utf-32-le"), dtype=np.int32)
+        found += [hashes for _, hashes in _hashes(whole[at:stop], letters)]
         at = stop
-        inside = np.zeros(len(read) + 2, dtype=bool)
-        inside[1:-1] = letters.take(read, mode="clip")
-        edges = np.flatnonzero(inside[1:] != inside[:-1])
-        first, last = edges[::2], edges[1::2]
-        if not len(first):
-            continue
-        size = last - first
-        codes = np.zeros(len(read) + max(BEGINNINGS), dtype=np.uint64)
-        codes[: len(read)] = read
-        rolling = np.zeros(len(first), dtype=np.uint64)
-        for k in range(max(BEGINNINGS)):
-            rolling = mixed(rolling + codes[first + k] + np.uint64(1))
-            if k + 1 in BEGINNINGS:
-                found.append(rolling[size > k])
-        # The whole word: a polynomial of its letters by place.
-        starts = np.cumsum(size) - size
-        place = np.arange(starts[-1] + size[-1]) - np.repeat(starts, size)
-        place &= 63
-        inner = codes[: len(read)][inside[1:-1]]
-        inner *= POWERS.take(place)
-        found.append(mixed(np.add.reduceat(inner, starts) + size.astype(np.uint64)))
-    if not found:
-        return np.zeros(0, dtype=np.int64)
-    return np.concatenate(found).view(np.int64)
+    return _joined(found)
+
+
+def all_term_hashes(texts: Iterable[str | None], letters: np.ndarray) -> Iterator[np.ndarray]:
+    """``term_hashes`` of each text; short texts are read together, one to a line."""
+
+    def told() -> Iterator[np.ndarray]:
+        ends = np.cumsum([len(t) + 1 for t in held])
+        found = _hashes("\n".join(held), letters)
+        cuts = [[0, *np.searchsorted(places, ends).tolist()] for places, _ in found]
+        for i in range(len(held)):
+            yield _joined([hashes[cut[i] : cut[i + 1]] for (_, hashes), cut in zip(found, cuts)])
+
+    held, size = [], 0
+    for text in texts:
+        lowered = (text or "").lower()
+        if held and size + len(lowered) > TOGETHER:
+            yield from told()
+            held, size = [], 0
+        if len(lowered) > TOGETHER:
+            yield term_hashes(text, letters)
+        else:
+            held.append(lowered)
+            size += len(lowered) + 1
+    if held:
+        yield from told()
 
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -92,8 +129,9 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(terms, pa.int64()), pa.array(n, pa.int64())], names=["term", "n"])
 
         for batch in batches:
-            for t in batch.column(0):
-                found.append(np.unique(term_hashes(t.as_py(), letters)))
+            for hashes in all_term_hashes((t.as_py() for t in batch.column(0)), letters):
+                # With counts, numpy sorts; without, it takes twice as long over a table of its own.
+                found.append(np.unique(hashes, return_counts=True)[0])
                 held += len(found[-1])
                 if held > PIECE:
                     yield batch_of()
@@ -123,7 +161,8 @@ class BlockIndex:
         inside = self.column[term] >= 0
         self.dense = np.zeros((len(dense), self.examples), dtype=np.float32)
         self.dense[self.column[term[inside]], example[inside]] = weight[inside]
-        self.posted, self.weight = example[~inside], weight[~inside]
+        # As wide as ``bincount`` wants them.
+        self.posted, self.weight = example[~inside].astype(np.intp), weight[~inside]
         self.start = np.concatenate([[0], np.cumsum(np.bincount(term[~inside], minlength=terms))])
 
     def cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -221,8 +260,8 @@ def votes(text: Column, model, nearest: int = NEAREST, evidence: int = 3) -> Col
             rows, sums, ends, terms_out, times_out = [], [], [0], [], []
             for at in range(0, len(texts), TEXTS):
                 queries, inner = [], []
-                for t in texts.slice(at, TEXTS):
-                    hashes, times = np.unique(term_hashes(t.as_py(), letters), return_counts=True)
+                for own in all_term_hashes((t.as_py() for t in texts.slice(at, TEXTS)), letters):
+                    hashes, times = np.unique(own, return_counts=True)
                     terms = np.minimum(np.searchsorted(m["hashes"], hashes), len(m["hashes"]) - 1)
                     known = m["hashes"][terms] == hashes
                     terms_out.append(hashes[~known])

@@ -295,3 +295,22 @@ def test_nearest_examples_are_chosen_as_by_a_sort_of_all_rounded_values():
             expected = sorted((i for i in range(n) if rounded[i] > 0), key=lambda i: (-rounded[i], i))[:15]
             best, near = toxicity.nearest_of(cosine, 15)
             assert best.tolist() == expected and near.tolist() == rounded[expected].tolist()
+
+
+def test_short_texts_are_read_together_for_their_terms(monkeypatch):
+    monkeypatch.setattr(toxicity, "TOGETHER", 400)
+    read, hashes = [], toxicity._hashes
+
+    def counted(text, letters):
+        read.append(text)
+        return hashes(text, letters)
+
+    monkeypatch.setattr(toxicity, "_hashes", counted)
+    draw, letters = random.Random(4), toxicity._letters()
+    words = ["a", "ΟΔΟΣ", "Σ", "'", "\n", "İstanbul", "🙂abc🙂", "日本語", "x" * 70, "12", "  ", "Words"]
+    texts = [None, "", "ΑΣ", "Σ", "y" * 399, "y" * 400, "y" * 401, "long " * 300]
+    texts += [" ".join(draw.choices(words, k=draw.randrange(9))) for _ in range(200)]
+    got = list(toxicity.all_term_hashes(iter(texts), letters))
+    assert len(read) < len(texts) / 4
+    assert [sorted(g) for g in got] == [sorted(toxicity.term_hashes(t, letters)) for t in texts]
+    assert all(g.dtype == np.int64 for g in got) and not list(toxicity.all_term_hashes([], letters))
