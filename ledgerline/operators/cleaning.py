@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import (
-    date_parts, integer_reading, integer_value, known_text, number_characters, number_text, parse_number, preferred_timestamp,
-    spelled_number, strip, timestamp_of,
+    date_parts, integer_reading, integer_value, known_text, may_swap, number_characters, number_text, parse_number,
+    preferred_timestamp, short_integer, spelled_digits, spelled_number, spelled_part, spelled_times, strip, timestamp_of,
 )
 from ledgerline.operators.ranking import global_row_number, number_in_place
+from ledgerline.session import code_border
 from ledgerline.sources.contracts import TableContract, spark_type
 from ledgerline.sources.files import ROW_ORDER
 
 _HAD = "__had_"
+# Of a date that may be read either way: the day-first reading, and that there are two.
+_DAY_FIRST = "__day_first_"
+_EITHER = "__either_"
 
 
 def clean_strings(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -52,16 +56,28 @@ def parse_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return parts.withColumns({c: preferred_timestamp(F.col(c), day_first[c]) for c in columns})
 
 
-def parse_integers(df: DataFrame, columns: Sequence[str], readings: bool = False) -> DataFrame:
-    """Replace text columns by the integers they spell; ``readings`` adds how each was read."""
-    numbers = {f"__number_{c}": spelled_number(F.col(c)) for c in columns}
-    out = df.withColumns({c: number_text(F.col(c)) for c in columns}).withColumns(numbers)
-    values = {}
+def parse_integers(df: DataFrame, columns: Sequence[str], readings: bool = False, loading: bool = False) -> DataFrame:
+    """Replace text columns by the integers they spell; ``readings`` adds how each was read.
+
+    ``loading`` is for cells that are trimmed, and ends the fused code before the closer look.
+    """
+    short, parts, numbers, values = {}, {}, {}, {}
     for c in columns:
+        text, digits = F.col(c), F.col(f"__short_{c}")
+        part, times, number, whole = (F.col(f"__{step}_{c}") for step in ("part", "times", "number", "whole"))
+        # How a cell was read takes the closer look at every cell.
+        closer = F.lit(True) if readings else digits == ""
+        short[f"__short_{c}"] = short_integer(text)
+        parts[f"__part_{c}"] = F.when(closer, spelled_part(text))
+        parts[f"__times_{c}"] = F.when(closer, spelled_times(text))
+        numbers[f"__number_{c}"] = F.when(closer, spelled_number(text, part, times))
+        numbers[f"__whole_{c}"] = F.when(closer, spelled_digits(text, part))
         if readings:
-            values[f"{c}_reading"] = integer_reading(F.col(c), F.col(f"__number_{c}"))
-        values[c] = integer_value(F.col(c), F.col(f"__number_{c}"))
-    return out.withColumns(values).drop(*numbers)
+            values[f"{c}_reading"] = integer_reading(text, number)
+        values[c] = F.when(digits != "", digits.cast("bigint")).otherwise(integer_value(whole, times, number))
+    out = df.withColumns({c: number_text(F.col(c), loading) for c in columns}).withColumns(short)
+    out = code_border(out) if loading else out
+    return out.withColumns(parts).withColumns(numbers).withColumns(values).drop(*short, *parts, *numbers)
 
 
 def parse_numbers(df: DataFrame, columns: Sequence[str], kind: str = "double") -> DataFrame:
@@ -92,14 +108,20 @@ def clean_types(df: DataFrame, contract: TableContract) -> tuple[DataFrame, Data
     return rows, coercion_counts(typed, contract)
 
 
-def type_columns(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Typed columns, and which non-text cells were filled."""
+def type_columns(df: DataFrame, contract: TableContract, both_readings: bool = False) -> DataFrame:
+    """Typed columns, and which non-text cells were filled.
+
+    ``both_readings`` keeps both readings of every date, so that a load need not parse its files before it knows
+    which one reads more; ``chosen_readings`` settles them.
+    """
     rest = [F.col(ROW_ORDER)] if ROW_ORDER in df.columns else []
-    day_first = prefers_day_first(df, contract.timestamps)
+    day_first = {} if both_readings else prefers_day_first(df, contract.timestamps)
     cleaned = clean_strings(df.select(*contract.headers, *rest), list(contract.headers))
     had = {_HAD + n: F.col(n).isNotNull() for n, t in contract.types.items() if spark_type(t) != "string"}
-    cleaned = parse_integers(cleaned.withColumns(had), contract.integers)
+    cleaned = parse_integers(cleaned.withColumns(had), contract.integers, loading=both_readings)
     cleaned = cleaned.withColumns({n: number_characters(F.col(n)) for n in contract.numbers})
+    if both_readings and contract.timestamps:
+        cleaned = code_border(cleaned)
     cleaned = cleaned.withColumns({n: date_parts(F.col(n)) for n in contract.timestamps})
     typed: list[Column] = []
     for name in contract.headers:
@@ -108,6 +130,10 @@ def type_columns(df: DataFrame, contract: TableContract) -> DataFrame:
             typed.append(text.try_cast(kind).alias(name))
         elif name in contract.numbers:
             typed.append(parse_number(text, kind).alias(name))
+        elif name in contract.timestamps and both_readings:
+            typed.append(timestamp_of(text, False).alias(name))
+            typed.append(F.when(may_swap(text), timestamp_of(text, True)).alias(_DAY_FIRST + name))
+            typed.append(F.coalesce(may_swap(text), F.lit(False)).alias(_EITHER + name))
         elif name in contract.timestamps:
             typed.append(preferred_timestamp(text, day_first[name]).alias(name))
         else:
@@ -115,9 +141,36 @@ def type_columns(df: DataFrame, contract: TableContract) -> DataFrame:
     return cleaned.select(*typed, *had, *rest)
 
 
+def reading_measures(contract: TableContract) -> dict[str, Column]:
+    """Aggregates of a table with both readings: the dates that each of them parses; see ``prefers_day_first``."""
+    read = {}
+    for n in contract.timestamps:
+        day_first = F.when(F.col(_EITHER + n), F.col(_DAY_FIRST + n)).otherwise(F.col(n))
+        read |= {f"{n}|False": F.count(F.col(n)), f"{n}|True": F.count(day_first)}
+    return read
+
+
+def reading_columns(contract: TableContract) -> list[str]:
+    """What ``chosen_readings`` needs besides the columns of the contract."""
+    return [_DAY_FIRST + n for n in contract.timestamps]
+
+
+def chosen_readings(df: DataFrame, contract: TableContract, counts: Mapping[str, int]) -> DataFrame:
+    """Each date under the better reading of its column by ``reading_measures``, or the other way if that is impossible."""
+    chosen = {}
+    for n in contract.timestamps:
+        readings = [F.col(n), F.col(_DAY_FIRST + n)]
+        chosen[n] = F.coalesce(*(reversed(readings) if counts[f"{n}|True"] > counts[f"{n}|False"] else readings))
+    return df.withColumns(chosen).drop(*reading_columns(contract))
+
+
 def quality_measures(typed: DataFrame, contract: TableContract) -> dict[str, Column]:
     """Aggregates of a typed table: rows, and per column the values lost and the negative values kept."""
-    lost = {f"lost_{n}": F.count_if(F.col(_HAD + n) & F.col(n).isNull()) for n in contract.headers if _HAD + n in typed.columns}
+
+    def value(n: str) -> Column:
+        return F.coalesce(n, _DAY_FIRST + n) if _DAY_FIRST + n in typed.columns else F.col(n)
+
+    lost = {f"lost_{n}": F.count_if(F.col(_HAD + n) & value(n).isNull()) for n in contract.headers if _HAD + n in typed.columns}
     negative = {f"negative_{n}": F.count_if(F.col(n) < 0) for n in contract.numbers}
     return {"rows": F.count(F.lit(1)), **lost, **negative}
 

@@ -7,10 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.session import freeze
+from ledgerline.session import broadcast_if_small, freeze
 from ledgerline.sources.contracts import ForeignKey, TableContract, spark_type
 
 
+# Orphan keys up to this many go to every task; rows stay where they are then.
+FEW_ORPHANS = 200_000
+
+
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Distinct non-NULL child keys without a parent.
 
@@ -29,14 +33,16 @@ def mark_orphans(
 ) -> DataFrame:
     """Add the first foreign key a row fails, in the declared order, or NULL.
 
-    Rows are matched against the orphan keys only, which are few in any healthy load; adaptive execution
-    broadcasts them by their real size. A missing key is no orphan, so such rows get a key of their own for
+    Rows are matched against the orphan keys only, which are few in any healthy load and then broadcast; a
+    foreign key without any costs nothing. A missing key is no orphan, so such rows get a key of their own for
     the join and cannot meet on one reducer. ``keys_from`` is a cheaper table with the same keys.
     """
     marked = child.withColumn(reason, F.lit(None).cast("string"))
     for fk in foreign_keys:
         missing = freeze(orphan_keys(keys_from or child, fk.column, parents[fk.parent], fk.parent_column))
-        missing = missing.select(F.col("__key").cast("string").alias("__orphan"))
+        if missing.isEmpty():
+            continue
+        missing = broadcast_if_small(missing.select(F.col("__key").cast("string").alias("__orphan")), FEW_ORPHANS)
         spread = F.concat(F.lit("no key "), F.xxhash64(*[F.col(f"`{c}`") for c in child.columns]).cast("string"))
         keyed = marked.withColumn("__key", F.coalesce(F.col(fk.column).cast("string"), spread))
         marked = (

@@ -6,9 +6,12 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import functions as F
 
-from ledgerline.operators.cleaning import add_surrogate_key, keep_first, quality_measures, type_columns
+from ledgerline.operators.cleaning import (
+    add_surrogate_key, chosen_readings, keep_first, quality_measures, reading_columns, reading_measures, type_columns,
+)
 from ledgerline.operators.integrity import (
     mark_orphans, null_key_counts, orphan_counts, reconcile_counts, require_reconciled, split_orphans,
 )
@@ -52,21 +55,28 @@ def prepare_table(
     """(rows to store, rows to quarantine) of one table; fills the report.
 
     The typed rows are written once, as compressed columns, and counted while they are written: files are
-    parsed once more only for their date columns, and every count describes what is stored.
+    parsed once, dates under both readings, and every count describes what is stored.
     """
-    typed = type_columns(resolve_columns(normalise_headers(raw), name, contract), contract)
+    typed = type_columns(resolve_columns(normalise_headers(raw), name, contract), contract, both_readings=True)
+    order = [ROW_ORDER] if contract.key else []
     staged = f"{ensure_checkpoint_dir(raw.sparkSession)}/typed-{name}-{uuid.uuid4().hex}"
     seen = Observation()
-    counted = typed.observe(seen, *[c.alias(n) for n, c in quality_measures(typed, contract).items()])
-    counted.select(*contract.headers, ROW_ORDER).write.option("compression", "zstd").parquet(staged)
+    measures = quality_measures(typed, contract) | reading_measures(contract)
+    counted = typed.observe(seen, *[c.alias(n) for n, c in measures.items()])
+    counted.select(*contract.headers, *reading_columns(contract), *order).write.option("compression", "zstd").parquet(staged)
     counts = {measure: n or 0 for measure, n in seen.get.items()}
     report.read[name] = counts["rows"]
     report.coerced[name] = sum(n for measure, n in counts.items() if measure.startswith("lost_"))
     report.negative[name] = sum(n for measure, n in counts.items() if measure.startswith("negative_"))
-    rows = raw.sparkSession.read.parquet(staged)
-    first = keep_first(rows, contract.key, [ROW_ORDER]) if contract.key else rows
-    marked = mark_orphans(first, contract.foreign_keys, parents, keys_from=rows)
-    kept, rejected = split_orphans(marked)
+    rows = chosen_readings(raw.sparkSession.read.parquet(staged), contract, counts)
+    rows = number_splits(rows) if contract.key else rows.withColumn(ROW_ORDER, F.monotonically_increasing_id())
+    if contract.key and {fk.column for fk in contract.foreign_keys} <= {*contract.key}:
+        # All rows of a key have the same foreign keys, so rows to keep and rows to reject part before they are gathered.
+        marked = mark_orphans(rows, contract.foreign_keys, parents, keys_from=rows)
+        kept, rejected = (keep_first(part, contract.key, [ROW_ORDER]) for part in split_orphans(marked))
+    else:
+        first = keep_first(rows, contract.key, [ROW_ORDER]) if contract.key else rows
+        kept, rejected = split_orphans(mark_orphans(first, contract.foreign_keys, parents, keys_from=rows))
     kept = kept.drop(ROW_ORDER)
     if contract.surrogate:
         kept = add_surrogate_key(freeze(kept), contract.surrogate, dense=True)
@@ -74,6 +84,17 @@ def prepare_table(
     return kept.select(*surrogate, *contract.headers), rejected.drop(ROW_ORDER)
 
 
+def number_splits(rows: DataFrame) -> DataFrame:
+    """The same row order as one number: the place of a split among all, and the row in it. File names take no part in sorting."""
+    split = [F.col(f"{ROW_ORDER}.file").alias("__file"), F.col(f"{ROW_ORDER}.block").alias("__block")]
+    # One row for each split, whatever the size of the data.
+    place = F.row_number().over(Window.orderBy("__file", "__block")).cast("bigint")
+    places = freeze(rows.select(*split).distinct().withColumn("__place", place))
+    row = F.col(f"{ROW_ORDER}.row").bitwiseAND(F.lit((1 << 33) - 1))
+    located = rows.select("*", *split).join(F.broadcast(places), ["__file", "__block"])
+    return located.withColumn(ROW_ORDER, F.shiftleft("__place", 33) + row).drop("__file", "__block", "__place")
+
+
 def load(
     spark: SparkSession,
     sources: Mapping[str, str],
@@ -106,7 +127,7 @@ def load(
     with compiled_methods(spark):
         for name in order:
             contract = contracts[name]
-            raw = read_csv_robust(spark, sources[name], row_order=True, traits=(traits or {}).get(name))
+            raw = read_csv_robust(spark, sources[name], row_order=bool(contract.key), traits=(traits or {}).get(name))
             kept, rejected = prepare_table(name, raw, contract, parents, report)
             expected[name] = write_table(kept, paths[name], True, (cluster_by or {}).get(name))
             report.quarantined[name] = 0

@@ -43,7 +43,12 @@ def ends_inside(line: Column, begins_inside: bool) -> Column:
     parts = F.split(line, '"', -1)
     before_quotes = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda text, i: F.struct(text.alias("text"), (i == 0).alias("first")))
     state = F.aggregate(before_quotes, F.lit(int(begins_inside)), at_quote)
-    return F.when(line.contains('"'), state == 1).otherwise(F.lit(begins_inside))
+    # Most lines with quotes have one quoted cell: two quotes need no steps. A quote stands at a border or behind another.
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    first, second = F.substring_index(line, '"', 1), F.substring_index(line, '"', 2)
+    opens = second.endswith(",")
+    two = opens | second.endswith('"') if begins_inside else opens & (first != "") & ~first.endswith(",")
+    return F.when(~line.contains('"'), F.lit(begins_inside)).when(quotes == 2, two).otherwise(state == 1)
 
 
 def _begins(df: DataFrame, keys: list[str], *order: str) -> DataFrame:

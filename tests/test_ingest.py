@@ -5,9 +5,11 @@ from __future__ import annotations
 import pytest
 from pyspark.errors import AnalysisException
 
+from ledgerline.operators import cleaning, integrity
 from ledgerline.operators.profiling import column_profile
 from ledgerline.plans import ingest
 from ledgerline.sources import files, sinks, versions
+from ledgerline.sources.contracts import ForeignKey, TableContract
 
 
 def put(path, data: bytes) -> str:
@@ -240,3 +242,67 @@ def test_tables_from_before_versions_are_guarded_and_replaced(spark, tmp_path, s
         ingest.load(spark, sources, target)
     ingest.load(spark, sources, target, reset=True)
     assert [p.name for p in (tmp_path / "db" / "food").iterdir()] == ["version=1"]
+
+
+def test_a_load_parses_a_file_once_for_both_readings_of_its_dates(spark, tmp_path, sources, monkeypatch):
+    def parsed_again(df, columns):
+        assert not columns, "the files are parsed once more for their dates"
+        return {}
+
+    monkeypatch.setattr(cleaning, "prefers_day_first", parsed_again)
+    ingest.load(spark, sources, str(tmp_path / "db"))
+    stored = spark.read.parquet(str(tmp_path / "db" / "orders")).orderBy("order_id")
+    assert [str(r["order_datetime"]) for r in stored.collect()] == ["2019-12-25 00:00:00", "2019-05-04 00:00:00", "None"]
+
+
+DATES = {
+    "month first": ["12/25/2019", "11/26/2019 10:00", "03/04/2019", "25/12/2019", "13/13/2019", "2019-05-06", "soon", None],
+    "day first": ["25/12/2019", "26/11/2019 10:00", "03/04/2019", "12/25/2019", "13/13/2019", "May 6, 2019", "soon", None],
+    "a tie": ["25/12/2019", "12/25/2019", "03/04/2019 1:00 PM", "", "31/04/2019"],
+}
+
+
+@pytest.mark.parametrize("cells", DATES.values(), ids=DATES)
+def test_a_load_chooses_readings_as_cleaning_does(spark, cells):
+    contract = TableContract({"at": ("at",), "i": ("i",)}, {"at": "timestamp_ntz", "i": "int"}, integers=("i",), timestamps=("at",))
+    df = spark.createDataFrame([(c, str(i)) for i, c in enumerate(cells)], "at string, i string")
+    both = cleaning.type_columns(df, contract, both_readings=True)
+    measures = cleaning.quality_measures(both, contract) | cleaning.reading_measures(contract)
+    counts = both.agg(*[c.alias(n) for n, c in measures.items()]).first().asDict()
+    kept = both.select("at", "i", *cleaning.reading_columns(contract))
+    rows, quality = cleaning.clean_types(df, contract)
+    assert sorted(map(repr, cleaning.chosen_readings(kept, contract, counts).collect())) == sorted(map(repr, rows.collect()))
+    assert {f"lost_{r['column']}": r["coerced"] for r in quality.collect()} == {n: counts[n] for n in ("lost_at", "lost_i")}
+
+
+def test_rows_numbered_by_split_stay_in_order(spark, tmp_path):
+    folder = tmp_path / "split"
+    folder.mkdir()
+    for i in range(3):
+        (folder / f"part-{i}.csv").write_text("v\n" + "".join(f"{i * 20_000 + j}\n" for j in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        numbered = ingest.number_splits(files.read_csv_robust(spark, str(folder), row_order=True))
+        assert dict(numbered.dtypes)[files.ROW_ORDER] == "bigint"
+        assert [int(r["v"]) for r in numbered.orderBy(files.ROW_ORDER).collect()] == list(range(60_000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_rows_without_orphans_are_not_joined(spark):
+    parents = {"sellers": spark.createDataFrame([(1,), (2,)], "seller int")}
+    rows = spark.createDataFrame([(1, 1), (2, None), (3, 2)], "id int, seller int")
+    for orphans, joins in ((rows, False), (rows.union(spark.createDataFrame([(4, 9)], rows.schema)), True)):
+        marked = integrity.mark_orphans(orphans, [ForeignKey("seller", "sellers", "seller")], parents)
+        text = marked._jdf.queryExecution().executedPlan().toString()
+        assert ("Join" in text) == joins and "SortMergeJoin" not in text
+        assert marked.where("reject_reason = 'seller'").count() == int(joins)
+
+
+def test_fused_stages_of_a_load_are_compiled(spark):
+    """No fused stage before the closer look at integers is too long to be compiled, so rows are not copied by each step."""
+    contract = ingest.CONTRACTS["orders"]
+    raw = spark.createDataFrame([tuple("1" for _ in contract.headers)], ", ".join(f"{c} string" for c in contract.headers))
+    typed = cleaning.type_columns(raw, contract, both_readings=True)
+    assert typed._jdf.queryExecution().executedPlan().toString().count("CollectMetrics") == 2
