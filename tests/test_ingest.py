@@ -300,8 +300,8 @@ def test_rows_without_orphans_are_not_joined(spark):
         assert marked.where("reject_reason = 'seller'").count() == int(joins)
 
 
-def test_fused_stages_of_a_load_are_compiled(spark):
-    """No fused stage before the closer look at integers is too long to be compiled, so rows are not copied by each step."""
+def test_the_code_of_a_load_is_cut_twice(spark):
+    """Before the closer look at integers and before dates."""
     contract = ingest.CONTRACTS["orders"]
     raw = spark.createDataFrame([tuple("1" for _ in contract.headers)], ", ".join(f"{c} string" for c in contract.headers))
     typed = cleaning.type_columns(raw, contract, both_readings=True)
